@@ -212,6 +212,13 @@ _cte("station_kpis", ("fact_rh", "fact_fr"), """
   USING (station_id, service_date)""")
 
 
+_cte("daily", (), """
+  SELECT o.o_orderkey AS tap_id, o.o_custkey AS card_token, c.c_nationkey AS station_id, n.n_regionkey AS line_id,
+         o.o_orderpriority AS fare_class, CAST(o.o_orderdate AS DATE) AS service_date,
+         CAST(o.o_totalprice AS DECIMAL(18,2)) AS fare_amount_cad
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""")
+
+
 def compose(*parts: str) -> str:
     """``compose(cte_name..., final_select)``: a WITH query holding the named
     CTEs and all their dependencies."""
