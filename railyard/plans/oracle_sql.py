@@ -150,9 +150,9 @@ def _uplift_cols(r: str, b: str, sd: str) -> str:
     return f"""
          ROUND({b}, 6) AS baseline_riders,
          ROUND({sd}, 6) AS baseline_riders_sd,
-         ROUND({r} - {b}, 6) AS uplift_riders,
-         ROUND(CASE WHEN {b} = 0 THEN NULL ELSE ({r} - {b}) / {b} END, 6) AS uplift_multiplier,
-         ROUND(CASE WHEN {sd} IS NULL OR {sd} = 0 THEN NULL ELSE ({r} - {b}) / {sd} END, 6) AS uplift_z_score,
+         ROUND({r} - {b}, 6) + 0.0 AS uplift_riders,
+         ROUND(CASE WHEN {b} = 0 THEN NULL ELSE ({r} - {b}) / {b} END, 6) + 0.0 AS uplift_multiplier,
+         ROUND(CASE WHEN {sd} IS NULL OR {sd} = 0 THEN NULL ELSE ({r} - {b}) / {sd} END, 6) + 0.0 AS uplift_z_score,
          (CAST({r} AS DOUBLE) / NULLIF({b}, 0)) >= CAST({C.UPLIFT_FLOOR_MULTIPLIER} AS DOUBLE) AS meets_uplift_floor"""
 
 
