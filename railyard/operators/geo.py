@@ -171,15 +171,18 @@ def expected_demand(fact: DataFrame, priors: DataFrame, calendar: DataFrame) ->
     mult = hits.groupBy("station_id", "tap_hour_utc").agg(
         F.exp(F.sum(F.log(F.col("uplift_multiplier")))).alias("_m"))
     f = (fact.select("station_id", "tap_hour_utc", "total_taps")
-         .join(F.broadcast(priors.select("station_id", "prior")), "station_id", "inner")
+         .join(F.broadcast(priors.select("station_id", "taps", "prior")), "station_id", "inner")  # one row per station
          .join(mult, ["station_id", "tap_hour_utc"], "left")
          .withColumn("event_multiplier", F.coalesce(F.col("_m"), F.lit(1.0)))
-         .withColumn("_w", F.col("prior") * X.demand_curve(X.hour_of_day("tap_hour_utc")) * F.col("event_multiplier")))
+         .withColumn("_w", F.col("prior") * X.demand_curve(X.hour_of_day("tap_hour_utc")) * F.col("event_multiplier"))
+         # the curve and the prior's denominator are common to every station of
+         # an hour, so the normalised share is taps x multiplier over its hour sum
+         .withColumn("_s", F.col("taps") * F.col("event_multiplier")))
     w = Window.partitionBy("tap_hour_utc")  # one hour holds at most one row per station
     return f.select("station_id", "tap_hour_utc",
                     X.r6("event_multiplier").alias("event_multiplier"),
                     X.r6("_w").alias("weight"),
-                    X.r6(F.col("_w") / F.sum("_w").over(w)).alias("expected_share"),
+                    X.r6(F.col("_s") / F.sum("_s").over(w)).alias("expected_share"),
                     X.r6(F.col("total_taps") / F.sum("total_taps").over(w)).alias("observed_share"))
 
 
