@@ -1 +1,88 @@
-"""Placeholder."""
+"""Streaming queries (T1-T9) and health metrics.
+
+Each streaming key lands the bound taps as files in arrival order, drains
+them with an ``availableNow`` query, and returns the sink read as a batch
+DataFrame; the oracle is the batch equivalent.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from railyard.operators import observability as O, silver
+from railyard.plans.catalog import register
+from railyard.plans.oracle_sql import compose
+from railyard.plans.q_core import silver_of
+from railyard.sources import binding as B
+from railyard.streaming import taps as S
+
+_INVARIANT = ("tap_id", "card_token", "station_id", "fare_class", "tap_type", "tap_timestamp_utc")
+
+
+@register("stream_bronze_ingest", compose("bronze", """
+SELECT tap_id, card_token, station_id, zone, fare_class, CAST(fare_amount_cad AS DOUBLE) AS fare_amount_cad,
+       tap_type, tap_timestamp_utc, device_id, schema_version, ingest_timestamp_utc, true AS has_lineage
+FROM bronze"""), "S1 S2 S3 S9 S17 T4 T5")
+def q_stream_bronze_ingest(spark, sf_dir):
+    landing = S.land_by_arrival(B.bronze_taps(spark, sf_dir))
+    sink, _ = S.ingest_to_bronze(spark, landing)
+    out = spark.read.parquet(sink)
+    return out.select(*B.BRONZE_COLUMNS,
+                      (F.col("_source_file").isNotNull() & F.col("_ingest_ts").isNotNull()).alias("has_lineage")) \
+              .withColumn("fare_amount_cad", F.col("fare_amount_cad").cast("double"))
+
+
+@register("stream_dedup", compose("bronze", f"""
+SELECT DISTINCT {', '.join(_INVARIANT)} FROM bronze"""), "T1 T2 T7")
+def q_stream_dedup(spark, sf_dir):
+    """First arrival wins; only columns equal on every copy of a tap are
+    returned, so the result does not depend on micro-batch boundaries."""
+    landing = S.land_by_arrival(B.bronze_taps(spark, sf_dir))
+    sink, _ = S.stream_dedup(spark, landing)
+    return spark.read.parquet(sink).select(*_INVARIANT)
+
+
+@register("stream_hourly", compose("bronze", """
+SELECT date_trunc('hour', tap_timestamp_utc) AS tap_hour_utc, station_id, fare_class, tap_type, COUNT(*) AS tap_count
+FROM (SELECT DISTINCT tap_id, station_id, fare_class, tap_type, tap_timestamp_utc FROM bronze)
+GROUP BY 1, 2, 3, 4"""), "T3 A8 A14")
+def q_stream_hourly(spark, sf_dir):
+    landing = S.land_by_arrival(B.bronze_taps(spark, sf_dir))
+    dedup, _ = S.stream_dedup(spark, landing)
+    sink, _ = S.stream_hourly(spark, dedup, with_approx=False)
+    return S.latest_windows(spark, sink)
+
+
+@register("stream_quality_gate", compose("tagged_dq", """
+SELECT tap_id, station_id, tap_type, ingest_timestamp_utc, array_to_string(reasons, ',') AS reasons
+FROM tagged_dq WHERE len(reasons) > 0"""), "T6 Q6 Q8")
+def q_stream_quality_gate(spark, sf_dir):
+    landing = S.land_by_arrival(B.bronze_taps(spark, sf_dir, with_violations=True))
+    _, bad, _ = S.stream_quality_gate(spark, landing, B.stations(spark, sf_dir))
+    return spark.read.parquet(bad).select("tap_id", "station_id", "tap_type", "ingest_timestamp_utc", "reasons")
+
+
+@register("stream_upsert", compose("silver", """
+SELECT * REPLACE (CAST(fare_amount_cad AS DOUBLE) AS fare_amount_cad) FROM silver"""), "T8 L2 D6")
+def q_stream_upsert(spark, sf_dir):
+    landing = S.land_by_arrival(B.bronze_taps(spark, sf_dir))
+    table, _ = S.stream_upsert(spark, landing, B.stations(spark, sf_dir))
+    return spark.table(table).select(*silver.SILVER_COLUMNS) \
+                .withColumn("fare_amount_cad", F.col("fare_amount_cad").cast("double"))
+
+
+@register("lag_p95", compose("bronze", """
+SELECT bin_start, taps, ROUND(p, 6) AS p95_lag_seconds, p > 300 AS lag_alert FROM (
+  SELECT time_bucket(INTERVAL 5 MINUTE, ingest_timestamp_utc) AS bin_start, COUNT(*) AS taps,
+         quantile_cont(CAST(floor((epoch_us(ingest_timestamp_utc) - epoch_us(tap_timestamp_utc)) / 1000000) AS BIGINT), 0.95) AS p
+  FROM bronze GROUP BY 1)"""), "A15 T9 D20")
+def q_lag_p95(spark, sf_dir):
+    return O.lag_percentile(B.bronze_taps(spark, sf_dir))
+
+
+@register("tap_rate_per_minute", compose("silver", """
+SELECT time_bucket(INTERVAL 1 MINUTE, tap_timestamp_utc) AS minute_start, line_id, COUNT(*) AS taps,
+       ROUND(COUNT(*) / 60.0, 6) AS taps_per_second
+FROM silver GROUP BY 1, 2"""), "A16")
+def q_tap_rate_per_minute(spark, sf_dir):
+    return O.rate_per_minute(silver_of(spark, sf_dir), "line_id")
