@@ -45,3 +45,20 @@ def rate_per_minute(df: DataFrame, group: str, ts: str = "tap_timestamp_utc") ->
     return (df.groupBy(F.window(ts, "1 minute").start.alias("minute_start"), group)
             .agg(F.count(F.lit(1)).alias("taps"))
             .withColumn("taps_per_second", X.r6(F.col("taps") / F.lit(60.0))))
+
+
+def late_rows(df: DataFrame, event_ts: str = "tap_timestamp_utc", arrival_ts: str = "ingest_timestamp_utc",
+              delay_hours: int = 2, bin_minutes: int = 60) -> DataFrame:
+    """Late-row accounting (T7): a row is late when its event time is behind
+    the watermark in force when it arrived - the newest event time of all
+    earlier arrival bins minus the allowed delay.  Bins are aggregated
+    first, so the running maximum runs over one row per bin."""
+    b = F.window(arrival_ts, f"{bin_minutes} minutes").start
+    per_bin = df.groupBy(b.alias("arrival_bin")).agg(F.max(event_ts).alias("_mx"))
+    w = Window.orderBy("arrival_bin").rowsBetween(Window.unboundedPreceding, -1)   # one row per bin
+    marks = per_bin.select("arrival_bin", (F.max("_mx").over(w) - F.expr(f"INTERVAL {delay_hours} HOURS"))
+                           .alias("watermark"))
+    j = df.select(b.alias("arrival_bin"), F.col(event_ts).alias("_e")).join(F.broadcast(marks), "arrival_bin")
+    late = F.coalesce(F.col("_e") < F.col("watermark"), F.lit(False))
+    return (j.groupBy(F.to_date("arrival_bin").alias("arrival_date"))
+            .agg(F.count(F.lit(1)).alias("arrivals"), F.count_if(late).alias("late_rows")))

@@ -86,3 +86,16 @@ SELECT time_bucket(INTERVAL 1 MINUTE, tap_timestamp_utc) AS minute_start, line_i
 FROM silver GROUP BY 1, 2"""), "A16")
 def q_tap_rate_per_minute(spark, sf_dir):
     return O.rate_per_minute(silver_of(spark, sf_dir), "line_id")
+
+
+@register("late_row_accounting", compose("bronze", """
+SELECT CAST(b.arrival_bin AS DATE) AS arrival_date, COUNT(*) AS arrivals,
+       CAST(count_if(coalesce(b.e < m.watermark, false)) AS BIGINT) AS late_rows
+FROM (SELECT time_bucket(INTERVAL 60 MINUTE, ingest_timestamp_utc) AS arrival_bin, tap_timestamp_utc AS e FROM bronze) b
+JOIN (SELECT arrival_bin, max(mx) OVER (ORDER BY arrival_bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+             - INTERVAL 2 HOUR AS watermark
+      FROM (SELECT time_bucket(INTERVAL 60 MINUTE, ingest_timestamp_utc) AS arrival_bin, max(tap_timestamp_utc) AS mx
+            FROM bronze GROUP BY 1)) m USING (arrival_bin)
+GROUP BY 1"""), "T7 T2")
+def q_late_row_accounting(spark, sf_dir):
+    return O.late_rows(B.bronze_taps(spark, sf_dir))
