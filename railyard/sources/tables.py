@@ -23,16 +23,37 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+# Declared schemas of the tables the tap model binds to: no footer sampling
+# at planning time, and a drifted file fails loudly instead of silently.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    df = reader.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
 
 
+_SIZE_CHECKS: dict[tuple, bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
 
     Otherwise the frame is returned unchanged and Spark (with AQE) plans a
     shuffle join, converting it to a broadcast at run time only if the
-    materialised side turns out small."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    materialised side turns out small.  The check is remembered per plan and
+    input-file list, so a changed table is checked again."""
+    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
+    small = _SIZE_CHECKS.get(key)
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        _SIZE_CHECKS[key] = small
+    return F.broadcast(df) if small else df
