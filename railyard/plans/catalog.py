@@ -63,4 +63,4 @@ def oracle() -> dict[str, str]:
 def _load():
     # importing the modules fills REGISTRY
     from railyard.plans import (q_core, q_dims, q_quality, q_semantic, q_geo,  # noqa: F401
-                                q_loads, q_streaming)
+                                q_loads, q_streaming, q_sources)
