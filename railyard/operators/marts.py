@@ -105,6 +105,12 @@ def station_kpis(ridership: DataFrame, revenue: DataFrame, since=None) -> DataFr
     )
 
 
+def stamp_materialized(df: DataFrame) -> DataFrame:
+    """``_materialized_at`` (P9) for written tables; a clock column, so it is
+    never part of a compared or hashed output."""
+    return df.withColumn("_materialized_at", F.current_timestamp())
+
+
 def line_performance(ridership: DataFrame, revenue: DataFrame, lines: DataFrame) -> DataFrame:
     """Line x day roll-up of ridership and revenue."""
     r = (ridership.withColumn("service_date", F.to_date("tap_hour_utc"))

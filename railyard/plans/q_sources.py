@@ -73,3 +73,41 @@ def q_recent_quarantine(spark, sf_dir):
     """The 200 most recent quarantined rows (the limit is the feature)."""
     q = silver.quarantine(B.bronze_taps(spark, sf_dir, with_violations=True), B.stations(spark, sf_dir))
     return q.orderBy(F.desc("ingest_timestamp_utc"), F.desc("tap_id")).limit(200)
+
+
+def register_views(spark, sf_dir, prefix: str = "ry_") -> list[str]:
+    """Ad-hoc SQL surface (S19): silver, facts and dimensions as temp views."""
+    from railyard.operators import dims, gold
+    s = silver_of(spark, sf_dir)
+    views = {
+        "silver_taps": s,
+        "fact_ridership_hourly": gold.fact_ridership_hourly(s),
+        "fact_fare_revenue": gold.fact_fare_revenue(s),
+        "dim_station": dims.dim_station(B.stations(spark, sf_dir), B.lines(spark, sf_dir)),
+    }
+    for name, df in views.items():
+        df.createOrReplaceTempView(prefix + name)
+    return [prefix + n for n in views]
+
+
+@register("sql_surface", compose("fact_rh", "fact_fr", "stations", "lines", """
+SELECT l.line_name, CAST(SUM(r.total_taps) AS BIGINT) AS total_taps,
+       ROUND(CAST(SUM(CAST(v.rev AS DECIMAL(18,2))) AS DOUBLE), 2) AS fare_revenue
+FROM fact_rh r
+JOIN stations s USING (station_id)
+JOIN lines l ON l.line_id = s.line_id
+LEFT JOIN (SELECT station_id, tap_hour_utc, SUM(gross_fare_revenue_cad) AS rev FROM fact_fr GROUP BY 1, 2) v
+  USING (station_id, tap_hour_utc)
+GROUP BY 1"""), "S19 J10 P10")
+def q_sql_surface(spark, sf_dir):
+    """An analyst's SQL over the registered views."""
+    register_views(spark, sf_dir)
+    return spark.sql("""
+        SELECT d.line_name, SUM(r.total_taps) AS total_taps,
+               ROUND(CAST(SUM(CAST(v.rev AS DECIMAL(18,2))) AS DOUBLE), 2) AS fare_revenue
+        FROM ry_fact_ridership_hourly r
+        JOIN ry_dim_station d USING (station_id)
+        LEFT JOIN (SELECT station_id, tap_hour_utc, SUM(gross_fare_revenue_cad) AS rev
+                   FROM ry_fact_fare_revenue GROUP BY station_id, tap_hour_utc) v
+          USING (station_id, tap_hour_utc)
+        GROUP BY d.line_name""")
