@@ -8,7 +8,9 @@
       accepted only when the best candidate is provably closer than anything
       outside the block; the rest move to a coarser grid.  The last grid is
       one cell, so every point is answered.
-* J11 / N9  pairwise station tables; the station dimension is size-checked.
+* J11 / N9  distances and expected shares for *observed* origin-destination
+      pairs only (equi-joins to the station dimension; the normaliser of the
+      expected share is computed in closed form), never all pairs.
 * N7, N8, N10  event days, expected demand shares, demand profiles.
 """
 
@@ -23,10 +25,6 @@ from railyard import constants as C
 from railyard.functions import columns as X
 from railyard.sources.tables import bounded_broadcast
 
-# Largest station dimension that pairwise tables (n^2 rows) accept.
-MAX_STATIONS_FOR_PAIRS = 5_000
-
-
 def exploded_events(calendar: DataFrame) -> DataFrame:
     return calendar.select("event_id", F.explode("station_ids").alias("_ev_station"),
                            "start_ts", "end_ts", "uplift_multiplier")
@@ -81,7 +79,7 @@ def _outside_block_bound_km(lat, g):
     return F.least(lat_bound, lon_bound)
 
 
-def nearest_station(points: DataFrame, stations: DataFrame, grids=(0.1, 1.0, 360.0)) -> DataFrame:
+def nearest_station(points: DataFrame, stations: DataFrame, grids=(0.1, 1.0, 10.0, 360.0)) -> DataFrame:
     """For every (point_id, lat, lon) the nearest station by great-circle
     distance; ties go to the smaller station_id.  Exact: see module doc."""
     st = bounded_broadcast(stations.select("station_id", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon")))
@@ -124,34 +122,44 @@ def customer_points(customers: DataFrame) -> DataFrame:
         F.expr("CAST(-79.0 - (c_custkey % 43) * 0.02 AS DOUBLE)").alias("lon"))
 
 
-# --- pairwise station tables (J11, N9) ------------------------------------------------
-def _checked_pairs(stations: DataFrame) -> DataFrame:
-    n = stations.limit(MAX_STATIONS_FOR_PAIRS + 1).count()
-    if n > MAX_STATIONS_FOR_PAIRS:
-        raise ValueError(f"station dimension has more than {MAX_STATIONS_FOR_PAIRS} rows; "
-                         "pairwise tables are only built for a bounded dimension")
-    a = stations.select(F.lit(1).alias("_net"), *[F.col(c).alias(f"a_{c}") for c in stations.columns])
-    b = stations.select(F.lit(1).alias("_net"), *[F.col(c).alias(f"b_{c}") for c in stations.columns])
-    return a.join(F.broadcast(b), "_net").drop("_net")
-
-
-def station_distance_matrix(stations: DataFrame) -> DataFrame:
-    p = _checked_pairs(stations.select("station_id", "lat", "lon"))
-    p = p.filter(F.col("a_station_id") < F.col("b_station_id"))
-    return p.select(F.col("a_station_id").alias("from_station"), F.col("b_station_id").alias("to_station"),
-                    X.r6(X.haversine_km("a_lat", "a_lon", "b_lat", "b_lon")).alias("km_haversine"))
-
-
-def od_share(priors: DataFrame) -> DataFrame:
-    """Origin-destination expected share prior(o) x prior(d) over o != d,
-    normalised to 1 (N9)."""
-    p = _checked_pairs(priors.select("station_id", "prior"))
-    p = p.filter(F.col("a_station_id") != F.col("b_station_id")) \
-         .withColumn("_w", F.col("a_prior") * F.col("b_prior"))
-    tot = p.agg(F.sum("_w").alias("_tot")).withColumn("_k", F.lit(1))
-    return p.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k").select(
-        F.col("a_station_id").alias("origin"), F.col("b_station_id").alias("destination"),
-        X.r6(F.col("_w") / F.col("_tot")).alias("od_share"))
+# --- observed origin-destination pairs (J11, N9) ------------------------------------
+def od_pairs(trips: DataFrame) -> DataFrame:
+    """Observed (origin, destination) pairs with trip counts: one grouped
+    aggregate over the trips, so only pairs that occur are ever built."""
+    return trips.groupBy("origin", "destination").agg(F.count(F.lit(1)).alias("trips"))
+
+
+def station_distance_matrix(pairs: DataFrame, stations: DataFrame) -> DataFrame:
+    """Great-circle distance for every observed station pair (J11): two
+    equi-joins to the size-checked station dimension, no pair enumeration."""
+    st = stations.select("station_id", "lat", "lon")
+    o = bounded_broadcast(st.select(F.col("station_id").alias("origin"), F.col("lat").alias("o_lat"),
+                                    F.col("lon").alias("o_lon")))
+    d = bounded_broadcast(st.select(F.col("station_id").alias("destination"), F.col("lat").alias("d_lat"),
+                                    F.col("lon").alias("d_lon")))
+    j = pairs.join(o, "origin").join(d, "destination")
+    return j.select("origin", "destination", "trips",
+                    X.r6(X.haversine_km("o_lat", "o_lon", "d_lat", "d_lon")).alias("km_haversine"))
+
+
+def od_share(pairs: DataFrame, priors: DataFrame) -> DataFrame:
+    """Observed share of each OD pair against the expected share
+    prior(o) x prior(d) / sum over o != d of prior x prior (N9).  The
+    normaliser is (sum p)^2 - sum p^2, taken from the station-level priors,
+    so no pair is enumerated; the observed total comes from per-origin
+    totals (one row per station)."""
+    p = priors.select("station_id", "prior")
+    norm = p.agg((F.pow(F.sum("prior"), 2) - F.sum(F.pow("prior", 2))).alias("_z")).scalar()
+    per_origin = pairs.groupBy("origin").agg(F.sum("trips").alias("_o"))
+    per_origin = per_origin.withColumn("_all", F.sum("_o").over(Window.partitionBy()))   # one row per station
+    po = bounded_broadcast(p.select(F.col("station_id").alias("origin"), F.col("prior").alias("_po")))
+    pd = bounded_broadcast(p.select(F.col("station_id").alias("destination"), F.col("prior").alias("_pd")))
+    j = (pairs.join(F.broadcast(per_origin.select("origin", "_all")), "origin")   # one row per station
+              .join(po, "origin", "left").join(pd, "destination", "left"))
+    expected = F.when(F.col("origin") != F.col("destination"), F.col("_po") * F.col("_pd") / norm)
+    return j.select("origin", "destination", "trips",
+                    X.r6(F.col("trips") / F.col("_all")).alias("observed_share"),
+                    X.r6(expected).alias("expected_share"))
 
 
 # --- priors, expected demand, profiles (A20, N8, N10) ------------------------------
@@ -159,9 +167,8 @@ def station_priors(silver: DataFrame) -> DataFrame:
     """Ridership prior per station = its share of all taps, renormalised so
     the priors sum to 1 (A20, D14)."""
     per = silver.groupBy("station_id").agg(F.count(F.lit(1)).alias("taps"))
-    tot = per.agg(F.sum("taps").alias("_tot")).withColumn("_k", F.lit(1))
-    j = per.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k")
-    return j.select("station_id", "taps", (F.col("taps") / F.col("_tot")).alias("prior"))
+    total = F.sum("taps").over(Window.partitionBy())     # one row per station
+    return per.select("station_id", "taps", (F.col("taps") / total).alias("prior"))
 
 
 def expected_demand(fact: DataFrame, priors: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -190,15 +197,13 @@ def demand_profile(fact: DataFrame) -> DataFrame:
     """Hour-of-day share of taps and weekday factor (mean daily taps of the
     weekday over the mean daily taps), as one long table (N10)."""
     f = fact.select(X.hour_of_day("tap_hour_utc").alias("h"), F.to_date("tap_hour_utc").alias("d"), "total_taps")
+    everything = Window.partitionBy()      # 24 hour rows / 7 weekday rows: tiny
     by_h = f.groupBy("h").agg(F.sum("total_taps").alias("_t"))
-    tot_h = by_h.agg(F.sum("_t").alias("_all")).withColumn("_k", F.lit(1))
-    hours = (by_h.withColumn("_k", F.lit(1)).join(F.broadcast(tot_h), "_k")
-             .select(F.lit("hour_share").alias("profile"), F.col("h").alias("bucket"),
-                     X.r6(F.col("_t") / F.col("_all")).alias("value")))
+    hours = by_h.select(F.lit("hour_share").alias("profile"), F.col("h").alias("bucket"),
+                        X.r6(F.col("_t") / F.sum("_t").over(everything)).alias("value"))
     daily = f.groupBy("d").agg(F.sum("total_taps").alias("_t")).withColumn("dw", X.dow_sunday0("d"))
-    by_dw = daily.groupBy("dw").agg(F.avg("_t").alias("_m"))
-    overall = daily.agg(F.avg("_t").alias("_o")).withColumn("_k", F.lit(1))
-    days = (by_dw.withColumn("_k", F.lit(1)).join(F.broadcast(overall), "_k")
-            .select(F.lit("weekday_factor").alias("profile"), F.col("dw").alias("bucket"),
-                    X.r6(F.col("_m") / F.col("_o")).alias("value")))
+    by_dw = daily.groupBy("dw").agg(F.sum("_t").alias("_s"), F.count(F.lit(1)).alias("_c"))
+    overall = F.sum("_s").over(everything) / F.sum("_c").over(everything)   # mean daily taps
+    days = by_dw.select(F.lit("weekday_factor").alias("profile"), F.col("dw").alias("bucket"),
+                        X.r6((F.col("_s") / F.col("_c")) / overall).alias("value"))
     return hours.unionByName(days)

@@ -19,8 +19,9 @@ def user_access(scopes: DataFrame, stations: DataFrame) -> DataFrame:
     ``all`` -> every station, ``line`` -> stations of that line,
     ``stations`` -> the listed stations the dimension knows."""
     st = bounded_broadcast(stations.select("station_id", "line_id"))
-    every = scopes.filter(F.col("scope") == "all").withColumn("_k", F.lit(1)) \
-        .join(st.withColumn("_k", F.lit(1)), "_k").select("user_principal_name", "role", "station_id")
+    all_ids = st.agg(F.collect_list("station_id")).scalar()      # size-checked dimension
+    every = scopes.filter(F.col("scope") == "all") \
+        .select("user_principal_name", "role", F.explode(all_ids).alias("station_id"))
     by_line = scopes.filter(F.col("scope") == "line") \
         .join(st, F.col("scope_line") == st.line_id).select("user_principal_name", "role", "station_id")
     listed = scopes.filter(F.col("scope") == "stations") \

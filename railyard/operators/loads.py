@@ -105,19 +105,19 @@ def overwrite_partitions(spark: SparkSession, table: str, df: DataFrame) -> None
 
 # --- L6 ---------------------------------------------------------------------------------
 def reconcile(full: DataFrame, incremental: DataFrame) -> DataFrame:
-    """One summary row: sizes and the multiset differences both ways."""
+    """One summary row: sizes and the multiset differences both ways, in a
+    single shuffle (count per distinct row and side, then compare)."""
     cols = full.columns
-    a, b = full.select(*cols), incremental.select(*cols)
-    only_full = a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_in_full"))
-    only_inc = b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_in_incremental"))
-    n_full = a.agg(F.count(F.lit(1)).alias("rows_full"))
-    n_inc = b.agg(F.count(F.lit(1)).alias("rows_incremental"))
-    one = F.lit(1).alias("_k")
-    out = n_full.select("*", one)
-    for d in (n_inc, only_full, only_inc):
-        out = out.join(d.select("*", one), "_k")
-    return out.drop("_k").withColumn("status", F.when((F.col("only_in_full") == 0) & (F.col("only_in_incremental") == 0),
-                                                      F.lit("match")).otherwise(F.lit("drift")))
+    tagged = (full.select(*cols, F.lit(1).alias("_f"), F.lit(0).alias("_i"))
+              .unionByName(incremental.select(*cols, F.lit(0).alias("_f"), F.lit(1).alias("_i"))))
+    per_row = tagged.groupBy(*cols).agg(F.sum("_f").alias("_nf"), F.sum("_i").alias("_ni"))
+    out = per_row.agg(
+        F.sum("_nf").cast("bigint").alias("rows_full"),
+        F.sum("_ni").cast("bigint").alias("rows_incremental"),
+        F.sum(F.greatest(F.col("_nf") - F.col("_ni"), F.lit(0))).cast("bigint").alias("only_in_full"),
+        F.sum(F.greatest(F.col("_ni") - F.col("_nf"), F.lit(0))).cast("bigint").alias("only_in_incremental"))
+    return out.withColumn("status", F.when((F.col("only_in_full") == 0) & (F.col("only_in_incremental") == 0),
+                                           F.lit("match")).otherwise(F.lit("drift")))
 
 
 # --- L8 ----------------------------------------------------------------------------------

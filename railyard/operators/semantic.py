@@ -89,9 +89,8 @@ def fare_mix(silver: DataFrame) -> DataFrame:
     spark = silver.sparkSession
     expected = spark.createDataFrame(list(C.FARE_CLASS_DISTRIBUTION), "fare_class string, expected_share double")
     per = silver.groupBy("fare_class").agg(F.count(F.lit(1)).alias("taps"))
-    tot = per.agg(F.sum("taps").alias("_tot")).withColumn("_k", F.lit(1))
-    obs = per.withColumn("_k", F.lit(1)).join(F.broadcast(tot), "_k") \
-             .select("fare_class", "taps", (F.col("taps") / F.col("_tot")).alias("observed_share"))
+    obs = per.select("fare_class", "taps",
+                     (F.col("taps") / F.sum("taps").over(Window.partitionBy())).alias("observed_share"))  # 5 rows
     j = obs.join(F.broadcast(expected), "fare_class", "full")
     return j.select("fare_class", F.coalesce("taps", F.lit(0)).cast("bigint").alias("taps"),
                     X.r6(F.coalesce("observed_share", F.lit(0.0))).alias("observed_share"),

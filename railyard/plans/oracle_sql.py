@@ -219,6 +219,13 @@ _cte("daily", (), """
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 
 
+_cte("od_pairs", (), """
+  SELECT c.c_nationkey AS origin, s.s_nationkey AS destination, COUNT(*) AS trips
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  GROUP BY 1, 2""")
+
+
 def compose(*parts: str) -> str:
     """``compose(cte_name..., final_select)``: a WITH query holding the named
     CTEs and all their dependencies."""

@@ -97,9 +97,11 @@ def q_line_code_bridge(spark, sf_dir):
     return dims.code_bridge(devices, "device_id", "device_id")
 
 
-@register("station_distance_matrix", compose("stations", f"""
-SELECT a.station_id AS from_station, b.station_id AS to_station,
+@register("station_distance_matrix", compose("od_pairs", "stations", f"""
+SELECT p.origin, p.destination, p.trips,
        ROUND({hav_sql('a.lat', 'a.lon', 'b.lat', 'b.lon')}, 6) AS km_haversine
-FROM stations a JOIN stations b ON a.station_id < b.station_id"""), "J11 F15")
+FROM od_pairs p JOIN stations a ON a.station_id = p.origin JOIN stations b ON b.station_id = p.destination"""),
+    "J11 F15")
 def q_station_distance_matrix(spark, sf_dir):
-    return geo.station_distance_matrix(B.stations(spark, sf_dir))
+    """Distances for every observed station pair (never all pairs)."""
+    return geo.station_distance_matrix(geo.od_pairs(B.od_trips(spark, sf_dir)), B.stations(spark, sf_dir))

@@ -76,12 +76,15 @@ def q_expected_demand(spark, sf_dir):
     return geo.expected_demand(gold.fact_ridership_hourly(s), geo.station_priors(s), B.event_calendar(spark))
 
 
-@register("od_share", compose("priors", """
-SELECT origin, destination, ROUND(w / SUM(w) OVER (), 6) AS od_share FROM (
-  SELECT a.station_id AS origin, b.station_id AS destination, a.prior * b.prior AS w
-  FROM priors a JOIN priors b ON a.station_id <> b.station_id)"""), "N9 J11")
+@register("od_share", compose("od_pairs", "priors", """
+SELECT p.origin, p.destination, p.trips, ROUND(p.trips / SUM(p.trips) OVER (), 6) AS observed_share,
+       ROUND(CASE WHEN p.origin <> p.destination THEN a.prior * b.prior / z.z END, 6) AS expected_share
+FROM od_pairs p
+LEFT JOIN priors a ON a.station_id = p.origin
+LEFT JOIN priors b ON b.station_id = p.destination,
+(SELECT pow(SUM(prior), 2) - SUM(pow(prior, 2)) AS z FROM priors) z"""), "N9 J11")
 def q_od_share(spark, sf_dir):
-    return geo.od_share(geo.station_priors(silver_of(spark, sf_dir)))
+    return geo.od_share(geo.od_pairs(B.od_trips(spark, sf_dir)), geo.station_priors(silver_of(spark, sf_dir)))
 
 
 @register("demand_profile", compose("fact_rh", """

@@ -113,6 +113,19 @@ def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def od_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Origin-destination trips: each line item travels from its customer's
+    station (nation) to its supplier's station.  Plain equi-joins; Spark
+    picks shuffle or broadcast per side size (AQE)."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_suppkey"])
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    s = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
+    j = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+         .join(s, F.col("l_suppkey") == s.s_suppkey))
+    return j.select(F.col("c_nationkey").alias("origin"), F.col("s_nationkey").alias("destination"))
+
+
 def orders_as_of() -> F.Column:
     return F.lit(C.ORDERS_AS_OF).cast("date")
 

@@ -26,6 +26,8 @@ def test_no_python_udf(spark, key):
     p = plan_text(E.queries()[key](spark, SMOKE))
     for op in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
         assert op not in p, (key, op)
+    # no cross joins in any form (constant-key joins plan as nested loops)
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, key
 
 
 def test_dedup_and_dimension_joins(spark):
