@@ -60,17 +60,31 @@ def with_lineage(stream: DataFrame) -> DataFrame:
                          F.current_timestamp().alias("_ingest_ts"))
 
 
-def _run(writer, checkpoint: str):
-    q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination()
+def _run(writer, checkpoint: str, every: str | None = None, timeout_s: float | None = None):
+    """Start with a checkpoint.  Default: ``availableNow`` (drain, then
+    stop).  ``every="30 seconds"`` runs micro-batches on a timer instead
+    (S9: a batch closes on size via ``maxFilesPerTrigger`` or on time);
+    ``timeout_s`` then bounds how long this call waits."""
+    w = writer.option("checkpointLocation", checkpoint)
+    w = w.trigger(processingTime=every) if every else w.trigger(availableNow=True)
+    q = w.start()
+    if every:
+        q.awaitTermination(timeout_s)
+        if q.isActive:
+            q.stop()
+    else:
+        q.awaitTermination()
     return q
 
 
-def ingest_to_bronze(spark: SparkSession, landing: str, sink: str | None = None) -> tuple[str, object]:
-    """Append-only bronze sink with checkpoint, run to completion (S3, T4, T5)."""
+def ingest_to_bronze(spark: SparkSession, landing: str, sink: str | None = None,
+                     every: str | None = None, timeout_s: float | None = None) -> tuple[str, object]:
+    """Append-only bronze sink with checkpoint, run to completion (S3, T4, T5)
+    or on a timer (S9)."""
     sink = sink or scratch_path(spark, "bronze-sink")
     s = with_lineage(read_stream(spark, landing))
-    q = _run(s.writeStream.format("parquet").option("path", sink).outputMode("append"), sink + "-ckpt")
+    q = _run(s.writeStream.format("parquet").option("path", sink).outputMode("append"), sink + "-ckpt",
+             every, timeout_s)
     return sink, q
 
 
