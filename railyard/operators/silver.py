@@ -80,6 +80,19 @@ def build_silver(bronze: DataFrame, stations: DataFrame, enforce_fare_class: boo
     return conform(latest_per_key(kept))
 
 
+def observed_tags(bronze: DataFrame, stations: DataFrame, name: str = "silver_load"):
+    """Tagged rows carrying run metrics (Q15): rows in, kept, quarantined.
+    The metrics are filled by the first action that writes the frame, in the
+    same pass - no second scan."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    tagged = tag_violations(bronze, stations).observe(
+        obs, F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(F.size("_reasons") == 0).alias("rows_kept"),
+        F.count_if(F.size("_reasons") > 0).alias("rows_quarantined"))
+    return tagged, obs
+
+
 def quarantine(bronze: DataFrame, stations: DataFrame) -> DataFrame:
     _, bad = split(bronze, stations)
     return bad.select("tap_id", "station_id", "tap_type", "ingest_timestamp_utc",

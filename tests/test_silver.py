@@ -51,3 +51,10 @@ def test_expect_or_fail_on_fare_class(spark, stations):
     df = spark.createDataFrame([_tap(1, fare_class="EMPLOYEE")], COLS)
     with pytest.raises(Exception, match="valid_fare_class"):
         silver.build_silver(df, stations).collect()
+
+
+def test_observed_run_metrics(spark, stations):
+    rows = [_tap(1), _tap(2, tap_type="TAP_X"), _tap(3, station=99), _tap(1, fare="9.00")]
+    tagged, obs = silver.observed_tags(spark.createDataFrame(rows, COLS), stations)
+    tagged.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"rows_in": 4, "rows_kept": 2, "rows_quarantined": 2}
