@@ -60,14 +60,33 @@ def with_lineage(stream: DataFrame) -> DataFrame:
                          F.current_timestamp().alias("_ingest_ts"))
 
 
-def _run(writer, checkpoint: str, every: str | None = None, timeout_s: float | None = None):
+def state_partitions(spark: SparkSession) -> int:
+    """State-store partitions for a new stateful query: the cluster's
+    default parallelism (all executor cores), so every core holds one state
+    partition.  Fixed in the checkpoint at the first start."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
+def _run(writer, checkpoint: str, every: str | None = None, timeout_s: float | None = None,
+         spark: SparkSession | None = None):
     """Start with a checkpoint.  Default: ``availableNow`` (drain, then
     stop).  ``every="30 seconds"`` runs micro-batches on a timer instead
     (S9: a batch closes on size via ``maxFilesPerTrigger`` or on time);
-    ``timeout_s`` then bounds how long this call waits."""
+    ``timeout_s`` then bounds how long this call waits.  With ``spark``
+    given, the query's shuffle (and state) partitions are pinned to
+    ``state_partitions``; the stream copies the session at start, so the
+    session's own setting is restored right after."""
     w = writer.option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=every) if every else w.trigger(availableNow=True)
-    q = w.start()
+    if spark is not None:
+        old = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark)))
+        try:
+            q = w.start()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", old)
+    else:
+        q = w.start()
     if every:
         q.awaitTermination(timeout_s)
         if q.isActive:
@@ -97,7 +116,8 @@ def stream_dedup(spark: SparkSession, landing: str, sink: str | None = None,
                  files_per_trigger: int = 4) -> tuple[str, object]:
     sink = sink or scratch_path(spark, "dedup-sink")
     s = dedup_first_arrival(read_stream(spark, landing, files_per_trigger))
-    q = _run(s.writeStream.format("parquet").option("path", sink).outputMode("append"), sink + "-ckpt")
+    q = _run(s.writeStream.format("parquet").option("path", sink).outputMode("append"), sink + "-ckpt",
+             spark=spark)
     return sink, q
 
 
@@ -137,7 +157,8 @@ def stream_hourly(spark: SparkSession, source_path: str, sink: str | None = None
     if output_mode == "append":
         out = agg.select(F.col("window.start").alias("tap_hour_utc"), "station_id", "fare_class", "tap_type",
                          *[a for a in ("tap_count", "unique_riders_approx") if a in agg.columns])
-        q = _run(out.writeStream.format("parquet").option("path", sink).outputMode("append"), sink + "-ckpt")
+        q = _run(out.writeStream.format("parquet").option("path", sink).outputMode("append"), sink + "-ckpt",
+                 spark=spark)
         return sink, q
 
     def write(batch: DataFrame, batch_id: int):
@@ -146,7 +167,7 @@ def stream_hourly(spark: SparkSession, source_path: str, sink: str | None = None
               .withColumn("_batch_id", F.lit(batch_id))
               .write.mode("append").parquet(sink))
 
-    q = _run(agg.writeStream.outputMode("update").foreachBatch(write), sink + "-ckpt")
+    q = _run(agg.writeStream.outputMode("update").foreachBatch(write), sink + "-ckpt", spark=spark)
     return sink, q
 
 
