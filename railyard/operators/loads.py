@@ -12,7 +12,8 @@ partitions it touches:
    shared checkpoint folder (the target is read while being replaced);
 4. the staged rows are inserted with dynamic partition overwrite, so
    untouched partitions are never rewritten;
-5. touched partitions left with no rows are dropped from the table.
+5. touched partitions left with no rows are cleared (a static overwrite with
+   no rows) and dropped from the table.
 
 The only values brought to the driver are the high-water mark (one scalar)
 and the list of emptied partition values.
@@ -24,6 +25,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from railyard.session import scratch_path
 
@@ -38,9 +40,12 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def create_table(df: DataFrame, name: str, partition_col: str) -> None:
+def create_table(df: DataFrame, name: str, partition_col: str, path: str | None = None) -> None:
+    """Partitioned Parquet table registered in the catalog, its files in the
+    shared checkpoint folder (never a machine-local warehouse)."""
+    path = path or scratch_path(df.sparkSession, f"table-{name}")
     (df.write.mode("overwrite").format("parquet").option("compression", "zstd")
-       .partitionBy(partition_col).saveAsTable(name))
+       .option("path", path).partitionBy(partition_col).saveAsTable(name))
 
 
 # --- L1 ------------------------------------------------------------------------------
@@ -85,8 +90,15 @@ def upsert(spark: SparkSession, table: str, batch: DataFrame, keys, partition_co
     staged.select(*cols).write.insertInto(table, overwrite=True)
     emptied = touched_s.join(staged.select(partition_col).distinct(), partition_col, "left_anti")
     values = [r[0] for r in emptied.collect()]           # partition values only
+    if values:
+        data_fields = [f for f in target.schema.fields if f.name != partition_col]
+        empty = f"_railyard_empty_{table}"
+        spark.createDataFrame([], StructType(data_fields)).createOrReplaceTempView(empty)
     for v in values:
-        lit = f"'{v}'" if isinstance(v, str) else str(v)
+        lit = f"'{v}'" if isinstance(v, (str,)) or hasattr(v, "isoformat") else str(v)
+        # a static overwrite with no rows clears the partition's files, then
+        # the partition itself is dropped from the table
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_col} = {lit}) SELECT * FROM {empty}")
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {lit})")
     return {"created": False, "dropped_partitions": len(values)}
 

@@ -23,6 +23,11 @@ def test_upsert_key_moves_date_and_empties_partition(spark):
     assert stats["dropped_partitions"] == 1
     parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {t}").collect())
     assert parts == ["date_key=1", "date_key=3"]
+    # no orphan data left where the emptied partition was
+    loc = spark.sql(f"DESCRIBE FORMATTED {t}").filter("col_name = 'Location'").first()["data_type"]
+    p2 = os.path.join(loc.replace("file:", ""), "date_key=2")
+    assert not os.path.exists(p2) or not [f for f in os.listdir(p2) if f.endswith(".parquet")]
+    assert spark.read.parquet(loc).count() == 3
 
 
 def test_upsert_is_idempotent(spark):
