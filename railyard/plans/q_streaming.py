@@ -99,3 +99,15 @@ JOIN (SELECT arrival_bin, max(mx) OVER (ORDER BY arrival_bin ROWS BETWEEN UNBOUN
 GROUP BY 1"""), "T7 T2")
 def q_late_row_accounting(spark, sf_dir):
     return O.late_rows(B.bronze_taps(spark, sf_dir))
+
+
+@register("stream_json_ingest", compose("bronze", """
+SELECT tap_id, card_token, station_id, zone, fare_class, CAST(fare_amount_cad AS DOUBLE) AS fare_amount_cad,
+       tap_type, tap_timestamp_utc, device_id, schema_version, ingest_timestamp_utc FROM bronze"""), "S6 S7 S1 F24")
+def q_stream_json_ingest(spark, sf_dir):
+    """Taps as JSON wire messages, decoded by a stream (the Kafka variant uses
+    the same decode on the topic's ``value``)."""
+    msgs = S.land_messages(B.bronze_taps(spark, sf_dir))
+    sink, _ = S.ingest_messages(spark, msgs)
+    return spark.read.parquet(sink).select(*B.BRONZE_COLUMNS) \
+                .withColumn("fare_amount_cad", F.col("fare_amount_cad").cast("double"))

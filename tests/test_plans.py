@@ -11,7 +11,8 @@ from tests.conftest import SMOKE
 # queries that write while building are exercised by the oracle tests instead
 SIDE_EFFECT = {"bronze_partition_layout", "network_priors", "schema_evolution", "silver_clustered", "silver_incremental_upsert", "reconcile_full_vs_incremental",
                "partition_overwrite", "kpis_trailing_window", "rolling_refresh", "replay_rebuild",
-               "stream_bronze_ingest", "stream_dedup", "stream_hourly", "stream_quality_gate", "stream_upsert"}
+               "stream_bronze_ingest", "stream_dedup", "stream_hourly", "stream_quality_gate", "stream_upsert",
+               "stream_json_ingest"}
 
 
 def plan_text(df) -> str:
