@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from railyard import constants as C
 from railyard.functions import columns as X
-from railyard.operators import geo, gold, governance as G, marts, semantic as S
+from railyard.operators import geo, governance as G, marts, semantic as S
 from railyard.plans.catalog import register
 from railyard.plans.oracle_sql import _cte, compose
 from railyard.plans.q_core import facts_of, silver_of

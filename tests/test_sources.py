@@ -1,13 +1,12 @@
 """Reference scans (S13-S16), contracts (Q9), JSON rescue (S4), P9 stamp."""
 import json
-import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from railyard.operators import marts, quality as Q
 from railyard.session import scratch_path
-from railyard.sources import bronze as BR, binding as B, reference as RF
+from railyard.sources import bronze as BR, reference as RF
 from tests.conftest import SMOKE
 
 
