@@ -16,7 +16,8 @@ partitions it touches:
    no rows) and dropped from the table.
 
 The only values brought to the driver are the high-water mark (one scalar)
-and the list of emptied partition values.
+and partition values (one per touched date), which turn the survivor read
+into a static partition filter: only touched partitions are read.
 """
 
 from __future__ import annotations
@@ -82,14 +83,15 @@ def upsert(spark: SparkSession, table: str, batch: DataFrame, keys, partition_co
     cols = target.columns
     batch = batch.select(*cols)
     batch_keys = batch.select(*keys).distinct()
+    # partition values (one per date) are metadata: bring them to the driver
+    # so the survivor read below is a static partition filter
     moved = target.join(batch_keys, keys, "left_semi").select(partition_col)
-    touched = moved.unionByName(batch.select(partition_col)).distinct()
-    survivors = target.join(touched, partition_col, "left_semi").join(batch_keys, keys, "left_anti")
+    touched = sorted({r[0] for r in moved.unionByName(batch.select(partition_col)).distinct().collect()})
+    survivors = target.filter(F.col(partition_col).isin(touched)).join(batch_keys, keys, "left_anti")
     staged = _stage(survivors.unionByName(batch), f"{table}-stage")
-    touched_s = _stage(touched, f"{table}-touched")
     staged.select(*cols).write.insertInto(table, overwrite=True)
-    emptied = touched_s.join(staged.select(partition_col).distinct(), partition_col, "left_anti")
-    values = [r[0] for r in emptied.collect()]           # partition values only
+    kept = {r[0] for r in staged.select(partition_col).distinct().collect()}
+    values = [v for v in touched if v not in kept]
     if values:
         data_fields = [f for f in target.schema.fields if f.name != partition_col]
         empty = f"_railyard_empty_{table}"
