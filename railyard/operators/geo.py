@@ -154,7 +154,7 @@ def od_share(pairs: DataFrame, priors: DataFrame) -> DataFrame:
     per_origin = per_origin.withColumn("_all", F.sum("_o").over(Window.partitionBy()))   # one row per station
     po = bounded_broadcast(p.select(F.col("station_id").alias("origin"), F.col("prior").alias("_po")))
     pd = bounded_broadcast(p.select(F.col("station_id").alias("destination"), F.col("prior").alias("_pd")))
-    j = (pairs.join(F.broadcast(per_origin.select("origin", "_all")), "origin")   # one row per station
+    j = (pairs.join(per_origin.select("origin", "_all"), "origin")       # AQE broadcasts it if small
               .join(po, "origin", "left").join(pd, "destination", "left"))
     expected = F.when(F.col("origin") != F.col("destination"), F.col("_po") * F.col("_pd") / norm)
     return j.select("origin", "destination", "trips",
@@ -178,7 +178,7 @@ def expected_demand(fact: DataFrame, priors: DataFrame, calendar: DataFrame) ->
     mult = hits.groupBy("station_id", "tap_hour_utc").agg(
         F.exp(F.sum(F.log(F.col("uplift_multiplier")))).alias("_m"))
     f = (fact.select("station_id", "tap_hour_utc", "total_taps")
-         .join(F.broadcast(priors.select("station_id", "taps", "prior")), "station_id", "inner")  # one row per station
+         .join(priors.select("station_id", "taps", "prior"), "station_id", "inner")   # AQE sizes it at run time
          .join(mult, ["station_id", "tap_hour_utc"], "left")
          .withColumn("event_multiplier", F.coalesce(F.col("_m"), F.lit(1.0)))
          .withColumn("_w", F.col("prior") * X.demand_curve(X.hour_of_day("tap_hour_utc")) * F.col("event_multiplier"))

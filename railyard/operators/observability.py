@@ -58,7 +58,7 @@ def late_rows(df: DataFrame, event_ts: str = "tap_timestamp_utc", arrival_ts: st
     w = Window.orderBy("arrival_bin").rowsBetween(Window.unboundedPreceding, -1)   # one row per bin
     marks = per_bin.select("arrival_bin", (F.max("_mx").over(w) - F.expr(f"INTERVAL {delay_hours} HOURS"))
                            .alias("watermark"))
-    j = df.select(b.alias("arrival_bin"), F.col(event_ts).alias("_e")).join(F.broadcast(marks), "arrival_bin")
+    j = df.select(b.alias("arrival_bin"), F.col(event_ts).alias("_e")).join(marks, "arrival_bin")  # AQE-sized
     late = F.coalesce(F.col("_e") < F.col("watermark"), F.lit(False))
     return (j.groupBy(F.to_date("arrival_bin").alias("arrival_date"))
             .agg(F.count(F.lit(1)).alias("arrivals"), F.count_if(late).alias("late_rows")))

@@ -67,7 +67,7 @@ def q_partition_overwrite(spark, sf_dir):
     full = silver.build_silver(bronze, st)
     touched = (bronze.filter(F.col("ingest_timestamp_utc") >= cut)
                .select(X.date_key("tap_timestamp_utc").alias("date_key")).distinct())
-    fresh = gold.fact_ridership_hourly(full.join(F.broadcast(touched), "date_key", "left_semi"))  # days: bounded
+    fresh = gold.fact_ridership_hourly(full.join(touched, "date_key", "left_semi"))
     L.overwrite_partitions(spark, table, fresh)
     return spark.table(table).select(*gold.RIDERSHIP_KEYS, "tap_on_count", "tap_off_count", "total_taps",
                                      "unique_riders", "total_fare_cad", "taps_per_rider")

@@ -77,7 +77,7 @@ def write_network_stations(stations: DataFrame, root: str, network_col: str = "n
 def renormalise_priors(stations: DataFrame) -> DataFrame:
     """prior / sum(prior) per network."""
     tot = stations.groupBy("network").agg(F.sum("ridership_prior").alias("_t"))
-    return stations.join(F.broadcast(tot), "network").withColumn(
+    return stations.join(tot, "network").withColumn(
         "prior_normalised", F.col("ridership_prior") / F.col("_t")).drop("_t")
 
 
