@@ -23,6 +23,7 @@ into a static partition filter: only touched partitions are read.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,23 @@ def create_table(df: DataFrame, name: str, partition_col: str, path: str | None
        .option("path", path).partitionBy(partition_col).saveAsTable(name))
 
 
+@contextmanager
+def dynamic_overwrite(spark: SparkSession):
+    """Dynamic partition overwrite for our own writes only: the session's
+    setting is restored afterwards (``insertInto`` ignores a per-write
+    option)."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 # --- L1 ------------------------------------------------------------------------------
 def high_water_mark(spark: SparkSession, table: str, col: str):
     """Max of ``col`` in the target, the epoch when absent or empty."""
@@ -78,7 +96,6 @@ def upsert(spark: SparkSession, table: str, batch: DataFrame, keys, partition_co
     if not table_exists(spark, table):
         create_table(batch, table, partition_col)
         return {"created": True, "dropped_partitions": 0}
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     target = spark.table(table)
     cols = target.columns
     batch = batch.select(*cols)
@@ -89,7 +106,8 @@ def upsert(spark: SparkSession, table: str, batch: DataFrame, keys, partition_co
     touched = sorted({r[0] for r in moved.unionByName(batch.select(partition_col)).distinct().collect()})
     survivors = target.filter(F.col(partition_col).isin(touched)).join(batch_keys, keys, "left_anti")
     staged = _stage(survivors.unionByName(batch), f"{table}-stage")
-    staged.select(*cols).write.insertInto(table, overwrite=True)
+    with dynamic_overwrite(spark):
+        staged.select(*cols).write.insertInto(table, overwrite=True)
     kept = {r[0] for r in staged.select(partition_col).distinct().collect()}
     values = [v for v in touched if v not in kept]
     if values:
@@ -113,8 +131,8 @@ def trailing_since(as_of: Column, days: int) -> Column:
 # --- L5 ---------------------------------------------------------------------------------
 def overwrite_partitions(spark: SparkSession, table: str, df: DataFrame) -> None:
     """Replace only the partitions present in ``df`` (insert_overwrite)."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    with dynamic_overwrite(spark):
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
 
 
 # --- L6 ---------------------------------------------------------------------------------

@@ -66,3 +66,17 @@ def test_high_water_mark_strict_and_inclusive(spark):
     hwm = F.lit("2024-01-01 00:00:00").cast("timestamp")
     assert [r.id for r in L.incremental_source(df, hwm, "ts").collect()] == [2]
     assert sorted(r.id for r in L.incremental_source(df, hwm, "ts", inclusive=True).collect()) == [1, 2]
+
+
+def test_session_overwrite_mode_untouched(spark):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        t = L.new_table_name("t_mode")
+        L.upsert(spark, t, spark.createDataFrame([(1, "a", 1), (2, "b", 2)], SCHEMA), "tap_id", "date_key")
+        L.upsert(spark, t, spark.createDataFrame([(1, "a2", 1)], SCHEMA), "tap_id", "date_key")
+        assert _table_rows(spark, t) == [(1, "a2", 1), (2, "b", 2)]
+        assert spark.conf.get(key) == "static"
+    finally:
+        spark.conf.set(key, before)
