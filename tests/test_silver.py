@@ -57,3 +57,17 @@ def test_observed_run_metrics(spark, stations):
     tagged, obs = silver.observed_tags(spark.createDataFrame(rows, COLS), stations)
     tagged.write.format("noop").mode("overwrite").save()
     assert obs.get == {"rows_in": 4, "rows_kept": 2, "rows_quarantined": 2}
+
+
+def test_hourly_preagg_approx_close_to_exact(spark):
+    from pyspark.sql import functions as F
+    from railyard.operators import gold
+    from railyard.plans.q_core import silver_of
+    from tests.conftest import SF01
+    s = silver_of(spark, SF01)
+    approx = gold.hourly_preagg(s, with_approx=True)
+    exact = s.groupBy("tap_hour_utc", "station_id", "fare_class", "tap_type").agg(
+        F.countDistinct("card_token").alias("exact"))
+    j = approx.join(exact, ["tap_hour_utc", "station_id", "fare_class", "tap_type"])
+    worst = j.agg(F.max(F.abs(F.col("unique_riders_approx") - F.col("exact")) / F.col("exact"))).first()[0]
+    assert j.count() == approx.count() and worst <= 0.15
