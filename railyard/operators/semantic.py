@@ -84,18 +84,28 @@ def top_stations(fact: DataFrame, n: int = 3, by: str = "line_id") -> DataFrame:
     return per.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+def fare_table(spark) -> DataFrame:
+    """The 5-row fare-by-class lookup."""
+    return spark.createDataFrame(list(C.FARE_BY_CLASS), "fare_class string, list_fare_cad double")
+
+
 def fare_mix(silver: DataFrame) -> DataFrame:
-    """Observed fare-class share against the expected distribution."""
+    """Observed fare-class share against the expected distribution (A21),
+    with the class's list fare (F17) next to the observed average fare."""
     spark = silver.sparkSession
     expected = spark.createDataFrame(list(C.FARE_CLASS_DISTRIBUTION), "fare_class string, expected_share double")
-    per = silver.groupBy("fare_class").agg(F.count(F.lit(1)).alias("taps"))
-    obs = per.select("fare_class", "taps",
+    per = silver.groupBy("fare_class").agg(F.count(F.lit(1)).alias("taps"),
+                                           F.sum(X.money("fare_amount_cad")).alias("_fare"))
+    obs = per.select("fare_class", "taps", "_fare",
                      (F.col("taps") / F.sum("taps").over(Window.partitionBy())).alias("observed_share"))  # 5 rows
-    j = obs.join(F.broadcast(expected), "fare_class", "full")
+    j = (obs.join(F.broadcast(expected), "fare_class", "full")
+            .join(F.broadcast(fare_table(spark)), "fare_class", "left"))        # 5-row inline tables
     return j.select("fare_class", F.coalesce("taps", F.lit(0)).cast("bigint").alias("taps"),
                     X.r6(F.coalesce("observed_share", F.lit(0.0))).alias("observed_share"),
                     X.r6("expected_share").alias("expected_share"),
-                    X.r6(F.coalesce("observed_share", F.lit(0.0)) - F.col("expected_share")).alias("share_gap"))
+                    X.r6(F.coalesce("observed_share", F.lit(0.0)) - F.col("expected_share")).alias("share_gap"),
+                    F.col("list_fare_cad"),
+                    X.r6(X.safe_div("_fare", "taps")).alias("avg_fare_cad"))
 
 
 # --- time intelligence on daily aggregates (W4, W5, W6, M3, M4, M12) --------------

@@ -61,14 +61,20 @@ def q_prior_normalised(spark, sf_dir):
 
 
 _MIX = ", ".join(f"('{c}', CAST({v} AS DOUBLE))" for c, v in C.FARE_CLASS_DISTRIBUTION)
+_FARES = ", ".join(f"('{c}', CAST({v} AS DOUBLE))" for c, v in C.FARE_BY_CLASS)
 
 
 @register("fare_mix", compose("silver", f"""
 SELECT coalesce(o.fare_class, e.fare_class) AS fare_class, CAST(coalesce(o.taps, 0) AS BIGINT) AS taps,
        ROUND(coalesce(o.share, 0.0), 6) AS observed_share, ROUND(e.expected_share, 6) AS expected_share,
-       ROUND(coalesce(o.share, 0.0) - e.expected_share, 6) AS share_gap
-FROM (SELECT fare_class, COUNT(*) AS taps, COUNT(*) / SUM(COUNT(*)) OVER () AS share FROM silver GROUP BY 1) o
-FULL JOIN (SELECT * FROM (VALUES {_MIX}) t(fare_class, expected_share)) e USING (fare_class)"""), "A21")
+       ROUND(coalesce(o.share, 0.0) - e.expected_share, 6) AS share_gap,
+       f.list_fare_cad,
+       ROUND(CAST(o.fare AS DOUBLE) / NULLIF(o.taps, 0), 6) AS avg_fare_cad
+FROM (SELECT fare_class, COUNT(*) AS taps, SUM(fare_amount_cad) AS fare, COUNT(*) / SUM(COUNT(*)) OVER () AS share
+      FROM silver GROUP BY 1) o
+FULL JOIN (SELECT * FROM (VALUES {_MIX}) t(fare_class, expected_share)) e USING (fare_class)
+LEFT JOIN (SELECT * FROM (VALUES {_FARES}) t(fare_class, list_fare_cad)) f
+  ON f.fare_class = coalesce(o.fare_class, e.fare_class)"""), "A21 F17")
 def q_fare_mix(spark, sf_dir):
     return S.fare_mix(silver_of(spark, sf_dir))
 
