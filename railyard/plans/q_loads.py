@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from railyard import constants as C
 from railyard.functions import columns as X
 from railyard.operators import gold, loads as L, marts, silver
 from railyard.plans.catalog import register
@@ -84,7 +85,7 @@ def q_kpis_trailing_window(spark, sf_dir):
     L.upsert(spark, table, marts.station_kpis(gold.fact_ridership_hourly(early), gold.fact_fare_revenue(early)),
              ["station_id", "service_date"], "service_date")
     full = silver.build_silver(bronze, st)
-    since = L.trailing_since(F.lit(KPI_AS_OF).cast("date"), 7)
+    since = L.trailing_since(F.lit(KPI_AS_OF).cast("date"), C.KPI_TRAILING_DAYS)
     recent = marts.station_kpis(gold.fact_ridership_hourly(full), gold.fact_fare_revenue(full), since=since)
     L.upsert(spark, table, recent, ["station_id", "service_date"], "service_date")
     cols = ["station_id", "service_date", "daily_taps", "peak_hour_taps", "avg_hour_taps", "active_hours",
@@ -111,7 +112,7 @@ def q_rolling_refresh(spark, sf_dir):
     stored_path = BR.write_table(_line_daily(gold.fact_ridership_hourly(early)), scratch_path(spark, "line-daily"))
     stored = spark.read.parquet(stored_path)
     fresh = _line_daily(gold.fact_ridership_hourly(silver.build_silver(bronze, st)))
-    since = L.trailing_since(F.lit(KPI_AS_OF).cast("date"), 7)
+    since = L.trailing_since(F.lit(KPI_AS_OF).cast("date"), C.KPI_TRAILING_DAYS)
     return L.rolling_refresh(stored, fresh, "service_date", since)
 
 
