@@ -147,16 +147,19 @@ def od_share(pairs: DataFrame, priors: DataFrame) -> DataFrame:
     prior(o) x prior(d) / sum over o != d of prior x prior (N9).  The
     normaliser is (sum p)^2 - sum p^2, taken from the station-level priors,
     so no pair is enumerated; the observed total comes from per-origin
-    totals (one row per station)."""
-    p = priors.select("station_id", "prior")
-    norm = p.agg((F.pow(F.sum("prior"), 2) - F.sum(F.pow("prior", 2))).alias("_z")).scalar()
+    totals (one row per station).  Priors and per-origin totals are station-
+    level aggregates; AQE broadcasts them at run time when small."""
+    everything = Window.partitionBy()                                # one row per station
+    p = priors.select("station_id", "prior",
+                      (F.pow(F.sum("prior").over(everything), 2)
+                       - F.sum(F.pow("prior", 2)).over(everything)).alias("_z"))
     per_origin = pairs.groupBy("origin").agg(F.sum("trips").alias("_o"))
-    per_origin = per_origin.withColumn("_all", F.sum("_o").over(Window.partitionBy()))   # one row per station
-    po = bounded_broadcast(p.select(F.col("station_id").alias("origin"), F.col("prior").alias("_po")))
-    pd = bounded_broadcast(p.select(F.col("station_id").alias("destination"), F.col("prior").alias("_pd")))
+    per_origin = per_origin.withColumn("_all", F.sum("_o").over(everything))
+    po = p.select(F.col("station_id").alias("origin"), F.col("prior").alias("_po"), "_z")
+    pd = p.select(F.col("station_id").alias("destination"), F.col("prior").alias("_pd"))
     j = (pairs.join(per_origin.select("origin", "_all"), "origin")       # AQE broadcasts it if small
               .join(po, "origin", "left").join(pd, "destination", "left"))
-    expected = F.when(F.col("origin") != F.col("destination"), F.col("_po") * F.col("_pd") / norm)
+    expected = F.when(F.col("origin") != F.col("destination"), F.col("_po") * F.col("_pd") / F.col("_z"))
     return j.select("origin", "destination", "trips",
                     X.r6(F.col("trips") / F.col("_all")).alias("observed_share"),
                     X.r6(expected).alias("expected_share"))
