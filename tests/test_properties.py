@@ -74,3 +74,24 @@ def test_silver_and_fact_match_brute_force(spark, taps):
     # order-insensitive: a shuffled input gives the same silver
     again = {r.tap_id: r.fare_amount_cad for r in silver.build_silver(df.repartition(4).sortWithinPartitions("card_token"), stations).collect()}
     assert again == {k: v.fare_amount_cad for k, v in got.items()}
+
+
+batch = st.lists(st.tuples(st.integers(0, 8), st.integers(1, 4)), min_size=1, max_size=8,
+                 unique_by=lambda t: t[0])      # one row per key within a batch
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(batch, min_size=1, max_size=3))
+def test_upsert_sequence_equals_last_write_wins(spark, batches):
+    from railyard.operators import loads as L
+    t = L.new_table_name("t_prop")
+    model = {}
+    for i, b in enumerate(batches):
+        rows = [(k, f"v{i}", d) for k, d in b]
+        L.upsert(spark, t, spark.createDataFrame(rows, "tap_id long, v string, date_key int"), "tap_id", "date_key")
+        for k, v, d in rows:
+            model[k] = (k, v, d)
+    got = sorted(tuple(r) for r in spark.table(t).select("tap_id", "v", "date_key").collect())
+    assert got == sorted(model.values())
+    parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {t}").collect()}
+    assert parts == {f"date_key={d}" for _, _, d in model.values()}     # no empty partition left
