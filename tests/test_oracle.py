@@ -12,7 +12,7 @@ import __spark_entry__ as E
 from tests.conftest import SMOKE
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
-from oracle_check import TABLES, digest  # noqa: E402
+from oracle_check import TABLES, digest, type_diffs  # noqa: E402
 
 SF = os.environ.get("RAILYARD_ORACLE_SF", SMOKE)
 SUBSET = ["bronze_passthrough", "silver_conformed", "silver_quarantine", "fact_ridership_hourly",
@@ -44,6 +44,7 @@ def test_matches_oracle(spark, con, key):
     assert sorted(s_cols) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert digest(s_cols, s_rows)[0] == digest(d_cols, d_rows)[0]
+    assert type_diffs(df, con, E.oracle_sql()[key]) == []
 
 
 def test_entry_smoke(spark):
