@@ -51,18 +51,23 @@ def ensure_session(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (a
-    local test session) is a scratch folder created and registered."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    Uses the cluster's ``spark.checkpoint.dir``.  Only a local session, whose
+    executors share the driver's disk, gets a scratch folder when it is unset;
+    any other master raises."""
+    global _scratch
+    conf = spark.sparkContext.getConf()
+    d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="railyard-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        _scratch = d = _scratch or tempfile.mkdtemp(prefix="railyard-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+_scratch: str | None = None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for staged writes."""
     base = checkpoint_dir(spark)
