@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import ngram_join
+from railyard.llm import line_dedup, ngram_join, quality_rules, source_mix
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,9 +18,29 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(_documents(spark, sf_dir), n=4, num=85, den=100)
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights 3, 1, 2; 150 % of all words; at most twice a source."""
+    return source_mix.take(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, hard base rule and the verdict of the weak rules."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return quality_rules.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                            "n_repeat_words", "base_failed", "kept")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without later occurrences of three-line windows."""
+    return line_dedup.drop_repeats(_documents(spark, sf_dir).select("doc_id", "text"))
+
+
+QUERIES = (op1_ngram_jaccard_join, op2_source_mix, op3_quality_rules, op4_line_dedup)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join,)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_source_mix": source_mix.oracle_sql(), "op4_line_dedup": line_dedup.oracle_sql()}
