@@ -14,8 +14,8 @@ a linked pair must share a signature.  The plan of a band is the cheapest
 out its least selective segments.
 
 Sets that share a signature are candidates.  Before any pair is made, sets
-that cannot have a link go: a shingle that no other candidate set holds adds
-one to the difference of each of its pairs.  Then the sets of a signature are
+that cannot have a link go: a shingle that no other candidate set holds is in
+no intersection, so a set shares at most its other shingles with any partner.  Then the sets of a signature are
 compared with the signature's most central set (star), linked sets are joined
 to components, and the pairs that still connect different components and can
 reach the threshold are all verified.  Verification intersects the exact
@@ -45,6 +45,8 @@ from railyard.llm.tokens import U64, mix64, set_keys, text_chunks, text_shingles
 
 #: Rows that one badly selective segment may cost, in the choice of a plan.
 _SPURIOUS = 40.0
+#: Signatures of a set that are remembered to make each of its pairs once.
+_LISTED = 24
 
 
 class Bands:
@@ -297,17 +299,17 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     alone = (texts.select("cls", "text").mapInArrow(_members(n), "h bigint, cls bigint")
              .groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("cls").alias("cls"))
              .where("k = 1").groupBy("cls").agg(F.count(F.lit(1)).alias("own")))
-    limit = F.floor(F.col("size") * (den - num) / num + 1e-9)  # with the largest partner
     open_ = st.stage(texts.select("cls", "size").join(alone, "cls", "left")
-                     .withColumn("own", F.coalesce("own", F.lit(0))).where(F.col("own") <= limit), "open")
+                     .withColumn("own", F.coalesce("own", F.lit(0))).where(F.col("own") * den <= F.col("size") * (den - num)), "open")
     left = st.stage(shared(found.join(open_.select("cls"), "cls", "left_semi"))
                     .join(open_, "cls"), "left")
     st.discard(found)
 
     def can(x: str, y: str):
-        """The own shingles of both fit into the difference of a linked pair."""
+        """What both share fits into the shingles that are not theirs alone."""
+        shared_most = F.least(F.col(f"{x}.size") - F.col(f"{x}.own"), F.col(f"{y}.size") - F.col(f"{y}.own"))
         total = F.col(f"{x}.size") + F.col(f"{y}.size")
-        return (((F.col(f"{x}.own") + F.col(f"{y}.own")) * (den + num) <= total * (den - num))
+        return ((shared_most * (den + num) >= total * num)
                 & (F.least(f"{x}.size", f"{y}.size") * den >= F.greatest(f"{x}.size", f"{y}.size") * num))
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
@@ -329,15 +331,32 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
     # what still connects different components
     labelled = (left.join(comp, F.col("cls") == F.col("node"), "left")
                 .select("sig", "cls", "size", "own", F.coalesce("comp", "cls").alias("comp")))
-    mixed = labelled.groupBy("sig").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
-    rest = st.stage(labelled.join(mixed.select("sig"), "sig", "left_semi"), "rest")
-    pairs = (rest.alias("x").join(rest.alias("y"), "sig")
-             .where((F.col("x.cls") < F.col("y.cls")) & (F.col("x.comp") != F.col("y.comp")) & can("x", "y"))
+    # rows of one component hold nothing against each other: a shingle that only one component holds
+    # is in no intersection that still matters
+    def still_mixed(rows: DataFrame) -> DataFrame:
+        mixed = rows.groupBy("sig").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1")
+        return rows.join(mixed.select("sig"), "sig", "left_semi")
+
+    rest = st.stage(still_mixed(labelled), "rest")
+    nodes = rest.select("cls", "comp", "size").distinct()
+    held = st.stage(texts.join(nodes.select("cls"), "cls", "left_semi").select("cls", "text")
+                    .mapInArrow(_members(n), "h bigint, cls bigint").join(nodes.select("cls", "comp"), "cls"), "held")
+    inner = held.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 = c1")
+    apart = held.join(inner.select("h"), "h", "left_semi").groupBy("cls").agg(F.count(F.lit(1)).alias("own"))
+    now = (nodes.join(apart, "cls", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+           .where(F.col("own") * den <= F.col("size") * (den - num)).select("cls", "own"))
+    last = st.stage(still_mixed(rest.drop("own").join(now, "cls")), "last")
+    # a pair is made at the first of its signatures; one that is found earlier in both lists is left to that place
+    lists = last.groupBy("cls").agg(F.slice(F.sort_array(F.collect_list("sig")), 1, _LISTED).alias("early"))
+    last = st.stage(last.join(lists, "cls").withColumn("early", F.expr("filter(early, v -> v < sig)")), "listed")
+    pairs = (last.alias("x").join(last.alias("y"), "sig")
+             .where((F.col("x.cls") < F.col("y.cls")) & (F.col("x.comp") != F.col("y.comp")) & can("x", "y")
+                    & ~F.arrays_overlap("x.early", "y.early"))
              .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
     more = verified(pairs.join(star, ["a", "b"], "left_anti"), "more")
     if more.limit(1).count():
         comp = components(links.unionByName(more), st)
-    st.discard(texts, left, rest, star, open_)
+    st.discard(texts, left, rest, star, open_, held, last)
     # from classes back to rows
     named = rows.join(comp, F.col("cls") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "cls"))
     first = named.where("cls <> 0").groupBy("comp").agg(F.min("id").alias("component_id"))

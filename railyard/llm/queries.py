@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import line_dedup, ngram_join, quality_rules, source_mix
+from railyard.llm import fingerprints, language_id, line_dedup, ngram_join, packing, quality_rules, source_mix
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,26 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_repeats(_documents(spark, sf_dir).select("doc_id", "text"))
 
 
-QUERIES = (op1_ngram_jaccard_join, op2_source_mix, op3_quality_rules, op4_line_dedup)
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 2048 tokens of the byte-level BPE, end id 0."""
+    return packing.pack(_documents(spark, sf_dir))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages learned from the rows that are not held out."""
+    docs = _documents(spark, sf_dir)
+    model = language_id.learn(language_id.sample(docs))
+    rows = docs.select("doc_id", language_id.held_out("doc_id").alias("held_out"), "text")
+    return language_id.identify(rows, model).drop("phrases_per_char")
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each text and of its edited text."""
+    return fingerprints.neighbours(_documents(spark, sf_dir))
+
+
+QUERIES = (op1_ngram_jaccard_join, op2_source_mix, op3_quality_rules, op4_line_dedup, op5_best_fit_packing,
+           op7_language_id, op8_fingerprints)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
