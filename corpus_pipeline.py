@@ -1,25 +1,68 @@
-"""Corpus pipeline: stages over ``documents``."""
+"""Corpus pipeline over ``documents``: quality rules, line dedup, near-duplicate
+removal, source mix, best-fit packing.
+
+Each stage takes what its predecessor kept, and its decisions take effect:
+rejected documents and emptied documents go, repeated lines are cut out of the
+texts, one document of each near-duplicate group stays (the smallest id), the
+mix repeats or leaves out documents, and packing returns the pieces with their
+places.  All stages but the last return the columns of ``documents``.
+
+Defined cases: null texts fail the quality rules; a document whose lines all
+went to earlier documents goes; rows equal in id and text count as one in the
+near-duplicate stage; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from railyard.llm import line_dedup, ngram_join, packing, quality_rules, source_mix
+from railyard.llm.staging import Stage
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weak rules keep."""
+    return quality_rules.judge(docs, keep_text=True).where("kept").select(*docs.columns)
+
 
-from railyard.llm import ngram_join
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later occurrences of three-line windows."""
+    found = line_dedup.drop_repeats(docs)
+    return (found.where("n_lines = 0 OR n_removed < n_lines")
+            .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays (smallest id)."""
+    """One document of each component of five-word shingle sets, 0.8 or more."""
     found = ngram_join.link_documents(docs.select("doc_id", "text"), n=5, num=4, den=5)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi")
+    stay = (found.where("doc_id = component_id OR component_id IS NULL")
+            .select(F.col("doc_id").alias("_id")).distinct())
+    return (docs.join(stay, docs["doc_id"].eqNullSafe(stay["_id"]), "left_semi")
+            .withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).select(*docs.columns))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target weights of their sources take them."""
+    return source_mix.mix(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences with their places."""
+    return packing.pack(docs)
+
 
+STAGES = [("quality_rules", quality), ("line_dedup", lines), ("near_duplicates", near_duplicates),
+          ("source_mix", mix), ("best_fit_packing", pack)]
 
-STAGES = [("near_duplicates", near_duplicates)]
+#: SQL cannot express the tokenizer; tests compare with a brute-force pipeline.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = Stage(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        before, docs = docs, st.stage(stage(spark, docs, sf_dir), name)
+        st.discard(before)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -119,11 +119,14 @@ def fit(votes: DataFrame, st: Stage, rounds: int = ROUNDS) -> tuple[float, list[
     return model
 
 
-def judge(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """``docs`` without the text, with the counts, votes, ``posterior`` and
-    ``kept``.  Text is read once; the result reads the staged counts."""
+def judge(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, keep_text: bool = False) -> DataFrame:
+    """``docs`` with the counts, votes, ``posterior`` and ``kept``; the text
+    only with ``keep_text``.  Text is read once; the result reads the staged
+    counts."""
     st = Stage(docs.sparkSession, "quality-rules")
-    counted = counts(docs, text_col).drop(text_col)
+    counted = counts(docs, text_col)
+    if not keep_text:
+        counted = counted.drop(text_col)
     for rule in RULES:
         counted = counted.withColumn(f"v_{rule[0]}", vote(rule))
     counted = st.stage(counted, "counts")

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import fingerprints, language_id, line_dedup, ngram_join, packing, quality_rules, source_mix
+from railyard.llm import (class_lm, fingerprints, html_text, language_id, line_dedup, ngram_join, packing,
+                          quality_rules, source_mix, toxicity)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +41,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages learned from the rows that are not held out."""
     docs = _documents(spark, sf_dir)
@@ -53,8 +59,21 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.neighbours(_documents(spark, sf_dir))
 
 
+def op9_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-based bigram scores and the smoothed unigram base."""
+    return class_lm.score(_documents(spark, sf_dir))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores learned from the labels that are not held out."""
+    docs = _documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rows = docs.select("doc_id", (~toxicity.in_training("doc_id")).alias("held_out"), "text")
+    return toxicity.score(rows, model)
+
+
 QUERIES = (op1_ngram_jaccard_join, op2_source_mix, op3_quality_rules, op4_line_dedup, op5_best_fit_packing,
-           op7_language_id, op8_fingerprints)
+           op6_html_text, op7_language_id, op8_fingerprints, op9_class_lm, op10_toxicity)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
