@@ -14,10 +14,9 @@ of their identity, buckets are counted, and a piece's rank is the number of
 pieces in lower buckets of its length plus its row number within its bucket.
 
 The vocabulary file is a parameter; each Python worker loads it once and
-remembers the ids of chunks: blank-free runs with the blank before them, or at
-the start of a line.  The tokenizer never joins these with their neighbours,
-so the ids are those of the whole text; texts with other white space are
-encoded without this shortcut.
+remembers the ids of chunks: words with the blank or newline before them.  The
+tokenizer never joins these with their neighbours, so the ids are those of the
+whole text; texts with other white space are encoded whole.
 
 Defined cases: null text is empty and yields the end id alone; rows with equal
 ids each get their own pieces (``row`` tells them apart); an empty table packs
@@ -36,10 +35,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from railyard.llm.staging import Stage
+from railyard.llm.tokens import U64, mix64, text_chunks, word_hashes, word_spans
 
 CAPACITY = 2048
-#: Distinct chunks remembered by a worker before it starts again.
-REMEMBERED = 300_000
+#: Distinct chunks that a worker remembers before it starts again.
+REMEMBERED = 1_500_000
 #: Pieces per rank bucket that the number of buckets aims at.
 BUCKET_ROWS = 20_000
 
@@ -49,119 +49,162 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-#: Characters that the tokenizer's pattern counts as white space, besides the blank.
-_WHITE = [chr(i) for i in (9, 10, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
-                           0x205F, 0x3000)]
-_ALONE = (" ", "\n")
-_PAIRS = ["  ", "\n ", "\n\n"] + [x for c in _WHITE for x in (" " + c, "\n" + c, c + "\n") if x != "\n\n"]
 _NEWLINE = 198
-_BREAK = np.array([_NEWLINE], "<u4").tobytes()
-
-
-def _splits_at_blanks(text: str) -> bool:
-    """Each blank and each newline stands alone between other characters."""
-    for pair in _PAIRS[:18] if text.isascii() else _PAIRS:
-        if pair in text:
-            return False
-    return text[:1] not in _ALONE and text[-1:] not in _ALONE
+_SEED = U64(0x8BB84B93962EACC9)
+#: Ends of the UTF-8 forms of white space beyond ASCII: what may follow each two-byte beginning.
+_WIDE = {(0xE1, 0x9A): {0x80}, (0xE2, 0x81): {0x9F}, (0xE3, 0x80): {0x80},
+         (0xE2, 0x80): {*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF}}
+
+
+def _odd_texts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Texts that must be encoded whole: white space other than single blanks
+    and single newlines between other characters."""
+    n = len(buf)
+    space = (buf == 32) | (buf == 10)
+    odd = (buf == 9) | ((buf >= 11) & (buf <= 13))
+    if n > 1:
+        odd[1:] |= space[1:] & space[:-1]
+        odd[:-1] |= (buf[:-1] == 0xC2) & ((buf[1:] == 0x85) | (buf[1:] == 0xA0))
+        for first, second in _WIDE:
+            for at in np.flatnonzero((buf[:-1] == first) & (buf[1:] == second)):
+                odd[at] |= at + 2 < n and int(buf[at + 2]) in _WIDE[first, second]
+    full = off[:-1][np.diff(off) > 0]
+    odd[full] |= space[full]
+    last = off[1:][np.diff(off) > 0] - 1
+    odd[last] |= space[last]
+    before = np.concatenate([[0], np.cumsum(odd)])
+    return before[off[1:]] > before[off[:-1]]
 
 
 class Encoder:
-    """Little-endian 32-bit ids of texts, as bytes."""
+    """Token ids of texts given as UTF-8 buffers.
+
+    Chunks are words with what stands before them (a blank, a newline or the
+    beginning of a text).  Their ids are kept in one flat pool, found by a
+    64-bit hash, so encoding a text is a gather over its words."""
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.led: dict[str, bytes] = {}  # chunk without the blank that leads it
-        self.head: dict[str, bytes] = {}  # chunk at the start of a line
-        self.pattern = regex.compile(r"(?<=\S)(?= \S)")
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def learn(self, chunks: set[str], known: dict[str, bytes], lead: str) -> None:
-        todo = list(chunks)
-        for i in range(0, len(todo), 4096):
-            part = todo[i:i + 4096]
-            # newline before and after each chunk: one call encodes them all
-            ids = self._ids("\n" + lead + ("\n" + lead).join(part) + "\n")
-            at = np.flatnonzero(ids == _NEWLINE)
-            if len(at) != len(part) + 1:  # a chunk with odd white space
-                known.update((c, self._ids(lead + c).tobytes()) for c in part)
-                continue
-            raw = ids.tobytes()
-            for c, x, y in zip(part, (4 * (at[:-1] + 1)).tolist(), (4 * at[1:]).tolist()):
-                known[c] = raw[x:y]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.led) + len(self.head) > REMEMBERED:
-            self.led, self.head = {}, {}
-        out: list = []
-        late, led, heads = [], set(), set()
-        for k, text in enumerate(texts):
-            if not _splits_at_blanks(text):
-                out.append(b"".join([self._ids(p).tobytes() for p in self.pattern.split(text)]))
-                continue
-            lines = [line.split(" ") for line in text.split("\n")] if text else []
-            try:
-                out.append(self._join(lines))
-            except KeyError:
-                for line in lines:
-                    heads.add(line[0])
-                    led.update(line[1:])
-                late.append(k)
-                out.append(lines)
-        self.learn(led - self.led.keys(), self.led, " ")
-        self.learn(heads - self.head.keys(), self.head, "")
-        for k in late:
-            out[k] = self._join(out[k])
-        return out
-
-    def _join(self, lines: list[list[str]]) -> bytes:
-        led, head = self.led.__getitem__, self.head
-        return _BREAK.join([head[line[0]] + b"".join(map(led, line[1:])) for line in lines])
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys = np.zeros(0, U64)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.filled = np.zeros(1 << 16, np.uint32), 0
+
+    def _add(self, ids: np.ndarray) -> None:
+        if self.filled + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool[:self.filled], np.zeros(self.filled + 2 * len(ids), np.uint32)])
+        self.pool[self.filled:self.filled + len(ids)] = ids
+        self.filled += len(ids)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, keys: np.ndarray, chunks: list[str], leads: np.ndarray) -> None:
+        """Ids of chunks by their leads (0 none, 1 blank, 2 newline); one call
+        encodes many chunks between newlines."""
+        first, count = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+        for lead, open_ in ((0, ""), (1, " "), (2, "")):
+            which = np.flatnonzero(leads == lead)
+            groups = [which[i:i + 64] for i in range(0, len(which), 64)]
+            coded = self._encode(["\n" + "\n".join([open_ + chunks[k] for k in g]) + "\n" for g in groups])
+            for g, ids in zip(groups, coded):
+                ids = np.array(ids, np.uint32)
+                at = np.flatnonzero(ids == _NEWLINE)
+                if len(at) != len(g) + 1:  # not expected of chunks without white space
+                    parts = [np.array(x, np.uint32) for x in self._encode([open_ + chunks[k] for k in g])]
+                    ids = np.concatenate([np.append(np.uint32(_NEWLINE), x) for x in parts] + [[np.uint32(_NEWLINE)]])
+                    at = np.cumsum([0] + [len(x) + 1 for x in parts])
+                # a newline belongs to the chunk after it
+                first[g] = self.filled + at[:-1] + (lead != 2)
+                count[g] = np.diff(at) - (lead != 2)
+                self._add(ids)
+        keys, first, count = (np.concatenate(x) for x in ((self.keys, keys), (self.first, first), (self.count, count)))
+        order = np.argsort(keys)
+        self.keys, self.first, self.count = keys[order], first[order], count[order]
+
+    def encode(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, offsets of the texts)."""
+        if len(self.keys) > REMEMBERED:
+            self.forget()
+        odd = _odd_texts(buf, off)
+        starts, ends, at = word_spans(buf, off)
+        lead = np.where(buf[np.maximum(starts - 1, 0)] == 10, 2, 1)
+        lead[at[:-1][np.diff(at) > 0]] = 0
+        if odd.any():  # their words are left out
+            use = np.repeat(~odd, np.diff(at))
+            starts, ends, lead = starts[use], ends[use], lead[use]
+            at = np.concatenate([[0], np.cumsum(np.where(odd, 0, np.diff(at)))])
+        key = mix64(word_hashes(buf, starts, ends, lower=False) + lead.astype(U64) * _SEED)
+        kinds, seen, of = np.unique(key, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.keys, kinds)
+        there = np.zeros(len(kinds), bool)
+        inside = place < len(self.keys)
+        there[inside] = self.keys[place[inside]] == kinds[inside]
+        if not there.all():
+            new = np.flatnonzero(~there)
+            spans = zip(starts[seen[new]].tolist(), ends[seen[new]].tolist())
+            raw = buf.tobytes()
+            self._learn(kinds[new], [raw[s:e].decode() for s, e in spans], lead[seen[new]])
+            place = np.searchsorted(self.keys, kinds)
+        at_pool, size = self.first[place][of], self.count[place][of]
+        total = np.concatenate([[0], np.cumsum(size)])
+        ids = self.pool[np.repeat(at_pool - total[:-1], size) + np.arange(total[-1])]
+        bounds = total[at]
+        if not odd.any():
+            return ids, bounds
+        whole = dict(zip(np.flatnonzero(odd).tolist(), self._encode(
+            [buf[off[k]:off[k + 1]].tobytes().decode() for k in np.flatnonzero(odd)])))
+        parts = [np.array(whole[k], np.uint32) if k in whole else ids[bounds[k]:bounds[k + 1]]
+                 for k in range(len(odd))]
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """One encoder per Python worker, kept from task to task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = _encoder(path)
         for b in batches:
-            ids, rows, texts = b.column(0), b.column(1), b.column(2)
-            i = 0
-            while i < len(b):
-                j, size, part = i, 0, []
-                while j < len(b) and size < 1 << 20:
-                    part.append(texts[j].as_py() or "")
-                    size += len(part[-1])
-                    j += 1
+            for i, docs, buf, off in text_chunks(b.column(2), 4 << 20):
                 of, piece, start, length, crc, raw = [], [], [], [], [], []
-                for d, code in enumerate(encoder.encode(part)):
-                    code += end
+                ids, bounds = encoder.encode(buf, off)
+                codes = ids.astype("<u4", copy=False).tobytes()
+                for d in range(docs):
+                    code = codes[4 * bounds[d]:4 * bounds[d + 1]] + end
                     n = len(code) // 4
                     at = 0
                     for k in range(-(-n // capacity)):
-                        size_k = (n - 1) % capacity + 1 if k == 0 else capacity
-                        cut = code[4 * at:4 * (at + size_k)]
+                        size = (n - 1) % capacity + 1 if k == 0 else capacity
+                        cut = code[4 * at:4 * (at + size)]
                         of.append(i + d)
                         piece.append(k)
                         start.append(at)
-                        length.append(size_k)
+                        length.append(size)
                         crc.append(zlib.crc32(cut))
                         if with_ids:
                             raw.append(cut)
-                        at += size_k
+                        at += size
                 of = pa.array(of, pa.int64())
-                out = [ids.take(of), rows.take(of), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                       pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+                out = [b.column(0).take(of), b.column(1).take(of), pa.array(piece, pa.int32()),
+                       pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
                 names = ["id", "row", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
                     out, names = out + [pa.array(raw, pa.binary())], names + ["ids"]
                 yield pa.RecordBatch.from_arrays(out, names)
-                i = j
     return run
 
 
