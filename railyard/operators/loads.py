@@ -4,20 +4,26 @@ Tables are Parquet tables in the session catalog, partitioned on a date key.
 An upsert (delete+insert on a key, decision D7) rewrites exactly the
 partitions it touches:
 
-1. the batch is deduplicated on the key (latest wins);
-2. touched partitions = partitions of the batch, plus partitions where the
-   batch's keys live today (a key may move to another date);
-3. survivors = target rows of touched partitions whose key is not in the
-   batch; new content = survivors + batch, staged to a fresh path under the
-   shared checkpoint folder (the target is read while being replaced);
+1. the batch is staged once under the shared checkpoint folder; columns it
+   brings that the table lacks are added to the table (old rows: NULL), columns
+   it lacks are NULL;
+2. touched partitions = partitions of the batch, plus, unless a key is known to
+   keep its partition (``stable_partition``, implied when the partition column
+   is part of the key), partitions where the batch's keys live today.  A NULL
+   partition value is a partition like any other;
+3. with ``order``, the greatest of the stored and the new rows of a key wins,
+   so an older version that arrives later changes nothing; without it the batch
+   wins.  New content = rows of touched partitions whose key is not in the
+   batch + winners, staged to a fresh path (the target is read while being
+   replaced);
 4. the staged rows are inserted with dynamic partition overwrite, so
    untouched partitions are never rewritten;
-5. touched partitions left with no rows are cleared (a static overwrite with
-   no rows) and dropped from the table.
+5. touched partitions left with no rows are cleared and dropped, and both
+   staged tables are removed.
 
-The only values brought to the driver are the high-water mark (one scalar)
-and partition values (one per touched date), which turn the survivor read
-into a static partition filter: only touched partitions are read.
+The only values brought to the driver are partition values (one per touched
+date), which turn the target read into a static partition filter: with stable
+partitions nothing else of the target is ever read.
 """
 
 from __future__ import annotations
@@ -25,9 +31,8 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from railyard.session import scratch_path
 
@@ -69,11 +74,12 @@ def dynamic_overwrite(spark: SparkSession):
 
 # --- L1 ------------------------------------------------------------------------------
 def high_water_mark(spark: SparkSession, table: str, col: str):
-    """Max of ``col`` in the target, the epoch when absent or empty."""
-    if not table_exists(spark, table):
-        return F.lit(EPOCH).cast("timestamp")
-    v = spark.table(table).agg(F.max(col)).first()[0]
-    return F.lit(v).cast("timestamp") if v is not None else F.lit(EPOCH).cast("timestamp")
+    """Max of ``col`` in the target, the epoch when absent or empty.  The value
+    travels as text, so no Python time zone touches it."""
+    v = None
+    if table_exists(spark, table):
+        v = spark.table(table).agg(F.date_format(F.max(col), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+    return F.lit(v or EPOCH).cast("timestamp")
 
 
 def incremental_source(source: DataFrame, hwm: Column, col: str, inclusive: bool = False) -> DataFrame:
@@ -83,44 +89,102 @@ def incremental_source(source: DataFrame, hwm: Column, col: str, inclusive: bool
 
 
 # --- L2 / L3 -------------------------------------------------------------------------
-def _stage(df: DataFrame, name: str) -> DataFrame:
+def _stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _remove(spark: SparkSession, path: str, keep_folder: bool = False) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(where):
+        fs.delete(where, True)
+    if keep_folder:
+        fs.mkdirs(where)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    return spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()["data_type"]
+
+
+def _same(a: DataFrame, b: DataFrame, keys):
+    """Null-safe equality of the keys (still an equi-join)."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & a[k].eqNullSafe(b["_key_" + k])
+    return cond
+
+
+def add_columns(spark: SparkSession, table: str, df: DataFrame) -> None:
+    """Additive schema evolution: columns of ``df`` that the table lacks."""
+    have = {c.lower() for c in spark.table(table).columns}
+    new = [f for f in df.schema.fields if f.name.lower() not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ("
+                  + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new) + ")")
+
 
+def in_partitions(col: str, values) -> Column:
+    """Static partition filter that also knows the NULL partition."""
+    cond = F.col(col).isin([v for v in values if v is not None])
+    return cond | F.col(col).isNull() if None in values else cond
 
-def upsert(spark: SparkSession, table: str, batch: DataFrame, keys, partition_col: str) -> dict:
-    """delete+insert of ``batch`` into ``table`` on ``keys`` (see module doc).
-    ``batch`` must already hold one row per key.  Returns counters."""
+
+def clear_partitions(spark: SparkSession, table: str, partition_col: str, values) -> None:
+    """Remove the files of emptied partitions and drop them."""
+    where = _location(spark, table)
+    for v in values:
+        if v is None:
+            _remove(spark, f"{where}/{partition_col}=__HIVE_DEFAULT_PARTITION__", keep_folder=True)
+            continue
+        text = f"'{v}'" if isinstance(v, str) or hasattr(v, "isoformat") else str(v)
+        _remove(spark, f"{where}/{partition_col}={v}", keep_folder=True)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {text})")
+    if values:
+        spark.sql(f"REFRESH TABLE {table}")
+
+
+def _winners(rows: DataFrame, keys, order) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order if c in rows.columns])
+    return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
+def upsert(spark: SparkSession, table: str, batch: DataFrame, keys, partition_col: str,
+           order=None, stable_partition: bool = False) -> dict:
+    """Keyed merge of ``batch`` into ``table`` (see module doc).  Without
+    ``order`` the batch must hold one row per key.  Returns counters."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not table_exists(spark, table):
-        create_table(batch, table, partition_col)
+        create_table(_winners(batch, keys, order) if order else batch, table, partition_col)
         return {"created": True, "dropped_partitions": 0}
+    staged_batch, batch_path = _stage(batch, f"{table}-batch")
+    add_columns(spark, table, staged_batch)
     target = spark.table(table)
     cols = target.columns
-    batch = batch.select(*cols)
-    batch_keys = batch.select(*keys).distinct()
-    # partition values (one per date) are metadata: bring them to the driver
-    # so the survivor read below is a static partition filter
-    moved = target.join(batch_keys, keys, "left_semi").select(partition_col)
-    touched = sorted({r[0] for r in moved.unionByName(batch.select(partition_col)).distinct().collect()})
-    survivors = target.filter(F.col(partition_col).isin(touched)).join(batch_keys, keys, "left_anti")
-    staged = _stage(survivors.unionByName(batch), f"{table}-stage")
+    rows = staged_batch.select(*[F.col(f.name) if f.name in staged_batch.columns
+                                 else F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    batch_keys = staged_batch.select(*[F.col(k).alias("_key_" + k) for k in keys]).distinct()
+    # partition values (one per date) are metadata: on the driver they make the reads below static
+    touched = rows.select(partition_col)
+    if not (stable_partition or partition_col in keys):
+        touched = touched.unionByName(
+            target.join(batch_keys, _same(target, batch_keys, keys), "left_semi").select(partition_col))
+    touched = {r[0] for r in touched.distinct().collect()}
+    old = target.filter(in_partitions(partition_col, touched))
+    new = old.join(batch_keys, _same(old, batch_keys, keys), "left_anti")
+    if order:
+        stored = old.join(batch_keys, _same(old, batch_keys, keys), "left_semi")
+        rows = _winners(stored.unionByName(rows), keys, order)
+    staged, path = _stage(new.unionByName(rows), f"{table}-stage")
     with dynamic_overwrite(spark):
         staged.select(*cols).write.insertInto(table, overwrite=True)
     kept = {r[0] for r in staged.select(partition_col).distinct().collect()}
-    values = [v for v in touched if v not in kept]
-    if values:
-        data_fields = [f for f in target.schema.fields if f.name != partition_col]
-        empty = f"_railyard_empty_{table}"
-        spark.createDataFrame([], StructType(data_fields)).createOrReplaceTempView(empty)
-    for v in values:
-        lit = f"'{v}'" if isinstance(v, (str,)) or hasattr(v, "isoformat") else str(v)
-        # a static overwrite with no rows clears the partition's files, then
-        # the partition itself is dropped from the table
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({partition_col} = {lit}) SELECT * FROM {empty}")
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_col} = {lit})")
-    return {"created": False, "dropped_partitions": len(values)}
+    emptied = touched - kept
+    clear_partitions(spark, table, partition_col, emptied)
+    _remove(spark, path)
+    _remove(spark, batch_path)
+    return {"created": False, "dropped_partitions": len(emptied)}
 
 
 # --- L4 -------------------------------------------------------------------------------
@@ -129,10 +193,16 @@ def trailing_since(as_of: Column, days: int) -> Column:
 
 
 # --- L5 ---------------------------------------------------------------------------------
-def overwrite_partitions(spark: SparkSession, table: str, df: DataFrame) -> None:
-    """Replace only the partitions present in ``df`` (insert_overwrite)."""
+def overwrite_partitions(spark: SparkSession, table: str, df: DataFrame, partition_col: str | None = None,
+                         touched=None) -> None:
+    """Replace the partitions present in ``df`` (insert_overwrite).  With
+    ``touched`` (partition values), those that have no rows in ``df`` any more
+    are cleared as well."""
     with dynamic_overwrite(spark):
         df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    if touched is not None:
+        kept = {r[0] for r in df.select(partition_col).distinct().collect()}
+        clear_partitions(spark, table, partition_col, set(touched) - kept)
 
 
 # --- L6 ---------------------------------------------------------------------------------

@@ -19,23 +19,19 @@ BOUNDARIES = ("2024-01-11 00:00:00", "2024-01-21 00:00:00", None)
 KPI_AS_OF = "2024-01-30"
 
 
-def _hwm(spark, table):
-    if not L.table_exists(spark, table):
-        return F.lit(L.EPOCH).cast("timestamp")
-    v = spark.table(table).agg(F.date_format(F.max("ingest_timestamp_utc"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
-    return F.lit(v or L.EPOCH).cast("timestamp")
-
-
 def incremental_silver(spark, sf_dir, boundaries=BOUNDARIES) -> str:
     """Load silver in arrival batches: high-water mark, batch silver, upsert."""
     table = L.new_table_name("railyard_silver")
     bronze = B.bronze_taps(spark, sf_dir)
     st = B.stations(spark, sf_dir)
     for b in boundaries:
-        src = L.incremental_source(bronze, _hwm(spark, table), "ingest_timestamp_utc")
+        src = L.incremental_source(bronze, L.high_water_mark(spark, table, "ingest_timestamp_utc"),
+                                   "ingest_timestamp_utc")
         if b is not None:
             src = src.filter(F.col("ingest_timestamp_utc") < F.lit(b).cast("timestamp"))
-        L.upsert(spark, table, silver.build_silver(src, st), "tap_id", "date_key")
+        # every copy of a tap carries its event time, so a tap never changes its date
+        L.upsert(spark, table, silver.build_silver(src, st), "tap_id", "date_key",
+                 order=silver.DEDUP_ORDER, stable_partition=True)
     return table
 
 
@@ -65,11 +61,13 @@ def q_partition_overwrite(spark, sf_dir):
     table = L.new_table_name("railyard_fact")
     early = silver.build_silver(bronze.filter(F.col("ingest_timestamp_utc") < cut), st)
     L.create_table(gold.fact_ridership_hourly(early), table, "date_key")
-    full = silver.build_silver(bronze, st)
-    touched = (bronze.filter(F.col("ingest_timestamp_utc") >= cut)
-               .select(X.date_key("tap_timestamp_utc").alias("date_key")).distinct())
-    fresh = gold.fact_ridership_hourly(full.join(touched, "date_key", "left_semi"))
-    L.overwrite_partitions(spark, table, fresh)
+    # dates of late arrivals: one value per date; bronze is cut to them before silver is built
+    touched = [r[0] for r in bronze.filter(F.col("ingest_timestamp_utc") >= cut)
+               .select(X.date_key("tap_timestamp_utc").alias("date_key")).distinct().collect()]
+    late_days = (bronze.withColumn("_d", X.date_key("tap_timestamp_utc"))
+                 .filter(L.in_partitions("_d", touched)).drop("_d"))
+    fresh = gold.fact_ridership_hourly(silver.build_silver(late_days, st))
+    L.overwrite_partitions(spark, table, fresh, "date_key", touched)
     return spark.table(table).select(*gold.RIDERSHIP_KEYS, "tap_on_count", "tap_off_count", "total_taps",
                                      "unique_riders", "total_fare_cad", "taps_per_rider")
 
@@ -84,8 +82,9 @@ def q_kpis_trailing_window(spark, sf_dir):
     early = silver.build_silver(bronze.filter(F.col("ingest_timestamp_utc") < F.lit("2024-01-25").cast("timestamp")), st)
     L.upsert(spark, table, marts.station_kpis(gold.fact_ridership_hourly(early), gold.fact_fare_revenue(early)),
              ["station_id", "service_date"], "service_date")
-    full = silver.build_silver(bronze, st)
     since = L.trailing_since(F.lit(KPI_AS_OF).cast("date"), C.KPI_TRAILING_DAYS)
+    # a tap keeps its event time, so the trailing window can be cut out of bronze before silver is built
+    full = silver.build_silver(bronze.filter(F.col("tap_timestamp_utc") >= since.cast("timestamp")), st)
     recent = marts.station_kpis(gold.fact_ridership_hourly(full), gold.fact_fare_revenue(full), since=since)
     L.upsert(spark, table, recent, ["station_id", "service_date"], "service_date")
     cols = ["station_id", "service_date", "daily_taps", "peak_hour_taps", "avg_hour_taps", "active_hours",
@@ -111,8 +110,9 @@ def q_rolling_refresh(spark, sf_dir):
     early = silver.build_silver(bronze.filter(F.col("ingest_timestamp_utc") < F.lit("2024-01-25").cast("timestamp")), st)
     stored_path = BR.write_table(_line_daily(gold.fact_ridership_hourly(early)), scratch_path(spark, "line-daily"))
     stored = spark.read.parquet(stored_path)
-    fresh = _line_daily(gold.fact_ridership_hourly(silver.build_silver(bronze, st)))
     since = L.trailing_since(F.lit(KPI_AS_OF).cast("date"), C.KPI_TRAILING_DAYS)
+    recent = bronze.filter(F.col("tap_timestamp_utc") >= since.cast("timestamp"))
+    fresh = _line_daily(gold.fact_ridership_hourly(silver.build_silver(recent, st)))
     return L.rolling_refresh(stored, fresh, "service_date", since)
 
 
@@ -122,3 +122,55 @@ def q_replay_rebuild(spark, sf_dir):
     path = BR.write_bronze(B.bronze_taps(spark, sf_dir))
     replay = BR.read_bronze(spark, path).select(*B.BRONZE_COLUMNS)
     return gold.fact_ridership_hourly(silver.build_silver(replay, B.stations(spark, sf_dir)))
+
+
+# --- upsert semantics over orders ----------------------------------------------------
+def _versions(spark, sf_dir):
+    from railyard.sources.tables import read_table
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
+    return o.select("o_orderkey", (F.col("o_orderkey") % 3).cast("int").alias("version"),
+                    (F.col("o_custkey") % 7).cast("int").alias("part"), F.col("o_totalprice").alias("price"))
+
+
+@register("upsert_out_of_order", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 < 2 THEN 1 ELSE CAST(o_orderkey % 3 AS INTEGER) END AS version,
+       CAST(o_custkey % 7 AS INTEGER) AS part,
+       CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 3 < 2 THEN o_totalprice + 1 ELSE o_totalprice END AS price
+FROM orders""", "L2 T8 D8")
+def q_upsert_out_of_order(spark, sf_dir):
+    """Version 1 of the even orders arrives after versions 0, 1 and 2: it
+    replaces 0 and (higher price) 1, never 2."""
+    t = L.new_table_name("railyard_versions")
+    v = _versions(spark, sf_dir)
+    L.upsert(spark, t, v, "o_orderkey", "part", order=("version", "price"))
+    late = v.filter("o_orderkey % 2 = 0").withColumn("version", F.lit(1)).withColumn("price", F.col("price") + 1)
+    L.upsert(spark, t, late, "o_orderkey", "part", order=("version", "price"), stable_partition=True)
+    return spark.table(t).select("o_orderkey", "version", "part", "price")
+
+
+@register("upsert_null_partition", """
+SELECT o_orderkey, CASE WHEN o_custkey % 7 = 0 OR o_orderkey % 5 = 0 THEN NULL ELSE CAST(o_custkey % 7 AS INTEGER) END AS part,
+       CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice + 2 ELSE o_totalprice END AS price
+FROM orders""", "L2 D7")
+def q_upsert_null_partition(spark, sf_dir):
+    """Rows live in a NULL partition, and a fifth of all keys moves into it."""
+    t = L.new_table_name("railyard_null_part")
+    v = _versions(spark, sf_dir).drop("version").withColumn("part", F.expr("nullif(part, 0)"))
+    L.upsert(spark, t, v, "o_orderkey", "part")
+    moved = v.filter("o_orderkey % 5 = 0").withColumn("part", F.lit(None).cast("int")).withColumn(
+        "price", F.col("price") + 2)
+    L.upsert(spark, t, moved, "o_orderkey", "part")
+    return spark.table(t).select("o_orderkey", "part", "price")
+
+
+@register("upsert_new_column", """
+SELECT o_orderkey, CAST(o_custkey % 7 AS INTEGER) AS part, o_totalprice AS price,
+       CASE WHEN o_orderkey % 4 = 0 THEN 'checked' END AS note
+FROM orders""", "L2 S5")
+def q_upsert_new_column(spark, sf_dir):
+    """A batch brings a column that the table lacks."""
+    t = L.new_table_name("railyard_new_col")
+    v = _versions(spark, sf_dir).drop("version")
+    L.upsert(spark, t, v, "o_orderkey", "part")
+    L.upsert(spark, t, v.filter("o_orderkey % 4 = 0").withColumn("note", F.lit("checked")), "o_orderkey", "part")
+    return spark.table(t).select("o_orderkey", "part", "price", "note")
