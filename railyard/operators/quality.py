@@ -106,12 +106,13 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 # --- freshness, retention, contracts ---------------------------------------------------
 def freshness(df: DataFrame, table: str, loaded_at: str, as_of: Column, warn_min: int, error_min: int) -> DataFrame:
-    """Age of the newest row at ``as_of`` against warn and error ages (Q13)."""
+    """Age of the newest row at ``as_of`` against warn and error ages (Q13);
+    an empty table is an error."""
     m = df.agg(F.max(loaded_at).alias("max_loaded_at"))
     age = (F.unix_micros(as_of) - F.unix_micros("max_loaded_at")) / F.lit(60_000_000.0)
     return m.select(F.lit(table).alias("table_name"), "max_loaded_at",
                     F.round(age, 6).alias("age_minutes"),
-                    F.when(age > error_min, F.lit("error")).when(age > warn_min, F.lit("warn"))
+                    F.when(age.isNull() | (age > error_min), F.lit("error")).when(age > warn_min, F.lit("warn"))
                      .otherwise(F.lit("pass")).alias("status"))
 
 
@@ -122,8 +123,9 @@ def retention(df: DataFrame, date_col: str, as_of: Column, days: int = C.RETENTI
 
 
 def contract_diff(df: DataFrame, contract: list[tuple[str, str, bool]]) -> list[tuple[str, str, str]]:
-    """Schema contract (Q9): [(column, problem, detail)] for missing columns,
-    wrong types and nullable required columns.  Reads only the schema."""
+    """Schema contract (Q9): [(column, problem, detail)] for missing columns
+    and wrong types.  Reads only the schema; values are checked by
+    ``sources.contracts.violations``."""
     fields = {f.name: f for f in df.schema.fields}
     out = []
     for name, typ, required in contract:

@@ -28,13 +28,14 @@ DEDUP_ORDER = ("ingest_timestamp_utc", "fare_amount_cad", "tap_timestamp_utc", "
 def tag_violations(bronze: DataFrame, stations: DataFrame) -> DataFrame:
     """Add ``line_id`` (from the station dimension) and ``_reasons``.
 
-    Reasons: ``tap_id_null``, ``bad_tap_type`` and ``unknown_station``; an
+    Reasons: ``tap_id_null``, ``event_time_null``, ``bad_tap_type`` and ``unknown_station``; an
     empty array means the row passes.  NULL rule results count as failures.
     """
     dim = bounded_broadcast(stations.select("station_id", "line_id", F.lit(True).alias("_known")))
     j = bronze.join(dim, "station_id", "left")
     reasons = F.array_compact(F.array(
         F.when(F.col("tap_id").isNull(), F.lit("tap_id_null")),
+        F.when(F.col("tap_timestamp_utc").isNull(), F.lit("event_time_null")),
         F.when(~F.coalesce(F.col("tap_type").isin(*C.TAP_TYPES), F.lit(False)), F.lit("bad_tap_type")),
         F.when(F.col("_known").isNull(), F.lit("unknown_station")),
     ))

@@ -10,6 +10,7 @@ from railyard.plans.catalog import register
 from railyard.plans.oracle_sql import compose
 from railyard.plans.q_core import silver_of
 from railyard.sources import binding as B
+from railyard.sources import contracts as CT
 
 BRONZE = "bronze.afc_taps"
 SILVER = "silver.afc_taps"
@@ -220,3 +221,34 @@ def q_load_metrics(spark, sf_dir):
                  F.count_if(F.size("_reasons") > 0).alias("rows_quarantined"),
                  F.count_if(F.array_contains("_reasons", "bad_tap_type")).alias("bad_tap_type"),
                  F.count_if(F.array_contains("_reasons", "unknown_station")).alias("unknown_station"))
+
+
+@register("dq_contract", compose("bronze", """
+SELECT 'bronze.afc_taps' AS contract, column_name, rule, CAST(failed AS BIGINT) AS failed_rows,
+       (SELECT COUNT(*) FROM bronze) AS total_rows, CASE WHEN failed > 0 THEN 'fail' ELSE 'pass' END AS status
+FROM (SELECT unnest([{'column_name': 'tap_id', 'rule': 'required', 'failed': count_if(k = 93)},
+  {'column_name': 'card_token', 'rule': 'required', 'failed': 0}, {'column_name': 'station_id', 'rule': 'required', 'failed': 0},
+  {'column_name': 'line', 'rule': 'required', 'failed': 0}, {'column_name': 'zone', 'rule': 'required', 'failed': count_if(zone IS NULL)},
+  {'column_name': 'fare_class', 'rule': 'required', 'failed': 0}, {'column_name': 'fare_class', 'rule': 'enum', 'failed': count_if(k = 92)},
+  {'column_name': 'fare_amount_cad', 'rule': 'required', 'failed': 0}, {'column_name': 'fare_amount_cad', 'rule': 'min', 'failed': count_if(k = 91 AND fare_amount_cad >= 0)},
+  {'column_name': 'tap_type', 'rule': 'required', 'failed': 0}, {'column_name': 'tap_type', 'rule': 'enum', 'failed': 0},
+  {'column_name': 'tap_timestamp_utc', 'rule': 'required', 'failed': count_if(k = 90)},
+  {'column_name': 'device_id', 'rule': 'required', 'failed': 0}, {'column_name': 'schema_version', 'rule': 'required', 'failed': 0},
+  {'column_name': 'ingest_timestamp_utc', 'rule': 'required', 'failed': 0},
+  {'column_name': 'tap_id', 'rule': 'unique', 'failed': (SELECT COALESCE(SUM(n), 0) FROM (SELECT COUNT(*) AS n FROM bronze
+    WHERE k <> 93 GROUP BY tap_id HAVING COUNT(*) > 1))}], recursive := true) FROM bronze)"""), "Q9 Q1 Q4 Q5 Q2")
+def q_dq_contract(spark, sf_dir):
+    """The tap contract over taps with planted faults: ids (k = 93), fare
+    classes (92), negative fares (91), event times (90), and the re-ingested
+    copies that break uniqueness."""
+    b = B.bronze_taps(spark, sf_dir, with_k=True)
+    faulty = b.select(
+        F.when(F.col("k") != 93, F.col("tap_id").cast("string")).alias("tap_id"),
+        F.col("card_token").cast("string").alias("card_token"), F.col("station_id").cast("string").alias("station_id"),
+        F.lit("L").alias("line"), "zone",
+        F.when(F.col("k") == 92, F.lit("STAFF")).otherwise(F.col("fare_class")).alias("fare_class"),
+        F.when(F.col("k") == 91, -F.col("fare_amount_cad") - F.lit(1)).otherwise(F.col("fare_amount_cad"))
+        .cast("double").alias("fare_amount_cad"), "tap_type",
+        F.when(F.col("k") != 90, F.col("tap_timestamp_utc")).alias("tap_timestamp_utc"), "device_id",
+        "schema_version", "ingest_timestamp_utc")
+    return CT.violations(faulty, CT.BRONZE_TAPS, "bronze.afc_taps")

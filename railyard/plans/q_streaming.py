@@ -14,6 +14,8 @@ from railyard.plans.catalog import register
 from railyard.plans.oracle_sql import compose
 from railyard.plans.q_core import silver_of
 from railyard.sources import binding as B
+from railyard.sources import bronze as BR
+from railyard.sources import contracts as CT
 from railyard.streaming import taps as S
 
 _INVARIANT = ("tap_id", "card_token", "station_id", "fare_class", "tap_type", "tap_timestamp_utc")
@@ -111,3 +113,50 @@ def q_stream_json_ingest(spark, sf_dir):
     sink, _ = S.ingest_messages(spark, msgs)
     return spark.read.parquet(sink).select(*B.BRONZE_COLUMNS) \
                 .withColumn("fare_amount_cad", F.col("fare_amount_cad").cast("double"))
+
+
+@register("stream_late_rows", compose("bronze", """
+SELECT tap_id, k = 95 AND tap_timestamp_utc < (SELECT MAX(tap_timestamp_utc) FROM bronze WHERE k <> 95) - INTERVAL 2 HOUR
+       AS is_late FROM bronze"""), "T1 T7 S10")
+def q_stream_late_rows(spark, sf_dir):
+    """A slice of the taps arrives after all others: what a watermarked
+    operator would drop is in the side table, nothing is lost."""
+    taps = B.bronze_taps(spark, sf_dir, with_k=True)
+    path = S.land_by_arrival(taps.filter("k <> 95").select(*B.BRONZE_COLUMNS))
+    S.land_by_arrival(taps.filter("k = 95").select(*B.BRONZE_COLUMNS), path, files=1)
+    good, late, _ = S.stream_late_rows(spark, path, files_per_trigger=1)
+    read = spark.read.schema(S.BRONZE_SCHEMA)
+    return (read.parquet(good).select("tap_id", F.lit(False).alias("is_late"))
+            .unionByName(read.parquet(late).select("tap_id", F.lit(True).alias("is_late"))))
+
+
+@register("stream_json_rescue", compose("bronze", """
+SELECT CAST(tap_id AS VARCHAR) AS tap_id, 'L' || CAST(zone AS VARCHAR) AS line, CAST(station_id AS VARCHAR) AS station_id,
+       CASE WHEN k % 2 = 0 THEN date_trunc('second', tap_timestamp_utc) ELSE tap_timestamp_utc END AS tap_timestamp_utc,
+       CASE WHEN k = 97 THEN 'extra' ELSE 'ok' END AS kind
+FROM bronze WHERE k NOT IN (94, 96)
+UNION ALL SELECT NULL, NULL, NULL, NULL, 'text kept' FROM bronze WHERE k = 96
+UNION ALL SELECT CAST(tap_id AS VARCHAR), 'L' || CAST(zone AS VARCHAR), CAST(station_id AS VARCHAR), NULL, 'text kept'
+FROM bronze WHERE k = 94"""), "S4 S6 S7 S11")
+def q_stream_json_rescue(spark, sf_dir):
+    """Twelve-field messages with string ids through a stream: whole-second
+    and microsecond times, an extra key (k = 97), a time that is none (k = 94)
+    and text that is no JSON (k = 96); nothing is lost."""
+    b = B.bronze_taps(spark, sf_dir, with_k=True)
+    iso = F.when(F.col("k") == 94, F.lit("yesterday")).when(
+        F.col("k") % 2 == 0, F.date_format("tap_timestamp_utc", "yyyy-MM-dd'T'HH:mm:ssXXX")).otherwise(
+        F.date_format("tap_timestamp_utc", BR.ISO_FORMAT))
+    body = F.to_json(F.struct(
+        F.col("tap_id").cast("string").alias("tap_id"), F.col("card_token").cast("string").alias("card_token"),
+        F.col("station_id").cast("string").alias("station_id"),
+        F.concat(F.lit("L"), F.col("zone").cast("string")).alias("line"), "zone", "fare_class",
+        F.col("fare_amount_cad").cast("double").alias("fare_amount_cad"), "tap_type",
+        iso.alias("tap_timestamp_utc"), "device_id", "schema_version",
+        F.when(F.col("k") == 97, F.lit("P")).alias("promo_code")))
+    value = F.when(F.col("k") == 96, F.concat(F.lit("#"), body)).otherwise(body)
+    sink, _ = S.ingest_messages(spark, S.land_messages(b.select(value.alias("value"))),
+                                schema=CT.wire_schema(CT.BRONZE_TAPS))
+    kind = (F.when(F.col("_rescued_data").isNull(), F.lit("ok"))
+            .when(F.col("_rescued_data") == F.lit('{"promo_code":"P"}'), F.lit("extra"))
+            .when(F.length("_rescued_data") > 40, F.lit("text kept")))
+    return spark.read.parquet(sink).select("tap_id", "line", "station_id", "tap_timestamp_utc", kind.alias("kind"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -74,12 +74,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "railyard-stage", f"{name}-{os.getpid()}-{next(_counter)}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss; never localCheckpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def _count():
     i = 0
     while True:

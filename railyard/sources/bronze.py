@@ -32,9 +32,9 @@ WIRE_SCHEMA = T.StructType([
     T.StructField("schema_version", T.StringType()),
     T.StructField("ingest_timestamp_utc", T.StringType()),
 ])
+TIME_FIELDS = ("tap_timestamp_utc", "ingest_timestamp_utc")
 CONTRACT_KEYS = tuple(f.name for f in WIRE_SCHEMA.fields)
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-FILES_PER_HOUR = 8
 
 
 def bronze_view(bronze: DataFrame) -> DataFrame:
@@ -51,16 +51,16 @@ def encode_messages(bronze: DataFrame) -> DataFrame:
     return bronze.select(F.col("station_id").cast("string").alias("key"), F.to_json(s).alias("value"))
 
 
-def _typed(parsed: DataFrame) -> DataFrame:
-    return (parsed
-            .withColumn("tap_timestamp_utc", F.to_timestamp("tap_timestamp_utc", ISO_FORMAT))
-            .withColumn("ingest_timestamp_utc", F.to_timestamp("ingest_timestamp_utc", ISO_FORMAT)))
+def _event_time(name: str):
+    """ISO-8601 text with any number of fraction digits and any offset; NULL
+    when it is no time (never an error)."""
+    return F.try_to_timestamp(F.col(name))
 
 
-def decode_messages(msgs: DataFrame) -> DataFrame:
-    """``from_json`` against the contract, timestamps parsed, arrival stamped."""
-    p = msgs.select(F.from_json(F.col("value").cast("string"), WIRE_SCHEMA).alias("m")).select("m.*")
-    return _typed(p).withColumn("_ingest_ts", F.current_timestamp())
+def decode_messages(msgs: DataFrame, schema: T.StructType = WIRE_SCHEMA) -> DataFrame:
+    """Contract fields typed, arrival stamped; whatever the contract cannot
+    hold is kept in ``_rescued_data``."""
+    return decode_with_rescue(msgs, schema).drop("rescue_reason").withColumn("_ingest_ts", F.current_timestamp())
 
 
 def drifted_messages(bronze_with_k: DataFrame) -> DataFrame:
@@ -80,24 +80,30 @@ def drifted_messages(bronze_with_k: DataFrame) -> DataFrame:
     return m.select(value.alias("value"))
 
 
-def decode_with_rescue(msgs: DataFrame) -> DataFrame:
-    """PERMISSIVE decode: contract fields typed; malformed text or keys
-    outside the contract land in ``_rescued_data`` (S4)."""
-    schema = T.StructType(WIRE_SCHEMA.fields + [T.StructField("_corrupt", T.StringType())])
+def decode_with_rescue(msgs: DataFrame, schema: T.StructType = WIRE_SCHEMA) -> DataFrame:
+    """PERMISSIVE decode: contract fields typed; malformed text, keys outside
+    the contract and times that cannot be read land in ``_rescued_data`` (S4)."""
+    times = [f.name for f in schema.fields if f.name in TIME_FIELDS]
+    with_corrupt = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
     v = F.col("value").cast("string")
     parsed = msgs.select(
         v.alias("_raw"),
-        F.from_json(v, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("m"))
+        F.from_json(v, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("m"))
     as_map = F.from_json(F.col("_raw"), T.MapType(T.StringType(), T.StringType()))
-    contract = F.array(*[F.lit(k) for k in CONTRACT_KEYS])
+    contract = F.array(*[F.lit(f.name) for f in schema.fields])
     extra = F.map_filter(as_map, lambda k, _: ~F.array_contains(contract, k))
-    rescued = (F.when(F.col("m._corrupt").isNotNull(), F.col("m._corrupt"))
-               .when(F.size(extra) > 0, F.to_json(extra)))
-    reason = (F.when(F.col("m._corrupt").isNotNull(), F.lit("malformed"))
-              .when(F.size(extra) > 0, F.lit("extra_keys"))
-              .otherwise(F.lit("ok")))
-    out = parsed.select("m.*", rescued.alias("_rescued_data"), reason.alias("rescue_reason")).drop("_corrupt")
-    return _typed(out)
+    malformed = F.col("_corrupt").isNotNull() | F.col("_empty")
+    bad_time = F.lit(False)
+    for t in times:
+        bad_time = bad_time | (F.col(t).isNotNull() & _event_time(t).isNull())
+    out = parsed.select("_raw", extra.alias("_extra"), F.col("m").isNull().alias("_empty"), "m.*")
+    rescued = (F.when(malformed, F.col("_raw")).when(bad_time, F.col("_raw"))
+               .when(F.size("_extra") > 0, F.to_json("_extra")))
+    reason = (F.when(malformed, F.lit("malformed")).when(bad_time, F.lit("bad_time"))
+              .when(F.size("_extra") > 0, F.lit("extra_keys")).otherwise(F.lit("ok")))
+    return out.select(*[_event_time(f.name).alias(f.name) if f.name in times else F.col(f.name)
+                        for f in schema.fields],
+                      rescued.alias("_rescued_data"), reason.alias("rescue_reason"))
 
 
 def rescue_summary(rescued: DataFrame) -> DataFrame:
@@ -123,9 +129,8 @@ def with_partition_columns(df: DataFrame, ts: str = "tap_timestamp_utc") -> Data
 def write_bronze(bronze: DataFrame, path: str | None = None, mode: str = "overwrite") -> str:
     """Write taps under ``dt=YYYY-MM-DD/hour=H`` by each row's own event time."""
     path = path or scratch_path(bronze.sparkSession, "bronze")
-    df = with_partition_columns(bronze)
-    salt = F.pmod(F.xxhash64("tap_id"), F.lit(FILES_PER_HOUR))
-    (df.repartition("dt", "hour", salt)
+    # AQE merges quiet hours and splits hot ones by size
+    (with_partition_columns(bronze).hint("rebalance", "dt", "hour")
        .write.mode(mode).partitionBy("dt", "hour")
        .option("compression", "zstd").option("maxRecordsPerFile", 5_000_000)
        .parquet(path))

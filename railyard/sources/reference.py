@@ -21,10 +21,9 @@ CALENDAR_JSON_SCHEMA = ("name string, start string, `end` string, station_ids ar
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        return len(spark.read.format("binaryFile").load(path).select("path").limit(1).collect()) > 0
-    except Exception:  # noqa: BLE001 - a missing path raises AnalysisException
-        return False
+    """Whether the path is there; any other trouble (rights, network) raises."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 def load_stations(spark: SparkSession, root: str, network: str) -> DataFrame:
@@ -39,39 +38,59 @@ def load_stations(spark: SparkSession, root: str, network: str) -> DataFrame:
 
 
 def load_events(spark: SparkSession, root: str, network: str) -> DataFrame:
-    """Events of one network; a missing file gives an empty frame."""
+    """Events of one network; a missing file gives an empty frame of the same
+    schema."""
     path = os.path.join(root, network, "events.csv")
-    if not _exists(spark, path):
-        return spark.createDataFrame([], EVENTS_CSV_SCHEMA).withColumn("network", F.lit(network))
-    return (spark.read.schema(EVENTS_CSV_SCHEMA).option("header", True).csv(path)
-            .withColumn("start_ts", F.to_timestamp("start_iso"))
-            .withColumn("end_ts", F.to_timestamp("end_iso"))
-            .withColumn("network", F.lit(network)))
+    raw = (spark.read.schema(EVENTS_CSV_SCHEMA).option("header", True).csv(path) if _exists(spark, path)
+           else spark.createDataFrame([], EVENTS_CSV_SCHEMA))
+    return (raw.withColumn("start_ts", F.to_timestamp("start_iso"))
+            .withColumn("end_ts", F.to_timestamp("end_iso")).withColumn("network", F.lit(network)))
 
 
 def load_calendar(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-array event calendar (times without zone are UTC, D23); a
-    missing file gives an empty frame."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], CALENDAR_JSON_SCHEMA)
-    return (spark.read.schema(CALENDAR_JSON_SCHEMA).option("multiLine", True).json(path)
-            .withColumn("start_ts", F.to_timestamp("start"))
-            .withColumn("end_ts", F.to_timestamp("end")))
+    """JSON-array event calendar (times without zone are UTC, D23); a missing
+    file gives an empty frame of the same schema.  ``event_id`` is a hash of
+    name and start, so the calendar can feed the event join."""
+    raw = (spark.read.schema(CALENDAR_JSON_SCHEMA).option("multiLine", True).json(path) if _exists(spark, path)
+           else spark.createDataFrame([], CALENDAR_JSON_SCHEMA))
+    return (raw.withColumn("start_ts", F.to_timestamp("start")).withColumn("end_ts", F.to_timestamp("end"))
+            .withColumn("event_id", F.xxhash64("name", "start")))
 
 
 def load_networks(spark: SparkSession, root: str, networks) -> DataFrame:
-    out = None
-    for n in networks:
-        d = load_stations(spark, root, n)
-        out = d if out is None else out.unionByName(d)
-    return out
+    """Stations of several networks in one scan; each network's folder must
+    hold stations."""
+    paths = {n: os.path.join(root, n, "stations.csv") for n in networks}
+    for n, path in paths.items():
+        if not _exists(spark, path):
+            raise FileNotFoundError(path)
+    df = (spark.read.schema(STATIONS_CSV_SCHEMA).option("header", True).option("mode", "FAILFAST")
+          .csv(list(paths.values())))
+    df = df.withColumn("network", F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/stations\.csv(?:/|$)", 1))
+    found = {r[0] for r in df.select("network").distinct().collect()}  # one value per network
+    if set(networks) - found:
+        raise ValueError(f"no stations in {sorted(set(networks) - found)}")
+    return df
 
 
 def write_network_stations(stations: DataFrame, root: str, network_col: str = "network") -> None:
-    """Seed writer for the reference layout (one CSV directory per network)."""
-    for n in [r[0] for r in stations.select(network_col).distinct().collect()]:   # network names
-        (stations.filter(F.col(network_col) == n).drop(network_col)
-         .write.mode("overwrite").option("header", True).csv(os.path.join(root, n, "stations.csv")))
+    """Seed writer for the reference layout (one CSV directory per network):
+    one write partitioned by network, then the folders take their names."""
+    spark = stations.sparkSession
+    parts = root.rstrip("/") + "-parts"
+    (stations.withColumn("_network", F.col(network_col)).drop(network_col).repartition("_network")
+     .write.mode("overwrite").partitionBy("_network").option("header", True).csv(parts))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(parts).getFileSystem(spark._jsc.hadoopConfiguration())
+    for s in fs.listStatus(hadoop.Path(parts)):
+        name = s.getPath().getName()
+        if name.startswith("_network="):
+            home = hadoop.Path(f"{root}/{name[9:]}")
+            fs.mkdirs(home)
+            to = hadoop.Path(home, "stations.csv")
+            fs.delete(to, True)
+            fs.rename(s.getPath(), to)
+    fs.delete(hadoop.Path(parts), True)
 
 
 def renormalise_priors(stations: DataFrame) -> DataFrame:
@@ -90,6 +109,3 @@ def append_evolving(df: DataFrame, path: str) -> None:
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
-
-def union_evolving(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.unionByName(b, allowMissingColumns=True)

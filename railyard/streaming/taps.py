@@ -10,48 +10,56 @@ same checkpoint resumes where it stopped (T5).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window
+from pyspark.sql.streaming import StreamingQueryListener
 
 from railyard import constants as C
 from railyard.operators import loads as L
 from railyard.operators import silver
 from railyard.session import scratch_path
+from railyard.sources import bronze as BR
+
+# the typed form of the wire schema: times are times
+BRONZE_SCHEMA = T.StructType([T.StructField(f.name, T.TimestampType() if f.name in BR.TIME_FIELDS else f.dataType)
+                              for f in BR.WIRE_SCHEMA.fields])
+
 
-BRONZE_SCHEMA = T.StructType([
-    T.StructField("tap_id", T.LongType()),
-    T.StructField("card_token", T.LongType()),
-    T.StructField("station_id", T.IntegerType()),
-    T.StructField("zone", T.IntegerType()),
-    T.StructField("fare_class", T.StringType()),
-    T.StructField("fare_amount_cad", T.DecimalType(18, 2)),
-    T.StructField("tap_type", T.StringType()),
-    T.StructField("tap_timestamp_utc", T.TimestampType()),
-    T.StructField("device_id", T.StringType()),
-    T.StructField("schema_version", T.StringType()),
-    T.StructField("ingest_timestamp_utc", T.TimestampType()),
-])
-
-
-def land_by_arrival(bronze: DataFrame, path: str | None = None) -> str:
-    """Land taps as Parquet files in arrival (ingest-day) order, one write per
-    day, so a file source sees them in the order they arrived."""
+def land_by_arrival(bronze: DataFrame, path: str | None = None, files: int | None = None) -> str:
+    """Land taps as Parquet files in one write.  Each file holds a range of
+    ingest times; the files get modification times in that order, which is the
+    order in which a file source takes them."""
     spark = bronze.sparkSession
     path = path or scratch_path(spark, "landing")
-    days = [r[0] for r in bronze.select(F.date_format("ingest_timestamp_utc", "yyyy-MM-dd").alias("d"))
-            .distinct().orderBy("d").collect()]          # one value per day
-    for d in days:
-        part = bronze.filter(F.date_format("ingest_timestamp_utc", "yyyy-MM-dd") == d)
-        part.write.mode("append").option("compression", "zstd").parquet(path)
+    files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    there = list(fs.listStatus(hadoop.Path(path))) if fs.exists(hadoop.Path(path)) else []
+    before = {f.getPath().getName() for f in there}
+    (bronze.repartitionByRange(files, "ingest_timestamp_utc").sortWithinPartitions("ingest_timestamp_utc")
+     .write.mode("append").option("compression", "zstd").parquet(path))
+    new = sorted((f.getPath() for f in fs.listStatus(hadoop.Path(path)) if f.getPath().getName() not in before
+                  and f.getPath().getName().startswith("part-")), key=lambda f: f.getName())
+    last = max([int(time.time() * 1000) - 1000 * len(new), *(f.getModificationTime() for f in there)])
+    for i, f in enumerate(new, 1):
+        fs.setTimes(f, last + 1000 * i, -1)
     return path
 
 
-def read_stream(spark: SparkSession, path: str, files_per_trigger: int = 4) -> DataFrame:
-    """Incremental Parquet file scan with an explicit schema."""
-    return (spark.readStream.schema(BRONZE_SCHEMA)
-            .option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(path))
+def read_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 4,
+                bytes_per_trigger: str | None = None) -> DataFrame:
+    """Incremental Parquet file scan with an explicit schema (S1, S17); a
+    micro-batch is bounded by files or by bytes."""
+    r = spark.readStream.schema(BRONZE_SCHEMA)
+    if bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", bytes_per_trigger)
+    elif files_per_trigger:
+        r = r.option("maxFilesPerTrigger", files_per_trigger)
+    return r.parquet(path)
 
 
 def with_lineage(stream: DataFrame) -> DataFrame:
@@ -67,6 +75,11 @@ def state_partitions(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
+def _start(w, spark: SparkSession | None = None):
+    late_listener(SparkSession.getActiveSession())
+    return w.start()
+
+
 def _run(writer, checkpoint: str, every: str | None = None, timeout_s: float | None = None,
          spark: SparkSession | None = None):
     """Start with a checkpoint.  Default: ``availableNow`` (drain, then
@@ -82,11 +95,11 @@ def _run(writer, checkpoint: str, every: str | None = None, timeout_s: float | N
         old = spark.conf.get("spark.sql.shuffle.partitions")
         spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark)))
         try:
-            q = w.start()
+            q = _start(w)
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", old)
     else:
-        q = w.start()
+        q = _start(w)
     if every:
         q.awaitTermination(timeout_s)
         if q.isActive:
@@ -97,11 +110,12 @@ def _run(writer, checkpoint: str, every: str | None = None, timeout_s: float | N
 
 
 def ingest_to_bronze(spark: SparkSession, landing: str, sink: str | None = None,
-                     every: str | None = None, timeout_s: float | None = None) -> tuple[str, object]:
+                     every: str | None = None, timeout_s: float | None = None,
+                     files_per_trigger: int | None = 4) -> tuple[str, object]:
     """Append-only bronze sink with checkpoint, run to completion (S3, T4, T5)
     or on a timer (S9)."""
     sink = sink or scratch_path(spark, "bronze-sink")
-    s = with_lineage(read_stream(spark, landing))
+    s = with_lineage(read_stream(spark, landing, files_per_trigger))
     q = _run(s.writeStream.format("parquet").option("path", sink).outputMode("append"), sink + "-ckpt",
              every, timeout_s)
     return sink, q
@@ -121,16 +135,80 @@ def stream_dedup(spark: SparkSession, landing: str, sink: str | None = None,
     return sink, q
 
 
+class LateRows(StreamingQueryListener):
+    """Counts the rows that stateful operators drop behind the watermark, from
+    every progress event of a query (``recentProgress`` forgets old ones)."""
+
+    def __init__(self):
+        self.by_query: dict[str, int] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        n = sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators)
+        self.by_query[str(p.runId)] = self.by_query.get(str(p.runId), 0) + n
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def late_listener(spark: SparkSession) -> LateRows:
+    """The session's listener, registered once."""
+    key = spark.sparkContext.applicationId
+    if key not in _listeners:
+        _listeners[key] = LateRows()
+        spark.streams.addListener(_listeners[key])
+    return _listeners[key]
+
+
+_listeners: dict[str, LateRows] = {}
+
+
 def dropped_by_watermark(query) -> int:
-    """Rows dropped as late over the run (T7).  Reported by windowed
-    aggregations; ``dropDuplicatesWithinWatermark`` evicts state by the
-    watermark but does not drop late rows."""
-    n = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
-            v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else op.numRowsDroppedByWatermark
-            n += int(v or 0)
-    return n
+    """Rows dropped as late over the whole run (T7).  Both windowed aggregation
+    and ``dropDuplicatesWithinWatermark`` drop rows behind the watermark."""
+    spark = query.sparkSession if hasattr(query, "sparkSession") else SparkSession.getActiveSession()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return late_listener(spark).by_query.get(str(query.runId), 0)
+
+
+def split_late(batch: DataFrame, seen_until, delay: str = C.LATE_WATERMARK) -> tuple[DataFrame, DataFrame]:
+    """(in time, late) rows of a micro-batch against the newest event time of
+    earlier batches (``None``: everything is in time)."""
+    if seen_until is None:
+        return batch, batch.limit(0)
+    late = F.col("tap_timestamp_utc") < F.lit(seen_until).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+    late = F.coalesce(late, F.lit(False))
+    return batch.filter(~late), batch.filter(late)
+
+
+def stream_late_rows(spark: SparkSession, landing: str, sink: str | None = None,
+                     files_per_trigger: int | None = 4) -> tuple[str, str, object]:
+    """Two sinks that together hold every row once: rows in time, and a side
+    table of the rows that a watermarked operator would drop, so nothing is
+    lost.  Each batch writes its own ``_batch_id`` folders and leaves the
+    newest event time there, so a replayed batch overwrites itself and sees
+    the same watermark."""
+    sink = sink or scratch_path(spark, "late")
+    good, late, marks = sink + "/in_time", sink + "/late", sink + "/marks"
+
+    def write(batch: DataFrame, batch_id: int):
+        seen = None
+        if batch_id:
+            seen = (spark.read.schema("_batch_id int, newest string").parquet(marks)
+                    .filter(F.col("_batch_id") < batch_id).agg(F.max("newest")).first()[0])
+        for part, path in zip(split_late(batch, seen), (good, late)):
+            part.write.mode("overwrite").parquet(f"{path}/_batch_id={batch_id}")
+        (batch.agg(F.date_format(F.max("tap_timestamp_utc"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("newest"))
+         .write.mode("overwrite").parquet(f"{marks}/_batch_id={batch_id}"))
+
+    q = _run(read_stream(spark, landing, files_per_trigger).writeStream.foreachBatch(write), sink + "-ckpt")
+    return good, late, q
 
 
 def stream_hourly(spark: SparkSession, source_path: str, sink: str | None = None,
@@ -164,8 +242,7 @@ def stream_hourly(spark: SparkSession, source_path: str, sink: str | None = None
     def write(batch: DataFrame, batch_id: int):
         (batch.select(F.col("window.start").alias("tap_hour_utc"), "station_id", "fare_class", "tap_type",
                       *[a for a in ("tap_count", "unique_riders_approx") if a in batch.columns])
-              .withColumn("_batch_id", F.lit(batch_id))
-              .write.mode("append").parquet(sink))
+              .write.mode("overwrite").parquet(f"{sink}/_batch_id={batch_id}"))
 
     q = _run(agg.writeStream.outputMode("update").foreachBatch(write), sink + "-ckpt", spark=spark)
     return sink, q
@@ -173,40 +250,46 @@ def stream_hourly(spark: SparkSession, source_path: str, sink: str | None = None
 
 def latest_windows(spark: SparkSession, sink: str, keys=("tap_hour_utc", "station_id", "fare_class", "tap_type")):
     """Latest version of every window written by ``stream_hourly``."""
-    df = spark.read.parquet(sink)
-    return silver.latest_per_key(df.withColumn("_k", F.concat_ws("|", *[F.col(k).cast("string") for k in keys])),
-                                 "_k", ("_batch_id",)).drop("_k", "_batch_id")
+    w = Window.partitionBy(*keys).orderBy(F.col("_batch_id").desc())
+    return (spark.read.parquet(sink).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
+            .drop("_rn", "_batch_id"))
 
 
-def stream_quality_gate(spark: SparkSession, landing: str, stations: DataFrame,
-                        sink: str | None = None) -> tuple[str, str, object]:
+def stream_quality_gate(spark: SparkSession, landing: str, stations: DataFrame, sink: str | None = None,
+                        files_per_trigger: int | None = 4) -> tuple[str, str, object]:
     """One ``foreachBatch``: rows passing the gate to one sink, failing rows
-    with their reasons to a quarantine sink (T6)."""
+    with their reasons to a quarantine sink (T6).  A batch owns its
+    ``_batch_id`` folder in both, so a replay after a failure overwrites it."""
     sink = sink or scratch_path(spark, "gate")
     good, bad = sink + "/kept", sink + "/quarantine"
 
     def write(batch: DataFrame, batch_id: int):
-        tagged = silver.tag_violations(batch, stations).withColumn("_batch_id", F.lit(batch_id))
-        tagged.persist()
-        tagged.filter(F.size("_reasons") == 0).drop("_reasons").write.mode("append").parquet(good)
-        (tagged.filter(F.size("_reasons") > 0)
-               .withColumn("reasons", F.array_join("_reasons", ",")).drop("_reasons")
-               .write.mode("append").parquet(bad))
-        tagged.unpersist()
-
-    q = _run(read_stream(spark, landing).writeStream.foreachBatch(write), sink + "-ckpt")
+        tagged = silver.tag_violations(batch, stations).persist()
+        try:
+            (tagged.filter(F.size("_reasons") == 0).drop("_reasons")
+             .write.mode("overwrite").parquet(f"{good}/_batch_id={batch_id}"))
+            (tagged.filter(F.size("_reasons") > 0)
+             .withColumn("reasons", F.array_join("_reasons", ",")).drop("_reasons")
+             .write.mode("overwrite").parquet(f"{bad}/_batch_id={batch_id}"))
+        finally:
+            tagged.unpersist()
+
+    q = _run(read_stream(spark, landing, files_per_trigger).writeStream.foreachBatch(write), sink + "-ckpt")
     return good, bad, q
 
 
-def stream_upsert(spark: SparkSession, landing: str, stations: DataFrame, table: str | None = None):
+def stream_upsert(spark: SparkSession, landing: str, stations: DataFrame, table: str | None = None,
+                  files_per_trigger: int | None = 8):
     """Latest-wins silver maintained from a stream (T8): each micro-batch is
-    deduplicated and upserted (idempotent, so a replayed batch is harmless)."""
+    deduplicated and merged; a version that was ingested earlier never replaces
+    a later one, in whatever order they arrive, and a replay changes nothing."""
     table = table or L.new_table_name("railyard_stream_silver")
 
     def write(batch: DataFrame, batch_id: int):
-        L.upsert(spark, table, silver.build_silver(batch, stations), "tap_id", "date_key")
+        L.upsert(spark, table, silver.build_silver(batch, stations), "tap_id", "date_key",
+                 order=silver.DEDUP_ORDER, stable_partition=True)
 
-    q = _run(read_stream(spark, landing, files_per_trigger=8).writeStream.foreachBatch(write),
+    q = _run(read_stream(spark, landing, files_per_trigger).writeStream.foreachBatch(write),
              scratch_path(spark, "upsert-ckpt"))
     return table, q
 
@@ -215,31 +298,35 @@ def stream_upsert(spark: SparkSession, landing: str, stations: DataFrame, table:
 def land_messages(bronze: DataFrame, path: str | None = None) -> str:
     """Land taps as JSON text messages (one per line), as a broker dump or
     an object-store drop would deliver them."""
-    from railyard.sources import bronze as BR
     path = path or scratch_path(bronze.sparkSession, "messages")
-    BR.encode_messages(bronze).select("value").write.mode("overwrite").text(path)
+    msgs = bronze if bronze.columns == ["value"] else BR.encode_messages(bronze).select("value")
+    msgs.write.mode("overwrite").text(path)
     return path
 
 
-def read_message_stream(spark: SparkSession, path: str, files_per_trigger: int = 4) -> DataFrame:
-    """JSON messages from text files, decoded against the contract."""
-    from railyard.sources import bronze as BR
-    raw = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
-    return BR.decode_messages(raw)
+def read_message_stream(spark: SparkSession, path: str, files_per_trigger: int | None = 4,
+                        schema: T.StructType = BR.WIRE_SCHEMA) -> DataFrame:
+    """JSON messages from text files, decoded against the contract; what the
+    contract cannot hold is in ``_rescued_data``."""
+    raw = spark.readStream
+    if files_per_trigger:
+        raw = raw.option("maxFilesPerTrigger", files_per_trigger)
+    return BR.decode_messages(raw.text(path), schema)
 
 
-def read_kafka_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+def read_kafka_stream(spark: SparkSession, servers: str, topic: str,
+                      schema: T.StructType = BR.WIRE_SCHEMA) -> DataFrame:
     """The same decode on a Kafka topic (``value`` bytes).  Needs the
     spark-sql-kafka package on the cluster's classpath; it is not present in
     this environment, so this source is not exercised by the tests."""
-    from railyard.sources import bronze as BR
     raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
            .option("subscribe", topic).option("startingOffsets", "earliest").load())
-    return BR.decode_messages(raw.select("key", "value"))
+    return BR.decode_messages(raw.select("key", "value"), schema)
 
 
-def ingest_messages(spark: SparkSession, path: str, sink: str | None = None) -> tuple[str, object]:
+def ingest_messages(spark: SparkSession, path: str, sink: str | None = None, files_per_trigger: int | None = 4,
+                    schema: T.StructType = BR.WIRE_SCHEMA) -> tuple[str, object]:
     sink = sink or scratch_path(spark, "message-sink")
-    s = read_message_stream(spark, path)
+    s = read_message_stream(spark, path, files_per_trigger, schema)
     q = _run(s.writeStream.format("parquet").option("path", sink).outputMode("append"), sink + "-ckpt")
     return sink, q

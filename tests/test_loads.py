@@ -80,3 +80,49 @@ def test_session_overwrite_mode_untouched(spark):
         assert spark.conf.get(key) == "static"
     finally:
         spark.conf.set(key, before)
+
+
+def test_upsert_null_partition_and_keys(spark):
+    t = L.new_table_name("t_null")
+    L.upsert(spark, t, spark.createDataFrame([(1, "a", None), (2, "b", None), (3, "c", 3)], SCHEMA), "tap_id", "date_key")
+    L.upsert(spark, t, spark.createDataFrame([(4, "d", None)], SCHEMA), "tap_id", "date_key")
+    assert {r[0] for r in _table(spark, t)} == {1, 2, 3, 4}
+    # both leave the NULL partition: it is empty, not stale
+    L.upsert(spark, t, spark.createDataFrame([(1, "a", 1), (2, "b", 1), (4, "d", 1)], SCHEMA), "tap_id", "date_key")
+    assert sorted(_table(spark, t)) == [(1, "a", 1), (2, "b", 1), (3, "c", 3), (4, "d", 1)]
+
+
+def _table(spark, t):
+    return [tuple(r) for r in spark.table(t).select("tap_id", "v", "date_key").collect()]
+
+
+def test_upsert_removes_its_staging(spark):
+    from railyard.session import checkpoint_dir
+    t = L.new_table_name("t_clean")
+    b = spark.createDataFrame([(1, "a", 1)], SCHEMA)
+    L.upsert(spark, t, b, "tap_id", "date_key")
+    L.upsert(spark, t, b, "tap_id", "date_key")
+    left = [f for f in os.listdir(os.path.join(checkpoint_dir(spark), "railyard-stage")) if f.startswith(t)]
+    assert left == []
+
+
+def test_shared_folder_is_required_off_local():
+    import pytest
+
+    from railyard.session import checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(Session())
