@@ -67,7 +67,7 @@ def _words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for _, k, buf, off in text_chunks(b.column(0), 8 << 20):
+        for _, k, buf, off in text_chunks(b.column(0)):
             h, shape, _ = _words(buf, off)
             u, first, n = np.unique(h, return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays(

@@ -179,7 +179,7 @@ def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for b in batches:
-            for i, docs, buf, off in text_chunks(b.column(2), 4 << 20):
+            for i, docs, buf, off in text_chunks(b.column(2)):
                 of, piece, start, length, crc, raw = [], [], [], [], [], []
                 ids, bounds = encoder.encode(buf, off)
                 codes = ids.astype("<u4", copy=False).tobytes()

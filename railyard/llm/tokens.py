@@ -39,6 +39,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 _BYTE = mix64(np.arange(1, 257, dtype=U64) * U64(0xD6E8FEB86659FD93))
+_LOWERED = _BYTE[_LOWER]
 _powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 
 
@@ -48,7 +49,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
         for i, root in enumerate((_ROOT, _INVERSE)):
             p = np.full(size, root, U64)
             p[0] = 1
-            _powers[i] = np.cumprod(p, dtype=U64)
+            _powers[i] = np.cumprod(p, out=p)
     return _powers[0], _powers[1]
 
 
@@ -90,8 +91,11 @@ def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bo
     if not len(starts):
         return np.zeros(0, U64)
     power, inverse = _power_tables(len(buf) + 1)
-    total = np.zeros(len(buf) + 1, U64)
-    np.cumsum(_BYTE[_LOWER[buf] if lower else buf] * power[:len(buf)], out=total[1:])
+    total = np.empty(len(buf) + 1, U64)
+    total[0] = 0
+    np.take(_LOWERED if lower else _BYTE, buf, out=total[1:])
+    total[1:] *= power[:len(buf)]
+    np.cumsum(total[1:], out=total[1:])
     return mix64((total[ends] - total[starts]) * inverse[starts])
 
 
