@@ -21,16 +21,30 @@ from railyard.llm import line_dedup, ngram_join, packing, quality_rules, source_
 from railyard.llm.staging import Stage
 
 
+def _packed(docs: DataFrame, *apart: str) -> DataFrame:
+    """``docs`` as the columns ``apart`` and one struct of all others, so that
+    no name of theirs meets a name that an operator uses."""
+    rest = [c for c in docs.columns if c not in apart]
+    return docs.select(*apart, F.struct(F.lit(0).alias("_"), *rest).alias("_doc"))
+
+
+def _unpacked(df: DataFrame, docs: DataFrame, **changed) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return df.select(*[(changed[c] if c in changed else F.col(c) if c in df.columns and c != "_doc"
+                        and c in ("doc_id", "text") else F.col("_doc")[c]).alias(c) for c in docs.columns])
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weak rules keep."""
-    return quality_rules.judge(docs, keep_text=True).where("kept").select(*docs.columns)
+    kept = quality_rules.judge(_packed(docs, "text"), keep_text=True).where("kept").select("text", "_doc")
+    return _unpacked(kept, docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later occurrences of three-line windows."""
-    found = line_dedup.drop_repeats(docs)
-    return (found.where("n_lines = 0 OR n_removed < n_lines")
-            .withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns))
+    found = line_dedup.drop_repeats(_packed(docs, "doc_id", "text")).where("n_lines = 0 OR n_removed < n_lines")
+    size = {"n_chars": F.length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
+    return _unpacked(found, docs, **size)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +52,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = ngram_join.link_documents(docs.select("doc_id", "text"), n=5, num=4, den=5)
     stay = (found.where("doc_id = component_id OR component_id IS NULL")
             .select(F.col("doc_id").alias("_id")).distinct())
-    return (docs.join(stay, docs["doc_id"].eqNullSafe(stay["_id"]), "left_semi")
-            .withColumn("_h", F.xxhash64("text")).dropDuplicates(["doc_id", "_h"]).select(*docs.columns))
+    rows = _packed(docs, "doc_id", "text").withColumn("_h", F.xxhash64("text"))
+    kept = (rows.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id", "_h"]))
+    return _unpacked(kept, docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

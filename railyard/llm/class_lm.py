@@ -168,6 +168,10 @@ class Model:
         self.base, self.start, self.end = base, start, end  # base: (N, V, count of the end)
 
 
+def _sums(of: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.bincount(of, weights=values, minlength=n).astype(float)
+
+
 def _score(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = held.value
@@ -182,10 +186,10 @@ def _score(held):
                 prev, cur = _sequence(cls, at, m.start, m.end)
                 text = np.repeat(np.arange(k), np.diff(at))
                 owner = np.repeat(np.arange(k), np.diff(at) + 1)
-                steps = np.bincount(owner, weights=m.transition[prev, cur], minlength=k)
-                base = np.bincount(text[hit], weights=np.log10(m.head_c[place[hit]] + 0.1) - bottom, minlength=k)
+                steps = _sums(owner, m.transition[prev, cur], k)
+                base = _sums(text[hit], np.log10(m.head_c[place[hit]] + 0.1) - bottom, k)
                 base += np.log10(c_end + 0.1) - bottom
-                emit = np.bincount(text[hit], weights=m.emission[place[hit]], minlength=k)
+                emit = _sums(text[hit], m.emission[place[hit]], k)
                 # distinct rarer words of each text
                 th, tt, ts = h[~hit], text[~hit], shape[~hit]
                 order = np.lexsort((th, tt))

@@ -228,7 +228,7 @@ def in_ranges(docs: DataFrame, id_col: str, text_col: str, rows: int = RANGE_ROW
                 ).otherwise(F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("guard"))))
     return (d.withColumn("to", F.explode(to))
             .select("to.part", "to.guard", "key.has", "id", "key.tie", "text")
-            .repartition(len(parts), "part")
+            .repartition(max(1, len(parts)), "part")
             .sortWithinPartitions("part", "guard", F.desc("has"), F.desc("id"), F.desc("tie"))
             .select("part", "guard", "id", "text"))
 

@@ -16,7 +16,8 @@ one blank, and blocks are joined by one blank.
 
 Defined cases: null, empty and text-free html give an empty text; broken
 markup (unclosed or stray tags, a ``<`` without an end) is read as browsers
-do in the common cases; repeated rows are read alike; extra columns stay.
+do in the common cases; repeated rows are read alike; extra
+columns stay, but those with the name of a result column are replaced.
 """
 
 from __future__ import annotations
@@ -225,7 +226,7 @@ def main_text(source: str | None) -> str:
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` with the html replaced by ``text`` and ``n_chars``."""
-    rest = [c for c in pages.columns if c != html_col]
+    rest = [c for c in pages.columns if c != html_col and c.lower() not in ("text", "n_chars")]
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*rest).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

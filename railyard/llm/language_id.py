@@ -18,7 +18,8 @@ punctuation become one blank class; runs of it count once.
 
 Defined cases: null text and text without a letter are ``und`` with score 0;
 ties go to the language first in code-point order; without any labelled text
-every text is ``und``; repeated rows are judged alike; extra columns stay.
+every text is ``und``; repeated rows are judged alike; extra
+columns stay, but those with the name of a result column are replaced.
 """
 
 from __future__ import annotations
@@ -93,8 +94,8 @@ class Alphabet:
 
 def automaton(codes: np.ndarray, size: int) -> np.ndarray:
     """Flat transition table of the suffix automaton of ``codes``: the entry of
-    (state, class) is the next state times ``size``, negative when a phrase
-    ends first."""
+    (state, class) is the next state times ``size``, negative when a new phrase
+    starts with the class.  The last state stands before any phrase."""
     moves: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes.tolist():
@@ -120,10 +121,11 @@ def automaton(codes: np.ndarray, size: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    start = np.zeros(size, np.int64)
+    # after a phrase: what starts the next one; a class that the sample lacks is a phrase of its own
+    begin = np.full(size, len(moves) * size, np.int64)
     for c, t in moves[0].items():
-        start[c] = t
-    table = np.tile(start * size + int(_END), (len(moves), 1))
+        begin[c] = t * size
+    table = np.tile(begin + int(_END), (len(moves) + 1, 1))
     for s, m in enumerate(moves):
         for c, t in m.items():
             table[s, c] = t * size
@@ -142,9 +144,11 @@ def learn(texts: dict[str, str], size: int = ALPHABET, chars: int = SAMPLE_CHARS
     return langs, alphabet, tables
 
 
-def phrases(codes: np.ndarray, start: np.ndarray, table: np.ndarray, block: int = BLOCK) -> np.ndarray:
+def phrases(codes: np.ndarray, start: np.ndarray, table: np.ndarray, classes: int = ALPHABET,
+            block: int = BLOCK) -> np.ndarray:
     """Phrases that each text needs against one automaton."""
     size = np.diff(start)
+    texts, before = len(size), len(table) - classes
     blocks = -(-size // block)
     owner = np.repeat(np.arange(len(size)), blocks)
     nth = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
@@ -152,8 +156,8 @@ def phrases(codes: np.ndarray, start: np.ndarray, table: np.ndarray, block: int
     left = np.minimum(size[owner] - nth * block, block)
     order = np.argsort(-left, kind="stable")
     at, left, owner = at[order], left[order], owner[order]
-    state = np.zeros(len(at), np.int32)
-    ended = np.ones(len(at), np.int32)
+    state = np.full(len(at), before, np.int32)
+    begun = np.zeros(len(at), np.int32)
     # number of blocks still running after each step
     running = np.searchsorted(-left, -np.arange(1, block + 1), side="right")
     for step in range(block):
@@ -162,9 +166,9 @@ def phrases(codes: np.ndarray, start: np.ndarray, table: np.ndarray, block: int
             break
         state[:n] += codes[at[:n] + step]
         np.take(table, state[:n], out=state[:n], mode="clip")
-        ended[:n] -= state[:n] >> 31
+        begun[:n] -= state[:n] >> 31
         state[:n] &= 0x7FFFFFFF
-    return np.bincount(owner, weights=ended, minlength=len(size))
+    return np.bincount(owner, weights=begun, minlength=texts)
 
 
 def _predict(model):
@@ -184,7 +188,7 @@ def _predict(model):
                 start = np.concatenate([[0], np.cumsum([len(t) for t in part])])
                 codes, start = alphabet.codes(points, start)
                 size = np.maximum(np.diff(start), 1)
-                cost = np.stack([phrases(codes, start, t) / size for t in tables]) if tables else np.ones((1, len(part)))
+                cost = np.stack([phrases(codes, start, t, alphabet.size) / size for t in tables]) if tables else np.ones((1, len(part)))
                 best = cost.argmin(0)
                 # share of the winner when phrases weigh as bits: 2 ** (-phrases) summed over languages
                 weight = np.exp2(-np.minimum((cost - cost.min(0)) * np.minimum(size, 256), 60))
@@ -201,7 +205,7 @@ def _predict(model):
 
 def identify(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
     """``docs`` with the text replaced by (lang_pred, score, phrases_per_char)."""
-    rest = [c for c in docs.columns if c != text_col]
+    rest = [c for c in docs.columns if c != text_col and c.lower() not in ("lang_pred", "score", "phrases_per_char")]
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema)
 

@@ -54,13 +54,15 @@ def covered(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col:
 
 def drop_repeats(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with later occurrences removed from the text, plus ``n_lines``
-    and ``n_removed``."""
+    and ``n_removed`` (which replace input columns of that name)."""
     hits = covered(docs, window, id_col, text_col)
-    keyed = docs.withColumn("_tie", F.xxhash64(text_col))
     hits = hits.select(F.col("id").alias("_id"), F.col("tie").alias("_of"), "covered")
-    joined = keyed.join(hits, keyed[id_col].eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_of")), "left")
+    carried = [c for c in docs.columns if c != text_col and c.lower() not in ("n_lines", "n_removed")]
+    keyed = docs.select(F.struct(F.lit(0).alias("_"), *carried).alias("_row"), F.col(id_col).alias("_key"),
+                        F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_tie"))
+    joined = keyed.join(hits, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_of")), "left")
     # places of the lines with a word; covered line numbers count these
-    numbered = (joined.withColumn("_lines", F.split(F.coalesce(text_col, F.lit("")), "\n", -1))
+    numbered = (joined.withColumn("_lines", F.split(F.coalesce("_text", F.lit("")), "\n", -1))
                 .withColumn("_at", F.expr(f"filter(sequence(0, size(_lines) - 1), i -> get(_lines, i) RLIKE '{_HAS_WORD}')"))
                 .withColumn("n_lines", F.size("_at").cast("long"))
                 .withColumn("n_removed", F.when(F.col("covered").isNull(), F.lit(0))
@@ -68,9 +70,11 @@ def drop_repeats(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_
     kept = F.expr("""
         array_join(transform(array_except(sequence(0, size(_lines) - 1), transform(covered, c -> get(_at, c))),
                              i -> get(_lines, i)), '\n')""")
-    return (numbered.withColumn(text_col, F.when(F.col("covered").isNull(), F.col(text_col))
-                                .when(F.size("covered") == F.col("n_lines"), F.lit("")).otherwise(kept))
-            .select(*docs.columns, "n_lines", "n_removed"))
+    text = (F.when(F.col("covered").isNull(), F.col("_text"))
+            .when(F.size("covered") == F.col("n_lines"), F.lit("")).otherwise(kept))
+    columns = [text.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns
+               if c == text_col or c in carried]
+    return numbered.select(*columns, "n_lines", "n_removed")
 
 
 def oracle_sql() -> str:

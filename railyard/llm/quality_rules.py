@@ -14,7 +14,7 @@ is one aggregate over the pattern table whose result is a single row.
 
 Defined cases: null or empty text has no words, counts 0 and fails the base;
 ties at one half keep the document; repeated rows are judged alike; on an
-empty table the result is empty.  Extra columns are ignored.
+empty table the result is empty.  Extra columns stay.
 """
 
 from __future__ import annotations
@@ -121,14 +121,19 @@ def fit(votes: DataFrame, st: Stage, rounds: int = ROUNDS) -> tuple[float, list[
 
 def judge(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, keep_text: bool = False) -> DataFrame:
     """``docs`` with the counts, votes, ``posterior`` and ``kept``; the text
-    only with ``keep_text``.  Text is read once; the result reads the staged
-    counts."""
+    only with ``keep_text``.  Input columns with the name of a result column
+    are replaced.  Text is read once; the result reads the staged counts."""
     st = Stage(docs.sparkSession, "quality-rules")
-    counted = counts(docs, text_col)
-    if not keep_text:
-        counted = counted.drop(text_col)
+    bare = counts(docs.select(F.col(text_col).alias("_text")), "_text").columns[1:]
+    votes = [f"v_{r[0]}" for r in RULES]
+    new = {c.lower() for c in [*bare, *votes, "posterior", "kept", text_col]}
+    carried = [c for c in docs.columns if c.lower() not in new]
+    packed = docs.select(F.struct(F.lit(0).alias("_"), *carried).alias("_row"), F.col(text_col).alias("_text"))
+    counted = counts(packed, "_text")
     for rule in RULES:
         counted = counted.withColumn(f"v_{rule[0]}", vote(rule))
+    counted = counted.select(*[F.col("_row")[c].alias(c) for c in carried],
+                             *[F.col("_text").alias(text_col)] * keep_text, *bare, *votes)
     counted = st.stage(counted, "counts")
     model = fit(counted, st, rounds)
     return (counted.withColumn("posterior", _good(*model))

@@ -100,10 +100,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: float = 2.0,
     # copies follow from the id and the source; one row per pair is enough
     copies = (taken.where("copies > 0").select(F.col("id").alias("_id"), F.col("source").alias("_source"), "copies")
               .withColumnRenamed("copies", "_copies").dropDuplicates(["_id", "_source"]))
-    hit = docs.join(copies, docs[id_col].eqNullSafe(copies["_id"])
-                    & docs[source_col].eqNullSafe(copies["_source"]))
-    return (hit.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-            .select(*[docs[c] for c in docs.columns]))
+    packed = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(id_col).alias("_i"),
+                         F.col(source_col).alias("_s"))
+    return (packed.join(copies, F.col("_i").eqNullSafe(F.col("_id")) & F.col("_s").eqNullSafe(F.col("_source")))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_doc.*"))
 
 
 def oracle_sql() -> str:

@@ -20,7 +20,8 @@ text is scored whole.
 Defined cases: null, empty and word-less texts have statistic 0 (the score of
 a text without evidence); without labels of both classes every score is the
 share of toxic labels, or 0; repeated rows are scored alike; several labels of
-one id count each; extra columns stay.
+one id count each; extra
+columns stay, but those with the name of a result column are replaced.
 """
 
 from __future__ import annotations
@@ -191,7 +192,7 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, flo
 
 def statistic(docs: DataFrame, held, text_col: str = "text") -> DataFrame:
     """``docs`` with the text replaced by ``statistic``."""
-    rest = [c for c in docs.columns if c != text_col]
+    rest = [c for c in docs.columns if c != text_col and c.lower() not in ("statistic", "score", "predicted")]
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
