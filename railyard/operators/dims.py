@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from railyard import constants as C
 from railyard.functions import columns as X
-from railyard.sources.tables import bounded_broadcast
 
 
 def date_spine(bounds: DataFrame) -> DataFrame:
@@ -33,7 +32,7 @@ def dim_date(spine: DataFrame, event_days: DataFrame | None = None) -> DataFrame
         X.is_weekend(d).alias("is_weekend"))
     out = out.withColumn("day_type", X.day_type("is_weekend"))
     if event_days is not None:
-        ed = F.broadcast(event_days.withColumnRenamed("service_date", "calendar_date"))  # bounded: event days
+        ed = event_days.withColumnRenamed("service_date", "calendar_date")  # bounded: event days
         out = out.join(ed, "calendar_date", "left") \
                  .withColumn("is_event_day", F.coalesce(F.col("is_event_day"), F.lit(False)))
     return out
@@ -41,7 +40,7 @@ def dim_date(spine: DataFrame, event_days: DataFrame | None = None) -> DataFrame
 
 def dim_station(stations: DataFrame, lines: DataFrame) -> DataFrame:
     """Stations with line name and both distances to the anchor."""
-    j = stations.join(bounded_broadcast(lines), "line_id", "left")
+    j = stations.join(lines, "line_id", "left")
     a_lat, a_lon = C.UNION_ANCHOR
     return j.select("station_id", "name", "line_id", "line_name", "zone", "lat", "lon",
                     X.r6(X.planar_km("lat", "lon")).alias("km_planar"),

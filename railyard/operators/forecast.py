@@ -77,17 +77,19 @@ def uplift_attribution(static: DataFrame, hits: DataFrame, calendar: DataFrame)
     donor observed / donor baseline, donors being the other stations in the
     same hours; interval = ratio +- 1.96 * sqrt(sum sd^2) / counterfactual."""
     ev_hours = hits.select("event_id", "tap_hour_utc").distinct()
-    ev_st = calendar.select("event_id", "station_ids")
-    rows = (static.select("station_id", "tap_hour_utc", "unique_riders", "baseline_riders", "baseline_riders_sd")
-            .join(F.broadcast(ev_hours), "tap_hour_utc")             # bounded: event hours
-            .join(F.broadcast(ev_st), "event_id")
-            .withColumn("_in", F.array_contains("station_ids", F.col("station_id"))))
-    a = rows.groupBy("event_id").agg(
-        F.sum(F.when(F.col("_in"), F.col("unique_riders"))).alias("observed"),
-        F.sum(F.when(F.col("_in"), F.col("baseline_riders"))).alias("_base"),
-        F.sum(F.when(F.col("_in"), F.pow("baseline_riders_sd", 2))).alias("_var"),
-        F.sum(F.when(~F.col("_in"), F.col("unique_riders"))).alias("_donor_obs"),
-        F.sum(F.when(~F.col("_in"), F.col("baseline_riders"))).alias("_donor_base"))
+    cols = static.select("station_id", "tap_hour_utc", "unique_riders", "baseline_riders", "baseline_riders_sd")
+    # all stations of an hour once; an event's own stations are taken off that, so no donor row is copied
+    hours = cols.groupBy("tap_hour_utc").agg(F.sum("unique_riders").alias("_riders"),
+                                             F.sum("baseline_riders").alias("_bases"))
+    everyone = (ev_hours.join(hours, "tap_hour_utc").groupBy("event_id")
+                .agg(F.sum("_riders").alias("_all_obs"), F.sum("_bases").alias("_all_base")))
+    own = (ev_hours.join(calendar.select("event_id", F.explode("station_ids").alias("station_id")), "event_id")
+           .distinct().join(cols, ["station_id", "tap_hour_utc"]).groupBy("event_id")
+           .agg(F.sum("unique_riders").alias("observed"), F.sum("baseline_riders").alias("_base"),
+                F.sum(F.pow("baseline_riders_sd", 2)).alias("_var")))
+    a = (everyone.join(own, "event_id", "left")
+         .withColumn("_donor_obs", F.col("_all_obs") - F.coalesce("observed", F.lit(0)))
+         .withColumn("_donor_base", F.col("_all_base") - F.coalesce("_base", F.lit(0.0))))
     cf = F.col("_base") * F.try_divide(F.col("_donor_obs").cast("double"), F.nullif(F.col("_donor_base"), F.lit(0.0)))
     a = a.withColumn("_cf", cf).withColumn("_ratio", F.try_divide(F.col("observed").cast("double"),
                                                                    F.nullif(F.col("_cf"), F.lit(0.0))))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from railyard import constants as C
 from railyard.functions import columns as X
-from railyard.sources.tables import bounded_broadcast
+from railyard.session import scratch_path
 
 def exploded_events(calendar: DataFrame) -> DataFrame:
     return calendar.select("event_id", F.explode("station_ids").alias("_ev_station"),
@@ -33,7 +33,7 @@ def exploded_events(calendar: DataFrame) -> DataFrame:
 def event_hours(station_hours: DataFrame, calendar: DataFrame) -> DataFrame:
     """(station_id, tap_hour_utc) rows inside an event window at one of the
     event's stations, both bounds closed; one row per matching event."""
-    ev = F.broadcast(exploded_events(calendar))  # calendar: bounded inline table
+    ev = exploded_events(calendar)
     sh = station_hours.select("station_id", "tap_hour_utc").distinct()
     cond = ((sh.station_id == ev._ev_station)
             & (sh.tap_hour_utc >= ev.start_ts) & (sh.tap_hour_utc <= ev.end_ts))
@@ -42,7 +42,7 @@ def event_hours(station_hours: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def event_interval_join(silver: DataFrame, calendar: DataFrame) -> DataFrame:
     """Taps that fall in an event window at one of its stations."""
-    ev = F.broadcast(exploded_events(calendar))
+    ev = exploded_events(calendar)
     cond = ((silver.station_id == ev._ev_station)
             & (silver.tap_timestamp_utc >= ev.start_ts) & (silver.tap_timestamp_utc <= ev.end_ts))
     return (silver.join(ev, cond, "inner")
@@ -64,7 +64,7 @@ def event_station_bridge(calendar: DataFrame, stations: DataFrame) -> DataFrame:
     """Event -> station bridge from explicit station lists (N5), kept only for
     stations the dimension knows."""
     ev = exploded_events(calendar).withColumnRenamed("_ev_station", "station_id")
-    return ev.join(bounded_broadcast(stations.select("station_id", "name")), "station_id", "inner") \
+    return ev.join(stations.select("station_id", "name"), "station_id", "inner") \
              .select("event_id", "station_id", "name", "start_ts", "end_ts", "uplift_multiplier")
 
 
@@ -81,13 +81,15 @@ def _outside_block_bound_km(lat, g):
 
 def nearest_station(points: DataFrame, stations: DataFrame, grids=(0.1, 1.0, 10.0, 360.0)) -> DataFrame:
     """For every (point_id, lat, lon) the nearest station by great-circle
-    distance; ties go to the smaller station_id.  Exact: see module doc."""
-    st = bounded_broadcast(stations.select("station_id", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon")))
+    distance; ties go to the smaller station_id.  Exact: see module doc.
+
+    Each level is staged once and the next one reads only its undecided
+    points, so the points themselves are read a single time."""
+    spark = points.sparkSession
+    st = stations.select("station_id", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
     offsets = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    remaining = points.select("point_id", "lat", "lon")
-    answers = []
+    remaining, out = points.select("point_id", "lat", "lon"), None
     for i, g in enumerate(grids):
-        last = i == len(grids) - 1
         srep = (st.select("*", F.explode(offsets).alias("_di"))
                   .select("*", F.explode(offsets).alias("_dj"))
                   .select("station_id", "s_lat", "s_lon",
@@ -95,21 +97,23 @@ def nearest_station(points: DataFrame, stations: DataFrame, grids=(0.1, 1.0, 10.
                           (F.floor(F.col("s_lon") / g) + F.col("_dj")).alias("_cj")))
         pc = remaining.select("point_id", "lat", "lon",
                               F.floor(F.col("lat") / g).alias("_ci"), F.floor(F.col("lon") / g).alias("_cj"))
-        cand = pc.join(F.broadcast(srep), ["_ci", "_cj"], "inner") \
-                 .withColumn("_d", X.haversine_km("lat", "lon", "s_lat", "s_lon"))
-        best = cand.groupBy("point_id", "lat", "lon").agg(
-            F.min(F.struct(F.col("_d").alias("distance_km"), F.col("station_id"))).alias("_b"))
-        best = best.select("point_id", "lat", "lon", "_b.station_id", "_b.distance_km")
-        if last:
-            answers.append(best.select("point_id", "station_id", "distance_km"))
-            break
-        ok = ((F.col("distance_km") < _outside_block_bound_km(F.col("lat"), g))
-              & (F.abs(F.col("lon")) + F.lit(2 * g) < F.lit(180.0)))
-        answers.append(best.filter(ok).select("point_id", "station_id", "distance_km"))
-        remaining = remaining.join(best.filter(ok).select("point_id"), "point_id", "left_anti")
-    out = answers[0]
-    for a in answers[1:]:
-        out = out.unionByName(a)
+        distance = F.when(F.col("station_id").isNotNull(), X.haversine_km("lat", "lon", "s_lat", "s_lon"))
+        best = (pc.join(srep, ["_ci", "_cj"], "left").withColumn("_d", distance)
+                .groupBy("point_id", "lat", "lon")
+                .agg(F.min(F.when(F.col("_d").isNotNull(), F.struct(F.col("_d").alias("distance_km"), "station_id")))
+                     .alias("_b"))
+                .select("point_id", "lat", "lon", "_b.station_id", "_b.distance_km"))
+        if i == len(grids) - 1:
+            found = best.filter(F.col("station_id").isNotNull())
+        else:
+            path = scratch_path(spark, "nearest")
+            best.write.parquet(path)
+            best = spark.read.schema(best.schema).parquet(path)
+            ok = F.coalesce((F.col("distance_km") < _outside_block_bound_km(F.col("lat"), g))
+                            & (F.abs(F.col("lon")) + F.lit(2 * g) < F.lit(180.0)), F.lit(False))
+            found, remaining = best.filter(ok), best.filter(~ok).select("point_id", "lat", "lon")
+        found = found.select("point_id", "station_id", "distance_km")
+        out = found if out is None else out.unionByName(found)
     return out
 
 
@@ -133,10 +137,10 @@ def station_distance_matrix(pairs: DataFrame, stations: DataFrame) -> DataFrame:
     """Great-circle distance for every observed station pair (J11): two
     equi-joins to the size-checked station dimension, no pair enumeration."""
     st = stations.select("station_id", "lat", "lon")
-    o = bounded_broadcast(st.select(F.col("station_id").alias("origin"), F.col("lat").alias("o_lat"),
-                                    F.col("lon").alias("o_lon")))
-    d = bounded_broadcast(st.select(F.col("station_id").alias("destination"), F.col("lat").alias("d_lat"),
-                                    F.col("lon").alias("d_lon")))
+    o = st.select(F.col("station_id").alias("origin"), F.col("lat").alias("o_lat"),
+                                    F.col("lon").alias("o_lon"))
+    d = st.select(F.col("station_id").alias("destination"), F.col("lat").alias("d_lat"),
+                                    F.col("lon").alias("d_lon"))
     j = pairs.join(o, "origin").join(d, "destination")
     return j.select("origin", "destination", "trips",
                     X.r6(X.haversine_km("o_lat", "o_lon", "d_lat", "d_lon")).alias("km_haversine"))

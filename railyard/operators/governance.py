@@ -1,7 +1,7 @@
 """Governance: user-access bridge, row filters and column masks.
 
 The access bridge is built per scope kind with equi-joins or filters on the
-station dimension (a size-checked broadcast); the row filter is a
+station dimension; the row filter is a
 ``left_semi`` join on ``station_id``, so facts are never duplicated by it.
 """
 
@@ -11,17 +11,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railyard import constants as C
-from railyard.sources.tables import bounded_broadcast
 
 
 def user_access(scopes: DataFrame, stations: DataFrame) -> DataFrame:
     """(user_principal_name, role, station_id) from role scopes (G2):
     ``all`` -> every station, ``line`` -> stations of that line,
     ``stations`` -> the listed stations the dimension knows."""
-    st = bounded_broadcast(stations.select("station_id", "line_id"))
-    all_ids = st.agg(F.collect_list("station_id")).scalar()      # size-checked dimension
+    st = stations.select("station_id", "line_id")
     every = scopes.filter(F.col("scope") == "all") \
-        .select("user_principal_name", "role", F.explode(all_ids).alias("station_id"))
+        .join(st.withColumn("_scope", F.lit("all")), F.col("scope") == F.col("_scope")) \
+        .select("user_principal_name", "role", "station_id")
     by_line = scopes.filter(F.col("scope") == "line") \
         .join(st, F.col("scope_line") == st.line_id).select("user_principal_name", "role", "station_id")
     listed = scopes.filter(F.col("scope") == "stations") \

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from railyard import constants as C
 from railyard.functions import columns as X
 from railyard.operators import geo
-from railyard.sources.tables import bounded_broadcast
 
 
 def _with_calendar_keys(fact: DataFrame) -> DataFrame:
@@ -53,15 +52,16 @@ def uplift_trailing(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     NULL ``event_id``)."""
     event_days = geo.event_days(calendar)
     f = _with_calendar_keys(fact).withColumn("service_date", F.to_date("tap_hour_utc"))
-    f = (f.join(F.broadcast(event_days), "service_date", "left")
+    f = (f.join(event_days, "service_date", "left")
           .withColumn("is_event_day", F.coalesce(F.col("is_event_day"), F.lit(False)))
           .withColumn("_epoch_day", F.datediff("service_date", F.lit("1970-01-01").cast("date"))))
     w = (Window.partitionBy("station_id", "day_of_week", "hour_of_day")
          .orderBy("_epoch_day").rangeBetween(-C.TRAILING_BASELINE_DAYS, -1))
     clean = F.when(~F.col("is_event_day"), F.col("unique_riders"))
     f = f.withColumn("_b", F.avg(clean).over(w)).withColumn("_sd", F.stddev_pop(clean).over(w))
-    hits = geo.event_hours(f.select("station_id", "tap_hour_utc"), calendar)
-    f = f.join(hits, ["station_id", "tap_hour_utc"], "left")
+    ev = geo.exploded_events(calendar).select("event_id", "_ev_station", "start_ts", "end_ts")
+    f = f.join(ev, (F.col("station_id") == F.col("_ev_station")) & (F.col("tap_hour_utc") >= F.col("start_ts"))
+               & (F.col("tap_hour_utc") <= F.col("end_ts")), "left")
     return f.select("date_key", "tap_hour_utc", "station_id", "line_id", "event_id", "is_event_day",
                     "unique_riders", *_uplift_columns("unique_riders", "_b", "_sd"))
 
@@ -123,7 +123,7 @@ def line_performance(ridership: DataFrame, revenue: DataFrame, lines: DataFrame)
          .groupBy("line_id", "service_date")
          .agg(F.sum(X.money("gross_fare_revenue_cad")).alias("_rev"),
               F.sum("paid_tap_count").alias("paid_tap_count")))
-    j = r.join(v, ["line_id", "service_date"], "left").join(bounded_broadcast(lines), "line_id", "left")
+    j = r.join(v, ["line_id", "service_date"], "left").join(lines, "line_id", "left")
     return j.select("line_id", "line_name", "service_date", "total_taps", "tap_on_count", "rider_hours",
                     "active_stations",
                     X.money_out(F.coalesce(F.col("_rev"), F.lit(0))).alias("gross_fare_revenue_cad"),

@@ -98,8 +98,8 @@ def fare_mix(silver: DataFrame) -> DataFrame:
                                            F.sum(X.money("fare_amount_cad")).alias("_fare"))
     obs = per.select("fare_class", "taps", "_fare",
                      (F.col("taps") / F.sum("taps").over(Window.partitionBy())).alias("observed_share"))  # 5 rows
-    j = (obs.join(F.broadcast(expected), "fare_class", "full")
-            .join(F.broadcast(fare_table(spark)), "fare_class", "left"))        # 5-row inline tables
+    j = (obs.join(expected, "fare_class", "full")
+            .join(fare_table(spark), "fare_class", "left"))        # 5-row inline tables
     return j.select("fare_class", F.coalesce("taps", F.lit(0)).cast("bigint").alias("taps"),
                     X.r6(F.coalesce("observed_share", F.lit(0.0))).alias("observed_share"),
                     X.r6("expected_share").alias("expected_share"),
@@ -191,7 +191,7 @@ def event_day_uplift_pct(fact: DataFrame, uplift: DataFrame, event_days: DataFra
     1, in %; M9: mean uplift multiplier x 100.  Per station."""
     daily = (fact.withColumn("service_date", F.to_date("tap_hour_utc"))
              .groupBy("station_id", "service_date").agg(F.sum("total_taps").alias("_t"))
-             .join(F.broadcast(event_days), "service_date", "left")
+             .join(event_days, "service_date", "left")
              .withColumn("is_event_day", F.coalesce("is_event_day", F.lit(False))))
     m8 = daily.groupBy("station_id").agg(
         F.avg(F.when(F.col("is_event_day"), F.col("_t"))).alias("_e"),

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from railyard import constants as C
 from railyard.functions import columns as X
-from railyard.sources.tables import bounded_broadcast
 
 SILVER_COLUMNS = ("tap_id", "card_token", "station_id", "line_id", "zone", "fare_class",
                   "fare_amount_cad", "tap_type", "tap_timestamp_utc", "device_id",
@@ -31,7 +30,7 @@ def tag_violations(bronze: DataFrame, stations: DataFrame) -> DataFrame:
     Reasons: ``tap_id_null``, ``event_time_null``, ``bad_tap_type`` and ``unknown_station``; an
     empty array means the row passes.  NULL rule results count as failures.
     """
-    dim = bounded_broadcast(stations.select("station_id", "line_id", F.lit(True).alias("_known")))
+    dim = stations.select("station_id", "line_id", F.lit(True).alias("_known"))
     j = bronze.join(dim, "station_id", "left")
     reasons = F.array_compact(F.array(
         F.when(F.col("tap_id").isNull(), F.lit("tap_id_null")),

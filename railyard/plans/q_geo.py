@@ -12,7 +12,7 @@ from railyard.plans.oracle_sql import _cte, compose
 from railyard.plans.q_core import facts_of, silver_of
 from railyard.plans.q_dims import hav_sql
 from railyard.sources import binding as B
-from railyard.sources.tables import bounded_broadcast, read_table
+from railyard.sources.tables import read_table
 
 
 @register("event_interval_join", compose("silver", "calendar_x", """
@@ -185,7 +185,7 @@ def _actual_vs_stub(spark, sf_dir):
     r, _ = facts_of(spark, sf_dir)
     names = B.stations(spark, sf_dir).select("station_id", F.col("name").alias("station_name"))
     a = r.groupBy("station_id", "tap_hour_utc").agg(F.sum("total_taps").alias("total_taps"))
-    return R.stub_for_hours(a.join(bounded_broadcast(names), "station_id"))
+    return R.stub_for_hours(a.join(names, "station_id"))
 
 
 _cte("actual_vs_stub", ("fact_rh", "stations"), f"""
@@ -211,7 +211,7 @@ GROUP BY 1"""), "R3")
 def q_forecast_mape(spark, sf_dir):
     a = _actual_vs_stub(spark, sf_dir).withColumn("service_date", F.to_date("tap_hour_utc"))
     ed = geo.event_days(B.event_calendar(spark))
-    return R.mape(a.join(F.broadcast(ed), "service_date", "inner"))
+    return R.mape(a.join(ed, "service_date", "inner"))
 
 
 @register("uplift_attribution", compose("uplift_static", "event_hours", "calendar", """

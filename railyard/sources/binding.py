@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from railyard import constants as C
 from railyard.functions import columns as X
-from railyard.sources.tables import bounded_broadcast, read_table
+from railyard.sources.tables import read_table
 
 BRONZE_COLUMNS = ("tap_id", "card_token", "station_id", "zone", "fare_class",
                   "fare_amount_cad", "tap_type", "tap_timestamp_utc", "device_id",
@@ -88,7 +88,7 @@ def bronze_taps(spark: SparkSession, sf_dir: str, with_violations: bool = False,
                  .otherwise(F.col("ts").cast("timestamp")).alias("ingest_timestamp_utc"),
                 F.col("k"),
             ))
-    zones = bounded_broadcast(read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"]))
+    zones = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     taps = taps.join(zones, taps.station_id == zones.n_nationkey, "left").withColumnRenamed("n_regionkey", "zone")
     cols = list(BRONZE_COLUMNS) + (["k"] if with_k else [])
     return taps.select(*cols)
@@ -100,7 +100,7 @@ def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = its region, fare class = order priority."""
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
-    n = bounded_broadcast(read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"]))
+    n = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     j = o.join(c, o.o_custkey == c.c_custkey, "inner").join(n, F.col("c_nationkey") == n.n_nationkey, "inner")
     return j.select(
         F.col("o_orderkey").alias("tap_id"),

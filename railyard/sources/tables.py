@@ -1,11 +1,12 @@
-"""Readers for the driver's parquet tables and small, size-checked broadcasts."""
+"""Readers for the driver's parquet tables.  Which side of a join is broadcast
+is left to Spark: its byte threshold at planning and AQE's measured sizes at
+run time."""
 
 from __future__ import annotations
 
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -13,12 +14,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 DEFAULT_SF_DIR = "/root/testdata/sf0.01"
 
-# Dimension sides above this many rows are joined with a shuffle instead of a
-# broadcast.  The check runs a LIMIT query, so it never scans more than
-# ``max_rows + 1`` rows.
-BROADCAST_MAX_ROWS = 200_000
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
@@ -43,21 +38,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> Dat
     reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
     df = reader.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-_SIZE_CHECKS: dict[tuple, bool] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
-
-    Otherwise the frame is returned unchanged and Spark (with AQE) plans a
-    shuffle join, converting it to a broadcast at run time only if the
-    materialised side turns out small.  The check is remembered per plan and
-    input-file list, so a changed table is checked again."""
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())), max_rows)
-    small = _SIZE_CHECKS.get(key)
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        _SIZE_CHECKS[key] = small
-    return F.broadcast(df) if small else df
