@@ -101,5 +101,7 @@ USER_SCOPES = (
     ("all@example.com", "executive", "all", None),
     ("line0@example.com", "operations-line0", "line", 0),
     ("partner@example.com", "external-partner", "stations", (7,)),
+    ("analyst@example.com", "analyst", "all_but_pilots", None),
 )
-PII_SALT = "railyard"
+# Stations of experimental pilots.
+PILOT_STATIONS = (3, 11)

@@ -59,6 +59,19 @@ def hourly_preagg(silver: DataFrame, with_approx: bool = True) -> DataFrame:
     return silver.groupBy("tap_hour_utc", "station_id", "fare_class", "tap_type").agg(*aggs)
 
 
+def rider_sketches(silver: DataFrame) -> DataFrame:
+    """Mergeable distinct-rider sketches per hour and station (A8): they can be
+    stored with the hourly fact and rolled up without the taps."""
+    return silver.groupBy("tap_hour_utc", "station_id").agg(
+        F.count(F.lit(1)).alias("tap_count"), F.hll_sketch_agg("card_token", F.lit(14)).alias("riders_sketch"))
+
+
+def merge_sketches(sketches: DataFrame, *keys) -> DataFrame:
+    """Distinct riders of coarser groups from stored sketches."""
+    return sketches.groupBy(*keys).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("riders_sketch")).alias("unique_riders_approx"))
+
+
 def distinct_riders_daily(silver: DataFrame) -> DataFrame:
     """Additive-safe daily distinct riders per station."""
     return (silver.withColumn("service_date", F.to_date("tap_hour_utc"))

@@ -15,18 +15,23 @@ from railyard import constants as C
 
 def user_access(scopes: DataFrame, stations: DataFrame) -> DataFrame:
     """(user_principal_name, role, station_id) from role scopes (G2):
-    ``all`` -> every station, ``line`` -> stations of that line,
+    ``all`` -> every station, ``all_but_pilots`` -> all but experimental pilot
+    stations, ``line`` -> stations of that line,
     ``stations`` -> the listed stations the dimension knows."""
     st = stations.select("station_id", "line_id")
     every = scopes.filter(F.col("scope") == "all") \
         .join(st.withColumn("_scope", F.lit("all")), F.col("scope") == F.col("_scope")) \
         .select("user_principal_name", "role", "station_id")
+    pilots = F.col("station_id").isin(*C.PILOT_STATIONS)
+    settled = scopes.filter(F.col("scope") == "all_but_pilots") \
+        .join(st.filter(~pilots).withColumn("_scope", F.lit("all_but_pilots")), F.col("scope") == F.col("_scope")) \
+        .select("user_principal_name", "role", "station_id")
     by_line = scopes.filter(F.col("scope") == "line") \
         .join(st, F.col("scope_line") == st.line_id).select("user_principal_name", "role", "station_id")
     listed = scopes.filter(F.col("scope") == "stations") \
         .select("user_principal_name", "role", F.explode("scope_stations").alias("station_id")) \
         .join(st.select("station_id"), "station_id").select("user_principal_name", "role", "station_id")
-    return every.unionByName(by_line).unionByName(listed)
+    return every.unionByName(settled).unionByName(by_line).unionByName(listed)
 
 
 def row_filter(df: DataFrame, access: DataFrame, user: str | Column | None = None) -> DataFrame:
@@ -46,7 +51,14 @@ def visible_counts(df: DataFrame, access: DataFrame) -> DataFrame:
                       F.countDistinct("station_id").alias("visible_stations"))
 
 
-def mask(col: str, is_member: Column, salt: str = C.PII_SALT) -> Column:
-    """Column mask (G3): the value for members, else a salted SHA-256."""
+def in_role(access: DataFrame, user: str, role: str) -> Column:
+    """Whether the access table grants ``user`` the role (one row is read)."""
+    hit = access.filter((F.col("user_principal_name") == user) & (F.col("role") == role)).limit(1).count()
+    return F.lit(hit > 0)
+
+
+def mask(col: str, is_member: Column, salt: str) -> Column:
+    """Column mask (G3): the value for members, else a salted SHA-256.  The
+    salt is a secret of the deployment (``spark.railyard.pii.salt``)."""
     return F.when(is_member, F.col(col).cast("string")).otherwise(
         F.sha2(F.concat(F.lit(salt), F.col(col).cast("string")), 256))

@@ -95,10 +95,20 @@ def q_hourly_preagg(spark, sf_dir):
     return gold.hourly_preagg(silver_of(spark, sf_dir), with_approx=False)
 
 
-@register("hourly_preagg_approx", None, "A8 A14")
+@register("hourly_preagg_approx", compose("silver", """
+SELECT station_id, CAST(tap_hour_utc AS DATE) AS service_date, COUNT(DISTINCT card_token) AS riders, TRUE AS within_bound
+FROM silver GROUP BY 1, 2"""), "A8 A14")
 def q_hourly_preagg_approx(spark, sf_dir):
-    """With the HLL distinct-rider column; approximate, so rows-only."""
-    return gold.hourly_preagg(silver_of(spark, sf_dir), with_approx=True)
+    """Hourly rider sketches merged to days: each estimate lies within 5 % (or
+    one rider) of the exact count."""
+    s = silver_of(spark, sf_dir)
+    est = gold.merge_sketches(gold.rider_sketches(s).withColumn("service_date", F.to_date("tap_hour_utc")),
+                              "station_id", "service_date")
+    exact = gold.distinct_riders_daily(s).select("station_id", "service_date",
+                                                 F.col("distinct_riders_daily").alias("riders"))
+    near = F.abs(F.col("unique_riders_approx") - F.col("riders")) <= F.greatest(F.lit(1.0), F.col("riders") * 0.05)
+    return (exact.join(est, ["station_id", "service_date"])
+            .select("station_id", "service_date", "riders", near.alias("within_bound")))
 
 
 @register("distinct_riders_daily", compose("silver", """

@@ -202,7 +202,8 @@ def _access(spark, sf_dir):
 _cte("user_access", ("stations",), """
   SELECT 'all@example.com' AS user_principal_name, 'executive' AS role, station_id FROM stations
   UNION ALL SELECT 'line0@example.com', 'operations-line0', station_id FROM stations WHERE line_id = 0
-  UNION ALL SELECT 'partner@example.com', 'external-partner', station_id FROM stations WHERE station_id IN (7)""")
+  UNION ALL SELECT 'partner@example.com', 'external-partner', station_id FROM stations WHERE station_id IN (7)
+  UNION ALL SELECT 'analyst@example.com', 'analyst', station_id FROM stations WHERE station_id NOT IN (3, 11)""")
 
 
 @register("rls_rows", compose("fact_rh", "user_access", """
@@ -223,9 +224,16 @@ def q_rls_counts_by_role(spark, sf_dir):
     return G.visible_counts(r, _access(spark, sf_dir))
 
 
+# the salt of the test tables; a deployment sets spark.railyard.pii.salt
+_TEST_SALT = "railyard"
+
+
 @register("pii_masked", compose("silver", f"""
-SELECT tap_id, station_id, sha256('{C.PII_SALT}' || CAST(card_token AS VARCHAR)) AS card_token
+SELECT tap_id, station_id, sha256('{_TEST_SALT}' || CAST(card_token AS VARCHAR)) AS card_token
 FROM silver"""), "G3")
 def q_pii_masked(spark, sf_dir):
+    """As the external partner sees it: the access table grants no other role."""
     s = silver_of(spark, sf_dir)
-    return s.select("tap_id", "station_id", G.mask("card_token", F.lit(False)).alias("card_token"))
+    member = G.in_role(_access(spark, sf_dir), "partner@example.com", "executive")
+    salt = spark.conf.get("spark.railyard.pii.salt", _TEST_SALT)
+    return s.select("tap_id", "station_id", G.mask("card_token", member, salt).alias("card_token"))

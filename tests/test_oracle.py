@@ -1,7 +1,6 @@
-"""Every registered query against its DuckDB oracle (the correctness gate).
-
-By default a representative subset runs at sf0.001; set RAILYARD_FULL_ORACLE=1
-to sweep every key (at RAILYARD_ORACLE_SF, default sf0.001)."""
+"""Every registered query of the library against its DuckDB oracle (the
+correctness gate), at RAILYARD_ORACLE_SF (default sf0.001).  Set
+RAILYARD_QUICK_ORACLE=1 for a subset."""
 import os
 import sys
 
@@ -9,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from railyard.plans import catalog
 from tests.conftest import SMOKE
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
@@ -20,7 +20,7 @@ SUBSET = ["bronze_passthrough", "silver_conformed", "silver_quarantine", "fact_r
           "dq_unique", "slice_rollup", "mtd_qtd_ytd", "yoy", "nearest_station", "expected_demand",
           "forecast_batch", "uplift_attribution", "lag_p95", "rls_counts_by_role", "silver_incremental_upsert",
           "stream_dedup"]
-KEYS = sorted(E.oracle_sql()) if os.environ.get("RAILYARD_FULL_ORACLE") else SUBSET
+KEYS = SUBSET if os.environ.get("RAILYARD_QUICK_ORACLE") else sorted(catalog.oracle())
 
 
 @pytest.fixture(scope="module")

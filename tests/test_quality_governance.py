@@ -34,7 +34,7 @@ def test_access_scopes_and_row_filter(spark):
     st = B.stations(spark, SMOKE)
     acc = G.user_access(B.user_scopes(spark), st)
     per = {r.user_principal_name: r.n for r in acc.groupBy("user_principal_name").agg(F.count("*").alias("n")).collect()}
-    assert per == {"all@example.com": 25, "line0@example.com": 5, "partner@example.com": 1}
+    assert per == {"all@example.com": 25, "line0@example.com": 5, "partner@example.com": 1, "analyst@example.com": 23}
     facts = spark.createDataFrame([(7, 1), (8, 1), (7, 2)], "station_id int, x int")
     assert facts.transform(lambda d: G.row_filter(d, acc, "partner@example.com")).count() == 2
     assert G.row_filter(facts, acc, "nobody@example.com").count() == 0
@@ -42,5 +42,5 @@ def test_access_scopes_and_row_filter(spark):
 
 def test_mask_hashes_non_members(spark):
     df = spark.createDataFrame([(123,)], "card_token long")
-    r = df.select(G.mask("card_token", F.lit(False)).alias("m"), G.mask("card_token", F.lit(True)).alias("c")).first()
+    r = df.select(G.mask("card_token", F.lit(False), "s").alias("m"), G.mask("card_token", F.lit(True), "s").alias("c")).first()
     assert r.c == "123" and len(r.m) == 64 and r.m != "123"
