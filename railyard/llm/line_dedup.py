@@ -23,25 +23,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from railyard.llm.staging import Stage
+
 _HAS_WORD = "[^ \t\n\x0b\x0c\r]"
 
 
 def windows(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
     """(id, tie, at, n, h1, h2): windows starting at line number ``at``."""
-    lines = (docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tie"),
-                         F.filter(F.split(F.coalesce(text_col, F.lit("")), "\n", -1),
-                                  lambda x: x.rlike(_HAS_WORD)).alias("lines"))
-             .where(F.size("lines") > 0)
-             .withColumn("n", F.least(F.size("lines"), F.lit(window)))
-             .withColumn("hashed", F.expr(
-                 "transform(sequence(0, size(lines) - n), i -> struct(i AS at, "
-                 "xxhash64(slice(lines, i + 1, n)) AS h1, xxhash64(1, slice(lines, i + 1, n)) AS h2))")))
-    return lines.select("id", "tie", "n", F.inline("hashed"))
+    # ``l`` is bound once per row; inside the inner lambda it is a variable, not an expression
+    found = F.expr(f"""get(transform(array(filter(split(coalesce(_t, ''), '\n', -1), x -> x RLIKE '{_HAS_WORD}')), l ->
+        transform(sequence(0, greatest(size(l) - {window}, 0)), i -> struct(
+            i AS at, least(size(l), {window}) AS n, xxhash64(slice(l, i + 1, {window})) AS h1,
+            xxhash64(1, slice(l, i + 1, {window})) AS h2))), 0)""")
+    return (docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("_t"))
+            .select("id", "tie", F.inline(found)).where("n > 0"))
 
 
 def covered(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, tie, covered): merged line numbers of later occurrences."""
-    found = windows(docs, window, id_col, text_col)
+    found = Stage(docs.sparkSession, "line-dedup").stage(windows(docs, window, id_col, text_col), "windows")
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "tie", "at")
     first = (found.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("first"))
              .where("times > 1"))
@@ -61,15 +61,15 @@ def drop_repeats(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_
     keyed = docs.select(F.struct(F.lit(0).alias("_"), *carried).alias("_row"), F.col(id_col).alias("_key"),
                         F.col(text_col).alias("_text"), F.xxhash64(text_col).alias("_tie"))
     joined = keyed.join(hits, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_tie") == F.col("_of")), "left")
-    # places of the lines with a word; covered line numbers count these
-    numbered = (joined.withColumn("_lines", F.split(F.coalesce("_text", F.lit("")), "\n", -1))
-                .withColumn("_at", F.expr(f"filter(sequence(0, size(_lines) - 1), i -> get(_lines, i) RLIKE '{_HAS_WORD}')"))
-                .withColumn("n_lines", F.size("_at").cast("long"))
+    numbered = (joined.withColumn("n_lines", F.size(F.filter(
+        F.split(F.coalesce("_text", F.lit("")), "\n", -1), lambda x: x.rlike(_HAS_WORD))).cast("long"))
                 .withColumn("n_removed", F.when(F.col("covered").isNull(), F.lit(0))
                             .otherwise(F.size("covered")).cast("long")))
-    kept = F.expr("""
-        array_join(transform(array_except(sequence(0, size(_lines) - 1), transform(covered, c -> get(_at, c))),
-                             i -> get(_lines, i)), '\n')""")
+    # ``l``: all lines, ``a``: places of those with a word, which covered line numbers count
+    kept = F.expr(f"""get(transform(array(split(coalesce(_text, ''), '\n', -1)), l ->
+        get(transform(array(filter(sequence(0, size(l) - 1), i -> get(l, i) RLIKE '{_HAS_WORD}')), a ->
+            array_join(transform(array_except(sequence(0, size(l) - 1), transform(covered, c -> get(a, c))),
+                                 i -> get(l, i)), '\n')), 0)), 0)""")
     text = (F.when(F.col("covered").isNull(), F.col("_text"))
             .when(F.size("covered") == F.col("n_lines"), F.lit("")).otherwise(kept))
     columns = [text.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns
