@@ -52,7 +52,7 @@ _LISTED = 24
 class Bands:
     """Size bands and their plans for the threshold ``num / den``."""
 
-    def __init__(self, num: int, den: int, largest: int, width: float = 0.45):
+    def __init__(self, num: int, den: int, largest: int, width: float = 0.5):
         self.num, self.den = num, den
         lo, self.lo, self.hi, plans = 1, [], [], []
         while lo <= max(1, largest):
@@ -80,7 +80,8 @@ class Bands:
                 # counts: m - 2 skips > h, or 2 m - 4 skips > h
                 m = h + 1 + 2 * skips if not deletions else (h + 2) // 2 + 2 * skips
                 lam = lo / m
-                poor = m * math.exp(-lam) * (1 + lam + (lam * lam / 2 if deletions else 0))
+                # segments that say nothing: empty, or empty after one deletion
+                poor = m * math.exp(-lam) * (1 + lam if deletions else 1)
                 rows = m - skips + deletions * hi
                 cost = rows + _SPURIOUS * max(0.0, poor - skips)
                 if best is None or cost < best[0]:
