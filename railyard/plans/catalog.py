@@ -1,7 +1,7 @@
 """Registered queries: name -> (Spark builder, oracle SQL or None).
 
-Each builder takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole test tables.  Timestamps leave as ``timestamp_ntz`` (UTC wall clock) so
+Each builder takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+test tables; load and stream queries do their writes while building it.  Timestamps leave as ``timestamp_ntz`` (UTC wall clock) so
 results compare independent of the reader's time zone.
 """
 
