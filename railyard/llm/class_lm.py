@@ -216,8 +216,16 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts
     train = docs.where(in_training(id_col, parts)).select(F.col(text_col).alias("text"))
     words = st.stage(train.mapInArrow(_count, "h bigint, c bigint, shape int")
                      .groupBy("h").agg(F.sum("c").alias("c"), F.min("shape").alias("shape")), "words")
-    # at most HEAD rows
-    head = words.orderBy(F.desc("c"), "h").limit(HEAD).collect()
+    # the most frequent words: as many classes of counts as hold at most HEAD words in all
+    level = F.floor(F.log2("c") * 8).cast("int")
+    cut, held_words = None, 0
+    for r in sorted(words.groupBy(level.alias("level")).count().collect(), reverse=True):  # at most 8 * 64 rows
+        held_words += r["count"]
+        if held_words > HEAD:
+            break
+        cut = r["level"]
+    head = words.where(level >= cut).collect() if cut is not None else []
+    head.sort(key=lambda r: (-r["c"], r["h"]))
     c_end = next((r["c"] for r in head if r["h"] == END_HASH), 0)
     if not c_end:
         c_end = (words.where(F.col("h") == int(END_HASH)).agg(F.max("c")).first()[0]) or 0
