@@ -207,25 +207,31 @@ def in_ranges(docs: DataFrame, id_col: str, text_col: str, rows: int = RANGE_ROW
     cuts = d.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], 10_000)).first()[0] \
         if ranges > 1 else None
     cuts = sorted(set(cuts or []), reverse=True)
-    part = F.lit(len(cuts))
-    for i in range(len(cuts) - 1, -1, -1):
-        part = F.when(F.col("id") > cuts[i], F.lit(i)).otherwise(part)
-    if len(cuts) > 64:  # one lookup in a sorted array in place of a long chain
-        at = F.array(*[F.lit(c) for c in reversed(cuts)])
-        part = F.coalesce(F.size(F.filter(at, lambda c: c >= F.col("id"))), F.lit(len(cuts)))
+    # a range is the number of cuts at or above the id, counted in two steps of up to 64 comparisons
+    groups = [cuts[i:i + 64] for i in range(0, len(cuts), 64)]
+    part = F.lit(0)
+    if cuts:
+        kind = docs.schema[id_col].dataType.simpleString()
+        last = F.array(*[F.lit(g[-1]).cast(kind) for g in groups])
+        each = F.array(*[F.array(*[F.lit(c).cast(kind) for c in g]) for g in groups])
+        d = d.withColumn("full", F.size(F.filter(last, lambda c: c >= F.col("id"))))
+        inner = F.coalesce(F.size(F.filter(F.get(each, F.col("full")), lambda c: c >= F.col("id"))), F.lit(0))
+        part = F.when(F.col("id").isNull(), F.lit(len(cuts))).otherwise(
+            F.col("full") * 64 + F.when(F.col("full") < len(groups), inner).otherwise(0))
+        part = F.least(part, F.lit(len(cuts)))
     d = d.withColumn("part", part.cast("int")).withColumn("key", order)
     heads = {r["part"]: r["head"] for r in d.groupBy("part").agg(F.max("key").alias("head")).collect()}
     parts = sorted(heads)  # at most 4096, one row each
-    after = {parts[i]: parts[i - 1] for i in range(len(parts))}  # a head guards the range before it
-    is_head, goes = F.lit(False), F.lit(None).cast("int")
-    for p in parts:
-        h = heads[p]
-        same = (F.col("part") == p) & F.col("id").eqNullSafe(F.lit(h["id"])) & (F.col("key.tie") == F.lit(h["tie"]))
-        is_head, goes = is_head | same, F.when(F.col("part") == p, F.lit(after[p])).otherwise(goes)
-    # rows equal to the head in id and text guard alike; one of them is enough and the reader takes the first
-    to = F.when(is_head, F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("guard")),
-                                 F.struct(goes.alias("part"), F.lit(True).alias("guard")))
-                ).otherwise(F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("guard"))))
+    kind = d.schema["id"].dataType.simpleString()
+    # a head guards the range before it; rows equal to it in id and text guard alike and the reader takes the first
+    goes = d.sparkSession.createDataFrame(
+        [(p, heads[p]["id"], heads[p]["tie"], parts[i - 1]) for i, p in enumerate(parts)],
+        f"_part int, _id {kind}, _tie bigint, goes int")
+    d = d.join(F.broadcast(goes), (F.col("part") == F.col("_part")) & F.col("id").eqNullSafe(F.col("_id"))
+               & (F.col("key.tie") == F.col("_tie")), "left")
+    own = F.struct(F.col("part").alias("part"), F.lit(False).alias("guard"))
+    to = F.when(F.col("goes").isNull(), F.array(own)).otherwise(
+        F.array(own, F.struct(F.col("goes").alias("part"), F.lit(True).alias("guard"))))
     return (d.withColumn("to", F.explode(to))
             .select("to.part", "to.guard", "key.has", "id", "key.tie", "text")
             .repartition(max(1, len(parts)), "part")
