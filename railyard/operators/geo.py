@@ -117,6 +117,20 @@ def nearest_station(points: DataFrame, stations: DataFrame, grids=(0.1, 1.0, 10.
     return out
 
 
+def venue_stations(events: DataFrame, stations: DataFrame) -> DataFrame:
+    """(event_id, station_id, distance_km): the nearest station of every venue
+    event (N6), in the form that ``calendar_of`` and J6 take."""
+    points = events.select(F.col("event_id").alias("point_id"), F.col("venue_latitude").alias("lat"),
+                           F.col("venue_longitude").alias("lon")).filter(F.col("lat").isNotNull())
+    return nearest_station(points, stations).withColumnRenamed("point_id", "event_id")
+
+
+def dim_event(events: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Event dimension (N4): one row per venue event with its station."""
+    return (events.select("event_id", "name", "venue_name", "start_ts", "end_ts", "expected_attendance")
+            .join(bridge, "event_id", "left"))
+
+
 def customer_points(customers: DataFrame) -> DataFrame:
     """Card-holder home points derived from the customer key (the test tables
     carry no coordinates); some fall far west of the network."""

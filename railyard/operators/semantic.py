@@ -164,25 +164,33 @@ def prior_period(daily: DataFrame, value: str) -> DataFrame:
 
 
 def measure_variants(daily: DataFrame, measure_cols) -> DataFrame:
-    """Any daily measure -> long (service_date, measure, variant, value) with
-    variants current / mtd / ytd / prior_year (M12)."""
-    frames = []
-    for m in measure_cols:
-        r = to_date_running(daily, m)
-        p = prior_year(daily, m).select("service_date", "prior_year_value")
-        j = r.join(p, "service_date", "left")
-        frames.append(j.select("service_date", F.lit(m).alias("measure"),
-                               F.explode(F.array(
-                                   F.struct(F.lit("current").alias("variant"), F.col("value").cast("double").alias("value")),
-                                   F.struct(F.lit("mtd").alias("variant"), F.col("mtd").cast("double").alias("value")),
-                                   F.struct(F.lit("ytd").alias("variant"), F.col("ytd").cast("double").alias("value")),
-                                   F.struct(F.lit("prior_year").alias("variant"),
-                                            F.col("prior_year_value").cast("double").alias("value")))).alias("_v"))
-                      .select("service_date", "measure", "_v.variant", F.round("_v.value", 2).alias("value")))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    """Any daily measures -> long (service_date, measure, variant, value) with
+    the eight variants current / mtd / qtd / ytd / prior_year / pct_yoy /
+    prior_period / pct_prior_period (M12); the prior period of a day is the same
+    day one month earlier.  All measures share the windows and the joins."""
+    long = daily.select("service_date", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("measure"), F.col(m).cast("decimal(28,2)").alias("v")) for m in measure_cols])))
+    d = F.col("service_date")
+    run = (Window.unboundedPreceding, Window.currentRow)
+
+    def to_date(*keys):
+        return F.sum("v").over(Window.partitionBy("measure", *keys).orderBy(d).rowsBetween(*run)).cast("double")
+
+    r = long.select("service_date", "measure", F.col("v").cast("double").alias("current"),
+                    to_date(F.year(d), F.month(d)).alias("mtd"), to_date(F.year(d), F.quarter(d)).alias("qtd"),
+                    to_date(F.year(d)).alias("ytd"), F.add_months(d, -12).alias("_year"),
+                    F.add_months(d, -1).alias("_month"))
+
+    def before(name, key):
+        return long.select("measure", d.alias(key), F.col("v").cast("double").alias(name))
+
+    j = (r.join(before("prior_year", "_year"), ["measure", "_year"], "left")
+         .join(before("prior_period", "_month"), ["measure", "_month"], "left"))
+    for pct, base in (("pct_yoy", "prior_year"), ("pct_prior_period", "prior_period")):
+        j = j.withColumn(pct, (F.col("current") - F.col(base)) / F.nullif(F.col(base), F.lit(0.0)) * 100)
+    names = ("current", "mtd", "qtd", "ytd", "prior_year", "pct_yoy", "prior_period", "pct_prior_period")
+    return (j.select("service_date", "measure", F.inline(F.array(*[
+        F.struct(F.lit(n).alias("variant"), F.round(n, 2).alias("value")) for n in names]))))
 
 
 # --- event-day uplift measures (M8, M9) ----------------------------------------------

@@ -11,7 +11,9 @@ from railyard.plans.catalog import register
 from railyard.plans.oracle_sql import _cte, compose
 from railyard.plans.q_core import facts_of, silver_of
 from railyard.plans.q_dims import hav_sql
+from railyard.session import scratch_path
 from railyard.sources import binding as B
+from railyard.sources import reference as RF
 from railyard.sources.tables import read_table
 
 
@@ -251,3 +253,53 @@ def q_forecast_drivers(spark, sf_dir):
     return f.select("station_id", "tap_hour_utc", "unique_riders", "predicted_riders",
                     F.col("drivers.baseline").alias("driver_baseline"),
                     F.col("drivers.event_uplift").alias("driver_event_uplift"))
+
+
+# --- venue events: files written from the bound tables, read back, mapped to stations ------
+def _venue_events(spark, sf_dir):
+    """Every card holder's home hosts one evening; written as the reference
+    layout's events.csv and read by its loader."""
+    pts = geo.customer_points(read_table(spark, sf_dir, "customer", ["c_custkey"]))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("point_id") % 28).cast("int")).cast("string")
+    rows = pts.select(
+        F.col("point_id").cast("string").alias("event_id"), F.concat(F.lit("Event "), "point_id").alias("name"),
+        F.concat(F.lit("Venue "), "point_id").alias("venue_name"), F.col("lat").alias("venue_latitude"),
+        F.col("lon").alias("venue_longitude"), F.concat(day, F.lit("T18:00:00")).alias("start_iso"),
+        F.concat(day, F.lit("T21:59:59")).alias("end_iso"),
+        (F.col("point_id") % 1000).cast("int").alias("expected_attendance"))
+    root = scratch_path(spark, "venues")
+    rows.write.option("header", True).csv(f"{root}/net-a/events.csv")
+    return RF.load_events(spark, root, "net-a")
+
+
+_VENUE_SQL = f"""(SELECT CAST(point_id AS VARCHAR) AS event_id, point_id, station_id, ROUND(d, 6) AS distance_km FROM (
+  SELECT p.point_id, s.station_id, {hav_sql('p.lat', 'p.lon', 's.lat', 's.lon')} AS d,
+         ROW_NUMBER() OVER (PARTITION BY p.point_id ORDER BY {hav_sql('p.lat', 'p.lon', 's.lat', 's.lon')}, s.station_id) AS rn
+  FROM points p, stations s) WHERE rn = 1)"""
+
+
+@register("event_venue_bridge", compose("points", "stations", f"""
+SELECT event_id, station_id, distance_km FROM {_VENUE_SQL}"""), "N6 S14")
+def q_event_venue_bridge(spark, sf_dir):
+    b = geo.venue_stations(_venue_events(spark, sf_dir), B.stations(spark, sf_dir))
+    return b.select("event_id", "station_id", X.r6("distance_km").alias("distance_km"))
+
+
+@register("dim_event", compose("points", "stations", "silver", f"""
+SELECT v.event_id, 'Venue ' || v.event_id AS venue_name, v.station_id,
+       CAST(v.point_id % 1000 AS INTEGER) AS expected_attendance, COUNT(s.tap_id) AS event_taps
+FROM {_VENUE_SQL} v LEFT JOIN silver s ON s.station_id = v.station_id
+  AND s.tap_timestamp_utc >= TIMESTAMP '2024-01-01 18:00:00' + to_days(CAST(v.point_id % 28 AS INTEGER))
+  AND s.tap_timestamp_utc <= TIMESTAMP '2024-01-01 21:59:59' + to_days(CAST(v.point_id % 28 AS INTEGER))
+GROUP BY ALL"""), "N4 N6 J6 S14")
+def q_dim_event(spark, sf_dir):
+    """Venue events with their station and the taps made there during the event."""
+    events = _venue_events(spark, sf_dir)
+    dim = geo.dim_event(events, geo.venue_stations(events, B.stations(spark, sf_dir)))
+    calendar = dim.filter(F.col("station_id").isNotNull()).select(
+        "event_id", F.array("station_id").alias("station_ids"), "start_ts", "end_ts",
+        F.lit(1.0).alias("uplift_multiplier"))
+    taps = geo.event_interval_join(silver_of(spark, sf_dir), calendar).select("event_id", "event_taps")
+    return (dim.join(taps, "event_id", "left")
+            .select("event_id", "venue_name", "station_id", "expected_attendance",
+                    F.coalesce("event_taps", F.lit(0)).alias("event_taps")))

@@ -178,17 +178,22 @@ def q_event_day_uplift_pct(spark, sf_dir):
     return S.event_day_uplift_pct(r, marts.uplift_static(r), geo.event_days(B.event_calendar(spark)))
 
 
+def _run_sql(m, *keys):
+    return (f"CAST(SUM({m}) OVER (PARTITION BY {', '.join(f'{k}(service_date)' for k in keys)} ORDER BY service_date "
+            "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)")
+
+
 @register("measure_variants", compose("daily_totals", "\nUNION ALL ".join(f"""
 SELECT c.service_date, '{m}' AS measure, v.variant, ROUND(v.value, 2) AS value
-FROM (SELECT service_date, CAST({m} AS DOUBLE) AS cur,
-             CAST(SUM({m}) OVER (PARTITION BY year(service_date), month(service_date) ORDER BY service_date
-                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS mtd,
-             CAST(SUM({m}) OVER (PARTITION BY year(service_date) ORDER BY service_date
-                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS ytd
-      FROM daily_totals) c
+FROM (SELECT service_date, CAST({m} AS DOUBLE) AS cur, {_run_sql(m, 'year', 'month')} AS mtd,
+             {_run_sql(m, 'year', 'quarter')} AS qtd, {_run_sql(m, 'year')} AS ytd FROM daily_totals) c
 LEFT JOIN (SELECT service_date, CAST({m} AS DOUBLE) AS py FROM daily_totals) p
-  ON p.service_date = CAST(c.service_date - INTERVAL 12 MONTH AS DATE),
-LATERAL (SELECT * FROM (VALUES ('current', c.cur), ('mtd', c.mtd), ('ytd', c.ytd), ('prior_year', p.py))
+  ON p.service_date = CAST(c.service_date - INTERVAL 12 MONTH AS DATE)
+LEFT JOIN (SELECT service_date, CAST({m} AS DOUBLE) AS pp FROM daily_totals) q
+  ON q.service_date = CAST(c.service_date - INTERVAL 1 MONTH AS DATE),
+LATERAL (SELECT * FROM (VALUES ('current', c.cur), ('mtd', c.mtd), ('qtd', c.qtd), ('ytd', c.ytd), ('prior_year', p.py),
+                        ('pct_yoy', (c.cur - p.py) / nullif(p.py, 0) * 100), ('prior_period', q.pp),
+                        ('pct_prior_period', (c.cur - q.pp) / nullif(q.pp, 0) * 100))
          t(variant, value)) v""" for m in ("taps", "revenue"))), "M12 M13")
 def q_measure_variants(spark, sf_dir):
     return S.measure_variants(S.daily_totals(B.daily_orders(spark, sf_dir)), ["taps", "revenue"])
