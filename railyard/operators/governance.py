@@ -19,19 +19,17 @@ def user_access(scopes: DataFrame, stations: DataFrame) -> DataFrame:
     stations, ``line`` -> stations of that line,
     ``stations`` -> the listed stations the dimension knows."""
     st = stations.select("station_id", "line_id")
-    every = scopes.filter(F.col("scope") == "all") \
-        .join(st.withColumn("_scope", F.lit("all")), F.col("scope") == F.col("_scope")) \
-        .select("user_principal_name", "role", "station_id")
-    pilots = F.col("station_id").isin(*C.PILOT_STATIONS)
-    settled = scopes.filter(F.col("scope") == "all_but_pilots") \
-        .join(st.filter(~pilots).withColumn("_scope", F.lit("all_but_pilots")), F.col("scope") == F.col("_scope")) \
+    # each station carries the scope words that cover it, so these scopes are an equi-join too
+    words = F.array_compact(F.array(F.lit("all"), F.when(~F.col("station_id").isin(*C.PILOT_STATIONS),
+                                                         F.lit("all_but_pilots"))))
+    every = scopes.join(st.select("station_id", F.explode(words).alias("_scope")), F.col("scope") == F.col("_scope")) \
         .select("user_principal_name", "role", "station_id")
     by_line = scopes.filter(F.col("scope") == "line") \
         .join(st, F.col("scope_line") == st.line_id).select("user_principal_name", "role", "station_id")
     listed = scopes.filter(F.col("scope") == "stations") \
         .select("user_principal_name", "role", F.explode("scope_stations").alias("station_id")) \
         .join(st.select("station_id"), "station_id").select("user_principal_name", "role", "station_id")
-    return every.unionByName(settled).unionByName(by_line).unionByName(listed)
+    return every.unionByName(by_line).unionByName(listed)
 
 
 def row_filter(df: DataFrame, access: DataFrame, user: str | Column | None = None) -> DataFrame:
