@@ -47,13 +47,15 @@ _DROP = {"script", "style", "noscript", "template", "textarea", "title", "xmp",
          "audio", "video", "map", "datalist", "fieldset"}
 _DROP_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog",
                "alertdialog", "menu", "menubar", "toolbar"}
-_DROP_NAMES = {"ad", "ads", "adbox", "advert", "adverts", "advertisement", "advertisements", "advertising", "banner",
+_DROP_NAMES = {"ad", "ads", "alert", "announcement", "commentlist", "adbox", "advert", "adverts", "advertisement", "advertisements", "advertising", "banner",
                "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer",
                "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
                "notification", "pager", "pagination", "popup", "promo", "promotion", "related", "replies", "reply",
                "responses", "share", "sharing", "sidebar", "sidenav", "signup", "social", "sponsor", "sponsored",
                "sponsors", "subscribe", "toolbar", "topbar", "widget"}
 _BOUND = ("article", "main")
+#: Elements that some pages put around everything.
+_WRAPS = ("form", "fieldset")
 #: An open element that a start tag ends, and what stops the search for it.
 _ENDS = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
          "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -148,13 +150,20 @@ class Page:
                 return
 
     def main_text(self) -> str:
+        text = self._main_text()
+        if not text and not all(t not in _WRAPS for t in self.tag):
+            self.marked = [m and t not in _WRAPS for m, t in zip(self.marked, self.tag)]
+            text = self._main_text()
+        return text
+
+    def _main_text(self) -> str:
         tag, parent, n = self.tag, self.parent, len(self.tag)
         # names are no reason to drop what holds the article or its heading
         for k in range(1, n):
             if tag[k] in ("article", "main", "h1", "body"):
                 up = k if tag[k] != "h1" else parent[k]
                 while up > 0:
-                    if tag[up] not in _DROP:
+                    if tag[up] not in _DROP or tag[up] in _WRAPS:
                         self.marked[up] = False
                     up = parent[up]
         out = self.marked[:]

@@ -311,7 +311,8 @@ def test_html_text():
         "Head & line First para with bold text, long enough to count as text. Second one, with a link, "
         "unclosed and also long enough for that. New line.")
     for text, want in ((None, ""), ("", ""), ("<", "<"), ("a < b", "a < b"), ("<p>x", "x"), ("<!-- open", ""),
-                       ("<script>x", ""), ("</p></p>y", "y"), ("<div><div>" * 3000 + "deep", "deep")):
+                       ("<script>x", ""), ("</p></p>y", "y"), ("<form><div>all in a form</div></form>", "all in a form"),
+                       ("<form><h1>Head</h1><p>and text</p><nav>x</nav></form>", "Head and text"), ("<div><div>" * 3000 + "deep", "deep")):
         assert html_text.main_text(text) == want
 
 
