@@ -365,3 +365,21 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
             .select(F.col("id").alias(id_col), "n_shingles",
                     F.when(F.col("cls") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
                     F.col("cls").alias("class_key")))
+
+
+def oracle_sql(n: int, num: int, den: int) -> str:
+    """All pairs that share a shingle, their links and components, for DuckDB."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'),
+                            '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, w[i:i + {n - 1}] AS gram FROM (
+    SELECT doc_id, w, unnest(range(1, greatest(len(w) - {n - 2}, 2))) AS i FROM d WHERE len(w) > 0)),
+z AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_ FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+l AS MATERIALIZED (SELECT x, y FROM p JOIN z zx ON zx.doc_id = x JOIN z zy ON zy.doc_id = y
+      WHERE {den} * both_ >= {num} * (zx.size + zy.size - both_)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.y FROM r JOIN l ON r.b = l.x)
+SELECT documents.doc_id, coalesce(z.size, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents LEFT JOIN z USING (doc_id) JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) c ON c.a = documents.doc_id"""

@@ -138,3 +138,52 @@ def judge(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, keep_te
     model = fit(counted, st, rounds)
     return (counted.withColumn("posterior", _good(*model))
             .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5)))
+
+
+def oracle_sql(rounds: int = ROUNDS) -> str:
+    """The same counts, votes and EM rounds for DuckDB."""
+    names = [r[0] for r in RULES]
+
+    def vote_sql(rule):
+        _, share, low, high, under, over = rule
+        x = f"(CASE WHEN n_words > 0 THEN ({share}) END)"
+        return f"CASE WHEN {x} BETWEEN {low} AND {high} THEN 1 WHEN {x} < {under} OR {x} > {over} THEN -1 ELSE 0 END"
+
+    def good_sql(model):
+        terms = "".join(f" + CASE WHEN v_{n} < 0 THEN ln({model}.g_{n} / {model}.b_{n}) WHEN v_{n} > 0 "
+                        f"THEN ln((1 - {model}.g_{n}) / (1 - {model}.b_{n})) ELSE 0 END" for n in names)
+        return f"1 / (1 + exp(-(ln({model}.prior / (1 - {model}.prior)){terms})))"
+
+    steps = ["m0 AS (SELECT 0.8::DOUBLE AS prior, "
+             + ", ".join(f"0.05::DOUBLE AS g_{n}, 0.4::DOUBLE AS b_{n}" for n in names) + ")"]
+    for k in range(1, rounds + 1):
+        sums = ", ".join(
+            f"(sum(CASE WHEN v_{n} < 0 THEN n * g ELSE 0 END) + 0.5) / (sum(CASE WHEN v_{n} <> 0 THEN n * g ELSE 0 END) + 10)"
+            f" AS g_{n}, (sum(CASE WHEN v_{n} < 0 THEN n * (1 - g) ELSE 0 END) + 4) / "
+            f"(sum(CASE WHEN v_{n} <> 0 THEN n * (1 - g) ELSE 0 END) + 10) AS b_{n}" for n in names)
+        steps.append(f"m{k} AS MATERIALIZED (SELECT (sum(n * g) + 8) / (sum(n * g) + sum(n * (1 - g)) + 10) AS prior, {sums} "
+                     f"FROM (SELECT p.*, {good_sql(f'm{k - 1}')} AS g FROM patterns p, m{k - 1}))")
+    votes = ", ".join(f"{vote_sql(r)} AS v_{r[0]}" for r in RULES)
+    return rf"""
+WITH d AS MATERIALIZED (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+u AS (SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM d),
+tri AS (SELECT doc_id, i, [w, lead(w) OVER s, lead(w, 2) OVER s] AS win, lead(w, 2) OVER s IS NOT NULL AS full_win FROM u
+        WINDOW s AS (PARTITION BY doc_id ORDER BY i)),
+twice AS (SELECT doc_id, i FROM tri WHERE full_win QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+c AS MATERIALIZED (SELECT d.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines,
+         coalesce(rep.n, 0)::BIGINT AS n_repeat_words, length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_capitals,
+         length(regexp_replace(t, '[^!?]+', '', 'g')) AS n_marks, length(regexp_replace(t, '[^0-9]+', '', 'g')) AS n_digits,
+         length(regexp_replace(t, '\P{{L}}+', '', 'g')) AS n_letters,
+         len(list_filter(words, lambda x: regexp_matches(x, '[#*$%&|<>]$'))) AS n_marked
+  FROM d LEFT JOIN rep USING (doc_id)),
+v AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {votes} FROM c),
+patterns AS MATERIALIZED (SELECT {", ".join(f"v_{n}" for n in names)}, count(*) AS n FROM v GROUP BY ALL),
+{", ".join(steps)}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND {good_sql(f"m{rounds}")} >= 0.5 AS kept
+FROM v, m{rounds}"""

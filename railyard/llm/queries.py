@@ -16,7 +16,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, Jaccard 0.85 or more."""
-    return ngram_join.link_documents(_documents(spark, sf_dir), n=4, num=85, den=100)
+    return ngram_join.link_documents(_documents(spark, sf_dir), n=4, num=85, den=100).drop("class_key")
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,4 +81,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_source_mix": source_mix.oracle_sql(), "op4_line_dedup": line_dedup.oracle_sql()}
+    return {"op1_ngram_jaccard_join": ngram_join.oracle_sql(4, 85, 100),
+            "op2_source_mix": source_mix.oracle_sql(), "op3_quality_rules": quality_rules.oracle_sql(),
+            "op4_line_dedup": line_dedup.oracle_sql()}
