@@ -293,9 +293,11 @@ def link_documents(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5,
                 .mapInArrow(_shared, "sig bigint, cls bigint"))
 
     found = st.stage(shared(texts_in.mapInArrow(_sign(n, bands), "sig bigint, cls bigint")), "found")
+    st.settle()
     wanted = found.select("cls").distinct()
     texts = st.stage(texts_in.mapInArrow(_texts(n), "cls bigint, size bigint, text string")
                      .join(wanted, "cls", "left_semi").dropDuplicates(["cls"]), "texts")
+    st.settle()
     # shingles that no other candidate holds
     alone = (texts.select("cls", "text").mapInArrow(_members(n), "h bigint, cls bigint")
              .groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.min("cls").alias("cls"))

@@ -122,7 +122,9 @@ def fit(votes: DataFrame, st: Stage, rounds: int = ROUNDS) -> tuple[float, list[
 def judge(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, keep_text: bool = False) -> DataFrame:
     """``docs`` with the counts, votes, ``posterior`` and ``kept``; the text
     only with ``keep_text``.  Input columns with the name of a result column
-    are replaced.  Text is read once; the result reads the staged counts."""
+    are replaced.  Without the text, texts are read once and the result reads the
+    staged counts; with it they are read and counted twice, so that no copy of
+    the corpus is staged."""
     st = Stage(docs.sparkSession, "quality-rules")
     bare = counts(docs.select(F.col(text_col).alias("_text")), "_text").columns[1:]
     votes = [f"v_{r[0]}" for r in RULES]
@@ -134,10 +136,14 @@ def judge(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, keep_te
         counted = counted.withColumn(f"v_{rule[0]}", vote(rule))
     counted = counted.select(*[F.col("_row")[c].alias(c) for c in carried],
                              *[F.col("_text").alias(text_col)] * keep_text, *bare, *votes)
-    counted = st.stage(counted, "counts")
+    if keep_text:
+        # a filter on the verdict must not be pushed below the counts, where it would evaluate them anew
+        counted = counted.withColumn("_once", F.monotonically_increasing_id())
+    else:
+        counted = st.stage(counted, "counts").withColumn("_once", F.lit(0))
     model = fit(counted, st, rounds)
-    return (counted.withColumn("posterior", _good(*model))
-            .withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= 0.5)))
+    verdict = ~F.col("base_failed") & (F.col("posterior") >= 0.5) & (F.col("_once") >= 0)
+    return counted.withColumn("posterior", _good(*model)).withColumn("kept", verdict).drop("_once")
 
 
 def oracle_sql(rounds: int = ROUNDS) -> str:

@@ -7,6 +7,7 @@ reading it back, so a lost executor costs a re-read and no recomputation;
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,13 @@ class Stage:
         self.paths[id(out)] = path
         return out
 
+    def settle(self) -> None:
+        """Let go of the shuffle files of finished steps: Spark's cleaner removes
+        them once the driver has collected the plans that wrote them, which may
+        otherwise be long after the next large shuffle."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def discard(self, *tables: DataFrame) -> None:
         for df in tables:
             path = self.paths.pop(id(df), None)
