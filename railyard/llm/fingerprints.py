@@ -37,6 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from railyard.llm.staging import reach
+
 WINDOW = 64
 POPULAR = 16
 BITS = 1024
@@ -174,6 +176,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def corpus_ranks(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Rank table from the entropy classes of all windows of all texts."""
+    reach(docs.sparkSession)
     rows = (docs.select(F.coalesce(text_col, F.lit("")).alias("t")).mapInArrow(_count, "cls bigint, n bigint")
             .groupBy("cls").agg(F.sum("n").alias("n")).collect())  # CLASSES rows
     counts = np.zeros(CLASSES, np.int64)
@@ -184,6 +187,7 @@ def corpus_ranks(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 def fingerprint(docs: DataFrame, rank: np.ndarray, text_col: str = "text") -> DataFrame:
     """``docs`` with the text replaced by ``fingerprint``."""
+    reach(docs.sparkSession)
     rest = [c for c in docs.columns if c != text_col]
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema)
 

@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from railyard.llm.staging import reach
+
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>"
     r"""|<([a-zA-Z][^\s/>]*+)((?:"[^"]*+"|'[^']*+'|[^'">])*+)>""", re.S)
@@ -235,6 +237,7 @@ def main_text(source: str | None) -> str:
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` with the html replaced by ``text`` and ``n_chars``."""
+    reach(pages.sparkSession)
     rest = [c for c in pages.columns if c != html_col and c.lower() not in ("text", "n_chars")]
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.select(*rest).schema)
 

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from railyard.llm.staging import reach
+
 #: Bounds of the training sample, per language.
 SAMPLE_CHARS = 40_000
 SAMPLE_ROWS = 400
@@ -205,6 +207,7 @@ def _predict(model):
 
 def identify(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
     """``docs`` with the text replaced by (lang_pred, score, phrases_per_char)."""
+    reach(docs.sparkSession)
     rest = [c for c in docs.columns if c != text_col and c.lower() not in ("lang_pred", "score", "phrases_per_char")]
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema)

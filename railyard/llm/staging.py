@@ -8,6 +8,7 @@ reading it back, so a lost executor costs a re-read and no recomputation;
 from __future__ import annotations
 
 import gc
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,22 @@ from pyspark.sql import DataFrame, SparkSession
 from railyard.session import checkpoint_dir
 
 
+def reach(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver found it.
+    Where executors have no such path, ship the package (``--py-files``)."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, home])
+    return spark
+
+
 class Stage:
     """The staged tables of one operator call."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
+        self.spark = reach(spark)
         self.base = f"{checkpoint_dir(spark).rstrip('/')}/railyard-{name}-{uuid.uuid4().hex}"
         self.paths: dict[int, str] = {}
         self.made = 0

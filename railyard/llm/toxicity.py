@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.staging import Stage
+from railyard.llm.staging import Stage, reach
 from railyard.llm.tokens import U64, mix64, text_chunks, word_hashes, word_spans
 
 SAMPLE = 4_000
@@ -192,6 +192,7 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> tuple[float, flo
 
 def statistic(docs: DataFrame, held, text_col: str = "text") -> DataFrame:
     """``docs`` with the text replaced by ``statistic``."""
+    reach(docs.sparkSession)
     rest = [c for c in docs.columns if c != text_col and c.lower() not in ("statistic", "score", "predicted")]
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema)
 
