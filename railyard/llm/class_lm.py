@@ -1,21 +1,26 @@
 """Language-model scores: Brown class-based bigrams over the whole corpus.
 
-Training text is counted in full.  A word belongs to a class: the ``CLUSTERED``
-most frequent words by exchange clustering, every other word by its shape
-(length and last character), the end of a text to a class of its own.  The
-probability of a text is the product, over its tokens, of the class transition
-and of the word given its class; shape classes keep absolute-discounted mass
-for words that were never seen.
+Training text is counted in full, and every word of it belongs to a class that
+exchange found; the end of a text is a class of its own.  The probability of a
+text is the product, over its tokens, of the class transition and of the word
+given its class.  Each class keeps absolute-discounted mass for words that were
+never seen; an unseen word takes the class in which most of the words seen once
+have its shape (length and last character), and its shape's part of that mass.
+
+Clustering: the ``CLUSTERED`` most frequent words are exchanged on the driver,
+on a bigram table of fixed size in which every other word stands for its shape.
+Then ``ROUNDS`` rounds on Spark move every other word, however rare, to the
+class with the best gain in likelihood, given its (class after) and (class
+before) counts and the class bigrams of the round before.  In the first round
+the neighbours that are not clustered yet count by shape, later all count by
+class.
 
 Counting is distributed (per batch in numpy, then one shuffle by word).  The
-exchange clustering sees the bigram counts of units (clustered words and
-shapes), a table of fixed size ``(CLUSTERED + shapes + 2) ** 2`` however large
-the corpus.  Scoring reads each text once: the ``HEAD`` most frequent words
-are looked up in a broadcast table of that fixed size, and the distinct rarer
-words of a text meet the full word table in one shuffle join, which yields
-exact counts for every token.  Only sums return to the text, because counts
-enter the score without order; transitions need classes alone, and these are
-known where the text is.
+``HEAD`` most frequent words are looked up in a broadcast table of that fixed
+size; pairs with a rarer word (``links``) and the distinct rarer words of a
+text meet the full word table in shuffle joins, which yield the exact count and
+class of every token.  Words sum up by row; the classes of a text's rarer words
+return to its links, where their transitions are added.
 
 Words are identified by a 64-bit hash.
 
@@ -40,11 +45,16 @@ CLUSTERED = 512
 CLUSTERS = 32
 HEAD = 131_072
 SWEEPS = 6
+#: Rounds that move all words outside the driver's table.
+ROUNDS = 2
 #: Weight of the class unigram in a transition.
 BACKOFF = 5.0
 _LENGTHS = np.array([2, 3, 5, 8, 12])  # bounds of the byte lengths of shapes
 SHAPES = 4 * (len(_LENGTHS) + 1)
 END_HASH = np.int64(0x454E44)
+_START_HASH = np.int64(0x5354)
+#: Word contexts that are weighed at once.
+_ENTRIES = 1 << 16
 
 _LAST = np.full(256, 3, np.int64)  # kind of the last byte: letters and beyond ASCII, .!?, ,;: and the rest
 _LAST[[*range(97, 123), *range(65, 91), *range(128, 256)]] = 0
@@ -159,8 +169,171 @@ def exchange(counts: np.ndarray, words: int, clusters: int = CLUSTERS, sweeps: i
     return cls
 
 
+def _tally(h: np.ndarray, ctx: np.ndarray) -> pa.RecordBatch:
+    """(word, context, times)."""
+    words, at = np.unique(h, return_inverse=True)
+    width = int(ctx.max()) + 1 if len(ctx) else 1
+    code, n = np.unique(at * width + ctx, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(words[code // width]), pa.array((code % width).astype(np.int32)),
+                                       pa.array(n)], ["h", "ctx", "n"])
+
+
+def _pair_contexts(ph, pc, ch, cc, size: int) -> pa.RecordBatch:
+    """Contexts of both words of the pairs: ``c`` stands for class ``c`` after
+    the word, ``size + c`` for before it, ``2 * size`` for the word itself after it."""
+    own = ph == ch
+    first, second = ~own & (ph != _START_HASH), ~own & (ch != END_HASH)
+    return _tally(np.concatenate([ph[first], ch[second], ph[own]]),
+                  np.concatenate([cc[first], size + pc[second], np.full(own.sum(), 2 * size)]))
+
+
+def _text_pairs(buf, off, words, cls, shapes, start, end):
+    """(word, class) before and (word, class) of the tokens whose classes are
+    both known where the text is; with ``shapes`` (the first shape class) all are."""
+    h, shape, at = _words(buf, off)
+    place, hit = _lookup(words, h)
+    known = cls[place] if len(words) else place
+    pc, cc = _sequence(np.where(hit, known, -1 if shapes is None else shapes + shape), at, start, end)
+    ph, ch = _sequence(h, at, _START_HASH, END_HASH)
+    both = (pc >= 0) & (cc >= 0)
+    return ph[both], pc[both], ch[both], cc[both]
+
+
+def _contexts(held):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, cls, shapes, start, end = held.value
+        for b in batches:
+            for _, _, buf, off in text_chunks(b.column(0)):
+                yield _pair_contexts(*_text_pairs(buf, off, words, cls, shapes, start, end), start + 1)
+    return run
+
+
+def _class_pairs(held):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, cls, shapes, start, end = held.value
+        size = start + 1
+        total = np.zeros(size * size, np.int64)
+        for b in batches:
+            for _, _, buf, off in text_chunks(b.column(0)):
+                _, pc, _, cc = _text_pairs(buf, off, words, cls, shapes, start, end)
+                total += np.bincount(pc * size + cc, minlength=size * size)
+        code = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(total[code])], ["code", "n"])
+    return run
+
+
+def _links(held):
+    """Pairs with a rare word: (rare word, side, other).  Side 0: the other, a
+    frequent word's place, comes after; 1: before; 2: a rare word comes after."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = held.value
+        n = len(words)
+        for b in batches:
+            for _, _, buf, off in text_chunks(b.column(0)):
+                h, _, at = _words(buf, off)
+                place, hit = _lookup(words, h)
+                p, c = _sequence(np.where(hit, place, -1), at, n + 1, n)
+                ph, ch = _sequence(h, at, _START_HASH, END_HASH)
+                parts = [((p < 0) & (c >= 0), ph, c), ((p >= 0) & (c < 0), ch, p), ((p < 0) & (c < 0), ph, ch)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([x[m] for m, x, _ in parts])),
+                     pa.array(np.repeat(np.arange(3, dtype=np.int32), [m.sum() for m, _, _ in parts])),
+                     pa.array(np.concatenate([y[m] for m, _, y in parts]))], ["h", "side", "o"])
+    return run
+
+
+def _beside_head(held):
+    """(word before, its class, word, its class) of links of sides 0 and 1."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, cls, _, start, end = held.value
+        all_h, all_cls = np.append(words, [END_HASH, _START_HASH]), np.append(cls, [end, start])
+        for b in batches:
+            h, side, o, k = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns)
+            after = side == 0
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                np.where(after, h, all_h[o]), np.where(after, k, all_cls[o]),
+                np.where(after, all_h[o], h), np.where(after, all_cls[o], k))], ["ph", "pc", "ch", "cc"])
+    return run
+
+
+def _link_contexts(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield _pair_contexts(*(c.to_numpy(zero_copy_only=False) for c in b.columns), size)
+    return run
+
+
+def best_classes(table: np.ndarray, clusters: int, was: np.ndarray, word: np.ndarray, ctx: np.ndarray,
+                 n: np.ndarray) -> np.ndarray:
+    """Class of the best gain for each word, the class bigrams ``table`` held
+    fixed.  ``was``: class whose counts in the table hold the word's (-1: none of
+    the clusters); (``word``, ``ctx``, ``n``): contexts in order of the words."""
+    size, m = len(table), len(was)
+    table, n = table.astype(float), n.astype(float)
+    gain = np.zeros((m, clusters))
+    beside = np.zeros((2, m, size))
+    own = np.bincount(word[ctx == 2 * size], weights=n[ctx == 2 * size], minlength=m)
+    inside = np.flatnonzero(was >= 0)
+    for side, t in ((0, table[:clusters].T), (1, table[:, :clusters])):
+        part = np.flatnonzero(ctx // size == side)
+        if not len(part):
+            continue
+        c, x, w = ctx[part] % size, n[part], word[part]
+        beside[side][w, c] = x
+        g = _f(t[c] + x[:, None]) - _f(t)[c]
+        i = np.flatnonzero(was[w] >= 0)
+        held = t[c[i], was[w[i]]]
+        g[i, was[w[i]]] = _f(held) - _f(np.maximum(held - x[i], 0))
+        i = np.flatnonzero(c < clusters)
+        g[i, c[i]] = 0  # the class beside itself: below
+        first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
+        gain[w[first]] += np.add.reduceat(g, first, axis=0)
+    k = np.arange(clusters)
+    more = beside[0][:, :clusters] + beside[1][:, :clusters] + own[:, None]
+    rest = np.tile(table[k, k], (m, 1))
+    rest[inside, was[inside]] -= more[inside, was[inside]]
+    rest = np.maximum(rest, 0)
+    gain += _f(rest + more) - _f(rest)
+    for side, whole in ((0, table[:clusters].sum(1)), (1, table[:, :clusters].sum(0))):
+        more = (beside[side].sum(1) + own)[:, None]
+        rest = np.tile(whole, (m, 1))
+        rest[inside, was[inside]] -= more[inside, 0]
+        rest = np.maximum(rest, 0)
+        gain -= _f(rest + more) - _f(rest)
+    return gain.argmax(1)
+
+
+def _move(held):
+    """(h, c, shape, cls) of words with their contexts; seeds stay."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, clusters, seeds, of_seeds = held.value
+        for b in batches:
+            h, was = b.column(0).to_numpy(), b.column(3).to_numpy()
+            at = b.column(4).offsets.to_numpy()
+            at, ctx, n = at - at[0], *(b.column(4).flatten().field(i).to_numpy() for i in (0, 1))
+            cls, i = np.empty(len(h), np.int64), 0
+            while i < len(h):
+                j = max(i + 1, int(np.searchsorted(at, at[i] + _ENTRIES, side="right")) - 1)
+                j = min(j, i + _ENTRIES // 64)
+                cls[i:j] = best_classes(table, clusters, was[i:j], np.repeat(np.arange(j - i), np.diff(at[i:j + 1])),
+                                        ctx[at[i]:at[j]].astype(np.int64), n[at[i]:at[j]])
+                i = j
+            place, hit = _lookup(seeds, h)
+            cls[hit] = of_seeds[place[hit]]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(cls.astype(np.int32))],
+                                             ["h", "c", "shape", "cls"])
+    return run
+
+
+def _grouped(entries: DataFrame, classed: DataFrame) -> DataFrame:
+    """(h, c, shape, was, near): words with all their contexts, at most two per class and one."""
+    near = (entries.groupBy("h", "ctx").agg(F.sum("n").alias("n"))
+            .groupBy("h").agg(F.collect_list(F.struct("ctx", "n")).alias("near")))
+    return classed.join(near, "h").select("h", "c", "shape", F.col("cls").cast("bigint").alias("was"), "near")
+
+
 class Model:
-    """What scoring needs where the texts are; size bounded by HEAD and CLUSTERED."""
+    """What scoring needs where the texts are; size bounded by HEAD."""
 
     def __init__(self, head_h, head_c, head_cls, transition, emission, base, start, end):
         self.head_h, self.head_c, self.head_cls = head_h, head_c, head_cls
@@ -177,35 +350,65 @@ def _score(held):
         m: Model = held.value
         total, vocabulary, c_end = m.base
         bottom = np.log10(total + 0.1 * (vocabulary + 1))
-        first_shape = m.end - SHAPES
         for b in batches:
             for i, k, buf, off in text_chunks(b.column(2)):
                 h, shape, at = _words(buf, off)
                 place, hit = _lookup(m.head_h, h)
-                cls = np.where(hit, m.head_cls[place] if len(m.head_h) else 0, first_shape + shape)
-                prev, cur = _sequence(cls, at, m.start, m.end)
                 text = np.repeat(np.arange(k), np.diff(at))
                 owner = np.repeat(np.arange(k), np.diff(at) + 1)
-                steps = _sums(owner, m.transition[prev, cur], k)
                 base = _sums(text[hit], np.log10(m.head_c[place[hit]] + 0.1) - bottom, k)
                 base += np.log10(c_end + 0.1) - bottom
                 emit = _sums(text[hit], m.emission[place[hit]], k)
                 # distinct rarer words of each text
-                th, tt, ts = h[~hit], text[~hit], shape[~hit]
-                order = np.lexsort((th, tt))
-                th, tt, ts = th[order], tt[order], ts[order]
+                rare = np.flatnonzero(~hit)
+                rare = rare[np.lexsort((h[rare], text[rare]))]
+                th, tt, ts = h[rare], text[rare], shape[rare]
                 new = np.ones(len(th), bool)
                 new[1:] = (th[1:] != th[:-1]) | (tt[1:] != tt[:-1])
                 where = np.flatnonzero(new)
                 tf = np.diff(np.append(where, len(th)))
                 lists = np.searchsorted(tt[where], np.arange(k + 1)).astype(np.int32)
+                # classes; a rarer word is -1 less its place in its text's list
+                cls = m.head_cls[place] if len(m.head_h) else np.zeros(len(h), np.int64)
+                cls[rare] = lists[tt] - np.cumsum(new)
+                prev, cur = _sequence(cls, at, m.start, m.end)
+                both = (prev >= 0) & (cur >= 0)
+                steps = _sums(owner[both], m.transition[prev[both], cur[both]], k)
+                links = np.searchsorted(owner[~both], np.arange(k + 1)).astype(np.int32)
                 known = np.bincount(text[hit], minlength=k) + (c_end > 0)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, k), b.column(1).slice(i, k), pa.array(np.diff(at) + 1), pa.array(known),
                      pa.array(base), pa.array(steps + emit),
                      pa.ListArray.from_arrays(pa.array(lists), pa.array(th[where])),
-                     pa.ListArray.from_arrays(pa.array(lists), pa.array(tf * 64 + ts[where]))],
-                    ["id", "train", "n_tokens", "known", "base", "model", "tail_h", "tail_k"])
+                     pa.ListArray.from_arrays(pa.array(lists), pa.array(tf * 64 + ts[where])),
+                     *(pa.ListArray.from_arrays(pa.array(links), pa.array(x[~both].astype(np.int32)))
+                       for x in (prev, cur))],
+                    ["id", "train", "n_tokens", "known", "base", "model", "tail_h", "tail_k", "prev", "cur"])
+    return run
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """(lengths, values) of a list column."""
+    at = column.offsets.to_numpy()
+    return np.diff(at), column.flatten()
+
+
+def _link_steps(held):
+    """The last three columns (links before and after, classes by place) become the sum of the links' transitions."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        transition = held.value.transition
+        for b in batches:
+            (size, prev), (_, cur), (rare, got) = (_flat(c) for c in b.columns[-3:])
+            owner = np.repeat(np.arange(len(b)), size)
+            first = np.cumsum(rare) - rare
+            classes = np.zeros(len(got), np.int64)
+            classes[np.repeat(first, rare) + got.field(0).to_numpy()] = got.field(1).to_numpy()
+            p, c = (x.to_numpy().astype(np.int64) for x in (prev, cur))
+            for x in (p, c):
+                open_ = x < 0
+                x[open_] = classes[first[owner[open_]] - x[open_] - 1]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-3], pa.array(_sums(owner, transition[p, c], len(b)))],
+                                             [*b.schema.names[:-3], "steps"])
     return run
 
 
@@ -213,6 +416,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts
     """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     spark = docs.sparkSession
     st = Stage(spark, "class-lm")
+    send = spark.sparkContext.broadcast
     train = docs.where(in_training(id_col, parts)).select(F.col(text_col).alias("text"))
     words = st.stage(train.mapInArrow(_count, "h bigint, c bigint, shape int")
                      .groupBy("h").agg(F.sum("c").alias("c"), F.min("shape").alias("shape")), "words")
@@ -224,82 +428,143 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts
         if held_words > HEAD:
             break
         cut = r["level"]
-    head = words.where(level >= cut).collect() if cut is not None else []
-    head.sort(key=lambda r: (-r["c"], r["h"]))
-    c_end = next((r["c"] for r in head if r["h"] == END_HASH), 0)
-    if not c_end:
-        c_end = (words.where(F.col("h") == int(END_HASH)).agg(F.max("c")).first()[0]) or 0
-    head = [r for r in head if r["h"] != END_HASH]
-    clustered = np.sort(np.array([r["h"] for r in head[:CLUSTERED]], np.int64))
-    n = len(clustered) + SHAPES + 2
-    held = spark.sparkContext.broadcast(clustered)
-    pairs = (train.mapInArrow(_bigrams(held), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    no_end = F.col("h") != int(END_HASH)
+    often = (level >= cut if cut is not None else F.lit(False)) & no_end
+    head = words.where(often).collect()  # at most HEAD rows
+    c_end = words.where(~no_end).agg(F.max("c")).first()[0] or 0
+    seeds = sorted(head, key=lambda r: (-r["c"], r["h"]))[:CLUSTERED] or (
+        words.where(no_end).orderBy(F.desc("c"), "h").limit(CLUSTERED).collect())
+    seeds = np.sort(np.array([r["h"] for r in seeds], np.int64))
+    n = len(seeds) + SHAPES + 2
+    pairs = (train.mapInArrow(_bigrams(send(seeds)), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
              .collect())  # at most n * n rows
     counts = np.zeros(n * n, np.int64)
     for r in pairs:
         counts[r["code"]] = r["n"]
     counts = counts.reshape(n, n)
-    cls = exchange(counts, len(clustered)) if len(clustered) else np.arange(n)
-    size = int(cls.max()) + 1
-    first_shape, end, start = size - SHAPES - 2, size - 2, size - 1
-    member = np.zeros((n, size))
-    member[np.arange(n), cls] = 1
+    clusters = max(1, min(CLUSTERS, len(seeds)))
+    of_seeds = exchange(counts, len(seeds), clusters) if len(seeds) else np.arange(1, n + 1)
+    member = np.zeros((n, clusters + n - len(seeds)))
+    member[np.arange(n), of_seeds] = 1
     table = member.T @ counts @ member
+    of_seeds = of_seeds[:len(seeds)]
+    end, start = clusters, clusters + 1
+    size = clusters + 2
+    entry, field = "h bigint, ctx int, n bigint", "h bigint, c bigint, shape int, cls int"
+
+    def moved(entries: DataFrame, before: DataFrame) -> DataFrame:
+        found = _grouped(entries, before)
+        held = send((table, clusters, seeds, of_seeds))
+        return found.mapInArrow(_move(held), field)
+
+    def of_head(classed: DataFrame):
+        """Frequent words and their classes, for broadcast; at most HEAD rows."""
+        rows = sorted(classed.where(often).select("h", "cls").collect())
+        return send((np.array([r["h"] for r in rows], np.int64), np.array([r["cls"] for r in rows], np.int64),
+                     None, start, end))
+
+    def met(classed: DataFrame, held) -> DataFrame:
+        """(word before, class, word, class) of all links."""
+        by = classed.select("h", "cls")
+        near = (links.where("side < 2").join(by, "h").select("h", "side", "o", "cls")
+                .mapInArrow(_beside_head(held), "ph bigint, pc bigint, ch bigint, cc bigint"))
+        rare = (links.where("side = 2").join(by, "h")
+                .join(by.select(F.col("h").alias("o"), F.col("cls").alias("cc")), "o")
+                .select(F.col("h").alias("ph"), F.col("cls").cast("bigint").alias("pc"), F.col("o").alias("ch"),
+                        F.col("cc").cast("bigint").alias("cc")))
+        return near.unionByName(rare)
+
+    classed = words.where(no_end).withColumn("cls", F.lit(-1))
+    if len(seeds):
+        held = send((seeds, of_seeds, clusters, clusters + SHAPES + 1, clusters + SHAPES))
+        classed = st.stage(moved(train.mapInArrow(_contexts(held), entry), classed), "classes")
+    links = st.stage(train.mapInArrow(_links(send(np.sort(np.array([r["h"] for r in head], np.int64)))),
+                                      "h bigint, side int, o bigint"), "links")
+
+    def class_table(held) -> np.ndarray:
+        """Class bigrams of all training tokens."""
+        out = np.zeros(size * size)
+        near = train.mapInArrow(_class_pairs(held), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+        far = met(classed, held).groupBy((F.col("pc") * size + F.col("cc")).alias("code")).agg(
+            F.count(F.lit(1)).alias("n"))
+        for r in [*near.collect(), *far.collect()]:  # at most size * size rows each
+            out[r["code"]] += r["n"]
+        return out.reshape(size, size)
+
+    held = of_head(classed)
+    table = class_table(held)
+    for _ in range(1, ROUNDS if len(seeds) else 1):
+        st.settle()
+        entries = (train.mapInArrow(_contexts(held), entry)
+                   .unionByName(met(classed, held).mapInArrow(_link_contexts(size), entry)))
+        before, classed = classed, st.stage(moved(entries, classed), "classes")
+        st.discard(before)
+        held = of_head(classed)
+        table = class_table(held)
+    st.discard(links)
+    st.settle()
     unigram = (table.sum(0) + 1.0)
     unigram[start] = 0
     unigram /= unigram.sum()
     transition = (table + BACKOFF * unigram) / (table.sum(1, keepdims=True) + BACKOFF)
     transition = np.log10(np.maximum(transition, 1e-300))
-    # words of shapes: every word that is not clustered
-    few = spark.createDataFrame([(int(h),) for h in clustered], "h bigint")
-    loose = words.where(F.col("h") != int(END_HASH)).join(F.broadcast(few), "h", "left_anti")  # CLUSTERED rows
-    stats = loose.groupBy("shape").agg(
+    # what each class keeps for unseen words, and the class of an unseen word of each shape
+    stats = classed.groupBy("cls", "shape").agg(
         F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.expr("CAST(c = 1 AS BIGINT)")).alias("n1"),
-        F.sum(F.expr("CAST(c = 2 AS BIGINT)")).alias("n2")).collect()
-    mass, discount, unknown = np.ones(SHAPES), np.zeros(SHAPES), np.zeros(SHAPES)
+        F.sum(F.expr("CAST(c = 2 AS BIGINT)")).alias("n2")).collect()  # at most clusters * SHAPES rows
+    mass, kinds, twice, once = np.zeros(clusters), np.zeros(clusters), np.zeros(clusters), np.zeros((clusters, SHAPES))
     for r in stats:
-        d = min(max((r["n1"] + 0.5) / (r["n1"] + 2 * r["n2"] + 1), 0.05), 0.9)
-        mass[r["shape"]], discount[r["shape"]] = r["n"], d
-        unknown[r["shape"]] = np.log10(d * r["v"] / r["n"])
+        mass[r["cls"]] += r["n"]
+        kinds[r["cls"]] += r["v"]
+        twice[r["cls"]] += r["n2"]
+        once[r["cls"], r["shape"]] += r["n1"]
+    n1 = once.sum(1)
+    discount = np.clip((n1 + 0.5) / (n1 + 2 * twice + 1), 0.05, 0.9)
+    share = once.sum(0) + 0.5
+    unseen_class = np.where(once.sum(0) > 0, once.argmax(0), int((discount * kinds).argmax()))
+    in_class = np.bincount(unseen_class, weights=share, minlength=clusters)
+    discount[in_class == 0] = 0.0  # nothing unseen falls here
+    mass = np.maximum(mass, 1.0)
+    kept = np.where(kinds > 0, discount * kinds / mass, 1.0)[unseen_class]
+    unknown = np.log10(kept * share / in_class[unseen_class])
     total, vocabulary = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    head.sort(key=lambda r: r["h"])
-    head_h = np.array([r["h"] for r in head], np.int64)
-    head_c = np.array([r["c"] for r in head], np.float64)
-    shape = np.array([r["shape"] for r in head], np.int64)
-    place, is_clustered = _lookup(clustered, head_h)
-    head_cls = np.where(is_clustered, cls[place] if len(clustered) else 0, first_shape + shape)
-    in_class = np.bincount(cls[place[is_clustered]], weights=head_c[is_clustered], minlength=size)
-    emission = np.where(is_clustered, np.log10(head_c / np.maximum(in_class[head_cls], 1)),
-                        np.log10((head_c - discount[shape]) / mass[shape])) if len(head) else np.zeros(0)
-    model = Model(head_h, head_c, head_cls, transition, emission, (total, vocabulary, c_end), start, end)
+    head_h, head_cls = held.value[:2]
+    c_of = {r["h"]: r["c"] for r in head}
+    head_c = np.array([c_of[h] for h in head_h.tolist()], np.float64)
+    emission = np.log10((head_c - discount[head_cls]) / mass[head_cls]) if len(head_h) else np.zeros(0)
+    shared = send(Model(head_h, head_c, head_cls, transition, emission, (total, vocabulary, c_end), start, end))
     kind = docs.schema[id_col].dataType.simpleString()
-    shared = spark.sparkContext.broadcast(model)
-    fields = (f"id {kind}, train boolean, n_tokens bigint, known bigint, base double, model double, "
-              "tail_h array<bigint>, tail_k array<bigint>")
+    sums_of = f"id {kind}, train boolean, n_tokens bigint, known bigint, base double, model double"
     rows = (docs.select(F.col(id_col).alias("id"), in_training(id_col, parts).alias("train"), F.col(text_col))
-            .mapInArrow(_score(shared), fields).withColumn("row", F.monotonically_increasing_id()))
+            .mapInArrow(_score(shared), f"{sums_of}, tail_h array<bigint>, tail_k array<bigint>, prev array<int>, "
+                                        "cur array<int>").withColumn("row", F.monotonically_increasing_id()))
     rows = st.stage(rows, "rows")
     tail = (rows.where(F.size("tail_h") > 0)
-            .select("row", F.inline(F.arrays_zip("tail_h", "tail_k")))
-            .select("row", F.col("tail_h").alias("h"), F.shiftright("tail_k", 6).alias("tf"),
-                    F.col("tail_k").bitwiseAND(63).cast("int").alias("k")))
+            .select("row", F.posexplode(F.arrays_zip("tail_h", "tail_k")).alias("pos", "x"))
+            .select("row", "pos", F.col("x.tail_h").alias("h"), F.shiftright("x.tail_k", 6).alias("tf"),
+                    F.col("x.tail_k").bitwiseAND(63).cast("int").alias("k")))
 
-    def of_shape(values: np.ndarray) -> Column:
-        return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("k") + 1)
+    def listed(values: np.ndarray, at: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values.tolist()]), at + 1)
 
-    met = tail.join(words.select("h", "c"), "h", "left")
-    c = F.coalesce("c", F.lit(0))
-    sums = met.groupBy("row").agg(
+    found = tail.join(classed.select("h", "c", "cls"), "h", "left")
+    c, seen = F.coalesce("c", F.lit(0)), F.col("c").isNotNull()
+    sums = found.groupBy("row").agg(
         F.sum(F.col("tf") * F.log10(c + 0.1)).alias("base_tail"), F.sum("tf").alias("tf"),
-        F.sum(F.when(F.col("c").isNotNull(), F.col("tf")).otherwise(0)).alias("known_tail"),
-        F.sum(F.col("tf") * F.when(F.col("c").isNull(), of_shape(unknown)).otherwise(
-            F.log10((F.col("c") - of_shape(discount)) / of_shape(mass)))).alias("model_tail"))
-    bottom = F.lit(float(np.log10(total + 0.1 * (vocabulary + 1))))
+        F.sum(F.when(seen, F.col("tf")).otherwise(0)).alias("known_tail"),
+        F.sum(F.col("tf") * F.when(~seen, listed(unknown, F.col("k"))).otherwise(
+            F.log10((F.col("c") - listed(discount, F.col("cls"))) / listed(mass, F.col("cls"))))).alias("model_tail"),
+        F.collect_list(F.struct("pos", F.coalesce("cls", listed(unseen_class.astype(np.int64), F.col("k"))).cast("int")
+                                .alias("cls"))).alias("got"))
     zero = F.lit(0.0)
-    return (rows.drop("tail_h", "tail_k").join(sums, "row", "left")
+    bottom = F.lit(float(np.log10(total + 0.1 * (vocabulary + 1))))
+    none = F.expr("CAST(array() AS array<struct<pos: int, cls: int>>)")
+    whole = (rows.drop("tail_h", "tail_k").join(sums, "row", "left")
+             .select("id", "train", "n_tokens", (F.col("known") + F.coalesce("known_tail", F.lit(0))).alias("known"),
+                     (F.col("base") + F.coalesce("base_tail", zero) - F.coalesce("tf", F.lit(0)) * bottom).alias("base"),
+                     (F.col("model") + F.coalesce("model_tail", zero)).alias("model"), "prev", "cur",
+                     F.coalesce("got", none).alias("got")))
+    return (whole.mapInArrow(_link_steps(shared), f"{sums_of}, steps double")
             .select(F.col("id").alias(id_col), (~F.col("train")).alias("held_out"), "n_tokens",
-                    (F.col("known") + F.coalesce("known_tail", F.lit(0))).cast("long").alias("n_known"),
-                    F.lit(int(total)).cast("long").alias("train_tokens"),
-                    (F.col("base") + F.coalesce("base_tail", zero) - F.coalesce("tf", F.lit(0)) * bottom)
-                    .alias("base_score"),
-                    (F.col("model") + F.coalesce("model_tail", zero)).alias("score")))
+                    F.col("known").cast("long").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
+                    F.col("base").alias("base_score"), (F.col("model") + F.col("steps")).alias("score")))

@@ -443,6 +443,59 @@ def test_exchange_separates_alternating_words():
     assert len(set(cls[:5])) == len(set(cls[5:12])) == 1 and cls[0] != cls[5]
 
 
+def test_class_lm_learns_classes_of_rare_words(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "CLUSTERED", 8)
+    monkeypatch.setattr(class_lm, "CLUSTERS", 2)
+    rnd = random.Random(6)
+    often = [[f"{k}o{i}" for i in range(4)] for k in "ab"]
+    rare = [[f"{k}{i:03d}" for i in range(150)] for k in "ab"]  # all of one shape
+    words = [often[j % 2][rnd.randrange(4)] if rnd.random() < 0.7 else rare[j % 2][rnd.randrange(150)]
+             for j in range(12000)]
+    rows = [(i, " ".join(words[40 * i:40 * i + 40])) for i in range(300)]
+    pairs = [(rnd.choice(rare[0]), rnd.choice(rare[1])) for _ in range(20)]
+    rows += [(1000, " ".join(f"{a} {b}" for a, b in pairs)), (1001, " ".join(f"{a} {c}" for a, c in zip(
+        [a for a, _ in pairs[:10]] + [b for _, b in pairs[:10]], [a for a, _ in pairs[10:]] + [b for _, b in pairs[10:]])))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    for head in (8, 100, class_lm.HEAD):  # rare words met by joins, in part, and by broadcast
+        monkeypatch.setattr(class_lm, "HEAD", head)
+        got.append({r.doc_id: (r.base_score, r.score) for r in class_lm.score(df).collect()})
+    assert math.isclose(got[0][1000][0], got[0][1001][0], rel_tol=1e-9)
+    assert got[0][1000][1] > got[0][1001][1] + 5  # rare words follow the other kind
+    for other in got[1:]:
+        assert all(np.allclose(got[0][i], other[i], rtol=1e-9) for i in got[0])
+
+
+def test_best_classes_equal_full_likelihood():
+    rnd = np.random.default_rng(3)
+    clusters, size = 3, 5
+    counts = rnd.integers(0, 9, (6, 6))  # units: four words, an end, a start
+    cls = np.array([0, 1, 2, 1, 3, 4])
+
+    def likelihood(of):
+        member = np.eye(size)[of]
+        t = member.T @ counts @ member
+        x = lambda v: (v * np.log(np.maximum(v, 1.0))).sum()
+        return x(t) - x(t[:clusters].sum(1)) - x(t[:, :clusters].sum(0)), t
+
+    table = likelihood(cls)[1]
+    w = 3
+    entries = Counter()
+    for u in range(6):
+        if u != w:
+            entries[cls[u]] += counts[w, u]
+            entries[size + cls[u]] += counts[u, w]
+    entries[2 * size] += counts[w, w]
+    ctx = np.array(sorted(entries))
+    n = np.array([entries[c] for c in ctx])
+    without = counts.copy()
+    without[w], without[:, w] = 0, 0
+    member = np.eye(size)[cls]
+    got = class_lm.best_classes(member.T @ without @ member, clusters, np.array([-1]), np.zeros(len(ctx), int), ctx, n)
+    want = max(range(clusters), key=lambda k: likelihood(np.where(np.arange(6) == w, k, cls))[0])
+    assert got[0] == want and table.sum() == counts.sum()
+
+
 # --- 10 ------------------------------------------------------------------------------
 def test_toxicity_on_planted_words(spark):
     rnd = random.Random(8)
