@@ -1,8 +1,8 @@
 """Language identification by cross-parsing against suffix automata.
 
 For each language a bounded sample of labelled text (``SAMPLE_CHARS``
-normalised characters, a documented parameter) is turned into its suffix
-automaton, which accepts exactly the substrings of the sample.  A text is
+normalised characters, a documented parameter; copies of a text count once) is
+turned into its suffix automaton, which accepts exactly the substrings of the sample.  A text is
 parsed greedily into the longest phrases that occur in a language's sample;
 the language that needs fewest phrases per character wins (cross-parsing
 entropy).  Every text is parsed whole, in blocks of ``BLOCK`` characters that
@@ -49,20 +49,26 @@ def held_out(id_col: str, parts: int = 5) -> Column:
 
 def sample(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
            parts: int = 5) -> dict[str, str]:
-    """A bounded sample per label of the rows that are not held out, in an
-    order given by a hash of the text.  At most ``SAMPLE_ROWS`` rows of
-    ``SAMPLE_ROW_CHARS`` characters per label reach the driver."""
+    """A bounded sample per label of the distinct texts that are not held out, in
+    an order given by a hash of the text: a stretch of each, which starts where
+    the hash says.  At most ``SAMPLE_ROWS`` rows of ``SAMPLE_ROW_CHARS``
+    characters per label reach the driver."""
+    length, start = F.length(text_col), F.pmod(F.shiftright("h", 8), F.col("n") - SAMPLE_ROW_CHARS + 1)
     rows = (docs.where(~held_out(id_col, parts) & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-            .where(F.length(text_col) > 0)
-            .select(F.col(label_col).alias("label"), F.xxhash64(text_col).alias("h"),
-                    F.substring(text_col, 1, SAMPLE_ROW_CHARS).alias("t")))
-    # the smallest hashes, first within 64 parts of each label and then over the parts
-    part = Window.partitionBy("label", F.pmod("h", F.lit(64))).orderBy("h", "t")
-    last = Window.partitionBy("label").orderBy("h", "t")
+            .where(length > 0)
+            .select(F.col(label_col).alias("label"), F.xxhash64(text_col).alias("h"), length.alias("n"),
+                    F.col(text_col).alias("t"))
+            .select("label", "h", F.when(F.col("n") <= SAMPLE_ROW_CHARS, F.col("t")).otherwise(
+                F.substring("t", start.cast("int") + 1, F.lit(SAMPLE_ROW_CHARS))).alias("t")))
+    # copies count once; the smallest hashes, first within 64 parts of each label and then over the parts
+    rows = rows.groupBy("label", "h").agg(F.min("t").alias("t"))
+    part = Window.partitionBy("label", F.pmod("h", F.lit(64))).orderBy("h")
+    last = Window.partitionBy("label").orderBy("h")
     rows = (rows.withColumn("k", F.row_number().over(part)).where(F.col("k") <= SAMPLE_ROWS // 8)
             .withColumn("k", F.row_number().over(last)).where(F.col("k") <= SAMPLE_ROWS))
+    for_driver = rows.orderBy("label", "h")
     out: dict[str, str] = {}
-    for r in rows.orderBy("label", "h", "t").collect():
+    for r in for_driver.collect():
         out[r["label"]] = out.get(r["label"], "") + "\n" + r["t"]
     return out
 

@@ -366,6 +366,21 @@ def test_language_id_held_out_accuracy(spark):
     assert {r.lang_pred for r in language_id.identify(awkward(spark), nothing).collect()} == {"und"}
 
 
+def test_language_sample_takes_copies_once_and_any_part(spark):
+    rows = [(i, f"text number {i} " + "".join(chr(97 + (i * 7 + j * j) % 26) for j in range(300)), "en") for i in range(40)]
+    rows += [(100 + i, rows[k][1], "en") for k in range(10) for i in range(k * 60, k * 60 + 60)]
+    long = " ".join(f"w{j:05d}" for j in range(2000))
+    rows += [(1000 + i, f"{i:02d} {long}", "fr") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.sample(df)
+    assert language_id.sample(df.repartition(7)) == got
+    train = {t for i, t, g in rows if g == "en" and zlib.crc32(str(i).encode()) % 5}
+    assert Counter(got["en"][1:].split("\n")) == Counter(train)
+    parts = got["fr"][1:].split("\n")
+    assert {len(x) for x in parts} == {language_id.SAMPLE_ROW_CHARS}
+    assert all(any(x in t for _, t, _ in rows) for x in parts) and sum("w00000" in x for x in parts) < len(parts) / 2
+
+
 # --- 8 -------------------------------------------------------------------------------
 def test_entropy_classes_equal_counting():
     rnd = np.random.default_rng(0)
