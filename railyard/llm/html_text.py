@@ -9,7 +9,11 @@ is the threshold: of the centre's neighbours on that path those that reach it
 and have the path node's own tag belong to the article as well.  The enclosing
 ``article`` or ``main`` element, if there is one, bounds it.  Elements that
 never hold article text (scripts, styles, menus, forms ...) or name themselves
-as such by tag, role, class or id are no part of the tree's text.
+as such by tag, role, class or id are no part of the tree's text.  Inside the
+article a class or id is not enough: what it names goes only if most of its
+text is links, it is very short, or it has few characters per tag beside the
+article.  Ids of headings name nothing, and what only an id names of which the
+name is a part (a slug such as ``social-life``) goes only if it is links.
 
 Text keeps page order; character references are decoded; white space becomes
 one blank, and blocks are joined by one blank.
@@ -56,6 +60,11 @@ _DROP_NAMES = {"ad", "ads", "alert", "announcement", "commentlist", "adbox", "ad
                "responses", "share", "sharing", "sidebar", "sidenav", "signup", "social", "sponsor", "sponsored",
                "sponsors", "subscribe", "toolbar", "topbar", "widget"}
 _BOUND = ("article", "main")
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Characters below which a named element inside the article is very short.
+_SHORT = 100
+#: Its characters per tag, as a part of the article's, below which it is thin.
+_THIN = 0.2
 #: Elements that some pages put around everything.
 _WRAPS = ("form", "fieldset")
 #: An open element that a start tag ends, and what stops the search for it.
@@ -64,19 +73,24 @@ _ENDS = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt
          "option": ({"option"}, {"select"})}
 
 
-def _names_itself(tag: str, attributes: str) -> bool:
+def _names_itself(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+    """Whether role or style, a class or id, and more than a part of an id's slug say what never holds article text."""
+    sure = named = whole = False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
         if name in ("class", "id"):
-            if not _DROP_NAMES.isdisjoint(_PART.findall(value)):
-                return True
+            if name == "id" and tag in _HEADINGS:
+                continue
+            parts = _PART.findall(value)
+            if not _DROP_NAMES.isdisjoint(parts):
+                named = True
+                whole = whole or name == "class" or _DROP_NAMES.issuperset(parts)
         elif name == "role":
-            if value in _DROP_ROLES:
-                return True
+            sure = sure or value in _DROP_ROLES
         elif name == "hidden" or name == "aria-hidden" and value == "true" \
                 or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            sure = True
+    return sure, named, whole
 
 
 class Page:
@@ -84,6 +98,7 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.marked = ["#"], [-1], [False]
+        self.named: dict[int, bool] = {}  # nodes marked by class or id alone: whether by more than a part of a slug
         self.texts: list[tuple[int, str]] = []  # (node, text), a blank where blocks meet
         self.body = 0
         self._read(source)
@@ -109,9 +124,12 @@ class Page:
                         self._close(stack, *_ENDS[name])
                 tag.append(name)
                 parent.append(stack[-1])
-                marked.append(name in _DROP or bool(m[3]) and _names_itself(name, m[3])
-                              or name == "header" and not any(tag[k] in _BOUND for k in stack))
+                sure, named, whole = _names_itself(name, m[3]) if m[3] else (False, False, False)
+                sure = sure or name in _DROP or name == "header" and not any(tag[k] in _BOUND for k in stack)
+                marked.append(sure or named)
                 node = len(tag) - 1
+                if named and not sure:
+                    self.named[node] = whole
                 if name == "body" and self.body == 0:
                     self.body = node
                 if name in _RAW:
@@ -173,6 +191,33 @@ class Page:
         for k in range(1, n):
             out[k] = out[k] or out[parent[k]]
             link[k] = link[k] or link[parent[k]]
+        top = self.body
+        density, chars, _, _ = self._measure(out, link, top)
+        total = [0.0] * n
+        for k in range(1, n):
+            total[parent[k]] += density[k]
+        inside = [k == top for k in range(n)]
+        for k in range(1, n):
+            inside[k] = inside[k] or inside[parent[k]] and k != top
+        centre = top
+        for k in range(n):
+            if inside[k] and total[k] > total[centre]:
+                centre = k
+        roots = self._article(centre, top, density, chars, out)
+        if self.named and top not in roots and 0 not in roots:
+            self._restore(out, link, top, roots)
+        took = [False] * n
+        for k in range(n):
+            took[k] = (k in roots or k > 0 and took[parent[k]]) and not out[k]
+        # block marks count wherever they stand, so blocks of different nodes never run together
+        text = "".join([t for k, t in self.texts if took[k] or t == " "])
+        if "&" in text:
+            text = _html.unescape(text)
+        return " ".join(text.split())
+
+    def _measure(self, out: list, link: list, top: int) -> tuple[list, list, list, list]:
+        """Densities, characters, characters in links and tags of what is not ``out``."""
+        tag, parent, n = self.tag, self.parent, len(self.tag)
         chars, linked, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         for k, t in self.texts:
             if t != " " and not out[k]:
@@ -187,32 +232,34 @@ class Page:
                 linked[p] += linked[k]
                 tags[p] += tags[k] + 1
                 link_tags[p] += link_tags[k] + (tag[k] == "a")
-        top = self.body
         ratio = linked[top] / max(chars[top], 1)
-        density, total = [0.0] * n, [0.0] * n
+        density = [0.0] * n
         for k in range(n):
             if chars[k] and not out[k]:
                 c, t, lc, lt = chars[k], max(tags[k], 1), max(linked[k], 1), max(link_tags[k], 1)
                 base = math.log(math.log(c / max(c - linked[k], 1) * lc + ratio * c + math.e))
                 density[k] = c / t * max(math.log(c / lc * t / lt) / max(base, 0.1), 0.0)
+        return density, chars, linked, tags
+
+    def _restore(self, out: list, link: list, top: int, roots: set[int]) -> None:
+        """Take back what only a class or id dropped from the article, unless it is thin, links or very short."""
+        parent, n = self.parent, len(self.tag)
+        sure = [m and k not in self.named for k, m in enumerate(self.marked)]
+        inside = [False] * n
         for k in range(1, n):
-            total[parent[k]] += density[k]
-        inside = [k == top for k in range(n)]
+            sure[k] = sure[k] or sure[parent[k]]
+            inside[k] = k in roots or inside[parent[k]]
+        if not any(inside[k] and self.marked[k] and not sure[k] for k in self.named):
+            return
+        _, chars, linked, tags = self._measure(sure, link, top)
+        per_tag = [(c - x) / max(t, 1) for c, x, t in zip(chars, linked, tags)]
+        thin = _THIN * max(per_tag[k] for k in roots)
         for k in range(1, n):
-            inside[k] = inside[k] or inside[parent[k]] and k != top
-        centre = top
-        for k in range(n):
-            if inside[k] and total[k] > total[centre]:
-                centre = k
-        roots = self._article(centre, top, density, chars, out)
-        took = [False] * n
-        for k in range(n):
-            took[k] = (k in roots or k > 0 and took[parent[k]]) and not out[k]
-        # block marks count wherever they stand, so blocks of different nodes never run together
-        text = "".join([t for k, t in self.texts if took[k] or t == " "])
-        if "&" in text:
-            text = _html.unescape(text)
-        return " ".join(text.split())
+            if inside[k] and k not in roots:
+                own = self.marked[k]
+                if own and not sure[k]:
+                    own = 2 * linked[k] > chars[k] or self.named[k] and (chars[k] < _SHORT or per_tag[k] < thin)
+                out[k] = out[parent[k]] or own
 
     def _article(self, centre: int, top: int, density: list, chars: list, out: list) -> set[int]:
         tag, parent = self.tag, self.parent

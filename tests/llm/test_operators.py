@@ -316,6 +316,21 @@ def test_html_text():
         assert html_text.main_text(text) == want
 
 
+def test_html_text_keeps_named_sections_of_the_article():
+    long = "Dense text of the article that goes on for a while without any link, as such paragraphs do in general. "
+    page = ("<body><nav><a href=/>Home</a></nav><div class='comments'><p>" + "Not from the article. " * 4 + "</p></div>"
+            "<article><h1>Head</h1><p>" + long * 6 + "</p>{}</article></body>")
+    whole = " ".join(("Head " + long * 6).split())
+    for part, text in ((f"<section id='social-life'><h2>Social</h2><p>{long}</p></section>", f"Social {long}"),
+                       ("<section id=social-life><p>Short but its own.</p></section>", "Short but its own."),
+                       ("<h2 id='related-work'>Related work</h2>", "Related work"),
+                       (f"<div id=header-files class='reply'><p>{long * 2}</p><div class=share>Share this</div></div>", long * 2),
+                       ("<div class=related><p><a href=a>One more page to read</a> <a href=b>" + long + "</a></p></div>", ""),
+                       ("<div class='ad'>Buy now</div>", ""), (f"<aside class=x><p>{long}</p></aside>", ""),
+                       (f"<div hidden class=share><p>{long}</p></div>", "")):
+        assert html_text.main_text(page.format(part)) == " ".join((whole + " " + text).split())
+
+
 def test_html_text_over_pages(spark):
     import html
     df = spark.read.parquet(f"{SMOKE}/pages.parquet").withColumn("text", F.lit("clash"))
