@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import (class_lm, fingerprints, html_text, language_id, line_dedup, ngram_join, packing,
-                          quality_rules, source_mix, toxicity)
+from railyard.llm import (class_lm, fingerprints, html_text, language_id, lexical_search, line_dedup, ngram_join,
+                          packing, quality_rules, source_mix, toxicity)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +72,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(rows, model)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    index = lexical_search.build(_documents(spark, sf_dir))
+    return lexical_search.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)
+
+
 QUERIES = (op1_ngram_jaccard_join, op2_source_mix, op3_quality_rules, op4_line_dedup, op5_best_fit_packing,
-           op6_html_text, op7_language_id, op8_fingerprints, op9_class_lm, op10_toxicity)
+           op6_html_text, op7_language_id, op8_fingerprints, op9_class_lm, op10_toxicity,
+           op12_lexical_search)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -83,4 +90,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {"op1_ngram_jaccard_join": ngram_join.oracle_sql(4, 85, 100),
             "op2_source_mix": source_mix.oracle_sql(), "op3_quality_rules": quality_rules.oracle_sql(),
-            "op4_line_dedup": line_dedup.oracle_sql()}
+            "op4_line_dedup": line_dedup.oracle_sql(), "op12_lexical_search": lexical_search.oracle_sql()}
