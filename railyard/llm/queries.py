@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from railyard.llm import (class_lm, fingerprints, html_text, language_id, lexical_search, line_dedup, ngram_join,
-                          packing, quality_rules, source_mix, toxicity)
+                          packing, personal_data, quality_rules, source_mix, spelling, toxicity)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,15 +72,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(rows, model)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of seven letters and more, their near words, forms and roots."""
+    return spelling.variants(spelling.word_counts(_documents(spark, sf_dir)))
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of each benchmark item."""
     index = lexical_search.build(_documents(spark, sf_dir))
     return lexical_search.search(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern spans, their digest, and all spans with those of the trained tagger."""
+    docs = _documents(spark, sf_dir)
+    return personal_data.digest(personal_data.find(docs, personal_data.fit(docs)))
+
+
 QUERIES = (op1_ngram_jaccard_join, op2_source_mix, op3_quality_rules, op4_line_dedup, op5_best_fit_packing,
            op6_html_text, op7_language_id, op8_fingerprints, op9_class_lm, op10_toxicity,
-           op12_lexical_search)
+           op11_spelling, op12_lexical_search, op13_personal_data)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -90,4 +101,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {"op1_ngram_jaccard_join": ngram_join.oracle_sql(4, 85, 100),
             "op2_source_mix": source_mix.oracle_sql(), "op3_quality_rules": quality_rules.oracle_sql(),
-            "op4_line_dedup": line_dedup.oracle_sql(), "op12_lexical_search": lexical_search.oracle_sql()}
+            "op4_line_dedup": line_dedup.oracle_sql(), "op11_spelling": spelling.oracle_sql(),
+            "op12_lexical_search": lexical_search.oracle_sql()}
