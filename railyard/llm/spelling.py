@@ -49,7 +49,7 @@ GROUPS = 5
 #: Words of a key that are multiplied at once; rows of small keys handled together.
 TILE, PACK = 1024, 256
 #: Text bytes whose runs are counted together.
-CHUNK = 1 << 24
+CHUNK = 1 << 22
 #: ``[A-Za-z]`` and the 64 characters U+00C0 to U+00FF, in UTF-8 the byte C3 and one more.
 LEAD = 0xC3
 
@@ -114,7 +114,7 @@ def _count(letters: int):
                 upper = (buf >= 65) & (buf <= 90)
                 buf[upper] += 32
                 starts, ends = run_spans(buf, off)
-                points = np.concatenate([[0], np.cumsum(buf != LEAD)])  # C3 and its next byte are one letter
+                points = np.concatenate([np.zeros(1, np.int32), np.cumsum(buf != LEAD, dtype=np.int32)])  # C3 and its next byte are one letter
                 size = points[ends] - points[starts]
                 starts, ends, size = (x[size >= letters] for x in (starts, ends, size))
                 if not len(starts):
