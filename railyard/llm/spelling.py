@@ -35,7 +35,6 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,7 +113,8 @@ def _count(letters: int):
                 upper = (buf >= 65) & (buf <= 90)
                 buf[upper] += 32
                 starts, ends = run_spans(buf, off)
-                points = np.concatenate([np.zeros(1, np.int32), np.cumsum(buf != LEAD, dtype=np.int32)])  # C3 and its next byte are one letter
+                # C3 and its next byte are one letter
+                points = np.concatenate([np.zeros(1, np.int32), np.cumsum(buf != LEAD, dtype=np.int32)])
                 size = points[ends] - points[starts]
                 starts, ends, size = (x[size >= letters] for x in (starts, ends, size))
                 if not len(starts):

@@ -13,6 +13,7 @@ from railyard.plans.oracle_sql import compose
 from railyard.sources import binding as B
 from railyard.session import scratch_path
 from railyard.sources import bronze as BR
+from railyard.sources.tables import read_table
 
 # Arrival boundaries on ingest time: three loads.
 BOUNDARIES = ("2024-01-11 00:00:00", "2024-01-21 00:00:00", None)
@@ -48,7 +49,30 @@ SELECT COUNT(*) AS rows_full, COUNT(*) AS rows_incremental, CAST(0 AS BIGINT) AS
 def q_reconcile(spark, sf_dir):
     t = incremental_silver(spark, sf_dir)
     full = silver.build_silver(B.bronze_taps(spark, sf_dir), B.stations(spark, sf_dir))
-    return L.reconcile(full, spark.table(t).select(*silver.SILVER_COLUMNS))
+    return L.reconcile(full, spark.table(t).select(*silver.SILVER_COLUMNS), "date_key")
+
+
+@register("reconcile_drift", """
+SELECT CAST(o_custkey % 7 AS INTEGER) AS partition, COUNT(*) AS rows_full,
+       COUNT(*) - COUNT(*) FILTER (WHERE o_custkey % 7 = 5 AND o_orderkey = lost) AS rows_incremental,
+       o_custkey % 7 IN (3, 5) AS differs,
+       CASE WHEN o_custkey % 7 IN (3, 5) THEN 1 ELSE 0 END::BIGINT AS only_in_full,
+       CASE WHEN o_custkey % 7 = 3 THEN 1 ELSE 0 END::BIGINT AS only_in_incremental
+FROM orders, (SELECT MIN(o_orderkey) AS lost FROM orders WHERE o_custkey % 7 = 5) GROUP BY ALL""", "L6 U3")
+def q_reconcile_drift(spark, sf_dir):
+    """One changed row in partition 3 and one lost row in partition 5 are found;
+    the rows of all other partitions are never compared."""
+    v = _versions(spark, sf_dir).drop("version")
+    t = L.new_table_name("railyard_drift")
+    keys = {p: v.filter(F.col("part") == p).agg(F.min("o_orderkey")).first()[0] for p in (3, 5)}
+    L.create_table(v.withColumn("price", F.when(F.col("o_orderkey") == keys[3], F.col("price") + 0.25)
+                                .otherwise(F.col("price"))).filter(F.col("o_orderkey") != keys[5]), t, "part")
+    parts, rows = L.drift(v, spark.table(t).select(*v.columns), "part")
+    per = rows.groupBy("part").agg(F.sum(F.greatest(F.col("_nf") - F.col("_ni"), F.lit(0))).alias("only_in_full"),
+                                   F.sum(F.greatest(F.col("_ni") - F.col("_nf"), F.lit(0))).alias("only_in_incremental"))
+    return (parts.join(per, F.col("partition") == F.col("part"), "left")
+            .select("partition", "rows_full", "rows_incremental", "differs",
+                    *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("only_in_full", "only_in_incremental")]))
 
 
 @register("partition_overwrite", compose("fact_rh", "SELECT * FROM fact_rh"), "L5 S18 D16")
@@ -126,7 +150,6 @@ def q_replay_rebuild(spark, sf_dir):
 
 # --- upsert semantics over orders ----------------------------------------------------
 def _versions(spark, sf_dir):
-    from railyard.sources.tables import read_table
     o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
     return o.select("o_orderkey", (F.col("o_orderkey") % 3).cast("int").alias("version"),
                     (F.col("o_custkey") % 7).cast("int").alias("part"), F.col("o_totalprice").alias("price"))
@@ -174,3 +197,62 @@ def q_upsert_new_column(spark, sf_dir):
     L.upsert(spark, t, v, "o_orderkey", "part")
     L.upsert(spark, t, v.filter("o_orderkey % 4 = 0").withColumn("note", F.lit("checked")), "o_orderkey", "part")
     return spark.table(t).select("o_orderkey", "part", "price", "note")
+
+
+@register("upsert_widened_column", """
+SELECT o_orderkey, CAST(o_custkey % 7 AS INTEGER) AS part,
+       CASE WHEN o_orderkey % 4 = 0 THEN o_totalprice ELSE trunc(o_totalprice) END AS price,
+       CASE WHEN o_orderkey % 4 = 0 THEN 5000000000 + o_orderkey ELSE o_orderkey % 100 END AS points
+FROM orders""", "L2 S5")
+def q_upsert_widened_column(spark, sf_dir):
+    """A batch brings doubles for an int column and longs for an int column:
+    the columns grow, no digit is lost, and rows stored before stay."""
+    t = L.new_table_name("railyard_wide")
+    v = _versions(spark, sf_dir).drop("version")
+    L.upsert(spark, t, v.select("o_orderkey", "part", F.col("price").cast("int").alias("price"),
+                                (F.col("o_orderkey") % 100).cast("int").alias("points")), "o_orderkey", "part")
+    L.upsert(spark, t, v.filter("o_orderkey % 4 = 0").withColumn("points", F.col("o_orderkey") + F.lit(5000000000)),
+             "o_orderkey", "part")
+    return spark.table(t).select("o_orderkey", "part", "price", "points")
+
+
+@register("upsert_text_partition", """
+SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN 'it''s moved: 50% a/b' ELSE
+         CASE WHEN o_custkey % 11 = 0 THEN NULL ELSE 'kind=' || o_orderpriority || ' ''q'' a:b/c' END END AS part,
+       CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice + 1 ELSE o_totalprice END AS price
+FROM orders""", "L2 D7")
+def q_upsert_text_partition(spark, sf_dir):
+    """Partition values with quotes, colons, slashes, percent and equals signs;
+    one partition loses all its rows to a new one."""
+    t = L.new_table_name("railyard_text_part")
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"])
+    name = F.concat(F.lit("kind="), "o_orderpriority", F.lit(" 'q' a:b/c"))
+    part = F.when(F.col("o_custkey") % 11 != 0, name)
+    L.upsert(spark, t, o.select("o_orderkey", part.alias("part"), F.col("o_totalprice").alias("price")),
+             "o_orderkey", "part")
+    moved = o.filter("o_orderpriority = '5-LOW'").select("o_orderkey", F.lit("it's moved: 50% a/b").alias("part"),
+                                                         (F.col("o_totalprice") + 1).alias("price"))
+    L.upsert(spark, t, moved, "o_orderkey", "part")
+    return spark.table(t).select("o_orderkey", "part", "price")
+
+
+@register("upsert_key_index", """
+SELECT o_orderkey,
+       CAST(CASE WHEN o_orderkey % 97 = 0 THEN o_custkey % 40 + 40 WHEN o_orderkey % 89 = 0 THEN 90
+                 ELSE o_custkey % 40 END AS INTEGER) AS part,
+       CASE WHEN o_orderkey % 97 = 0 THEN o_totalprice + 2 WHEN o_orderkey % 89 = 0 THEN o_totalprice + 1
+            ELSE o_totalprice END AS price
+FROM orders""", "L2 U2")
+def q_upsert_key_index(spark, sf_dir):
+    """Keys move between 40 and more partitions in two batches, some of them
+    twice; the key index names the partitions to read."""
+    t = L.new_table_name("railyard_indexed")
+    o = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_totalprice"])
+    o = o.select("o_orderkey", (F.col("o_custkey") % 40).cast("int").alias("part"), F.col("o_totalprice").alias("price"))
+    L.upsert(spark, t, o.select("o_orderkey", "part", "price"), "o_orderkey", "part")
+    L.upsert(spark, t, o.filter("o_orderkey % 89 = 0").select("o_orderkey", F.lit(90).alias("part"),
+                                                              (F.col("price") + 1).alias("price")), "o_orderkey", "part")
+    L.upsert(spark, t, o.filter("o_orderkey % 97 = 0").select("o_orderkey", (F.col("part") + 40).alias("part"),
+                                                              (F.col("price") + 2).alias("price")), "o_orderkey", "part")
+    return spark.table(t).select("o_orderkey", "part", "price")
+
