@@ -7,26 +7,29 @@ given its class.  Each class keeps absolute-discounted mass for words that were
 never seen; an unseen word takes the class in which most of the words seen once
 have its shape (length and last character), and its shape's part of that mass.
 
-Clustering: the ``CLUSTERED`` most frequent words are exchanged on the driver,
-on a bigram table of fixed size in which every other word stands for its shape.
-Then ``ROUNDS`` rounds on Spark move every other word, however rare, to the
-class with the best gain in likelihood, given its (class after) and (class
-before) counts and the class bigrams of the round before.  In the first round
-the neighbours that are not clustered yet count by shape, later all count by
-class.
-
-Counting is distributed (per batch in numpy, then one shuffle by word).  The
-``HEAD`` most frequent words are looked up in a broadcast table of that fixed
-size; pairs with a rarer word (``links``) and the distinct rarer words of a
-text meet the full word table in shuffle joins, which yield the exact count and
-class of every token.  Words sum up by row; the classes of a text's rarer words
-return to its links, where their transitions are added.
+Clustering: the ``CLUSTERED`` most frequent words (the seeds) are exchanged on
+the driver in several sweeps, on a bigram table of fixed size in which every
+other word stands for its shape.  Then Spark moves every other word, however
+rare, to the class with the best gain in likelihood, given its (class after)
+and (class before) counts, where a neighbour counts by class if it is a seed
+and by shape if not.  Transitions are counted afterwards from the classes of
+all tokens.
+
+Counting is distributed.  For the exchange every piece of text gives one row per
+distinct word, with its contexts; rows of a word meet by one shuffle and a sort.
+Seeds need no contexts, so no word with more than 1 / ``CLUSTERED`` of all
+tokens takes part in it.  Classes reach the texts once: the ``HEAD`` most frequent
+words are looked up in a broadcast table of that fixed size, the distinct
+rarer words of a text meet the full word table in a shuffle join, which yields
+the exact count and class of every token.  The texts then are rows of class
+pairs, from which transitions are counted and texts are scored.
 
 Words are identified by a 64-bit hash.
 
 Defined cases: null text is empty and has one token, its end; an empty
 training set gives every token probability one; repeated rows are scored (and
-trained on) each; extra columns are ignored.
+trained on) each; equal gains go to the class of smaller number; null ids hash
+as an empty text; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,18 +46,17 @@ from railyard.llm.tokens import U64, text_chunks, word_hashes, word_spans
 
 CLUSTERED = 512
 CLUSTERS = 32
-HEAD = 131_072
+HEAD = 262_144
 SWEEPS = 6
-#: Rounds that move all words outside the driver's table.
-ROUNDS = 2
 #: Weight of the class unigram in a transition.
 BACKOFF = 5.0
 _LENGTHS = np.array([2, 3, 5, 8, 12])  # bounds of the byte lengths of shapes
 SHAPES = 4 * (len(_LENGTHS) + 1)
 END_HASH = np.int64(0x454E44)
 _START_HASH = np.int64(0x5354)
-#: Word contexts that are weighed at once.
+#: Word contexts that are weighed at once; text bytes whose words give their contexts together.
 _ENTRIES = 1 << 16
+_PIECE = 1 << 22
 
 _LAST = np.full(256, 3, np.int64)  # kind of the last byte: letters and beyond ASCII, .!?, ,;: and the rest
 _LAST[[*range(97, 123), *range(65, 91), *range(128, 256)]] = 0
@@ -169,97 +171,44 @@ def exchange(counts: np.ndarray, words: int, clusters: int = CLUSTERS, sweeps: i
     return cls
 
 
-def _tally(h: np.ndarray, ctx: np.ndarray) -> pa.RecordBatch:
-    """(word, context, times)."""
-    words, at = np.unique(h, return_inverse=True)
-    width = int(ctx.max()) + 1 if len(ctx) else 1
-    code, n = np.unique(at * width + ctx, return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(words[code // width]), pa.array((code % width).astype(np.int32)),
-                                       pa.array(n)], ["h", "ctx", "n"])
+def contexts(ph, pc, ch, cc, size: int, moving: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, context, times), ascending, of the words ``moving`` (ascending)
+    in pairs of tokens: ``c`` stands for class ``c`` after the word, ``size + c``
+    for before it, ``2 * size`` for the word itself after it.  Words come as
+    places in ``moving``."""
+    first, is_first = _lookup(moving, ph)
+    second, is_second = _lookup(moving, ch)
+    own = (ph == ch) & is_first
+    width = 2 * size + 1
+    code, n = np.unique(np.concatenate([
+        first[is_first & ~own] * width + cc[is_first & ~own],
+        second[is_second & ~own] * width + size + pc[is_second & ~own],
+        first[own] * width + 2 * size]), return_counts=True)
+    return code // width, code % width, n
 
 
-def _pair_contexts(ph, pc, ch, cc, size: int) -> pa.RecordBatch:
-    """Contexts of both words of the pairs: ``c`` stands for class ``c`` after
-    the word, ``size + c`` for before it, ``2 * size`` for the word itself after it."""
-    own = ph == ch
-    first, second = ~own & (ph != _START_HASH), ~own & (ch != END_HASH)
-    return _tally(np.concatenate([ph[first], ch[second], ph[own]]),
-                  np.concatenate([cc[first], size + pc[second], np.full(own.sum(), 2 * size)]))
+def _lists(at: np.ndarray, values: np.ndarray, kind) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, kind))
 
 
-def _text_pairs(buf, off, words, cls, shapes, start, end):
-    """(word, class) before and (word, class) of the tokens whose classes are
-    both known where the text is; with ``shapes`` (the first shape class) all are."""
-    h, shape, at = _words(buf, off)
-    place, hit = _lookup(words, h)
-    known = cls[place] if len(words) else place
-    pc, cc = _sequence(np.where(hit, known, -1 if shapes is None else shapes + shape), at, start, end)
-    ph, ch = _sequence(h, at, _START_HASH, END_HASH)
-    both = (pc >= 0) & (cc >= 0)
-    return ph[both], pc[both], ch[both], cc[both]
-
-
-def _contexts(held):
+def _word_contexts(held):
+    """(word, times, shape, contexts) of the words of each piece that are no seeds."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, cls, shapes, start, end = held.value
+        seeds, of_seeds, shapes, start, end = held.value
         for b in batches:
-            for _, _, buf, off in text_chunks(b.column(0)):
-                yield _pair_contexts(*_text_pairs(buf, off, words, cls, shapes, start, end), start + 1)
-    return run
-
-
-def _class_pairs(held):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, cls, shapes, start, end = held.value
-        size = start + 1
-        total = np.zeros(size * size, np.int64)
-        for b in batches:
-            for _, _, buf, off in text_chunks(b.column(0)):
-                _, pc, _, cc = _text_pairs(buf, off, words, cls, shapes, start, end)
-                total += np.bincount(pc * size + cc, minlength=size * size)
-        code = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(total[code])], ["code", "n"])
-    return run
-
-
-def _links(held):
-    """Pairs with a rare word: (rare word, side, other).  Side 0: the other, a
-    frequent word's place, comes after; 1: before; 2: a rare word comes after."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = held.value
-        n = len(words)
-        for b in batches:
-            for _, _, buf, off in text_chunks(b.column(0)):
-                h, _, at = _words(buf, off)
-                place, hit = _lookup(words, h)
-                p, c = _sequence(np.where(hit, place, -1), at, n + 1, n)
+            for _, _, buf, off in text_chunks(b.column(0), _PIECE):
+                h, shape, at = _words(buf, off)
+                place, hit = _lookup(seeds, h)
+                pc, cc = _sequence(np.where(hit, of_seeds[place], shapes + shape), at, start, end)
                 ph, ch = _sequence(h, at, _START_HASH, END_HASH)
-                parts = [((p < 0) & (c >= 0), ph, c), ((p >= 0) & (c < 0), ch, p), ((p < 0) & (c < 0), ph, ch)]
+                words, where, times = np.unique(h[~hit], return_index=True, return_counts=True)
+                if not len(words):
+                    continue
+                word, ctx, n = contexts(ph, pc, ch, cc, start + 1, words)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([x[m] for m, x, _ in parts])),
-                     pa.array(np.repeat(np.arange(3, dtype=np.int32), [m.sum() for m, _, _ in parts])),
-                     pa.array(np.concatenate([y[m] for m, _, y in parts]))], ["h", "side", "o"])
-    return run
-
-
-def _beside_head(held):
-    """(word before, its class, word, its class) of links of sides 0 and 1."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, cls, _, start, end = held.value
-        all_h, all_cls = np.append(words, [END_HASH, _START_HASH]), np.append(cls, [end, start])
-        for b in batches:
-            h, side, o, k = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in b.columns)
-            after = side == 0
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
-                np.where(after, h, all_h[o]), np.where(after, k, all_cls[o]),
-                np.where(after, all_h[o], h), np.where(after, all_cls[o], k))], ["ph", "pc", "ch", "cc"])
-    return run
-
-
-def _link_contexts(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield _pair_contexts(*(c.to_numpy(zero_copy_only=False) for c in b.columns), size)
+                    [pa.array(words), pa.array(times), pa.array(shape[~hit][where].astype(np.int32)),
+                     _lists(np.searchsorted(word, np.arange(len(words) + 1)), n << 16 | ctx, pa.int64())],
+                    ["h", "c", "shape", "near"])
     return run
 
 
@@ -303,41 +252,56 @@ def best_classes(table: np.ndarray, clusters: int, was: np.ndarray, word: np.nda
     return gain.argmax(1)
 
 
-def _move(held):
-    """(h, c, shape, cls) of words with their contexts; seeds stay."""
+def _classes(held):
+    """(h, c, shape, cls) of rows of ``_word_contexts`` sorted by word."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, clusters, seeds, of_seeds = held.value
-        for b in batches:
-            h, was = b.column(0).to_numpy(), b.column(3).to_numpy()
-            at = b.column(4).offsets.to_numpy()
-            at, ctx, n = at - at[0], *(b.column(4).flatten().field(i).to_numpy() for i in (0, 1))
-            cls, i = np.empty(len(h), np.int64), 0
+        table, clusters = held.value
+        wait = None  # the last word so far, its rows merged
+
+        def settled(h, c, shape, at, ctx, n) -> pa.RecordBatch:
+            cls, i, none = np.empty(len(h), np.int64), 0, np.full(len(h), -1)
             while i < len(h):
                 j = max(i + 1, int(np.searchsorted(at, at[i] + _ENTRIES, side="right")) - 1)
                 j = min(j, i + _ENTRIES // 64)
-                cls[i:j] = best_classes(table, clusters, was[i:j], np.repeat(np.arange(j - i), np.diff(at[i:j + 1])),
-                                        ctx[at[i]:at[j]].astype(np.int64), n[at[i]:at[j]])
+                cls[i:j] = best_classes(table, clusters, none[i:j], np.repeat(np.arange(j - i), np.diff(at[i:j + 1])),
+                                        ctx[at[i]:at[j]], n[at[i]:at[j]])
                 i = j
-            place, hit = _lookup(seeds, h)
-            cls[hit] = of_seeds[place[hit]]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(cls.astype(np.int32))],
-                                             ["h", "c", "shape", "cls"])
-    return run
-
+            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), pa.array(shape), pa.array(cls.astype(np.int32))],
+                                              ["h", "c", "shape", "cls"])
 
-def _grouped(entries: DataFrame, classed: DataFrame) -> DataFrame:
-    """(h, c, shape, was, near): words with all their contexts, at most two per class and one."""
-    near = (entries.groupBy("h", "ctx").agg(F.sum("n").alias("n"))
-            .groupBy("h").agg(F.collect_list(F.struct("ctx", "n")).alias("near")))
-    return classed.join(near, "h").select("h", "c", "shape", F.col("cls").cast("bigint").alias("was"), "near")
+        for b in batches:
+            h, c, shape = (b.column(i).to_numpy() for i in range(3))
+            size, near = _flat(b.column(3))
+            near = near.to_numpy()
+            if wait is not None:
+                h, c, shape = (np.concatenate([x, y]) for x, y in zip(wait[:3], (h, c, shape)))
+                size, near = np.append(len(wait[3]), size), np.concatenate([wait[3], near])
+            if not len(h):
+                continue
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            word = np.repeat(np.cumsum(np.concatenate([[0], h[1:] != h[:-1]])), size)
+            code = word << 16 | near & 65535
+            order = np.argsort(code, kind="stable")
+            code, n = code[order], near[order] >> 16
+            new = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, int)
+            code, n = code[new], np.add.reduceat(n, new) if len(new) else n
+            h, c, shape = h[first], np.add.reduceat(c, first), np.minimum.reduceat(shape, first)
+            at = np.searchsorted(code >> 16, np.arange(len(h) + 1))
+            k, m = len(h) - 1, at[-2]
+            wait = (h[k:], c[k:], shape[k:], n[m:] << 16 | code[m:] & 65535)
+            if k:
+                yield settled(h[:k], c[:k], shape[:k], at[:-1], code[:m] & 65535, n[:m])
+        if wait is not None:
+            yield settled(*wait[:3], np.array([0, len(wait[3])]), wait[3] & 65535, wait[3] >> 16)
+    return run
 
 
 class Model:
     """What scoring needs where the texts are; size bounded by HEAD."""
 
-    def __init__(self, head_h, head_c, head_cls, transition, emission, base, start, end):
+    def __init__(self, head_h, head_c, head_cls, emission, base, start, end):
         self.head_h, self.head_c, self.head_cls = head_h, head_c, head_cls
-        self.transition, self.emission = transition, emission  # log10 tables
+        self.emission = emission  # log10
         self.base, self.start, self.end = base, start, end  # base: (N, V, count of the end)
 
 
@@ -355,7 +319,6 @@ def _score(held):
                 h, shape, at = _words(buf, off)
                 place, hit = _lookup(m.head_h, h)
                 text = np.repeat(np.arange(k), np.diff(at))
-                owner = np.repeat(np.arange(k), np.diff(at) + 1)
                 base = _sums(text[hit], np.log10(m.head_c[place[hit]] + 0.1) - bottom, k)
                 base += np.log10(c_end + 0.1) - bottom
                 emit = _sums(text[hit], m.emission[place[hit]], k)
@@ -371,19 +334,14 @@ def _score(held):
                 # classes; a rarer word is -1 less its place in its text's list
                 cls = m.head_cls[place] if len(m.head_h) else np.zeros(len(h), np.int64)
                 cls[rare] = lists[tt] - np.cumsum(new)
-                prev, cur = _sequence(cls, at, m.start, m.end)
-                both = (prev >= 0) & (cur >= 0)
-                steps = _sums(owner[both], m.transition[prev[both], cur[both]], k)
-                links = np.searchsorted(owner[~both], np.arange(k + 1)).astype(np.int32)
+                units = _sequence(cls, at, m.start, m.end)[1]
                 known = np.bincount(text[hit], minlength=k) + (c_end > 0)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, k), b.column(1).slice(i, k), pa.array(np.diff(at) + 1), pa.array(known),
-                     pa.array(base), pa.array(steps + emit),
-                     pa.ListArray.from_arrays(pa.array(lists), pa.array(th[where])),
-                     pa.ListArray.from_arrays(pa.array(lists), pa.array(tf * 64 + ts[where])),
-                     *(pa.ListArray.from_arrays(pa.array(links), pa.array(x[~both].astype(np.int32)))
-                       for x in (prev, cur))],
-                    ["id", "train", "n_tokens", "known", "base", "model", "tail_h", "tail_k", "prev", "cur"])
+                     pa.array(base), pa.array(emit), _lists(lists, th[where], pa.int64()),
+                     _lists(lists, tf * 64 + ts[where], pa.int64()),
+                     _lists(at + np.arange(k + 1), units.astype(np.int32), pa.int32())],
+                    ["id", "train", "n_tokens", "known", "base", "model", "tail_h", "tail_k", "units"])
     return run
 
 
@@ -393,26 +351,114 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.diff(at), column.flatten()
 
 
-def _link_steps(held):
-    """The last three columns (links before and after, classes by place) become the sum of the links' transitions."""
+def _pairs(start: int):
+    """The last two columns (units, classes of the rarer words by place) become
+    the class pairs of the text: (class before) * (start + 1) + (class)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        transition = held.value.transition
         for b in batches:
-            (size, prev), (_, cur), (rare, got) = (_flat(c) for c in b.columns[-3:])
-            owner = np.repeat(np.arange(len(b)), size)
-            first = np.cumsum(rare) - rare
+            (size, units), (rare, got) = (_flat(c) for c in b.columns[-2:])
+            first, at = np.cumsum(rare) - rare, np.concatenate([[0], np.cumsum(size)])
             classes = np.zeros(len(got), np.int64)
             classes[np.repeat(first, rare) + got.field(0).to_numpy()] = got.field(1).to_numpy()
-            p, c = (x.to_numpy().astype(np.int64) for x in (prev, cur))
-            for x in (p, c):
-                open_ = x < 0
-                x[open_] = classes[first[owner[open_]] - x[open_] - 1]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-3], pa.array(_sums(owner, transition[p, c], len(b)))],
-                                             [*b.schema.names[:-3], "steps"])
+            x = units.to_numpy().astype(np.int64)
+            open_ = np.flatnonzero(x < 0)
+            x[open_] = classes[first[np.searchsorted(at, open_, side="right") - 1] - x[open_] - 1]
+            before = np.empty_like(x)
+            before[1:] = x[:-1]
+            before[at[:-1]] = start  # every text has its end, so none is empty
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], _lists(at, before * (start + 1) + x, pa.int32())],
+                                             [*b.schema.names[:-2], "pairs"])
     return run
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int = 10) -> DataFrame:
+def _pair_counts(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for b in batches:
+            total += np.bincount(_flat(b.column(0))[1].to_numpy(), minlength=size * size)
+        code = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(total[code])], ["code", "n"])
+    return run
+
+
+def _steps(held):
+    """The last column (class pairs) becomes the sum of their transitions."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        transition = held.value
+        for b in batches:
+            size, pairs = _flat(b.columns[-1])
+            owner = np.repeat(np.arange(len(b)), size)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(_sums(owner, transition[pairs.to_numpy()], len(b)))],
+                                             [*b.schema.names[:-1], "steps"])
+    return run
+
+
+def class_stats(classed: DataFrame, clusters: int) -> tuple[np.ndarray, ...]:
+    """(tokens, discount, class of an unseen word of each shape, log10 of an
+    unseen word of each shape in that class) of the classes."""
+    stats = classed.groupBy("cls", "shape").agg(
+        F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.expr("CAST(c = 1 AS BIGINT)")).alias("n1"),
+        F.sum(F.expr("CAST(c = 2 AS BIGINT)")).alias("n2")).collect()  # at most clusters * SHAPES rows
+    mass, kinds, twice, once = np.zeros(clusters), np.zeros(clusters), np.zeros(clusters), np.zeros((clusters, SHAPES))
+    for r in stats:
+        mass[r["cls"]] += r["n"]
+        kinds[r["cls"]] += r["v"]
+        twice[r["cls"]] += r["n2"]
+        once[r["cls"], r["shape"]] += r["n1"]
+    n1 = once.sum(1)
+    discount = np.clip((n1 + 0.5) / (n1 + 2 * twice + 1), 0.05, 0.9)
+    share = once.sum(0) + 0.5
+    unseen = np.where(once.sum(0) > 0, once.argmax(0), int((discount * kinds).argmax()))
+    in_class = np.bincount(unseen, weights=share, minlength=clusters)
+    discount[in_class == 0] = 0.0  # nothing unseen falls here
+    mass = np.maximum(mass, 1.0)
+    kept = np.where(kinds > 0, discount * kinds / mass, 1.0)[unseen]
+    return mass, discount, unseen, np.log10(kept * share / in_class[unseen])
+
+
+def transitions(table: np.ndarray, start: int) -> np.ndarray:
+    """log10 of the smoothed transitions of class bigrams ``table``."""
+    unigram = table.sum(0) + 1.0
+    unigram[start] = 0
+    unigram /= unigram.sum()
+    return np.log10(np.maximum((table + BACKOFF * unigram) / (table.sum(1, keepdims=True) + BACKOFF), 1e-300))
+
+
+def _square(rows: DataFrame, size: int) -> np.ndarray:
+    """The table of (code, n) rows, at most size * size of them."""
+    out = np.zeros(size * size)
+    for r in rows.groupBy("code").agg(F.sum("n").alias("n")).collect():
+        out[r["code"]] = r["n"]
+    return out.reshape(size, size)
+
+
+def _arrays(df: DataFrame) -> list[np.ndarray]:
+    """Columns of a table of bounded size, on the driver."""
+    found = df.toArrow()
+    return [found.column(i).to_numpy() for i in range(found.num_columns)]
+
+
+def learn_classes(train: DataFrame, words: DataFrame, seeds: np.ndarray, clusters: int) -> tuple[DataFrame, int]:
+    """(h, c, shape, cls) of all words of the texts ``train``, and the number of
+    classes; ``seeds``: ascending hashes of the words exchanged on the driver."""
+    send = train.sparkSession.sparkContext.broadcast
+    n, clusters = len(seeds) + SHAPES + 2, max(1, min(clusters, len(seeds)))
+    counts = _square(train.mapInArrow(_bigrams(send(seeds)), "code bigint, n bigint"), n)
+    of_seeds = exchange(counts, len(seeds), clusters)
+    member = np.zeros((n, clusters + n - len(seeds)))
+    member[np.arange(n), of_seeds] = 1
+    table, of_seeds = member.T @ counts @ member, of_seeds[:len(seeds)]
+    near = train.mapInArrow(_word_contexts(send((seeds, of_seeds, clusters, clusters + SHAPES + 1, clusters + SHAPES))),
+                            "h bigint, c bigint, shape int, near array<bigint>")
+    field = "h bigint, c bigint, shape int, cls int"
+    others = near.repartition("h").sortWithinPartitions("h").mapInArrow(_classes(send((table, clusters))), field)
+    cls = train.sparkSession.createDataFrame(list(zip(seeds.tolist(), of_seeds.tolist())), "h bigint, cls int")
+    own = words.join(F.broadcast(cls), "h").select("h", "c", "shape", "cls")  # CLUSTERED rows
+    return others.unionByName(own), clusters
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int = 10,
+          clusters: int = CLUSTERS) -> DataFrame:
     """(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     spark = docs.sparkSession
     st = Stage(spark, "class-lm")
@@ -430,114 +476,26 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts
         cut = r["level"]
     no_end = F.col("h") != int(END_HASH)
     often = (level >= cut if cut is not None else F.lit(False)) & no_end
-    head = words.where(often).collect()  # at most HEAD rows
     c_end = words.where(~no_end).agg(F.max("c")).first()[0] or 0
-    seeds = sorted(head, key=lambda r: (-r["c"], r["h"]))[:CLUSTERED] or (
-        words.where(no_end).orderBy(F.desc("c"), "h").limit(CLUSTERED).collect())
-    seeds = np.sort(np.array([r["h"] for r in seeds], np.int64))
-    n = len(seeds) + SHAPES + 2
-    pairs = (train.mapInArrow(_bigrams(send(seeds)), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-             .collect())  # at most n * n rows
-    counts = np.zeros(n * n, np.int64)
-    for r in pairs:
-        counts[r["code"]] = r["n"]
-    counts = counts.reshape(n, n)
-    clusters = max(1, min(CLUSTERS, len(seeds)))
-    of_seeds = exchange(counts, len(seeds), clusters) if len(seeds) else np.arange(1, n + 1)
-    member = np.zeros((n, clusters + n - len(seeds)))
-    member[np.arange(n), of_seeds] = 1
-    table = member.T @ counts @ member
-    of_seeds = of_seeds[:len(seeds)]
+    seeds = np.sort(_arrays(words.where(no_end).orderBy(F.desc("c"), "h").limit(CLUSTERED).select("h"))[0])
+    if len(seeds):
+        classed, clusters = learn_classes(train, words, seeds, clusters)
+    else:
+        classed, clusters = words.where(no_end).withColumn("cls", F.lit(0)), 1
+    classed = st.stage(classed, "classes")
     end, start = clusters, clusters + 1
     size = clusters + 2
-    entry, field = "h bigint, ctx int, n bigint", "h bigint, c bigint, shape int, cls int"
-
-    def moved(entries: DataFrame, before: DataFrame) -> DataFrame:
-        found = _grouped(entries, before)
-        held = send((table, clusters, seeds, of_seeds))
-        return found.mapInArrow(_move(held), field)
-
-    def of_head(classed: DataFrame):
-        """Frequent words and their classes, for broadcast; at most HEAD rows."""
-        rows = sorted(classed.where(often).select("h", "cls").collect())
-        return send((np.array([r["h"] for r in rows], np.int64), np.array([r["cls"] for r in rows], np.int64),
-                     None, start, end))
-
-    def met(classed: DataFrame, held) -> DataFrame:
-        """(word before, class, word, class) of all links."""
-        by = classed.select("h", "cls")
-        near = (links.where("side < 2").join(by, "h").select("h", "side", "o", "cls")
-                .mapInArrow(_beside_head(held), "ph bigint, pc bigint, ch bigint, cc bigint"))
-        rare = (links.where("side = 2").join(by, "h")
-                .join(by.select(F.col("h").alias("o"), F.col("cls").alias("cc")), "o")
-                .select(F.col("h").alias("ph"), F.col("cls").cast("bigint").alias("pc"), F.col("o").alias("ch"),
-                        F.col("cc").cast("bigint").alias("cc")))
-        return near.unionByName(rare)
-
-    classed = words.where(no_end).withColumn("cls", F.lit(-1))
-    if len(seeds):
-        held = send((seeds, of_seeds, clusters, clusters + SHAPES + 1, clusters + SHAPES))
-        classed = st.stage(moved(train.mapInArrow(_contexts(held), entry), classed), "classes")
-    links = st.stage(train.mapInArrow(_links(send(np.sort(np.array([r["h"] for r in head], np.int64)))),
-                                      "h bigint, side int, o bigint"), "links")
-
-    def class_table(held) -> np.ndarray:
-        """Class bigrams of all training tokens."""
-        out = np.zeros(size * size)
-        near = train.mapInArrow(_class_pairs(held), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
-        far = met(classed, held).groupBy((F.col("pc") * size + F.col("cc")).alias("code")).agg(
-            F.count(F.lit(1)).alias("n"))
-        for r in [*near.collect(), *far.collect()]:  # at most size * size rows each
-            out[r["code"]] += r["n"]
-        return out.reshape(size, size)
-
-    held = of_head(classed)
-    table = class_table(held)
-    for _ in range(1, ROUNDS if len(seeds) else 1):
-        st.settle()
-        entries = (train.mapInArrow(_contexts(held), entry)
-                   .unionByName(met(classed, held).mapInArrow(_link_contexts(size), entry)))
-        before, classed = classed, st.stage(moved(entries, classed), "classes")
-        st.discard(before)
-        held = of_head(classed)
-        table = class_table(held)
-    st.discard(links)
-    st.settle()
-    unigram = (table.sum(0) + 1.0)
-    unigram[start] = 0
-    unigram /= unigram.sum()
-    transition = (table + BACKOFF * unigram) / (table.sum(1, keepdims=True) + BACKOFF)
-    transition = np.log10(np.maximum(transition, 1e-300))
-    # what each class keeps for unseen words, and the class of an unseen word of each shape
-    stats = classed.groupBy("cls", "shape").agg(
-        F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.expr("CAST(c = 1 AS BIGINT)")).alias("n1"),
-        F.sum(F.expr("CAST(c = 2 AS BIGINT)")).alias("n2")).collect()  # at most clusters * SHAPES rows
-    mass, kinds, twice, once = np.zeros(clusters), np.zeros(clusters), np.zeros(clusters), np.zeros((clusters, SHAPES))
-    for r in stats:
-        mass[r["cls"]] += r["n"]
-        kinds[r["cls"]] += r["v"]
-        twice[r["cls"]] += r["n2"]
-        once[r["cls"], r["shape"]] += r["n1"]
-    n1 = once.sum(1)
-    discount = np.clip((n1 + 0.5) / (n1 + 2 * twice + 1), 0.05, 0.9)
-    share = once.sum(0) + 0.5
-    unseen_class = np.where(once.sum(0) > 0, once.argmax(0), int((discount * kinds).argmax()))
-    in_class = np.bincount(unseen_class, weights=share, minlength=clusters)
-    discount[in_class == 0] = 0.0  # nothing unseen falls here
-    mass = np.maximum(mass, 1.0)
-    kept = np.where(kinds > 0, discount * kinds / mass, 1.0)[unseen_class]
-    unknown = np.log10(kept * share / in_class[unseen_class])
+    mass, discount, unseen_class, unknown = class_stats(classed, clusters)
     total, vocabulary = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    head_h, head_cls = held.value[:2]
-    c_of = {r["h"]: r["c"] for r in head}
-    head_c = np.array([c_of[h] for h in head_h.tolist()], np.float64)
+    head_h, head_c, head_cls = _arrays(classed.where(often).select("h", "c", "cls").orderBy("h"))  # at most HEAD rows
+    head_c = head_c.astype(np.float64)
     emission = np.log10((head_c - discount[head_cls]) / mass[head_cls]) if len(head_h) else np.zeros(0)
-    shared = send(Model(head_h, head_c, head_cls, transition, emission, (total, vocabulary, c_end), start, end))
+    shared = send(Model(head_h, head_c, head_cls, emission, (total, vocabulary, c_end), start, end))
     kind = docs.schema[id_col].dataType.simpleString()
     sums_of = f"id {kind}, train boolean, n_tokens bigint, known bigint, base double, model double"
     rows = (docs.select(F.col(id_col).alias("id"), in_training(id_col, parts).alias("train"), F.col(text_col))
-            .mapInArrow(_score(shared), f"{sums_of}, tail_h array<bigint>, tail_k array<bigint>, prev array<int>, "
-                                        "cur array<int>").withColumn("row", F.monotonically_increasing_id()))
+            .mapInArrow(_score(shared), f"{sums_of}, tail_h array<bigint>, tail_k array<bigint>, units array<int>")
+            .withColumn("row", F.monotonically_increasing_id()))
     rows = st.stage(rows, "rows")
     tail = (rows.where(F.size("tail_h") > 0)
             .select("row", F.posexplode(F.arrays_zip("tail_h", "tail_k")).alias("pos", "x"))
@@ -547,7 +505,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts
     def listed(values: np.ndarray, at: Column) -> Column:
         return F.element_at(F.array(*[F.lit(v) for v in values.tolist()]), at + 1)
 
-    found = tail.join(classed.select("h", "c", "cls"), "h", "left")
+    found = tail.join(classed.where(~often).select("h", "c", "cls"), "h", "left")
     c, seen = F.coalesce("c", F.lit(0)), F.col("c").isNotNull()
     sums = found.groupBy("row").agg(
         F.sum(F.col("tf") * F.log10(c + 0.1)).alias("base_tail"), F.sum("tf").alias("tf"),
@@ -562,9 +520,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts
     whole = (rows.drop("tail_h", "tail_k").join(sums, "row", "left")
              .select("id", "train", "n_tokens", (F.col("known") + F.coalesce("known_tail", F.lit(0))).alias("known"),
                      (F.col("base") + F.coalesce("base_tail", zero) - F.coalesce("tf", F.lit(0)) * bottom).alias("base"),
-                     (F.col("model") + F.coalesce("model_tail", zero)).alias("model"), "prev", "cur",
+                     (F.col("model") + F.coalesce("model_tail", zero)).alias("model"), "units",
                      F.coalesce("got", none).alias("got")))
-    return (whole.mapInArrow(_link_steps(shared), f"{sums_of}, steps double")
+    whole = st.stage(whole.mapInArrow(_pairs(start), f"{sums_of}, pairs array<int>"), "pairs")
+    st.discard(rows)
+    table = _square(whole.where("train").select("pairs").mapInArrow(_pair_counts(size), "code bigint, n bigint"), size)
+    return (whole.mapInArrow(_steps(send(transitions(table, start).ravel())), f"{sums_of}, steps double")
             .select(F.col("id").alias(id_col), (~F.col("train")).alias("held_out"), "n_tokens",
                     F.col("known").cast("long").alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
                     F.col("base").alias("base_score"), (F.col("model") + F.col("steps")).alias("score")))

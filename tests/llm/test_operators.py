@@ -496,6 +496,105 @@ def test_class_lm_learns_classes_of_rare_words(spark, monkeypatch):
         assert all(np.allclose(got[0][i], other[i], rtol=1e-9) for i in got[0])
 
 
+def test_score_equals_plain_formula_for_given_classes(spark, monkeypatch):
+    """Every token's class transition and word probability, recomputed word by word."""
+    from railyard.llm.tokens import text_chunks
+
+    def classes(train, words, seeds, clusters):
+        return words.where(F.col("h") != int(class_lm.END_HASH)).select(
+            "h", "c", "shape", F.pmod("h", F.lit(3)).cast("int").alias("cls")), 3
+
+    monkeypatch.setattr(class_lm, "learn_classes", classes)
+    monkeypatch.setattr(class_lm, "HEAD", 300)
+    rows = [(r.doc_id, r.text) for r in smoke(spark).collect()]
+    got = {r.doc_id: r.score for r in class_lm.score(smoke(spark)).collect()}
+    texts = {}
+    for i, text in rows:
+        ((_, _, buf, off),) = text_chunks(pa.array([text or ""]), 1 << 30)
+        h, shape, _ = class_lm._words(buf, off)
+        texts[i] = list(zip(h.tolist(), shape.tolist()))
+    train = {i for i in texts if zlib.crc32(str(i).encode()) % 10}
+    count, kind = Counter(), {}
+    for i in sorted(train):
+        for h, k in texts[i]:
+            count[h] += 1
+            kind[h] = min(k, kind.get(h, k))
+    of = {h: h % 3 for h in count}
+    tokens_of, words_of, n1, n2, once = Counter(), Counter(), Counter(), Counter(), Counter()
+    for h, c in count.items():
+        tokens_of[of[h]] += c
+        words_of[of[h]] += 1
+        n1[of[h]] += c == 1
+        n2[of[h]] += c == 2
+        once[kind[h], of[h]] += c == 1
+    d = {k: min(0.9, max(0.05, (n1[k] + 0.5) / (n1[k] + 2 * n2[k] + 1))) for k in range(3)}
+    total = [sum(once[s, k] for k in range(3)) for s in range(class_lm.SHAPES)]
+    most = max(range(3), key=lambda k: (d[k] * words_of[k], -k))
+    unseen = [max(range(3), key=lambda k: (once[s, k], -k)) if total[s] else most for s in range(class_lm.SHAPES)]
+    share = [t + 0.5 for t in total]
+    held = {k: sum(x for x, u in zip(share, unseen) if u == k) for k in range(3)}
+    d = {k: d[k] if held[k] else 0.0 for k in d}
+    end, start = 3, 4
+    pairs = Counter()
+    for i in train:
+        seq = [start] + [of[h] for h, _ in texts[i]] + [end]
+        pairs.update(zip(seq, seq[1:]))
+    into = Counter()
+    for (_, b), n in pairs.items():
+        into[b] += n
+    whole = sum(into[b] + 1 for b in range(4))
+    out = Counter()
+    for (a, _), n in pairs.items():
+        out[a] += n
+    for i, words in texts.items():
+        want, before = 0.0, start
+        for h, k in [*words, (None, None)]:
+            now = end if h is None else of.get(h, unseen[k] if k is not None else None)
+            back = class_lm.BACKOFF * (into[now] + 1) / whole
+            want += math.log10((pairs[before, now] + back) / (out[before] + class_lm.BACKOFF))
+            if h in count:
+                want += math.log10((count[h] - d[now]) / tokens_of[now])
+            elif h is not None:
+                want += math.log10(d[now] * words_of[now] / tokens_of[now] * share[k] / held[now])
+            before = now
+        assert math.isclose(got[i], want, rel_tol=1e-9, abs_tol=1e-6), i
+
+
+def test_contexts_equal_counting():
+    """Word contexts of a piece, and their merge over rows of several batches."""
+    rnd = np.random.default_rng(2)
+    h = rnd.integers(0, 30, 2000)
+    cls = rnd.integers(0, 6, 30)[h]
+    ph, ch = np.append(-9, h), np.append(h, -8)
+    pc, cc = np.append(7, cls), np.append(cls, 6)
+    moving = np.arange(10, 30)
+    want = Counter()
+    for a, x, b, y in zip(ph.tolist(), pc.tolist(), ch.tolist(), cc.tolist()):
+        if a == b and a >= 10:
+            want[a - 10, 16] += 1
+            continue
+        if a >= 10:
+            want[a - 10, y] += 1
+        if b >= 10:
+            want[b - 10, 8 + x] += 1
+    word, ctx, n = class_lm.contexts(ph, pc, ch, cc, 8, moving)
+    assert {(w, c): k for w, c, k in zip(word.tolist(), ctx.tolist(), n.tolist())} == want
+    rows = sorted((int(w), i, int(c) | int(k) << 16) for i, (w, c, k) in enumerate(zip(word, ctx, n)))
+
+    class Held:
+        value = (rnd.integers(0, 50, (8, 8)).astype(float), 6)
+
+    def batch(part):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([w for w, _, _ in part], pa.int64()), pa.array([1] * len(part), pa.int64()),
+             pa.array([0] * len(part), pa.int32()), pa.array([[e] for _, _, e in part], pa.list_(pa.int64()))],
+            ["h", "c", "shape", "near"])
+
+    whole = [b.to_pylist() for b in class_lm._classes(Held)(iter([batch(rows)]))]
+    cut = [b.to_pylist() for b in class_lm._classes(Held)(iter([batch(rows[i:i + 7]) for i in range(0, len(rows), 7)]))]
+    assert sum(whole, []) == sum(cut, []) and len(sum(whole, [])) == 20
+
+
 def test_best_classes_equal_full_likelihood():
     rnd = np.random.default_rng(3)
     clusters, size = 3, 5
