@@ -13,8 +13,12 @@ state that starts the next phrase, with a mark that a phrase ended.  So the
 parse of a batch is one table lookup per character and language, done for all
 blocks of the batch in step.
 
-Normalisation: lower case; characters outside the learned alphabet, digits and
-punctuation become one blank class; runs of it count once.
+Normalisation: lower case; digits, punctuation and letters that occur in no
+sample become one blank class; runs of it count once.  Every letter of every
+sample keeps an identity of its own: the ``ALPHABET`` classes of the tables are
+symbols, the most frequent letters are one symbol each and the others two to
+four (``Alphabet``), so no language loses its letters to more frequent ones.
+Sample and block lengths count symbols.
 
 Defined cases: null text and text without a letter are ``und`` with score 0;
 ties go to the language first in code-point order; without any labelled text
@@ -38,7 +42,9 @@ from railyard.llm.staging import reach
 SAMPLE_CHARS = 40_000
 SAMPLE_ROWS = 400
 SAMPLE_ROW_CHARS = 1_000
+#: Symbols of the tables: the blank, letters of one symbol, and symbols that open letters of two, three and four.
 ALPHABET = 62
+LEADS = (8, 6, 2)
 BLOCK = 1_024
 _END = np.int32(-(1 << 31))
 
@@ -74,30 +80,47 @@ def sample(docs: DataFrame, label_col: str = "lang", id_col: str = "doc_id", tex
 
 
 class Alphabet:
-    """Character classes: 0 is the blank class, the others one letter each."""
+    """Symbols of characters: 0 is the blank; a letter is one to four symbols,
+    by its frequency over all samples (no code begins another)."""
 
     def __init__(self, texts: list[str], size: int):
         common = Counter()
         for t in texts:
             common.update(c for c in t.lower() if c.isalpha())
-        letters = [c for c, _ in sorted(common.items(), key=lambda x: (-x[1], x[0]))[:size - 1]]
-        self.size = size
-        self.table = np.zeros(0x110000, np.uint8)
-        for k, c in enumerate(sorted(letters), 1):
-            self.table[ord(c)] = k
+        letters = [c for c, _ in sorted(common.items(), key=lambda x: (-x[1], x[0]))]
+        self.size, follow = size, size - 1
+        single = follow - sum(LEADS)
+        codes = [(0,)] + [(k,) for k in range(1, single + 1)]
+        lead = single + 1
+        for length, n in enumerate(LEADS, 2):
+            for k in range(min(n * follow ** (length - 1), max(0, len(letters) + 1 - len(codes)))):
+                code = []
+                for _ in range(length - 1):
+                    k, low = divmod(k, follow)
+                    code.append(1 + low)
+                codes.append((lead + k, *code))
+            lead += n
+        self.rank = np.zeros(0x110000, np.int32)
+        self.length = np.array([len(c) for c in codes], np.int64)
+        self.symbols = np.array([c + (0,) * (4 - len(c)) for c in codes], np.uint8)
+        for k, c in enumerate(letters, 1):
+            self.rank[ord(c)] = k
             for big in {c.upper(), c.title()}:
                 if len(big) == 1:
-                    self.table[ord(big)] = k
+                    self.rank[ord(big)] = k
 
     def codes(self, points: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Classes of code points without repeated blanks, and the new starts of the texts."""
-        x = self.table[points]
+        """Symbols of code points without repeated blanks, and the new starts of the texts."""
+        x = self.rank[points]
         keep = np.ones(len(x), bool)
         keep[1:] = (x[1:] != 0) | (x[:-1] != 0)
         first = start[:-1][start[:-1] < len(x)]
         keep[first] = True
-        before = np.concatenate([[0], np.cumsum(keep)])
-        return x[keep], before[start]
+        x, start = x[keep], np.concatenate([[0], np.cumsum(keep)])[start]
+        size = self.length[x]
+        if size.max(initial=1) == 1:
+            return self.symbols[x, 0], start
+        return (self.symbols[x][np.arange(4) < size[:, None]], np.concatenate([[0], np.cumsum(size)])[start])
 
 
 def automaton(codes: np.ndarray, size: int) -> np.ndarray:
