@@ -14,15 +14,16 @@ Window entropies need no loop over bytes: counts of equal bytes at each
 distance inside the window give the change of the entropy sum from one window
 to the next, and its running sum the entropy itself, in integers.
 
-``neighbours`` pairs each document with the next one in descending id.  Ids
-are cut into ranges; each range is sorted in one task and also receives the
-first document of the following range, so a text moves once and only range
-heads move twice.
+``neighbours`` pairs each document with the next one in descending id.  Spark
+deals the documents by ranges of (id, hash of the text, place in the input) and
+sorts each range, so a text moves once and rows of one id, or of none, spread
+over ranges like others.  The last document of a range is finished afterwards:
+the ends of the ranges, two rows each, meet in a join.
 
 Defined cases: null text is empty; an empty text has the empty digest, which
 is 1.0 like another empty one and 0.0 like any other; a text of fewer bytes
 than a window is one feature; equal texts have equal digests; equal ids are
-ordered by a hash of the text; null ids come last; a table of one row is its
+ordered by a hash of the text, equal rows by their place; null ids come last; a table of one row is its
 own next document.
 """
 
@@ -34,10 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.llm.staging import reach
+from railyard.llm.staging import Stage, reach
 
 WINDOW = 64
 POPULAR = 16
@@ -46,8 +48,6 @@ PER_FILTER = 80
 CLASSES = 256
 #: Bytes of text handled at once; a window never crosses texts.
 BLOCK_BYTES = 1 << 17
-#: Documents per id range that the number of ranges aims at.
-RANGE_ROWS = 8_000
 
 _F = np.zeros(WINDOW + 2, np.int64)
 _F[1:] = np.round(np.arange(1, WINDOW + 2) * np.log2(np.arange(1, WINDOW + 2)) * 65536).astype(np.int64)
@@ -200,84 +200,80 @@ def fingerprint(docs: DataFrame, rank: np.ndarray, text_col: str = "text") -> Da
     return docs.select(*rest, text_col).mapInArrow(run, ", ".join(filter(None, [kept, "fingerprint string"])))
 
 
-def in_ranges(docs: DataFrame, id_col: str, text_col: str, rows: int = RANGE_ROWS) -> DataFrame:
-    """(part, guard, id, text) sorted by part, guard, descending id: each range
-    of ids, then as its guard the first document of the next range (of the
-    first range after the last)."""
-    order = F.struct(F.col("id").isNotNull().alias("has"), F.col("id"), F.xxhash64("text").alias("tie"))
-    d = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    total = d.count()
-    ranges = max(1, min(4096, total // rows))
-    cuts = d.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], 10_000)).first()[0] \
-        if ranges > 1 else None
-    cuts = sorted(set(cuts or []), reverse=True)
-    # a range is the number of cuts at or above the id, counted in two steps of up to 64 comparisons
-    groups = [cuts[i:i + 64] for i in range(0, len(cuts), 64)]
-    part = F.lit(0)
-    if cuts:
-        kind = docs.schema[id_col].dataType.simpleString()
-        last = F.array(*[F.lit(g[-1]).cast(kind) for g in groups])
-        each = F.array(*[F.array(*[F.lit(c).cast(kind) for c in g]) for g in groups])
-        d = d.withColumn("full", F.size(F.filter(last, lambda c: c >= F.col("id"))))
-        inner = F.coalesce(F.size(F.filter(F.get(each, F.col("full")), lambda c: c >= F.col("id"))), F.lit(0))
-        part = F.when(F.col("id").isNull(), F.lit(len(cuts))).otherwise(
-            F.col("full") * 64 + F.when(F.col("full") < len(groups), inner).otherwise(0))
-        part = F.least(part, F.lit(len(cuts)))
-    d = d.withColumn("part", part.cast("int")).withColumn("key", order)
-    heads = {r["part"]: r["head"] for r in d.groupBy("part").agg(F.max("key").alias("head")).collect()}
-    parts = sorted(heads)  # at most 4096, one row each
-    kind = d.schema["id"].dataType.simpleString()
-    # a head guards the range before it; rows equal to it in id and text guard alike and the reader takes the first
-    goes = d.sparkSession.createDataFrame(
-        [(p, heads[p]["id"], heads[p]["tie"], parts[i - 1]) for i, p in enumerate(parts)],
-        f"_part int, _id {kind}, _tie bigint, goes int")
-    d = d.join(F.broadcast(goes), (F.col("part") == F.col("_part")) & F.col("id").eqNullSafe(F.col("_id"))
-               & (F.col("key.tie") == F.col("_tie")), "left")
-    own = F.struct(F.col("part").alias("part"), F.lit(False).alias("guard"))
-    to = F.when(F.col("goes").isNull(), F.array(own)).otherwise(
-        F.array(own, F.struct(F.col("goes").alias("part"), F.lit(True).alias("guard"))))
-    return (d.withColumn("to", F.explode(to))
-            .select("to.part", "to.guard", "key.has", "id", "key.tie", "text")
-            .repartition(max(1, len(parts)), "part")
-            .sortWithinPartitions("part", "guard", F.desc("has"), F.desc("id"), F.desc("tie"))
-            .select("part", "guard", "id", "text"))
+def _row(i, text: str, own: np.ndarray, nxt: str, other_own: np.ndarray, rank: np.ndarray) -> tuple:
+    """Result of a document, given the next one and both digests."""
+    k = len(text)
+    cut = k // 3
+    edited = (text[:k - cut] + nxt[:cut]).encode()
+    other = digest(edited, rank)
+    return (i, k, hashlib.sha256(edited).hexdigest(), text_of(own), text_of(other), likeness(own, other),
+            likeness(own, other_own))
+
+
+RESULT = "n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, " \
+         "near_next double"
+_NAMES = ["id", *(c.split()[0] for c in RESULT.split(", "))]
+
+
+def _batch(rows: list[tuple], kind: pa.DataType, more: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
+    kinds = [kind, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2, *(k for _, k in more)]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                      [*_NAMES, *(n for n, _ in more)])
 
 
 def _compare(rank: np.ndarray):
+    """Results of a sorted range.  Its first row also carries its text (head);
+    its last one waits with its text for the next range (open)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-        last = None  # (part, id, text, digest), waits for its next document
-        done = None  # part whose guard has been used
+        more = [("part", pa.int32()), ("open", pa.bool_()), ("own", pa.string()), ("head", pa.string())]
+        part, last, head, kind = TaskContext.get().partitionId(), None, None, pa.null()
         for b in batches:
-            out: list[tuple] = []
-            for part, guard, i, text in zip(*(c.to_pylist() for c in b.columns)):
-                if guard and done == part:
-                    continue
+            kind, out = b.schema.field(0).type, []
+            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 own = digest(text.encode(), rank)
                 if last is not None:
-                    k = len(last[2])
-                    cut = k // 3
-                    edited = (last[2][:k - cut] + text[:cut]).encode()
-                    other = digest(edited, rank)
-                    out.append((last[1], k, hashlib.sha256(edited).hexdigest(), text_of(last[3]), text_of(other),
-                                likeness(last[3], other), likeness(last[3], own)))
-                last, done = (None, part) if guard else ((part, i, text, own), None)
+                    out.append((*_row(*last, text, own, rank), part, False, None, head))
+                    head = None
+                else:
+                    head = text
+                last = (i, text, own)
             if out:
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], b.schema.field("id").type), pa.array(cols[1], pa.int64()),
-                     *(pa.array(c, pa.string()) for c in cols[2:5]),
-                     *(pa.array(c, pa.float64()) for c in cols[5:])], names)
+                yield _batch(out, kind, more)
+        if last is not None:
+            yield _batch([(last[0], *[None] * 6, part, True, last[1], head)], kind, more)
+    return run
+
+
+def _finish(rank: np.ndarray):
+    """Open rows (id, text, text of the next document) to results."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [_row(i, text, digest(text.encode(), rank), nxt, digest(nxt.encode(), rank), rank)
+                    for i, text, nxt in zip(*(c.to_pylist() for c in b.columns))]
+            if rows:
+                yield _batch(rows, b.schema.field(0).type, [])
     return run
 
 
 def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next): see the module text; the edited text has its last
-    third replaced by the beginning of the next document."""
+    third replaced by the beginning of the next document.  The number of ranges
+    is the session's number of shuffle partitions."""
+    spark = docs.sparkSession
+    st = Stage(spark, "fingerprints")
     rank = corpus_ranks(docs, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
-    return (in_ranges(docs, id_col, text_col)
-            .mapInArrow(_compare(rank), f"id {kind}, n_chars bigint, edited_sha256 string, fingerprint string, "
-                                        "edited_fingerprint string, near_edited double, near_next double")
+    d = (docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+         .select("id", "text", F.xxhash64("text").alias("tie"), F.monotonically_increasing_id().alias("place")))
+    order = [F.desc_nulls_last("id"), F.desc("tie"), F.asc("place")]
+    ranged = d.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "text")
+    rows = st.stage(ranged.mapInArrow(_compare(rank), f"id {kind}, {RESULT}, part int, open boolean, own string, "
+                                                      "head string"), "rows")
+    parts = sorted(r[0] for r in rows.where("open").select("part").collect())  # one number per range
+    after = spark.createDataFrame([(p, q) for p, q in zip(parts, parts[1:] + parts[:1])], "part int, next int")
+    heads = rows.where("head IS NOT NULL").select(F.col("part").alias("next"), F.col("head").alias("next_text"))
+    ends = rows.where("open").select("id", "own", "part").join(after, "part").join(heads, "next")
+    return (rows.where("NOT open").select(*_NAMES)
+            .unionByName(ends.select("id", "own", "next_text").mapInArrow(_finish(rank), f"id {kind}, {RESULT}"))
             .withColumnRenamed("id", id_col))

@@ -381,6 +381,29 @@ def test_language_id_held_out_accuracy(spark):
     assert {r.lang_pred for r in language_id.identify(awkward(spark), nothing).collect()} == {"und"}
 
 
+def test_language_id_keeps_every_alphabet(spark):
+    """More letters than symbols: five alphabets, two of them rare, and one with thousands of letters."""
+    scripts = {"en": range(97, 123), "ru": range(0x430, 0x450), "el": range(0x3B1, 0x3CA), "ka": range(0x10D0, 0x10F1),
+               "hy": range(0x561, 0x587), "zh": range(0x4E00, 0x5600)}
+    rnd = random.Random(2)
+    rows = []
+    for lang, letters in scripts.items():
+        words = ["".join(chr(rnd.choice(letters)) for _ in range(rnd.randrange(2, 8))) for _ in range(120)]
+        for _ in range(12 if lang in ("ka", "hy") else 120):
+            rows.append((len(rows), " ".join(rnd.choices(words, k=40)), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.learn(language_id.sample(docs))
+    alphabet = model[1]
+    seen = {}
+    for c in {c for t in language_id.sample(docs).values() for c in t if c.isalpha()}:
+        code = tuple(alphabet.codes(np.array([ord(c)]), np.array([0, 1]))[0].tolist())
+        assert 0 not in code and seen.setdefault(code, c) == c
+    codes = set(seen)
+    assert not any(c[:k] in codes for c in codes for k in range(1, len(c)))
+    got = language_id.identify(docs, model).collect()
+    assert all(r.lang_pred == r.lang for r in got)
+
+
 def test_language_sample_takes_copies_once_and_any_part(spark):
     rows = [(i, f"text number {i} " + "".join(chr(97 + (i * 7 + j * j) % 26) for j in range(300)), "en") for i in range(40)]
     rows += [(100 + i, rows[k][1], "en") for k in range(10) for i in range(k * 60, k * 60 + 60)]
@@ -406,13 +429,20 @@ def test_entropy_classes_equal_counting():
         assert got[i] == (fingerprints._MOST - total) * (fingerprints.CLASSES - 1) // fingerprints._MOST
 
 
-def test_fingerprints_of_neighbours(spark, monkeypatch):
-    monkeypatch.setattr(fingerprints, "RANGE_ROWS", 30)
+@pytest.fixture
+def many_ranges(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")  # small ranges stay apart
+    yield spark
+    spark.conf.set(key, before)
+
+
+def test_fingerprints_of_neighbours(many_ranges):
+    spark = many_ranges
     df = smoke(spark)
     rank = fingerprints.corpus_ranks(df)
-    got = fingerprints.in_ranges(df, "doc_id", "text", 30)
-    assert got.where("guard").count() == got.select("part").distinct().count() > 3
-    rows = {r.doc_id: r for r in got.sparkSession.createDataFrame(fingerprints.neighbours(df).collect()).collect()}
+    rows = {r.doc_id: r for r in fingerprints.neighbours(df).collect()}
     texts = sorted(((r.doc_id, r.text) for r in df.collect()), reverse=True)
     for (i, t), (_, after) in zip(texts, texts[1:] + texts[:1]):
         r, cut = rows[i], len(t) // 3
@@ -425,6 +455,28 @@ def test_fingerprints_of_neighbours(spark, monkeypatch):
     assert np.median([r.near_edited for r in rows.values()]) > 0.4 > 0.2 > np.median([r.near_next for r in rows.values()])
 
 
+def test_fingerprints_of_text_ids_and_many_null_ids(many_ranges):
+    """String ids and as many rows without one, over several ranges, some rows equal."""
+    spark = many_ranges
+    rows = [(f"k{i:03d}", f"text {i} " * (i % 9 + 3)) for i in range(150)] + [("k007", "another")] * 3
+    rows += [(None, f"nobody {i % 90} " * 9) for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(4)
+    got = fingerprints.neighbours(df).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    texts = {i: t for i, t in rows if i is not None and i != "k007"}
+    ids = sorted(texts, reverse=True)
+    edited = {r.doc_id: r.edited_sha256 for r in got}
+    for i, after in zip(ids, ids[1:]):
+        if "k007" not in (i, after) and not i == "k008":
+            cut = len(texts[i]) // 3
+            assert edited[i] == hashlib.sha256((texts[i][:len(texts[i]) - cut] + texts[after][:cut]).encode()).hexdigest()
+    # every row has exactly one next row: the edited texts of rows without an id end in such rows, or in the first of all
+    nobody = {t for i, t in rows if i is None} | {texts[ids[0]]}
+    want = {hashlib.sha256((t[:len(t) - len(t) // 3] + n[:len(t) // 3]).encode()).hexdigest()
+            for t in nobody for n in nobody}
+    assert all(r.edited_sha256 in want for r in got if r.doc_id is None)
+
+
 def test_fingerprints_awkward(spark):
     got = fingerprints.neighbours(awkward(spark)).collect()
     assert Counter(r.doc_id for r in got) == Counter([1, None, 2, 3, 4, 5, 6, 6, 7, 8])
