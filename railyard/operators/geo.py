@@ -1,13 +1,16 @@
 """Event windows, geography and expected demand.
 
-* J6  event interval join: events exploded to (event, station), then an
-      equi-join on ``station_id`` plus a closed time range, so it plans as a
-      broadcast hash join and never as a nested loop.
-* J7  exact nearest station without a cross join: grid cells, candidates
-      from the 3x3 block around the point's cell (an equi-join on the cell),
-      accepted only when the best candidate is provably closer than anything
-      outside the block; the rest move to a coarser grid.  The last grid is
-      one cell, so every point is answered.
+* J6  interval join: both sides are cut into time buckets and meet on the
+      station and the bucket, so a station with many windows or taps is spread
+      over its buckets; a pair that shares several buckets counts in the one
+      where the later of the two begins.  An equi-join, never a nested loop.
+* J7  exact nearest station without a cross join, on cells of the unit
+      sphere's 3-D coordinates, which know no date line and no poles.  Points
+      near the network meet the stations of the 27 cells around theirs, ring by
+      ring of larger cells, and are done when no station outside can be nearer.
+      Points farther off descend a tree of the occupied cells: at each level
+      only cells whose nearest corner is not farther than some station already
+      known are opened, so no cell meets all stations.
 * J11 / N9  distances and expected shares for *observed* origin-destination
       pairs only (equi-joins to the station dimension; the normaliser of the
       expected share is computed in closed form), never all pairs.
@@ -30,23 +33,45 @@ def exploded_events(calendar: DataFrame) -> DataFrame:
                            "start_ts", "end_ts", "uplift_multiplier")
 
 
+def _bucket(ts, seconds: int):
+    return F.floor(ts.cast("timestamp").cast("bigint") / seconds)
+
+
+def interval_join(left: DataFrame, right: DataFrame, keys, left_span, right_span, seconds: int = 6 * 3600) -> DataFrame:
+    """Pairs of rows with equal ``keys`` (names of both sides, no nulls) whose
+    closed time spans, pairs of column names, overlap; a span of one column
+    twice is an instant.  All other column names must differ.  Each side gives a
+    row per bucket of ``seconds`` that its span touches; a span that ends before
+    it starts, or has a null end, matches nothing."""
+    (ls, le), (rs, re) = left_span, right_span
+
+    def cut(df, start, end):
+        if start == end:
+            return df.withColumn("_b", _bucket(F.col(start), seconds))
+        whole = df.where(F.col(start) <= F.col(end))
+        return whole.withColumn("_b", F.explode(F.sequence(_bucket(F.col(start), seconds), _bucket(F.col(end), seconds))))
+
+    both = cut(left, ls, le).join(cut(right, rs, re), [*keys, "_b"])
+    met = both.where((F.col(ls) <= F.col(re)) & (F.col(rs) <= F.col(le)))
+    if ls != le and rs != re:
+        met = met.where(F.col("_b") == _bucket(F.greatest(ls, rs), seconds))
+    return met.drop("_b")
+
+
 def event_hours(station_hours: DataFrame, calendar: DataFrame) -> DataFrame:
     """(station_id, tap_hour_utc) rows inside an event window at one of the
     event's stations, both bounds closed; one row per matching event."""
-    ev = exploded_events(calendar)
+    ev = exploded_events(calendar).withColumnRenamed("_ev_station", "station_id")
     sh = station_hours.select("station_id", "tap_hour_utc").distinct()
-    cond = ((sh.station_id == ev._ev_station)
-            & (sh.tap_hour_utc >= ev.start_ts) & (sh.tap_hour_utc <= ev.end_ts))
-    return sh.join(ev, cond, "inner").select("station_id", "tap_hour_utc", "event_id", "uplift_multiplier")
+    met = interval_join(sh, ev, ["station_id"], ("tap_hour_utc", "tap_hour_utc"), ("start_ts", "end_ts"))
+    return met.select("station_id", "tap_hour_utc", "event_id", "uplift_multiplier")
 
 
 def event_interval_join(silver: DataFrame, calendar: DataFrame) -> DataFrame:
     """Taps that fall in an event window at one of its stations."""
-    ev = exploded_events(calendar)
-    cond = ((silver.station_id == ev._ev_station)
-            & (silver.tap_timestamp_utc >= ev.start_ts) & (silver.tap_timestamp_utc <= ev.end_ts))
-    return (silver.join(ev, cond, "inner")
-            .groupBy("event_id", "station_id")
+    ev = exploded_events(calendar).withColumnRenamed("_ev_station", "station_id")
+    met = interval_join(silver, ev, ["station_id"], ("tap_timestamp_utc", "tap_timestamp_utc"), ("start_ts", "end_ts"))
+    return (met.groupBy("event_id", "station_id")
             .agg(F.count(F.lit(1)).alias("event_taps"),
                  F.countDistinct("card_token").alias("event_riders"),
                  F.min("tap_timestamp_utc").alias("first_tap"),
@@ -69,52 +94,117 @@ def event_station_bridge(calendar: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 # --- nearest station (J7, N6) ------------------------------------------------------
-def _outside_block_bound_km(lat, g):
-    """Lower bound (km) on the distance from a point at ``lat`` to any station
-    outside the 3x3 block of ``g``-degree cells around the point's cell."""
-    g_rad = math.radians(g)
-    lat_bound = F.lit(C.EARTH_RADIUS_KM * g_rad)
-    phi_max = F.radians(F.least(F.lit(90.0), F.abs(lat) + F.lit(g)))
-    lon_bound = F.lit(2 * C.EARTH_RADIUS_KM) * F.asin(F.cos(phi_max) * F.lit(math.sin(g_rad / 2)))
-    return F.least(lat_bound, lon_bound)
+#: Cell sides (chords of the unit sphere) of the rings around a point, about 12 and 100 km, and of the tree's levels.
+RINGS, LEVELS = (1 / 512, 1 / 64), (1 / 2, 1 / 8, 1 / 32, 1 / 128, 1 / 512, 1 / 2048)
+#: Slack of distance bounds against rounding.
+SLACK = 1e-9
+_XYZ = ("x", "y", "z")
+
+
+def _on_sphere(df: DataFrame, lat: str, lon: str, prefix: str) -> DataFrame:
+    """Unit-sphere coordinates ``<prefix>x``, ``y``, ``z``."""
+    phi, theta = F.radians(lat), F.radians(lon)
+    return (df.withColumn(prefix + "x", F.cos(phi) * F.cos(theta)).withColumn(prefix + "y", F.cos(phi) * F.sin(theta))
+            .withColumn(prefix + "z", F.sin(phi)))
+
+
+def _cell(prefix: str, side: float):
+    return [F.floor(F.col(prefix + c) / side) for c in _XYZ]
+
+
+def _cells(names, prefix: str, side: float):
+    return [c.alias(n) for c, n in zip(_cell(prefix, side), names)]
+
+
+def _chord(a: str, b: str):
+    return F.sqrt(sum((F.col(a + c) - F.col(b + c)) ** 2 for c in _XYZ))
+
+
+def _box_distance(prefix: str, cell, side: float):
+    """Distance of a point to the nearest place of a cell."""
+    gaps = [F.greatest(F.col(c) * side - F.col(prefix + k), F.col(prefix + k) - (F.col(c) + 1) * side, F.lit(0.0))
+            for c, k in zip(cell, _XYZ)]
+    return F.sqrt(sum(g * g for g in gaps))
+
+
+def _nearest_of(pairs: DataFrame) -> DataFrame:
+    """The nearest station of each point among its pairs (station_id may be null)."""
+    distance = F.when(F.col("station_id").isNotNull(), X.haversine_km("lat", "lon", "s_lat", "s_lon"))
+    return (pairs.withColumn("_d", distance).groupBy("point_id", "lat", "lon")
+            .agg(F.min(F.when(F.col("_d").isNotNull(), F.struct(F.col("_d").alias("distance_km"), "station_id")))
+                 .alias("_b"))
+            .select("point_id", "lat", "lon", "_b.station_id", "_b.distance_km"))
+
+
+def _in_ring(points: DataFrame, stations: DataFrame, side: float) -> DataFrame:
+    """Points with the nearest station of the 27 cells around theirs, if any."""
+    names = ("_ci", "_cj", "_ck")
+    around = stations.select("station_id", "s_lat", "s_lon", *_cells(names, "s_", side))
+    for n in names:
+        around = around.withColumn(n, F.explode(F.array(*[F.col(n) + i for i in (-1, 0, 1)])))
+    placed = points.select("point_id", "lat", "lon", *_cells(names, "p_", side))
+    return _nearest_of(placed.join(around, list(names), "left"))
+
+
+def _cell_tree(stations: DataFrame, side: float) -> DataFrame:
+    """Occupied cells of a level, each with one of its stations and its parent
+    cell, whose side is four times as long."""
+    cell = ("_ci", "_cj", "_ck")
+    out = (stations.select("station_id", "s_x", "s_y", "s_z", *_cells(cell, "s_", side)).groupBy(*cell)
+           .agg(F.min(F.struct("station_id", "s_x", "s_y", "s_z")).alias("_s")))
+    return out.select(*cell, *[F.floor(F.col(c) / 4).alias("_p" + c[2:]) for c in cell], "_s.s_x", "_s.s_y", "_s.s_z")
+
+
+def _descend(points: DataFrame, stations: DataFrame) -> DataFrame:
+    """Nearest stations by branch and bound over the tree of occupied cells."""
+    cell, point = ["_ci", "_cj", "_ck"], ["point_id", "lat", "lon", "p_x", "p_y", "p_z"]
+    per_point = Window.partitionBy("point_id", "lat", "lon")
+
+    def opened(rows: DataFrame, side: float) -> DataFrame:
+        """Cells not farther than the nearest of the stations known."""
+        rows = rows.withColumn("_low", _box_distance("p_", cell, side)).withColumn("_up", _chord("p_", "s_"))
+        rows = rows.withColumn("_best", F.min("_up").over(per_point)).where(F.col("_low") <= F.col("_best") + SLACK)
+        return rows.select(*point, *cell)
+
+    # the sphere passes through at most 98 cells of side 1/2, whatever the number of stations
+    top = _cell_tree(stations, LEVELS[0]).select(*cell, "s_x", "s_y", "s_z").collect()
+    if not top:
+        return points.select("point_id", "lat", "lon", F.lit(None).cast("double").alias("distance_km"))
+    first = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in (*cell, "s_x", "s_y", "s_z")]) for r in top])
+    rows = opened(points.withColumn("_c", F.explode(first)).select(*point, "_c.*"), LEVELS[0])
+    for side in LEVELS[1:]:
+        rows = rows.select(*point, *[F.col(c).alias("_p" + c[2:]) for c in cell])
+        rows = opened(rows.join(_cell_tree(stations, side), ["_pi", "_pj", "_pk"]), side)
+    leaves = stations.select("station_id", "s_lat", "s_lon", *_cells(cell, "s_", LEVELS[-1]))
+    return _nearest_of(rows.join(leaves, cell))
 
 
-def nearest_station(points: DataFrame, stations: DataFrame, grids=(0.1, 1.0, 10.0, 360.0)) -> DataFrame:
+def nearest_station(points: DataFrame, stations: DataFrame, rings=RINGS) -> DataFrame:
     """For every (point_id, lat, lon) the nearest station by great-circle
-    distance; ties go to the smaller station_id.  Exact: see module doc.
+    distance; ties go to the smaller station_id.  Exact: see module doc.  Points
+    and stations without coordinates have no part in it.
 
-    Each level is staged once and the next one reads only its undecided
-    points, so the points themselves are read a single time."""
+    Each ring is staged once and the next step reads only its undecided points,
+    so the points themselves are read a single time."""
     spark = points.sparkSession
-    st = stations.select("station_id", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon"))
-    offsets = F.array(*[F.lit(i) for i in (-1, 0, 1)])
-    remaining, out = points.select("point_id", "lat", "lon"), None
-    for i, g in enumerate(grids):
-        srep = (st.select("*", F.explode(offsets).alias("_di"))
-                  .select("*", F.explode(offsets).alias("_dj"))
-                  .select("station_id", "s_lat", "s_lon",
-                          (F.floor(F.col("s_lat") / g) + F.col("_di")).alias("_ci"),
-                          (F.floor(F.col("s_lon") / g) + F.col("_dj")).alias("_cj")))
-        pc = remaining.select("point_id", "lat", "lon",
-                              F.floor(F.col("lat") / g).alias("_ci"), F.floor(F.col("lon") / g).alias("_cj"))
-        distance = F.when(F.col("station_id").isNotNull(), X.haversine_km("lat", "lon", "s_lat", "s_lon"))
-        best = (pc.join(srep, ["_ci", "_cj"], "left").withColumn("_d", distance)
-                .groupBy("point_id", "lat", "lon")
-                .agg(F.min(F.when(F.col("_d").isNotNull(), F.struct(F.col("_d").alias("distance_km"), "station_id")))
-                     .alias("_b"))
-                .select("point_id", "lat", "lon", "_b.station_id", "_b.distance_km"))
-        if i == len(grids) - 1:
-            found = best.filter(F.col("station_id").isNotNull())
-        else:
-            path = scratch_path(spark, "nearest")
-            best.write.parquet(path)
-            best = spark.read.schema(best.schema).parquet(path)
-            ok = F.coalesce((F.col("distance_km") < _outside_block_bound_km(F.col("lat"), g))
-                            & (F.abs(F.col("lon")) + F.lit(2 * g) < F.lit(180.0)), F.lit(False))
-            found, remaining = best.filter(ok), best.filter(~ok).select("point_id", "lat", "lon")
-        found = found.select("point_id", "station_id", "distance_km")
+    st = stations.select("station_id", F.col("lat").alias("s_lat"), F.col("lon").alias("s_lon")).dropna()
+    st = _on_sphere(st, "s_lat", "s_lon", "s_")
+    left, out = _on_sphere(points.select("point_id", "lat", "lon").dropna(subset=["lat", "lon"]), "lat", "lon", "p_"), None
+    for side in rings:
+        best, path = _in_ring(left, st, side), scratch_path(spark, "nearest")
+        best.write.parquet(path)
+        best = spark.read.schema(best.schema).parquet(path)
+        # a station outside the 27 cells is farther than one side, as a chord
+        reach_km = 2 * C.EARTH_RADIUS_KM * math.asin(side / 2) * (1 - SLACK)
+        ok = F.coalesce(F.col("distance_km") < reach_km, F.lit(False))
+        found = best.filter(ok).select("point_id", "station_id", "distance_km")
+        left = _on_sphere(best.filter(~ok).select("point_id", "lat", "lon"), "lat", "lon", "p_")
         out = found if out is None else out.unionByName(found)
-    return out
+    far = _descend(left, st)
+    if "station_id" not in far.columns:
+        return out
+    far = far.select("point_id", "station_id", "distance_km")
+    return far if out is None else out.unionByName(far)
 
 
 def venue_stations(events: DataFrame, stations: DataFrame) -> DataFrame:

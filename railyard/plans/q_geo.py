@@ -44,6 +44,57 @@ def q_nearest_station(spark, sf_dir):
     return n.select("point_id", "station_id", X.r6("distance_km").alias("distance_km"))
 
 
+_WORLD = """(SELECT c_custkey AS point_id, CAST((c_custkey * 7919) % 179999 AS DOUBLE) / 1000 - 90 AS lat,
+         CAST((c_custkey * 104729) % 360001 AS DOUBLE) / 1000 - 180 AS lon FROM customer)"""
+_DATE_LINE = """(SELECT station_id, lat, CASE WHEN e > 180 THEN e - 360 ELSE e END AS lon FROM (
+         SELECT s_suppkey AS station_id, CAST((s_suppkey * 6007) % 150001 AS DOUBLE) / 1000 - 75 AS lat,
+                CASE WHEN s_suppkey % 3 = 0 THEN CAST((s_suppkey * 15013) % 90001 AS DOUBLE) / 1000
+                     ELSE 178 + CAST((s_suppkey * 3571) % 4001 AS DOUBLE) / 1000 END AS e FROM supplier))"""
+
+
+@register("nearest_world", f"""
+SELECT point_id, station_id, ROUND(d, 6) AS distance_km FROM (
+  SELECT p.point_id, s.station_id, {hav_sql('p.lat', 'p.lon', 's.lat', 's.lon')} AS d,
+         ROW_NUMBER() OVER (PARTITION BY p.point_id ORDER BY {hav_sql('p.lat', 'p.lon', 's.lat', 's.lon')}, s.station_id) AS rn
+  FROM {_WORLD} p, {_DATE_LINE} s) WHERE rn = 1""", "J7 N6 F15")
+def q_nearest_world(spark, sf_dir):
+    """Points all over the earth, most far from any station; two thirds of the
+    stations lie on both sides of the antimeridian."""
+    read_table(spark, sf_dir, "customer", ["c_custkey"]).createOrReplaceTempView("_world_customers")
+    read_table(spark, sf_dir, "supplier", ["s_suppkey"]).createOrReplaceTempView("_world_suppliers")
+    points = spark.sql("SELECT * FROM " + _WORLD.replace("FROM customer", "FROM _world_customers"))
+    stations = spark.sql("SELECT * FROM " + _DATE_LINE.replace("FROM supplier", "FROM _world_suppliers"))
+    n = geo.nearest_station(points, stations)
+    return n.select("point_id", "station_id", X.r6("distance_km").alias("distance_km"))
+
+
+@register("window_overlaps", """
+WITH w AS (SELECT event_id, event_id % 4 AS station_id, ts AS w_start, ts + to_minutes(user_id % 7 * 20) AS w_end
+           FROM events WHERE event_id % 8 < 4),
+v AS (SELECT event_id AS visit_id, event_id % 4 AS station_id, ts AS v_start, ts + to_minutes(user_id % 5 * 10) AS v_end
+      FROM events WHERE event_id % 8 >= 4)
+SELECT w.station_id, CAST(w_start AS DATE) AS service_date, COUNT(*) AS pairs, COUNT(DISTINCT event_id) AS windows,
+       COUNT(DISTINCT visit_id) AS visits, min(greatest(w_start, v_start)) AS first_overlap
+FROM w JOIN v ON w.station_id = v.station_id AND w_start <= v_end AND v_start <= w_end GROUP BY ALL""", "J6 N5")
+def q_window_overlaps(spark, sf_dir):
+    """Service windows and visits, thousands of each at one of four stations."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id"])
+    station = (F.col("event_id") % 4).alias("station_id")
+
+    def until(n, minutes):
+        return F.expr(f"ts + make_interval(0, 0, 0, 0, 0, CAST(user_id % {n} * {minutes} AS INT))")
+
+    windows = ev.where("event_id % 8 < 4").select("event_id", station, F.col("ts").alias("w_start"),
+                                                  until(7, 20).alias("w_end"))
+    visits = ev.where("event_id % 8 >= 4").select(F.col("event_id").alias("visit_id"), station,
+                                                  F.col("ts").alias("v_start"), until(5, 10).alias("v_end"))
+    met = geo.interval_join(windows, visits, ["station_id"], ("w_start", "w_end"), ("v_start", "v_end"), 3600)
+    return (met.groupBy("station_id", F.to_date("w_start").alias("service_date"))
+            .agg(F.count("*").alias("pairs"), F.countDistinct("event_id").alias("windows"),
+                 F.countDistinct("visit_id").alias("visits"),
+                 F.min(F.greatest("w_start", "v_start")).alias("first_overlap")))
+
+
 @register("km_haversine", compose("points", f"""
 SELECT point_id,
        ROUND(sqrt(pow(lat - {C.UNION_ANCHOR[0]}, 2) + pow(lon - ({C.UNION_ANCHOR[1]}), 2)) * 111.0, 6) AS km_planar,

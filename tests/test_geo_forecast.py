@@ -31,6 +31,70 @@ def test_nearest_station_matches_brute_force(spark):
         assert got[pid] == want, pid
 
 
+def test_nearest_station_far_away_and_across_the_date_line(spark):
+    rnd = random.Random(11)
+    st = [(i, rnd.uniform(-20, 20), ((180 + rnd.uniform(-3, 3) + 180) % 360) - 180) for i in range(40)]
+    st += [(100 + i, 60 + rnd.random(), rnd.uniform(-0.5, 0.5)) for i in range(60)] + [(300, -90.0, 17.0)]
+    pts = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(400)]
+    pts += [(1000 + i, rnd.uniform(-5, 5), x) for i, x in enumerate((179.999, -179.999, 180.0, -180.0, 179.2, -178.8))]
+    pts += [(2000, 90.0, 0.0), (2001, -90.0, 55.0), (2002, 60.5, 0.0)]
+    sdf = spark.createDataFrame([*st, (400, None, 1.0)], "station_id int, lat double, lon double")
+    pdf = spark.createDataFrame([*pts, (3000, None, None)], "point_id long, lat double, lon double")
+    for rings in (geo.RINGS, ()):  # also by the tree alone
+        got = {r.point_id: (r.station_id, r.distance_km) for r in geo.nearest_station(pdf, sdf, rings).collect()}
+        assert set(got) == {p[0] for p in pts}
+        for pid, la, lo in pts:
+            best = min(_hav((la, lo), s[1:]) for s in st)
+            assert got[pid][1] == pytest.approx(best, abs=1e-6)
+            assert _hav((la, lo), next(s[1:] for s in st if s[0] == got[pid][0])) == pytest.approx(best, abs=1e-6)
+    assert geo.nearest_station(pdf, sdf.limit(0)).count() == 0
+
+
+def test_far_points_open_few_cells(spark):
+    """Points 10,000 km off a network of 3,000 stations meet few of them."""
+    rnd = random.Random(5)
+    st = spark.createDataFrame([(i, 43 + rnd.random() * 2, -80 + rnd.random() * 2) for i in range(3000)],
+                               "station_id int, lat double, lon double")
+    pts = spark.createDataFrame([(i, -30 - i / 10, 140 + i / 10) for i in range(50)],
+                                "point_id long, lat double, lon double")
+    seen = []
+    real = geo._nearest_of
+    geo._nearest_of = lambda pairs: seen.append(pairs.count()) or real(pairs)
+    try:
+        assert geo.nearest_station(pts, st, ()).count() == 50
+    finally:
+        geo._nearest_of = real
+    assert seen[-1] < 50 * 3000 / 10
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_interval_join_equals_all_pairs(spark, threshold):
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+
+    def spans(n, longest):
+        out = []
+        for i in range(n):
+            s = base + dt.timedelta(seconds=rnd.randrange(4 * 86400))
+            out.append((i, rnd.randrange(3), s, s + dt.timedelta(seconds=rnd.randrange(-60, longest))))
+        return out
+
+    a, b = spans(120, 20 * 3600), spans(150, 9000)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, threshold)
+    try:
+        left = spark.createDataFrame(a, "a int, station_id int, s timestamp, e timestamp")
+        right = spark.createDataFrame(b, "b int, station_id int, s2 timestamp, e2 timestamp")
+        got = sorted((r.a, r.b) for r in geo.interval_join(left, right, ["station_id"], ("s", "e"), ("s2", "e2")).collect())
+        assert got == sorted((x[0], y[0]) for x in a for y in b
+                             if x[1] == y[1] and max(x[2], y[2]) <= min(x[3], y[3]) and x[2] <= x[3] and y[2] <= y[3])
+        got = sorted((r.a, r.b) for r in geo.interval_join(left, right, ["station_id"], ("s", "s"), ("s2", "e2")).collect())
+        assert got == sorted((x[0], y[0]) for x in a for y in b if x[1] == y[1] and y[2] <= x[2] <= y[3])
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_event_window_bounds_closed_and_station_scoped(spark):
     cal = B.event_calendar(spark)
     rows = [(3, "2024-01-10 18:00:00"), (3, "2024-01-10 23:00:00"), (3, "2024-01-10 23:00:01"),

@@ -14,7 +14,8 @@ SIDE_EFFECT = {"bronze_partition_layout", "network_priors", "schema_evolution",
                "partition_overwrite", "kpis_trailing_window", "rolling_refresh", "replay_rebuild",
                "stream_bronze_ingest", "stream_dedup", "stream_hourly", "stream_quality_gate", "stream_upsert",
                "stream_json_ingest", "stream_json_rescue", "stream_late_rows", "upsert_out_of_order",
-               "upsert_null_partition", "upsert_new_column"}
+               "upsert_null_partition", "upsert_new_column", "upsert_widened_column",
+               "upsert_text_partition", "upsert_key_index", "reconcile_drift"}
 
 
 def plan_text(df) -> str:
