@@ -16,6 +16,8 @@ from railyard.plans.q_core import silver_of
 from railyard.sources import binding as B
 from railyard.sources import bronze as BR
 from railyard.sources import contracts as CT
+from railyard.sources import drift as D
+from railyard.streaming import keyed as K
 from railyard.streaming import taps as S
 
 _INVARIANT = ("tap_id", "card_token", "station_id", "fare_class", "tap_type", "tap_timestamp_utc")
@@ -166,3 +168,102 @@ def q_stream_json_rescue(spark, sf_dir):
             .when(F.col("_rescued_data") == F.lit('{"promo_code":"P"}'), F.lit("extra"))
             .when(F.length("_rescued_data") > 40, F.lit("text kept")))
     return spark.read.parquet(sink).select("tap_id", "line", "station_id", "tap_timestamp_utc", kind.alias("kind"))
+
+
+@register("stream_arrivals", compose("bronze", """
+SELECT tap_id, ingest_timestamp_utc > tap_timestamp_utc AS is_copy,
+       CASE WHEN ingest_timestamp_utc > tap_timestamp_utc THEN 'duplicate'
+            WHEN k = 95 AND tap_timestamp_utc < (SELECT max(ingest_timestamp_utc) FROM bronze WHERE k <> 95) - INTERVAL 2 HOUR
+            THEN 'late' ELSE 'kept' END AS verdict
+FROM bronze"""), "T1 T7 S9 T2")
+def q_stream_arrivals(spark, sf_dir):
+    """Every arrival has one verdict from one stateful operator; a slice of the
+    taps (k = 95) arrives 40 days later, in a second run on the same checkpoint."""
+    taps = B.bronze_taps(spark, sf_dir, with_k=True)
+    path = S.land_by_arrival(taps.filter("k <> 95").select(*B.BRONZE_COLUMNS))
+    copy = F.col("ingest_timestamp_utc") == F.col("tap_timestamp_utc") + F.expr("INTERVAL 1 HOUR")
+    row = (F.col("tap_id") * 2 + F.when(copy, 1).otherwise(0)).alias("row")
+
+    def run(sink=None):
+        stream = S.read_stream(spark, path, 4).select("tap_id", "tap_timestamp_utc", "ingest_timestamp_utc", row)
+        return K.stream_arrivals(spark, stream, "row", sink)[0]
+
+    sink = run()
+    later = taps.filter("k = 95").withColumn("ingest_timestamp_utc", F.expr("ingest_timestamp_utc + INTERVAL 40 DAYS"))
+    S.land_by_arrival(later.select(*B.BRONZE_COLUMNS), path, files=1)
+    run(sink)
+    out = spark.read.schema(K.VERDICTS).parquet(sink).filter("verdict <> 'closed'")
+    return out.select(F.expr("row DIV 2").alias("tap_id"), (F.col("row") % 2 == 1).alias("is_copy"), "verdict")
+
+
+def _drifting(spark, sf_dir, without=()):
+    """Twelve-field messages where k = 92 has a fraction in ``zone``, 93 a word
+    in ``zone``, 94 a time that is none, 96 no JSON and 97 an extra key."""
+    b = B.bronze_taps(spark, sf_dir, with_k=True).filter(~F.col("k").isin(*without, -1))
+    k = F.col("k")
+
+    def text(c):
+        return F.concat(F.lit('"'), c, F.lit('"'))
+
+    zone = F.when(k == 92, F.concat("zone", F.lit(".25"))).when(k == 93, F.lit('"east"')).otherwise(F.col("zone").cast("string"))
+    time = F.when(k == 94, F.lit("yesterday")).otherwise(F.date_format("tap_timestamp_utc", BR.ISO_FORMAT))
+    parts = {"tap_id": text(F.col("tap_id").cast("string")), "card_token": text(F.col("card_token").cast("string")),
+             "station_id": text(F.col("station_id").cast("string")),
+             "line": text(F.concat(F.lit("L"), F.col("zone").cast("string"))), "zone": zone, "fare_class": text(F.col("fare_class")),
+             "fare_amount_cad": F.col("fare_amount_cad").cast("string"), "tap_type": text(F.col("tap_type")),
+             "tap_timestamp_utc": text(time), "device_id": text(F.col("device_id")),
+             "schema_version": text(F.col("schema_version"))}
+    body = F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), c) for n, c in parts.items()])
+    body = F.concat(F.lit("{"), body, F.when(k == 97, F.lit(',"promo_code":"P"')).otherwise(F.lit("")), F.lit("}"))
+    return b.select(F.when(k == 96, F.concat(F.lit("#"), body)).otherwise(body).alias("value"))
+
+
+@register("json_field_rescue", compose("bronze", """
+SELECT CASE WHEN k <> 96 THEN CAST(tap_id AS VARCHAR) END AS tap_id,
+       CASE WHEN k NOT IN (92, 93, 96) THEN zone END AS zone,
+       CASE WHEN k NOT IN (94, 96) THEN tap_timestamp_utc END AS tap_timestamp_utc,
+       CASE WHEN k <> 96 THEN CAST(fare_amount_cad AS DOUBLE) END AS fare_amount_cad,
+       CASE WHEN k = 96 THEN 0 WHEN k IN (92, 93, 94) THEN 10 ELSE 11 END AS fields_kept,
+       CASE k WHEN 92 THEN '{"zone":' || zone || '.25}' WHEN 93 THEN '{"zone":"east"}'
+              WHEN 94 THEN '{"tap_timestamp_utc":"yesterday"}' WHEN 97 THEN '{"promo_code":"P"}'
+              WHEN 96 THEN 'whole text' END AS rescued
+FROM bronze"""), "S4 S11 Q16")
+def q_json_field_rescue(spark, sf_dir):
+    """One bad field is rescued alone, the other ten stay."""
+    schema = CT.wire_schema(CT.BRONZE_TAPS)
+    out = D.decode_fields(_drifting(spark, sf_dir), schema)
+    kept = sum(F.when(F.col(f.name).isNotNull(), 1).otherwise(0) for f in schema.fields)
+    text = F.when(F.col("_rescued_data").startswith("#"), F.lit("whole text")).otherwise(F.col("_rescued_data"))
+    return out.select("tap_id", "zone", "tap_timestamp_utc", "fare_amount_cad", kept.cast("int").alias("fields_kept"),
+                      text.alias("rescued"))
+
+
+@register("json_drift_report", compose("bronze", """
+SELECT field, agreed, CASE WHEN field = 'fare_amount_cad' THEN 'number' ELSE seen END AS seen,
+       (SELECT COUNT(*) FROM bronze WHERE k <> 96 AND (field <> 'promo_code' OR k = 97)) AS messages, status
+FROM (VALUES ('tap_id', 'string', 'STRING', 'as agreed'), ('card_token', 'string', 'STRING', 'as agreed'),
+  ('station_id', 'string', 'STRING', 'as agreed'), ('line', 'string', 'STRING', 'as agreed'),
+  ('zone', 'int', 'VARIANT', 'mixed'), ('fare_class', 'string', 'STRING', 'as agreed'),
+  ('fare_amount_cad', 'double', '', 'as agreed'), ('tap_type', 'string', 'STRING', 'as agreed'),
+  ('tap_timestamp_utc', 'timestamp', 'STRING', 'as agreed'), ('device_id', 'string', 'STRING', 'as agreed'),
+  ('schema_version', 'string', 'STRING', 'as agreed'), ('promo_code', NULL, 'STRING', 'new')
+) t(field, agreed, seen, status)"""), "S5 Q9")
+def q_json_drift_report(spark, sf_dir):
+    """Types seen per field: a new key, and a field with values of two kinds."""
+    r = D.drift_report(_drifting(spark, sf_dir), CT.wire_schema(CT.BRONZE_TAPS))
+    number = F.col("seen").rlike("^(DECIMAL|DOUBLE|BIGINT)") & (F.col("field") == "fare_amount_cad")
+    return r.withColumn("seen", F.when(number, F.lit("number")).otherwise(F.col("seen")))
+
+
+@register("json_evolved", compose("bronze", """
+SELECT CAST(tap_id AS VARCHAR) AS tap_id, CAST(zone AS DOUBLE) + CASE WHEN k = 92 THEN 0.25 ELSE 0 END AS zone,
+       CASE WHEN k = 97 THEN 'P' END AS promo_code, true AS whole
+FROM bronze WHERE k NOT IN (93, 94, 96)"""), "S5 Q9")
+def q_json_evolved(spark, sf_dir):
+    """The schema that the report leads to: ``zone`` grew to a decimal and
+    ``promo_code`` is a column, so nothing is left to rescue."""
+    msgs = _drifting(spark, sf_dir, without=(93, 94, 96))
+    schema = CT.wire_schema(CT.BRONZE_TAPS)
+    out = D.decode_fields(msgs, D.evolve(schema, D.drift_report(msgs, schema)))
+    return out.select("tap_id", F.col("zone").cast("double").alias("zone"), "promo_code",
+                      F.col("_rescued_data").isNull().alias("whole"))
