@@ -72,6 +72,47 @@ def merge_sketches(sketches: DataFrame, *keys) -> DataFrame:
         F.hll_sketch_estimate(F.hll_union_agg("riders_sketch")).alias("unique_riders_approx"))
 
 
+#: Slices of a sketch table; None: all riders together.
+SLICES = ("station_id", "line_id", "zone", None)
+
+
+def slice_sketches(taps: DataFrame, hour=None, keys=("station_id", "line_id", "zone")) -> DataFrame:
+    """Taps and rider sketches per hour and slice: the table from which riders
+    at any coarser grain follow without the taps (A8, A17, A18)."""
+    hour = F.col("tap_hour_utc") if hour is None else hour
+    return taps.groupBy(hour.alias("tap_hour_utc"), *keys).agg(
+        F.count(F.lit(1)).alias("taps"), F.hll_sketch_agg("card_token", F.lit(14)).alias("riders_sketch"))
+
+
+def union_sketches(sketches: DataFrame, *keys) -> DataFrame:
+    """Sketches of coarser groups; ``keys`` are names or columns."""
+    return sketches.groupBy(*keys).agg(F.sum("taps").alias("taps"),
+                                       F.hll_union_agg("riders_sketch").alias("riders_sketch"))
+
+
+def _sliced(sketches: DataFrame, grains, slices) -> DataFrame:
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(g).alias("grain"), F.date_trunc(g, "tap_hour_utc").alias("period_start"),
+                 F.lit(s or "all").alias("slice"), (F.col(s).cast("string") if s else F.lit("all")).alias("slice_value"))
+        for g in grains for s in slices]))
+    cells = sketches.select(cells.alias("_c"), "taps", "riders_sketch").select("_c.*", "taps", "riders_sketch")
+    return union_sketches(cells, "grain", "period_start", "slice", "slice_value")
+
+
+def riders_at_any_grain(sketches: DataFrame, grains=("hour", "day", "week", "month", "quarter"), slices=SLICES) -> DataFrame:
+    """(grain, period_start, slice, slice_value, taps, unique_riders_approx)
+    from stored hourly sketches alone, weeks beginning on Monday.  Hours are
+    united to days first, and only days are dealt to the coarser grains, so a
+    stored sketch is copied once per slice and not once per grain and slice."""
+    known = [s for s in slices if s]
+    days = union_sketches(sketches, F.date_trunc("day", "tap_hour_utc").alias("tap_hour_utc"), *known)
+    parts = [_sliced(sketches, ["hour"], slices)] if "hour" in grains else []
+    parts.append(_sliced(days, [g for g in grains if g != "hour"], slices))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.select("grain", "period_start", "slice", "slice_value", "taps",
+                      F.hll_sketch_estimate("riders_sketch").alias("unique_riders_approx"))
+
+
 def distinct_riders_daily(silver: DataFrame) -> DataFrame:
     """Additive-safe daily distinct riders per station."""
     return (silver.withColumn("service_date", F.to_date("tap_hour_utc"))

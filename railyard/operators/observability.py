@@ -40,6 +40,28 @@ def lag_percentile(df: DataFrame, q: float = 0.95, bin_minutes: int = 5,
                       X.r6(p).alias("p95_lag_seconds"), (p > alert_seconds).alias("lag_alert"))
 
 
+#: Size of a lag sketch, and the largest rank error of its quantiles (twice the 99 % error of that size).
+LAG_K = 200
+LAG_RANK_ERROR = 2 * 2.296 / LAG_K ** 0.9723
+
+
+def lag_sketches(df: DataFrame, bin_minutes: int = 5, event_ts: str = "tap_timestamp_utc",
+                 ingest_ts: str = "ingest_timestamp_utc", k: int = LAG_K) -> DataFrame:
+    """(bin_start, taps, lags): a mergeable quantile sketch of the arrival lags
+    of each bin, of bounded size whatever the number of taps."""
+    b = F.window(ingest_ts, f"{bin_minutes} minutes").start.alias("bin_start")
+    return (df.select(b, lag_seconds(event_ts, ingest_ts).alias("lag")).groupBy("bin_start")
+            .agg(F.count("lag").alias("taps"), F.kll_sketch_agg_bigint("lag", F.lit(k)).alias("lags")))
+
+
+def lag_from_sketches(sketches: DataFrame, q: float = 0.95, alert_seconds: int = C.LAG_ALERT_SECONDS) -> DataFrame:
+    """Bins with the ``q`` quantile of lag from any number of sketches per bin;
+    its rank is off by at most ``LAG_RANK_ERROR``."""
+    per = sketches.groupBy("bin_start").agg(F.sum("taps").alias("taps"), F.kll_merge_agg_bigint("lags").alias("lags"))
+    p = F.kll_sketch_get_quantile_bigint("lags", F.lit(q))
+    return per.where("taps > 0").select("bin_start", "taps", p.alias("lag_seconds"), (p > alert_seconds).alias("lag_alert"))
+
+
 def rate_per_minute(df: DataFrame, group: str, ts: str = "tap_timestamp_utc") -> DataFrame:
     """Taps per second over 1-minute tumbling windows, per group."""
     return (df.groupBy(F.window(ts, "1 minute").start.alias("minute_start"), group)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from railyard.operators import observability as O, silver
+from railyard.operators import gold, observability as O, silver
 from railyard.plans.catalog import register
 from railyard.plans.oracle_sql import compose
 from railyard.plans.q_core import silver_of
@@ -17,6 +17,7 @@ from railyard.sources import binding as B
 from railyard.sources import bronze as BR
 from railyard.sources import contracts as CT
 from railyard.sources import drift as D
+from railyard.session import scratch_path
 from railyard.streaming import keyed as K
 from railyard.streaming import taps as S
 
@@ -267,3 +268,72 @@ def q_json_evolved(spark, sf_dir):
     out = D.decode_fields(msgs, D.evolve(schema, D.drift_report(msgs, schema)))
     return out.select("tap_id", F.col("zone").cast("double").alias("zone"), "promo_code",
                       F.col("_rescued_data").isNull().alias("whole"))
+
+
+_SPREAD = "to_seconds(CAST(k * 37 + tap_id % 60 AS INTEGER))"
+
+
+@register("stream_lag_sketch", compose("bronze", f"""
+SELECT date_trunc('day', tap_timestamp_utc + {_SPREAD}) AS bin_start, COUNT(*) AS taps, true AS within_bound
+FROM bronze GROUP BY 1"""), "A15 T9")
+def q_stream_lag_sketch(spark, sf_dir):
+    """Daily p95 of arrival lag from the sketches of a stream's micro-batches:
+    the exact ranks of each estimate lie within the stated error of 0.95."""
+    late = F.expr("tap_timestamp_utc + make_interval(0, 0, 0, 0, 0, 0, k * 37 + tap_id % 60)")
+    taps = (B.bronze_taps(spark, sf_dir, with_k=True).withColumn("ingest_timestamp_utc", late)
+            .select(*B.BRONZE_COLUMNS))
+    landing = S.land_by_arrival(taps)
+    sink, _ = S.stream_sketches(spark, landing, lambda batch: O.lag_sketches(batch, 1440), files_per_trigger=2)
+    estimate = O.lag_from_sketches(spark.read.parquet(sink).drop("_batch_id"))
+    arrived = spark.read.schema(S.BRONZE_SCHEMA).parquet(landing)
+    exact = arrived.select(F.window("ingest_timestamp_utc", "1440 minutes").start.alias("bin_start"),
+                           O.lag_seconds("tap_timestamp_utc", "ingest_timestamp_utc").alias("lag"))
+    ranks = exact.join(estimate.select("bin_start", "lag_seconds"), "bin_start").groupBy("bin_start").agg(
+        F.count("*").alias("n"), F.count_if(F.col("lag") <= F.col("lag_seconds")).alias("upto"),
+        F.count_if(F.col("lag") < F.col("lag_seconds")).alias("below"))
+    e = F.lit(O.LAG_RANK_ERROR) + 1 / F.col("n")  # a quantile is one of the values
+    near = (F.col("upto") / F.col("n") >= 0.95 - e) & (F.col("below") / F.col("n") <= 0.95 + e)
+    return estimate.join(ranks, "bin_start").select("bin_start", "taps", near.alias("within_bound"))
+
+
+@register("stream_riders", compose("bronze", """
+SELECT date_trunc('day', tap_timestamp_utc) AS period_start, station_id, COUNT(*) AS taps,
+       COUNT(DISTINCT card_token) AS riders, true AS within_bound FROM bronze GROUP BY 1, 2"""), "T3 A8 A14")
+def q_stream_riders(spark, sf_dir):
+    """Daily riders of each station from the hourly sketches that a stream
+    wrote; an estimate is within 5 % of the exact number, or one rider."""
+    landing = S.land_by_arrival(B.bronze_taps(spark, sf_dir))
+    hour = F.date_trunc("hour", "tap_timestamp_utc")
+    sink, _ = S.stream_sketches(spark, landing, lambda batch: gold.slice_sketches(batch, hour, ("station_id", "zone")))
+    got = gold.riders_at_any_grain(spark.read.parquet(sink).drop("_batch_id"), ("day",), ("station_id",))
+    day = F.date_trunc("day", "tap_timestamp_utc").alias("period_start")
+    exact = (spark.read.schema(S.BRONZE_SCHEMA).parquet(landing).groupBy(day, "station_id")
+             .agg(F.countDistinct("card_token").alias("riders")))
+    near = F.abs(F.col("unique_riders_approx") - F.col("riders")) <= F.greatest(F.lit(1.0), F.col("riders") * 0.05)
+    return (got.select("period_start", F.col("slice_value").cast("int").alias("station_id"), "taps", "unique_riders_approx")
+            .join(exact, ["period_start", "station_id"])
+            .select("period_start", "station_id", "taps", "riders", near.alias("within_bound")))
+
+
+@register("riders_any_grain", compose("silver", """
+SELECT g.grain, date_trunc(g.grain, tap_hour_utc) AS period_start, s.slice,
+       CASE s.slice WHEN 'station_id' THEN CAST(station_id AS VARCHAR) WHEN 'line_id' THEN CAST(line_id AS VARCHAR)
+                    WHEN 'zone' THEN CAST(zone AS VARCHAR) ELSE 'all' END AS slice_value,
+       COUNT(*) AS taps, COUNT(DISTINCT card_token) AS riders, true AS within_bound
+FROM silver, (VALUES ('hour'), ('day'), ('week'), ('month'), ('quarter')) g(grain),
+     (VALUES ('station_id'), ('line_id'), ('zone'), ('all')) s(slice) GROUP BY ALL"""), "A8 A17 A18")
+def q_riders_any_grain(spark, sf_dir):
+    """Riders from hour to quarter for station, line, zone and all, from stored
+    sketches alone; exact counts beside them check the 5 % bound."""
+    s = silver_of(spark, sf_dir)
+    path = BR.write_table(gold.slice_sketches(s), scratch_path(spark, "rider-sketches"))
+    got = gold.riders_at_any_grain(spark.read.parquet(path))
+    cells = F.explode(F.array(*[F.struct(
+        F.lit(g).alias("grain"), F.date_trunc(g, "tap_hour_utc").alias("period_start"), F.lit(c or "all").alias("slice"),
+        (F.col(c).cast("string") if c else F.lit("all")).alias("slice_value"))
+        for g in ("hour", "day", "week", "month", "quarter") for c in gold.SLICES]))
+    keys = ["grain", "period_start", "slice", "slice_value"]
+    exact = (s.select(cells.alias("_c"), "card_token").select("_c.*", "card_token").groupBy(*keys)
+             .agg(F.countDistinct("card_token").alias("riders")))
+    near = F.abs(F.col("unique_riders_approx") - F.col("riders")) <= F.greatest(F.lit(1.0), F.col("riders") * 0.05)
+    return got.join(exact, keys).select(*keys, "taps", "riders", near.alias("within_bound"))

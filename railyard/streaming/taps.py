@@ -255,6 +255,21 @@ def latest_windows(spark: SparkSession, sink: str, keys=("tap_hour_utc", "statio
             .drop("_rn", "_batch_id"))
 
 
+def stream_sketches(spark: SparkSession, landing: str, sketch, sink: str | None = None,
+                    files_per_trigger: int | None = 4) -> tuple[str, object]:
+    """Mergeable sketches of a stream (T3, T9): ``sketch`` turns a micro-batch
+    into one row per group, and each batch writes its own ``_batch_id`` folder, so a
+    replay overwrites itself.  Readers unite the rows of a group; the sink grows
+    with groups and batches, not with taps, and no state is kept."""
+    sink = sink or scratch_path(spark, "sketches")
+
+    def write(batch: DataFrame, batch_id: int):
+        sketch(batch).write.mode("overwrite").parquet(f"{sink}/_batch_id={batch_id}")
+
+    q = _run(read_stream(spark, landing, files_per_trigger).writeStream.foreachBatch(write), sink + "-ckpt")
+    return sink, q
+
+
 def stream_quality_gate(spark: SparkSession, landing: str, stations: DataFrame, sink: str | None = None,
                         files_per_trigger: int | None = 4) -> tuple[str, str, object]:
     """One ``foreachBatch``: rows passing the gate to one sink, failing rows
