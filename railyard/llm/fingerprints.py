@@ -115,20 +115,38 @@ def rank_limit(rank: np.ndarray) -> int:
     return CLASSES - CLASSES // 8
 
 
-def digest(raw: bytes, rank: np.ndarray) -> np.ndarray:
-    """Chain of filters, one row of bytes each; no row for an empty text."""
+def window_hashes(raw: bytes, rank: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Start positions of the features of a text and their hashes."""
+    x, places, hashes = np.frombuffer(raw, np.uint8), [], []
+    for at in range(0, max(1, len(x) - WINDOW + 1), BLOCK_BYTES):
+        found = features(x[at:at + BLOCK_BYTES + WINDOW - 1], rank) + at
+        places.append(found)
+        hashes += [hashlib.sha1(raw[p:p + WINDOW]).digest() for p in found.tolist()]
+    return np.concatenate(places), hashes
+
+
+def changed_hashes(raw: bytes, same: int, before: tuple[np.ndarray, list[bytes]], rank: np.ndarray
+                   ) -> tuple[np.ndarray, list[bytes]]:
+    """``window_hashes`` of ``raw``, whose first ``same`` bytes it shares with a
+    text that has ``before``: a window is chosen by the windows less than
+    ``WINDOW`` before and after it, so only those near the change are looked at."""
+    if len(raw) > BLOCK_BYTES or same < 4 * WINDOW or len(raw) - same < WINDOW:
+        return window_hashes(raw, rank)
+    first = same - 2 * WINDOW + 2  # the first window that a changed byte can sway
+    begin = first - WINDOW + 1
+    kept = int(np.searchsorted(before[0], first))
+    found = features(np.frombuffer(raw, np.uint8)[begin:], rank) + begin
+    found = found[found >= first]
+    return (np.concatenate([before[0][:kept], found]),
+            before[1][:kept] + [hashlib.sha1(raw[p:p + WINDOW]).digest() for p in found.tolist()])
+
+
+def filters(raw: bytes, hashes: list[bytes]) -> np.ndarray:
+    """Chain of filters of a text with these features, one row of bytes each."""
     if not raw:
         return np.zeros((0, BITS // 8), np.uint8)
-    x = np.frombuffer(raw, np.uint8)
-    if len(x) < WINDOW:
-        found = {hashlib.sha1(raw).digest(): None}
-    else:
-        found = {}
-        for at in range(0, max(1, len(x) - WINDOW + 1), BLOCK_BYTES):
-            for p in features(x[at:at + BLOCK_BYTES + WINDOW - 1], rank).tolist():
-                found.setdefault(hashlib.sha1(raw[at + p:at + p + WINDOW]).digest())
-        if not found:  # nothing but dull windows
-            found = {hashlib.sha1(raw).digest(): None}
+    # a text of nothing but dull windows is one feature
+    found = dict.fromkeys(hashes) if len(raw) >= WINDOW and hashes else {hashlib.sha1(raw).digest(): None}
     hashes = np.frombuffer(b"".join(found), ">u4").reshape(-1, 5)
     places = (hashes % BITS).astype(np.int64)
     chain = np.arange(len(places)) // PER_FILTER
@@ -137,6 +155,11 @@ def digest(raw: bytes, rank: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1)
 
 
+def digest(raw: bytes, rank: np.ndarray) -> np.ndarray:
+    """Chain of filters; no row for an empty text."""
+    return filters(raw, window_hashes(raw, rank)[1] if len(raw) >= WINDOW else [])
+
+
 _POP = np.array([bin(i).count("1") for i in range(256)], np.int64)
 
 
@@ -200,12 +223,28 @@ def fingerprint(docs: DataFrame, rank: np.ndarray, text_col: str = "text") -> Da
     return docs.select(*rest, text_col).mapInArrow(run, ", ".join(filter(None, [kept, "fingerprint string"])))
 
 
-def _row(i, text: str, own: np.ndarray, nxt: str, other_own: np.ndarray, rank: np.ndarray) -> tuple:
-    """Result of a document, given the next one and both digests."""
+class _Doc:
+    """A text with its features and digest."""
+    __slots__ = ("id", "text", "raw", "seen", "own")
+
+    def __init__(self, i, text: str, rank: np.ndarray):
+        self.id, self.text, self.raw = i, text, text.encode()
+        long = len(self.raw) >= WINDOW
+        self.seen = window_hashes(self.raw, rank) if long else (np.zeros(0, np.int64), [])
+        self.own = filters(self.raw, self.seen[1])
+
+
+def _row(doc: _Doc, nxt: _Doc, rank: np.ndarray) -> tuple:
+    """Result of a document, given the next one."""
+    i, text, own, other_own = doc.id, doc.text, doc.own, nxt.own
     k = len(text)
     cut = k // 3
-    edited = (text[:k - cut] + nxt[:cut]).encode()
-    other = digest(edited, rank)
+    same = text[:k - cut].encode()
+    edited = same + nxt.text[:cut].encode()
+    if len(doc.raw) <= BLOCK_BYTES and len(edited) >= WINDOW:
+        other = filters(edited, changed_hashes(edited, len(same), doc.seen, rank)[1])
+    else:
+        other = digest(edited, rank)
     return (i, k, hashlib.sha256(edited).hexdigest(), text_of(own), text_of(other), likeness(own, other),
             likeness(own, other_own))
 
@@ -230,17 +269,17 @@ def _compare(rank: np.ndarray):
         for b in batches:
             kind, out = b.schema.field(0).type, []
             for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = digest(text.encode(), rank)
+                doc = _Doc(i, text, rank)
                 if last is not None:
-                    out.append((*_row(*last, text, own, rank), part, False, None, head))
+                    out.append((*_row(last, doc, rank), part, False, None, head))
                     head = None
                 else:
                     head = text
-                last = (i, text, own)
+                last = doc
             if out:
                 yield _batch(out, kind, more)
         if last is not None:
-            yield _batch([(last[0], *[None] * 6, part, True, last[1], head)], kind, more)
+            yield _batch([(last.id, *[None] * 6, part, True, last.text, head)], kind, more)
     return run
 
 
@@ -248,7 +287,7 @@ def _finish(rank: np.ndarray):
     """Open rows (id, text, text of the next document) to results."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [_row(i, text, digest(text.encode(), rank), nxt, digest(nxt.encode(), rank), rank)
+            rows = [_row(_Doc(i, text, rank), _Doc(None, nxt, rank), rank)
                     for i, text, nxt in zip(*(c.to_pylist() for c in b.columns))]
             if rows:
                 yield _batch(rows, b.schema.field(0).type, [])

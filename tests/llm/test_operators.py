@@ -429,6 +429,22 @@ def test_entropy_classes_equal_counting():
         assert got[i] == (fingerprints._MOST - total) * (fingerprints.CLASSES - 1) // fingerprints._MOST
 
 
+def test_features_near_a_change_equal_all_features():
+    rnd = random.Random(12)
+    words = ["".join(rnd.choice("abcdefghijklmnop é") for _ in range(rnd.randrange(2, 9))) for _ in range(300)]
+    rank = fingerprints.ranks(np.random.default_rng(3).integers(0, 1000, fingerprints.CLASSES))
+    for _ in range(120):
+        text, nxt = (" ".join(rnd.choices(words, k=rnd.randrange(5, 400))) for _ in range(2))
+        if rnd.random() < 0.2:
+            text = text[:40] * 30
+        cut = len(text) // 3
+        same = text[:len(text) - cut].encode()
+        edited = same + nxt[:cut].encode()
+        got = fingerprints.changed_hashes(edited, len(same), fingerprints.window_hashes(text.encode(), rank), rank)
+        want = fingerprints.window_hashes(edited, rank)
+        assert got[0].tolist() == want[0].tolist() and got[1] == want[1]
+
+
 @pytest.fixture
 def many_ranges(spark):
     key = "spark.sql.adaptive.coalescePartitions.enabled"
