@@ -39,7 +39,8 @@ from railyard.llm.staging import reach
 
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>"
-    r"""|<([a-zA-Z][^\s/>]*+)((?:"[^"]*+"|'[^']*+'|[^'">])*+)>""", re.S)
+    r"""|<([a-zA-Z][^\s/>]*+)((?:"[^"]*+"|'[^']*+'|[^'">])*+)>"""
+    r"|<([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)  # a tag whose quotes do not close ends at the next >
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:@][-\w:.]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""")
 _PART = re.compile(r"[a-z0-9]+")
 
@@ -93,6 +94,36 @@ def _names_itself(tag: str, attributes: str) -> tuple[bool, bool, bool]:
     return sure, named, whole
 
 
+class _Open:
+    """The open elements, the innermost last, and where the elements of each
+    name and the blocks among them stand, so no tag needs a walk over them."""
+
+    def __init__(self):
+        self.nodes, self.names, self.blocks = [0], ["#"], [0]
+        self.where: dict[str, list[int]] = {}
+
+    def push(self, node: int, name: str) -> None:
+        if name not in _INLINE:
+            self.blocks.append(len(self.nodes))
+        self.where.setdefault(name, []).append(len(self.nodes))
+        self.nodes.append(node)
+        self.names.append(name)
+
+    def last(self, name: str) -> int:
+        """Place of the innermost open element of a name, 0 if there is none."""
+        held = self.where.get(name)
+        return held[-1] if held else 0
+
+    def cut(self, place: int) -> None:
+        """Close the element at ``place`` and all inside it."""
+        while len(self.nodes) > place:
+            name = self.names.pop()
+            self.nodes.pop()
+            self.where[name].pop()
+            if name not in _INLINE:
+                self.blocks.pop()
+
+
 class Page:
     """Tree of a page: node 0 is the document; parents come before children."""
 
@@ -105,27 +136,30 @@ class Page:
 
     def _read(self, source: str) -> None:
         tag, parent, marked, texts = self.tag, self.parent, self.marked, self.texts
-        stack, at, end = [0], 0, len(source)
+        stack, at, end = _Open(), 0, len(source)
+        nodes, no_more = stack.nodes, source.rfind(">")
         while at < end:
-            m = _TOKEN.search(source, at)
+            # behind the last > there are no tags, and a comment that opens there never closes
+            m = _TOKEN.search(source, at) if at <= no_more else None
             if m is None:
-                texts.append((stack[-1], source[at:]))
+                rest = source[at:]
+                texts.append((nodes[-1], rest[:rest.index("<!--")] if "<!--" in rest else rest))
                 break
             if m.start() > at:
-                texts.append((stack[-1], source[at:m.start()]))
+                texts.append((nodes[-1], source[at:m.start()]))
             at = m.end()
-            if m[2]:
-                name = m[2].lower()
+            if m[2] or m[4]:
+                name, attributes = (m[2] or m[4]).lower(), m[3] if m[2] else m[5]
                 if name not in _INLINE:
-                    texts.append((stack[-1], " "))
+                    texts.append((nodes[-1], " "))
                     if name not in _VOID:
                         self._close_paragraph(stack)
                     if name in _ENDS:
                         self._close(stack, *_ENDS[name])
                 tag.append(name)
-                parent.append(stack[-1])
-                sure, named, whole = _names_itself(name, m[3]) if m[3] else (False, False, False)
-                sure = sure or name in _DROP or name == "header" and not any(tag[k] in _BOUND for k in stack)
+                parent.append(nodes[-1])
+                sure, named, whole = _names_itself(name, attributes) if attributes else (False, False, False)
+                sure = sure or name in _DROP or name == "header" and not any(stack.last(b) for b in _BOUND)
                 marked.append(sure or named)
                 node = len(tag) - 1
                 if named and not sure:
@@ -137,37 +171,27 @@ class Page:
                     if stop is None:
                         break
                     at = stop.start()
-                    stack.append(node)
-                elif name not in _VOID and not m[3].endswith("/"):
-                    stack.append(node)
+                    stack.push(node, name)
+                elif name not in _VOID and not attributes.endswith("/"):
+                    stack.push(node, name)
             elif m[1]:
                 name = m[1].lower()
                 if name not in _INLINE:
-                    texts.append((stack[-1], " "))
-                for k in range(len(stack) - 1, 0, -1):
-                    if tag[stack[k]] == name:
-                        del stack[k:]
-                        break
-                    if name in _INLINE and tag[stack[k]] not in _INLINE:
-                        break  # an inline end tag does not close a block
-
-    def _close_paragraph(self, stack: list[int]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            name = self.tag[stack[k]]
-            if name == "p":
-                del stack[k:]
-                return
-            if name not in _INLINE:
-                return
+                    texts.append((nodes[-1], " "))
+                place = stack.last(name)
+                # an inline end tag does not close a block
+                if place and (name not in _INLINE or place > stack.blocks[-1]):
+                    stack.cut(place)
+
+    def _close_paragraph(self, stack: _Open) -> None:
+        """A block ends the paragraph that is the innermost open block."""
+        if stack.names[stack.blocks[-1]] == "p":
+            stack.cut(stack.blocks[-1])
 
-    def _close(self, stack: list[int], names: set[str], stops: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            name = self.tag[stack[k]]
-            if name in names:
-                del stack[k:]
-                return
-            if name in stops:
-                return
+    def _close(self, stack: _Open, names: set[str], stops: set[str]) -> None:
+        place = max(map(stack.last, names))
+        if place > max(map(stack.last, stops)):
+            stack.cut(place)
 
     def main_text(self) -> str:
         text = self._main_text()
@@ -179,10 +203,12 @@ class Page:
     def _main_text(self) -> str:
         tag, parent, n = self.tag, self.parent, len(self.tag)
         # names are no reason to drop what holds the article or its heading
+        holds = [False] * n
         for k in range(1, n):
             if tag[k] in ("article", "main", "h1", "body"):
                 up = k if tag[k] != "h1" else parent[k]
-                while up > 0:
+                while up > 0 and not holds[up]:
+                    holds[up] = True
                     if tag[up] not in _DROP or tag[up] in _WRAPS:
                         self.marked[up] = False
                     up = parent[up]
@@ -273,8 +299,8 @@ class Page:
         if len(held) == 1:
             return {held[0]}
         least = min(density[k] for k in path)
-        same = {k for step, up in zip(path, path[1:]) for k in range(len(tag))
-                if parent[k] == up and tag[k] == tag[step] and not out[k] and density[k] >= least > 0}
+        below = {up: tag[step] for step, up in zip(path, path[1:])}  # the tag that the path takes from each node on
+        same = {k for k in range(1, len(tag)) if below.get(parent[k]) == tag[k] and not out[k] and density[k] >= least > 0}
         return {centre} | same
 
 

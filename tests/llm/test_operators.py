@@ -331,6 +331,18 @@ def test_html_text_keeps_named_sections_of_the_article():
         assert html_text.main_text(page.format(part)) == " ".join((whole + " " + text).split())
 
 
+@pytest.mark.parametrize("piece", ["<div>{i}</p>", "<b><div>x</b></i></div>", "<li><div>{i}</span>", "<h1>t</h1><div>",
+                                   "<a href='x", "<td><td></tr><i>", "<header><p>y<div>", "</div><p>z", '<a "><p>'])
+def test_html_text_takes_linear_time(piece):
+    """A megabyte of nested, stray and broken tags."""
+    import time
+    page = "<body><article><p>" + "Some text of the article. " * 40 + "</p>"
+    page += "".join(piece.format(i=i) for i in range(1_000_000 // len(piece)))
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 30
+
+
 def test_html_text_over_pages(spark):
     import html
     df = spark.read.parquet(f"{SMOKE}/pages.parquet").withColumn("text", F.lit("clash"))
