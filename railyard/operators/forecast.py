@@ -8,7 +8,7 @@ R2 routes invalid requests to a reject frame with reasons.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from railyard import constants as C
@@ -112,3 +112,60 @@ def forecast_with_drivers(trailing: DataFrame, hits: DataFrame) -> DataFrame:
                     X.r6(pred).alias("predicted_riders"),
                     F.struct(X.r6("baseline_riders").alias("baseline"),
                              X.r6("_m").alias("event_uplift")).alias("drivers"))
+
+
+# --- rolling-origin backtest (R3, R4, M11) ----------------------------------------------
+#: Weeks of the seasonal mean, months of residuals behind an interval, its share of the days.
+SEASON_WEEKS, RESIDUAL_MONTHS, LEAST_WEEKS, LEAST_RESIDUALS = 8, 12, 4, 60
+
+
+def seasonal_forecast(daily: DataFrame, value: str = "taps", weeks: int = SEASON_WEEKS) -> DataFrame:
+    """(station_id, service_date, actual, forecast): the mean of the same weekday
+    in the ``weeks`` weeks before, known before the day begins.  Days without a
+    row count as zero between a station's first and last day; a group of the
+    window holds one row per week."""
+    span = daily.groupBy("station_id").agg(F.min("service_date").alias("_a"), F.max("service_date").alias("_b"))
+    days = span.select("station_id", F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 DAY"))).alias("service_date"))
+    dense = (days.join(daily.select("station_id", "service_date", F.col(value).alias("_v")),
+                       ["station_id", "service_date"], "left")
+             .select("station_id", "service_date", F.coalesce("_v", F.lit(0)).cast("double").alias("actual")))
+    w = (Window.partitionBy("station_id", F.dayofweek("service_date")).orderBy(F.unix_date("service_date"))
+         .rangeBetween(-7 * weeks, -1))
+    return (dense.withColumn("forecast", F.avg("actual").over(w)).withColumn("_n", F.count("actual").over(w))
+            .where(F.col("_n") >= LEAST_WEEKS).drop("_n"))
+
+
+def backtest(daily: DataFrame, value: str = "taps", share: float = 0.8, months: int = RESIDUAL_MONTHS) -> DataFrame:
+    """Forecasts with intervals as they would have been made (rolling origin):
+    the bounds of a month are the forecast plus quantiles of the station's
+    residuals in the ``months`` months before it.  Every residual is dealt to the
+    months that may use it, so the quantiles are one grouped aggregate over
+    groups of at most a year of days."""
+    f = seasonal_forecast(daily, value).withColumn("month", F.trunc("service_date", "month"))
+    residual = F.col("actual") - F.col("forecast")
+    later = F.explode(F.sequence(F.add_months("month", 1), F.add_months("month", months), F.expr("INTERVAL 1 MONTH")))
+    tail = (1 - share) / 2
+    bounds = (f.select("station_id", later.alias("month"), residual.alias("_r")).groupBy("station_id", "month")
+              .agg(F.percentile("_r", F.array(F.lit(tail), F.lit(1 - tail))).alias("_q"), F.count("*").alias("_n"))
+              .where(F.col("_n") >= LEAST_RESIDUALS))
+    return f.join(bounds, ["station_id", "month"]).select(
+        "station_id", "service_date", "month", "actual", "forecast",
+        (F.col("forecast") + F.col("_q")[0]).alias("lower"), (F.col("forecast") + F.col("_q")[1]).alias("upper"))
+
+
+def backtest_summary(tested: DataFrame) -> DataFrame:
+    """Per station: days, MAPE over days with traffic (R3), bias and the share of days inside the interval."""
+    a, p = F.col("actual"), F.col("forecast")
+    inside = (a >= F.col("lower")) & (a <= F.col("upper"))
+    return tested.groupBy("station_id").agg(
+        F.count("*").alias("days"), X.r6(F.avg(F.abs(a - p) / F.nullif(a, F.lit(0.0))) * 100).alias("mape_pct"),
+        X.r6(F.avg(p - a)).alias("bias"), X.r6(F.avg(inside.cast("double"))).alias("covered"))
+
+
+def interval_variance(tested: DataFrame) -> DataFrame:
+    """Actual against forecast with its interval."""
+    v = F.col("actual") - F.col("forecast")
+    return tested.select("station_id", "service_date", "actual", X.r6("forecast").alias("forecast"),
+                         X.r6("lower").alias("lower"), X.r6("upper").alias("upper"), X.r6(v).alias("variance"),
+                         X.r6(X.safe_div(v, "forecast") * 100).alias("variance_pct"),
+                         ((F.col("actual") >= F.col("lower")) & (F.col("actual") <= F.col("upper"))).alias("inside"))

@@ -7,7 +7,7 @@ station dimension; the row filter is a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard import constants as C
@@ -60,3 +60,38 @@ def mask(col: str, is_member: Column, salt: str) -> Column:
     salt is a secret of the deployment (``spark.railyard.pii.salt``)."""
     return F.when(is_member, F.col(col).cast("string")).otherwise(
         F.sha2(F.concat(F.lit(salt), F.col(col).cast("string")), 256))
+
+
+# --- governed SQL (S19, G1, G3) -------------------------------------------------------
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def register_functions(spark: SparkSession, access: DataFrame, salt: str, as_user: str | None = None,
+                       clear_role: str = "executive", prefix: str = "ry_") -> None:
+    """SQL functions that views use to filter rows and mask columns:
+    ``<prefix>user()`` (the session's ``current_user()``, or a user that a service
+    acts for), ``<prefix>may_see(station)`` and ``<prefix>masked(value)``, which
+    shows the value to ``clear_role`` and a salted digest to all others.  They
+    are inlined into plans, so the filter is a semi join on the access bridge."""
+    access.createOrReplaceTempView(f"{prefix}user_access")
+    user = "current_user()" if as_user is None else _text(as_user)
+    mine = f"{prefix}user_access a WHERE a.user_principal_name = {user}"
+
+    def define(signature: str, kind: str, body: str) -> None:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{signature} RETURNS {kind} RETURN {body}")
+
+    define("user()", "STRING", user)
+    define("may_see(station INT)", "BOOLEAN", f"EXISTS (SELECT 1 FROM {mine} AND a.station_id = station)")
+    define("masked(value STRING)", "STRING",
+           f"CASE WHEN (SELECT count(*) FROM {mine} AND a.role = {_text(clear_role)}) > 0 THEN value "
+           f"ELSE sha2(concat({_text(salt)}, value), 256) END")
+
+
+def governed_view(spark: SparkSession, name: str, df: DataFrame, masked=(), prefix: str = "ry_") -> None:
+    """A view of ``df`` that shows the user's stations only, ``masked`` columns
+    through the mask."""
+    df.createOrReplaceTempView(f"{prefix}all_{name}")
+    cols = ", ".join(f"{prefix}masked(CAST(`{c}` AS STRING)) AS `{c}`" if c in masked else f"`{c}`" for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {prefix}{name} AS SELECT {cols} FROM {prefix}all_{name} "
+              f"WHERE {prefix}may_see(station_id)")

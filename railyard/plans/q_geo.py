@@ -354,3 +354,59 @@ def q_dim_event(spark, sf_dir):
     return (dim.join(taps, "event_id", "left")
             .select("event_id", "venue_name", "station_id", "expected_attendance",
                     F.coalesce("event_taps", F.lit(0)).alias("event_taps")))
+
+
+_cte("daily_taps", (), """
+  SELECT c_nationkey AS station_id, CAST(o_orderdate AS DATE) AS service_date, COUNT(*) AS taps
+  FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""")
+_cte("backtested", ("daily_taps",), f"""
+  SELECT f.*, forecast + q[1] AS lower, forecast + q[2] AS upper FROM (
+    SELECT *, date_trunc('month', service_date) AS month FROM (
+      SELECT station_id, service_date, actual, AVG(actual) OVER w AS forecast, COUNT(*) OVER w AS n FROM (
+        SELECT d.station_id, d.service_date, CAST(coalesce(taps, 0) AS DOUBLE) AS actual,
+               CAST(d.service_date - DATE '1970-01-01' AS INTEGER) AS e
+        FROM (SELECT station_id, CAST(unnest(generate_series(CAST(MIN(service_date) AS TIMESTAMP),
+                CAST(MAX(service_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS service_date
+              FROM daily_taps GROUP BY station_id) d
+        LEFT JOIN daily_taps USING (station_id, service_date))
+      WINDOW w AS (PARTITION BY station_id, e % 7 ORDER BY e RANGE BETWEEN {7 * R.SEASON_WEEKS} PRECEDING AND 1 PRECEDING))
+    WHERE n >= {R.LEAST_WEEKS}) f
+  JOIN (SELECT station_id, month, quantile_cont(r, [0.1, 0.9]) AS q FROM (
+          SELECT station_id, actual - forecast AS r,
+                 unnest([date_trunc('month', service_date) + to_months(i) FOR i IN range(1, {R.RESIDUAL_MONTHS + 1})]) AS month
+          FROM (SELECT station_id, service_date, actual, AVG(actual) OVER w AS forecast, COUNT(*) OVER w AS n FROM (
+            SELECT d.station_id, d.service_date, CAST(coalesce(taps, 0) AS DOUBLE) AS actual,
+                   CAST(d.service_date - DATE '1970-01-01' AS INTEGER) AS e
+            FROM (SELECT station_id, CAST(unnest(generate_series(CAST(MIN(service_date) AS TIMESTAMP),
+                    CAST(MAX(service_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS service_date
+                  FROM daily_taps GROUP BY station_id) d
+            LEFT JOIN daily_taps USING (station_id, service_date))
+          WINDOW w AS (PARTITION BY station_id, e % 7 ORDER BY e RANGE BETWEEN {7 * R.SEASON_WEEKS} PRECEDING AND 1 PRECEDING))
+          WHERE n >= {R.LEAST_WEEKS})
+        GROUP BY 1, 2 HAVING COUNT(*) >= {R.LEAST_RESIDUALS}) b
+  ON b.station_id = f.station_id AND b.month = f.month""")
+
+
+def _daily_taps(spark, sf_dir):
+    return (B.daily_orders(spark, sf_dir).groupBy("station_id", "service_date")
+            .agg(F.count(F.lit(1)).alias("taps")))
+
+
+@register("forecast_backtest", compose("backtested", """
+SELECT station_id, COUNT(*) AS days, ROUND(AVG(abs(actual - forecast) / nullif(actual, 0)) * 100, 6) AS mape_pct,
+       ROUND(AVG(forecast - actual), 6) AS bias,
+       ROUND(AVG(CASE WHEN actual >= lower AND actual <= upper THEN 1.0 ELSE 0.0 END), 6) AS covered
+FROM backtested GROUP BY 1"""), "R3 R4")
+def q_forecast_backtest(spark, sf_dir):
+    """Rolling-origin error and coverage of the seasonal forecast per station."""
+    return R.backtest_summary(R.backtest(_daily_taps(spark, sf_dir)))
+
+
+@register("forecast_interval_variance", compose("backtested", """
+SELECT station_id, service_date, actual, ROUND(forecast, 6) AS forecast, ROUND(lower, 6) AS lower,
+       ROUND(upper, 6) AS upper, ROUND(actual - forecast, 6) + 0.0 AS variance,
+       ROUND((actual - forecast) / nullif(forecast, 0) * 100, 6) + 0.0 AS variance_pct,
+       actual >= lower AND actual <= upper AS inside
+FROM backtested"""), "M11 R4")
+def q_forecast_interval_variance(spark, sf_dir):
+    return R.interval_variance(R.backtest(_daily_taps(spark, sf_dir)))

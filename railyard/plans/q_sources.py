@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from railyard.functions import columns as X
 from railyard.operators import geo, governance as G, silver
+from railyard import constants as C
 from railyard.plans.catalog import register
 from railyard.plans.oracle_sql import compose
 from railyard.plans.q_core import silver_of
@@ -111,3 +112,31 @@ def q_sql_surface(spark, sf_dir):
                    FROM ry_fact_fare_revenue GROUP BY station_id, tap_hour_utc) v
           USING (station_id, tap_hour_utc)
         GROUP BY d.line_name""")
+
+
+@register("governed_sql", compose("silver", "user_access", """
+SELECT u.user_principal_name AS as_user, s.station_id, COUNT(*) AS taps, COUNT(DISTINCT s.card_token) AS riders,
+       MIN(CASE WHEN u.role = 'executive' THEN CAST(s.card_token AS VARCHAR)
+                ELSE sha256('railyard' || CAST(s.card_token AS VARCHAR)) END) AS first_card
+FROM silver s JOIN user_access u USING (station_id) GROUP BY 1, 2"""), "S19 G1 G3 X1")
+def q_governed_sql(spark, sf_dir):
+    """One statement over one view, run for each user: other rows, other cards."""
+    access = G.user_access(B.user_scopes(spark), B.stations(spark, sf_dir))
+    s, out = silver_of(spark, sf_dir), None
+    for user in [scope[0] for scope in C.USER_SCOPES]:
+        G.register_functions(spark, access, "railyard", as_user=user)
+        G.governed_view(spark, "taps", s, masked=("card_token",))
+        seen = spark.sql("""SELECT as_user, station_id, count(*) AS taps, count(DISTINCT card_token) AS riders,
+                                   min(card_token) AS first_card
+                            FROM (SELECT ry_user() AS as_user, station_id, card_token FROM ry_taps)
+                            GROUP BY as_user, station_id""")
+        out = seen if out is None else out.unionByName(seen)
+    return out
+
+
+@register("silver_zordered", compose("silver", """
+SELECT * REPLACE (CAST(fare_amount_cad AS DOUBLE) AS fare_amount_cad) FROM silver"""), "O5")
+def q_silver_zordered(spark, sf_dir):
+    path = BR.write_zordered(silver_of(spark, sf_dir), scratch_path(spark, "silver-zordered"), ("date_key", "station_id"))
+    return spark.read.parquet(path).select(*silver.SILVER_COLUMNS) \
+                .withColumn("fare_amount_cad", F.col("fare_amount_cad").cast("double"))

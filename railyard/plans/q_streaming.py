@@ -337,3 +337,21 @@ def q_riders_any_grain(spark, sf_dir):
              .agg(F.countDistinct("card_token").alias("riders")))
     near = F.abs(F.col("unique_riders_approx") - F.col("riders")) <= F.greatest(F.lit(1.0), F.col("riders") * 0.05)
     return got.join(exact, keys).select(*keys, "taps", "riders", near.alias("within_bound"))
+
+
+@register("stream_gate_metrics", compose("tagged_dq", """
+SELECT COUNT(*) AS rows_in, count_if(len(reasons) = 0)::BIGINT AS kept, count_if(len(reasons) > 0)::BIGINT AS quarantined,
+       count_if(list_contains(reasons, 'bad_tap_type'))::BIGINT AS bad_tap_type,
+       count_if(list_contains(reasons, 'unknown_station'))::BIGINT AS unknown_station,
+       true AS every_batch_adds_up, count_if(len(reasons) = 0)::BIGINT AS written
+FROM tagged_dq"""), "Q15 Q7 T6")
+def q_stream_gate_metrics(spark, sf_dir):
+    """Metrics that the stream's micro-batches reported, added up, beside the rows it wrote."""
+    landing = S.land_by_arrival(B.bronze_taps(spark, sf_dir, with_violations=True))
+    sink, q = S.stream_observed_gate(spark, landing, B.stations(spark, sf_dir))
+    seen = S.observed(q)
+    names = ("rows_in", "kept", "quarantined", "bad_tap_type", "unknown_station")
+    rows = spark.createDataFrame([tuple(m[n] for n in names) for m in seen], ", ".join(f"{n} bigint" for n in names))
+    fits = F.col("rows_in") == F.col("kept") + F.col("quarantined")
+    return rows.agg(*[F.sum(n).alias(n) for n in names], F.bool_and(fits).alias("every_batch_adds_up"),
+                    F.lit(spark.read.parquet(sink).count()).cast("bigint").alias("written"))

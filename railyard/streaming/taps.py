@@ -309,6 +309,70 @@ def stream_upsert(spark: SparkSession, landing: str, stations: DataFrame, table:
     return table, q
 
 
+# --- checks inside a stream (Q7, Q15) ------------------------------------------------
+class Metrics(StreamingQueryListener):
+    """Metrics that ``observe`` took in each micro-batch, per query run."""
+
+    def __init__(self):
+        self.by_run: dict[str, list[dict]] = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        for name, row in (p.observedMetrics or {}).items():
+            self.by_run.setdefault(str(p.runId), []).append({"batch_id": p.batchId, "name": name} | row.asDict())
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def metrics_listener(spark: SparkSession) -> Metrics:
+    """The session's listener, registered once."""
+    key = spark.sparkContext.applicationId
+    if key not in _metrics:
+        _metrics[key] = Metrics()
+        spark.streams.addListener(_metrics[key])
+    return _metrics[key]
+
+
+_metrics: dict[str, Metrics] = {}
+
+
+def observed(query) -> list[dict]:
+    """The metrics of a finished query, one entry per micro-batch that had rows."""
+    spark = query.sparkSession if hasattr(query, "sparkSession") else SparkSession.getActiveSession()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    found = metrics_listener(spark).by_run.get(str(query.runId), [])
+    return sorted((m for m in found if m.get("rows_in")), key=lambda m: m["batch_id"])
+
+
+REASONS = ("tap_id_null", "event_time_null", "bad_tap_type", "unknown_station")
+
+
+def stream_observed_gate(spark: SparkSession, landing: str, stations: DataFrame, sink: str | None = None,
+                         files_per_trigger: int | None = 4) -> tuple[str, object]:
+    """Quality gate of a stream that counts itself: each micro-batch reports
+    rows in, kept and quarantined and the rows of each reason (``observed``), in
+    the pass that writes the kept rows.  A kept row whose fare class is outside
+    the enum ends the query; the batch is not committed, and the same checkpoint
+    goes on with it once the input or the rule is mended."""
+    sink = sink or scratch_path(spark, "observed-gate")
+    metrics_listener(spark)
+    tagged = silver.tag_violations(read_stream(spark, landing, files_per_trigger), stations)
+    ok = F.size("_reasons") == 0
+    tagged = tagged.observe("gate", F.count(F.lit(1)).alias("rows_in"), F.count_if(ok).alias("kept"),
+                            F.count_if(~ok).alias("quarantined"),
+                            *[F.count_if(F.array_contains("_reasons", r)).alias(r) for r in REASONS])
+    kept = silver.fail_on_bad_fare_class(tagged.filter(ok).drop("_reasons"))
+    q = _run(kept.writeStream.format("parquet").option("path", sink).outputMode("append"), sink + "-ckpt")
+    return sink, q
+
+
 # --- JSON wire messages as a stream (S6) -------------------------------------------
 def land_messages(bronze: DataFrame, path: str | None = None) -> str:
     """Land taps as JSON text messages (one per line), as a broker dump or
