@@ -83,6 +83,7 @@ def _tagged_body(src: str) -> str:
   SELECT b.*, s.line_id,
          list_filter([
            CASE WHEN b.tap_id IS NULL THEN 'tap_id_null' END,
+           CASE WHEN b.tap_timestamp_utc IS NULL THEN 'event_time_null' END,
            CASE WHEN NOT coalesce(b.tap_type IN ('TAP_ON', 'TAP_OFF'), false) THEN 'bad_tap_type' END,
            CASE WHEN s.station_id IS NULL THEN 'unknown_station' END], lambda x: x IS NOT NULL) AS reasons
   FROM {src} b LEFT JOIN stations s ON b.station_id = s.station_id"""
@@ -91,6 +92,21 @@ def _tagged_body(src: str) -> str:
 _cte("tagged", ("bronze", "stations"), _tagged_body("bronze"))
 _cte("tagged_dq", ("bronze_dq", "stations"), _tagged_body("bronze_dq"))
 
+_cte("bronze_faulty", ("bronze_dq",), """
+  SELECT * REPLACE (
+    CASE WHEN k <> 93 THEN tap_id END AS tap_id, CASE WHEN k <> 92 THEN card_token END AS card_token,
+    CASE WHEN k <> 87 THEN station_id END AS station_id,
+    CASE WHEN k = 91 THEN -fare_amount_cad - 1 ELSE fare_amount_cad END AS fare_amount_cad,
+    CASE WHEN k <> 90 THEN tap_timestamp_utc END AS tap_timestamp_utc,
+    CASE WHEN k = 88 THEN 'door-' || device_id ELSE device_id END AS device_id,
+    CASE WHEN k = 89 THEN 'version 2' ELSE schema_version END AS schema_version)
+  FROM bronze_dq""")
+_cte("tagged_faulty", ("bronze_faulty", "stations"), _tagged_body("bronze_faulty"))
+_cte("stations_faulty", ("stations",), """
+  SELECT * REPLACE (CASE WHEN station_id = 3 THEN 91.5 ELSE lat END AS lat,
+    CASE WHEN station_id = 4 THEN -200.0 ELSE lon END AS lon, CASE WHEN station_id = 5 THEN 'no id!' ELSE name END AS name)
+  FROM stations""")
+
 _cte("dedup", ("tagged",), f"""
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, ROW_NUMBER() OVER (PARTITION BY tap_id ORDER BY {_DEDUP_ORDER}) AS rn
@@ -116,6 +132,19 @@ _cte("fact_rh", ("silver",), """
   FROM silver
   GROUP BY date_key, tap_hour_utc, station_id, line_id, zone""")
 
+_cte("fact_faulty", ("fact_rh",), """
+  SELECT * REPLACE (
+    CASE WHEN station_id = 6 THEN total_taps + 1 WHEN station_id = 9 THEN -total_taps ELSE total_taps END AS total_taps,
+    CASE WHEN station_id = 8 THEN total_taps + 1 WHEN station_id = 9 THEN -1 ELSE unique_riders END AS unique_riders,
+    CASE WHEN station_id = 9 THEN -tap_on_count - 1 ELSE tap_on_count END AS tap_on_count,
+    CASE WHEN station_id = 9 THEN -tap_off_count - 1 ELSE tap_off_count END AS tap_off_count,
+    CASE WHEN station_id = 9 THEN -total_fare_cad - 1 ELSE total_fare_cad END AS total_fare_cad,
+    CASE WHEN station_id = 9 THEN -1.0 ELSE taps_per_rider END AS taps_per_rider,
+    CASE WHEN station_id <> 10 THEN date_key END AS date_key, CASE WHEN station_id <> 10 THEN line_id END AS line_id,
+    CASE WHEN station_id <> 10 THEN tap_hour_utc END AS tap_hour_utc,
+    CASE WHEN station_id <> 11 THEN station_id END AS station_id)
+  FROM (SELECT * FROM fact_rh UNION ALL SELECT * FROM fact_rh WHERE station_id = 5)""")
+
 _cte("fact_fr", ("silver",), """
   SELECT date_key, tap_hour_utc, station_id, line_id, zone, fare_class,
          ROUND(CAST(SUM(fare_amount_cad) AS DOUBLE), 2) AS gross_fare_revenue_cad,

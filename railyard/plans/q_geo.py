@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from railyard import constants as C
@@ -410,3 +411,21 @@ SELECT station_id, service_date, actual, ROUND(forecast, 6) AS forecast, ROUND(l
 FROM backtested"""), "M11 R4")
 def q_forecast_interval_variance(spark, sf_dir):
     return R.interval_variance(R.backtest(_daily_taps(spark, sf_dir)))
+
+
+@register("calendar_file_events", compose("silver", "calendar_x", """
+SELECT 'event ' || c.event_id AS name, s.station_id, COUNT(*) AS event_taps, COUNT(DISTINCT s.card_token) AS event_riders
+FROM silver s JOIN calendar_x c ON s.station_id = c.ev_station
+ AND s.tap_timestamp_utc >= c.start_ts AND s.tap_timestamp_utc <= c.end_ts
+GROUP BY 1, 2"""), "S15 J6")
+def q_calendar_file_events(spark, sf_dir):
+    """The event calendar from its JSON file (station ids are text there), joined to the taps."""
+    path = scratch_path(spark, "calendar")
+    rows = [(f"event {e}", a, b, [str(i) for i in ids], m) for e, a, b, ids, m in C.EVENT_CALENDAR]
+    made = spark.createDataFrame(rows, RF.CALENDAR_JSON_SCHEMA)
+    made.select(F.to_json(F.collect_list(F.struct(*made.columns)).over(Window.partitionBy())).alias("value")).limit(1) \
+        .write.text(path)
+    calendar = RF.load_calendar(spark, path).withColumn("station_ids", F.col("station_ids").cast("array<int>"))
+    taps = geo.event_interval_join(silver_of(spark, sf_dir), calendar)
+    return (taps.join(calendar.select("event_id", "name"), "event_id")
+            .select("name", "station_id", "event_taps", "event_riders"))

@@ -54,19 +54,22 @@ def _bronze_dq(spark, sf_dir):
     return B.bronze_taps(spark, sf_dir, with_violations=True)
 
 
+def _faulty_fact(spark, sf_dir):
+    return B.faulty_fact(gold.fact_ridership_hourly(silver_of(spark, sf_dir)))
+
+
 # --- Q1 not_null -------------------------------------------------------------------
 _NN_BRONZE = ["tap_id", "card_token", "station_id", "tap_timestamp_utc"]
 _NN_FACT = ["date_key", "tap_hour_utc", "station_id", "line_id"]
 
 
-@register("dq_not_null", compose("bronze_dq", "fact_rh", "\nUNION ALL ".join([
-    rules_sql("bronze_dq", BRONZE, [("not_null", c, f"{c} IS NULL", "error") for c in _NN_BRONZE]),
-    rules_sql("fact_rh", FACT, [("not_null", c, f"{c} IS NULL", "error") for c in _NN_FACT])])), "Q1")
+@register("dq_not_null", compose("bronze_faulty", "fact_faulty", "\nUNION ALL ".join([
+    rules_sql("bronze_faulty", BRONZE, [("not_null", c, f"{c} IS NULL", "error") for c in _NN_BRONZE]),
+    rules_sql("fact_faulty", FACT, [("not_null", c, f"{c} IS NULL", "error") for c in _NN_FACT])])), "Q1")
 def q_dq_not_null(spark, sf_dir):
-    s = silver_of(spark, sf_dir)
     return Q.union_all([
-        Q.run_rules(_bronze_dq(spark, sf_dir), BRONZE, [Q.not_null(c) for c in _NN_BRONZE]),
-        Q.run_rules(gold.fact_ridership_hourly(s), FACT, [Q.not_null(c) for c in _NN_FACT])])
+        Q.run_rules(B.faulty_taps(spark, sf_dir), BRONZE, [Q.not_null(c) for c in _NN_BRONZE]),
+        Q.run_rules(_faulty_fact(spark, sf_dir), FACT, [Q.not_null(c) for c in _NN_FACT])])
 
 
 # --- Q2 unique (bronze warns, silver errors: D19) -----------------------------------
@@ -119,53 +122,51 @@ def q_dq_accepted_values(spark, sf_dir):
 _RANGE_FACT = ["tap_on_count", "tap_off_count", "total_taps", "unique_riders", "total_fare_cad"]
 
 
-@register("dq_range", compose("bronze_dq", "fact_rh", "stations", "\nUNION ALL ".join([
-    rules_sql("bronze_dq", BRONZE, [("between", "fare_amount_cad", "fare_amount_cad < 0", "error")]),
-    rules_sql("fact_rh", FACT, [("between", c, f"{c} < 0", "error") for c in _RANGE_FACT]),
-    rules_sql("stations", STATIONS, [
+@register("dq_range", compose("bronze_faulty", "fact_faulty", "stations_faulty", "\nUNION ALL ".join([
+    rules_sql("bronze_faulty", BRONZE, [("between", "fare_amount_cad", "fare_amount_cad < 0", "error")]),
+    rules_sql("fact_faulty", FACT, [("between", c, f"{c} < 0", "error") for c in _RANGE_FACT]),
+    rules_sql("stations_faulty", STATIONS, [
         ("between", "lat", "NOT coalesce(lat BETWEEN -90 AND 90, true)", "error"),
         ("between", "lon", "NOT coalesce(lon BETWEEN -180 AND 180, true)", "error")])])), "Q5 Q12 Q17")
 def q_dq_range(spark, sf_dir):
-    st = B.stations(spark, sf_dir)
+    st = B.faulty_stations(spark, sf_dir)
     return Q.union_all([
-        Q.run_rules(_bronze_dq(spark, sf_dir), BRONZE, [Q.at_least("fare_amount_cad", 0)]),
-        Q.run_rules(gold.fact_ridership_hourly(silver_of(spark, sf_dir)), FACT, [Q.at_least(c, 0) for c in _RANGE_FACT]),
+        Q.run_rules(B.faulty_taps(spark, sf_dir), BRONZE, [Q.at_least("fare_amount_cad", 0)]),
+        Q.run_rules(_faulty_fact(spark, sf_dir), FACT, [Q.at_least(c, 0) for c in _RANGE_FACT]),
         Q.run_rules(st, STATIONS, [Q.Rule("between", "lat", F.coalesce(~F.col("lat").between(-90, 90), F.lit(False))),
                                    Q.Rule("between", "lon", F.coalesce(~F.col("lon").between(-180, 180), F.lit(False)))])])
 
 
 # --- Q10 composite key ------------------------------------------------------------------------
-@register("dq_composite_key", compose("fact_rh", "\nUNION ALL ".join([
-    unique_sql("fact_rh", FACT, ["station_id", "tap_hour_utc"], "error", "composite_key")])), "Q10 D11")
+@register("dq_composite_key", compose("fact_faulty", "\nUNION ALL ".join([
+    unique_sql("fact_faulty", FACT, ["station_id", "tap_hour_utc"], "error", "composite_key")])), "Q10 D11")
 def q_dq_composite_key(spark, sf_dir):
-    fact = gold.fact_ridership_hourly(silver_of(spark, sf_dir))
-    return Q.unique(fact, FACT, ["station_id", "tap_hour_utc"], "error", "composite_key")
+    return Q.unique(_faulty_fact(spark, sf_dir), FACT, ["station_id", "tap_hour_utc"], "error", "composite_key")
 
 
 # --- Q11 cross-column rules ----------------------------------------------------------------------
-@register("dq_row_rules", compose("fact_rh", rules_sql("fact_rh", FACT, [
+@register("dq_row_rules", compose("fact_faulty", rules_sql("fact_faulty", FACT, [
     ("taps_add_up", "*", "NOT coalesce(total_taps = tap_on_count + tap_off_count, false)", "error"),
     ("riders_le_taps", "*", "NOT coalesce(unique_riders <= total_taps, false)", "error")])), "Q11")
 def q_dq_row_rules(spark, sf_dir):
-    fact = gold.fact_ridership_hourly(silver_of(spark, sf_dir))
-    return Q.run_rules(fact, FACT, [
+    return Q.run_rules(_faulty_fact(spark, sf_dir), FACT, [
         Q.row_rule("taps_add_up", F.col("total_taps") == F.col("tap_on_count") + F.col("tap_off_count")),
         Q.row_rule("riders_le_taps", F.col("unique_riders") <= F.col("total_taps"))])
 
 
 # --- Q12 regex, F21, F22 ---------------------------------------------------------------------------
-@register("dq_regex", compose("bronze_dq", "stations", "\nUNION ALL ".join([
-    rules_sql("bronze_dq", BRONZE, [
+@register("dq_regex", compose("bronze_faulty", "stations_faulty", "\nUNION ALL ".join([
+    rules_sql("bronze_faulty", BRONZE, [
         ("regex", "schema_version", f"NOT coalesce(regexp_full_match(schema_version, '{C.SCHEMA_VERSION_PATTERN[1:-1]}'), true)", "error"),
         ("regex", "device_id", "NOT coalesce(regexp_full_match(device_id, 'reader-[0-9]+-[1-4]'), true)", "warn")]),
-    rules_sql("stations", STATIONS, [
+    rules_sql("stations_faulty", STATIONS, [
         ("id_format", "name", "NOT (regexp_full_match(trim(upper(name)), '[A-Za-z0-9]+') OR contains(trim(upper(name)), '_'))", "error")])])),
     "Q12 F21 F22 D24")
 def q_dq_regex(spark, sf_dir):
     from railyard.functions import columns as X
-    st = B.stations(spark, sf_dir)
+    st = B.faulty_stations(spark, sf_dir)
     return Q.union_all([
-        Q.run_rules(_bronze_dq(spark, sf_dir), BRONZE, [
+        Q.run_rules(B.faulty_taps(spark, sf_dir), BRONZE, [
             Q.matches("schema_version", C.SCHEMA_VERSION_PATTERN),
             Q.matches("device_id", "^reader-[0-9]+-[1-4]$", "warn")]),
         Q.run_rules(st, STATIONS, [Q.Rule("id_format", "name", ~X.id_is_valid(X.normalise_id("name")))])])
@@ -252,3 +253,26 @@ def q_dq_contract(spark, sf_dir):
         F.when(F.col("k") != 90, F.col("tap_timestamp_utc")).alias("tap_timestamp_utc"), "device_id",
         "schema_version", "ingest_timestamp_utc")
     return CT.violations(faulty, CT.BRONZE_TAPS, "bronze.afc_taps")
+
+
+@register("quarantine_reasons", compose("tagged_faulty", """
+SELECT unnest(reasons) AS reason, COUNT(*) AS rows FROM tagged_faulty GROUP BY 1"""), "Q6 Q8")
+def q_quarantine_reasons(spark, sf_dir):
+    """Rows of each of the four reasons; a row may have several."""
+    t = silver.tag_violations(B.faulty_taps(spark, sf_dir), B.stations(spark, sf_dir))
+    return t.select(F.explode("_reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _gold_contract_sql() -> str:
+    rules = [(f.name, "required", f"{f.name} IS NULL") for f in CT.GOLD_RIDERSHIP_HOURLY if f.required] + [
+        (f.name, "min", f"{f.name} < {f.min}") for f in CT.GOLD_RIDERSHIP_HOURLY if f.min is not None]
+    return "\nUNION ALL ".join(
+        f"SELECT '{FACT}' AS contract, '{c}' AS column_name, '{r}' AS rule, count_if({p})::BIGINT AS failed_rows, "
+        f"COUNT(*) AS total_rows, CASE WHEN count_if({p}) > 0 THEN 'fail' ELSE 'pass' END AS status FROM fact_faulty"
+        for c, r, p in rules)
+
+
+@register("dq_gold_contract", compose("fact_faulty", _gold_contract_sql()), "Q9 Q1 Q5")
+def q_dq_gold_contract(spark, sf_dir):
+    """The hourly fact's contract over a fact with planted faults."""
+    return CT.violations(_faulty_fact(spark, sf_dir), CT.GOLD_RIDERSHIP_HOURLY, FACT)

@@ -15,6 +15,18 @@ from railyard.sources import binding as B
 _MONEY = "ROUND(CAST(SUM(CAST({c} AS DECIMAL(18,2))) AS DOUBLE), 2)"
 
 
+@register("slice_zone", compose("fact_fr", f"""
+SELECT zone, fare_class, CAST(GROUPING(zone, fare_class) AS INTEGER) AS grouping_level,
+       {_MONEY.format(c='gross_fare_revenue_cad')} AS fare_revenue, CAST(SUM(paid_tap_count) AS BIGINT) AS paid_taps
+FROM (SELECT * REPLACE (CAST(zone * 10 + station_id % 2 AS INTEGER) AS zone) FROM fact_fr)
+GROUP BY ROLLUP (zone, fare_class)"""), "A18")
+def q_slice_zone(spark, sf_dir):
+    """Zone slice, two zones on every line."""
+    _, v = facts_of(spark, sf_dir)
+    return S.slice_rollup(v.withColumn("zone", (F.col("zone") * 10 + F.col("station_id") % 2).cast("int")),
+                          ("zone", "fare_class"))
+
+
 @register("slice_rollup", compose("fact_fr", f"""
 SELECT line_id, station_id, fare_class, CAST(GROUPING(line_id, station_id, fare_class) AS INTEGER) AS grouping_level,
        {_MONEY.format(c='gross_fare_revenue_cad')} AS fare_revenue, CAST(SUM(paid_tap_count) AS BIGINT) AS paid_taps
@@ -119,6 +131,37 @@ def q_prior_period(spark, sf_dir):
     return S.prior_period(S.daily_totals(B.daily_orders(spark, sf_dir)), "revenue")
 
 
+@register("prior_period_gap", compose("daily_totals", """
+SELECT month_start, ROUND(CAST(value AS DOUBLE), 2) AS value, ROUND(CAST(prior_value AS DOUBLE), 2) AS prior_value,
+       ROUND(CAST(value - prior_value AS DOUBLE) / NULLIF(prior_value, 0) * 100, 6) AS pct_change
+FROM (SELECT s.month_start, coalesce(m.value, 0) AS value,
+             LAG(coalesce(m.value, 0)) OVER (ORDER BY s.month_start) AS prior_value
+      FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-08-01', INTERVAL 1 MONTH)) AS DATE) AS month_start) s
+      LEFT JOIN (SELECT CAST(date_trunc('month', service_date) AS DATE) AS month_start, SUM(revenue) AS value
+                 FROM daily_totals WHERE date_trunc('month', service_date) NOT IN (DATE '1997-03-01', DATE '1999-11-01')
+                 GROUP BY 1) m USING (month_start))"""), "W6")
+def q_prior_period_gap(spark, sf_dir):
+    """Two months without a row are zero months, not skipped ones."""
+    rows = B.daily_orders(spark, sf_dir).filter(
+        ~F.trunc("service_date", "month").isin(F.lit("1997-03-01").cast("date"), F.lit("1999-11-01").cast("date")))
+    return S.prior_period(S.daily_totals(rows), "revenue")
+
+
+@register("station_volume_bands", compose("fact_rh", """
+SELECT station_id, service_date, daily_taps, CASE WHEN daily_taps >= 50000 THEN 'very_high' WHEN daily_taps >= 20000 THEN 'high'
+       WHEN daily_taps >= 5000 THEN 'medium' WHEN daily_taps >= 500 THEN 'low' ELSE 'very_low' END AS daily_volume_band
+FROM (SELECT station_id, CAST(tap_hour_utc AS DATE) AS service_date,
+             CAST(SUM(total_taps) * [1, 60, 600, 2500, 20000][station_id % 5 + 1] AS BIGINT) AS daily_taps
+      FROM fact_rh GROUP BY station_id, 2)"""), "P7")
+def q_station_volume_bands(spark, sf_dir):
+    """Daily taps of stations scaled up so that all five bands occur."""
+    r, _ = facts_of(spark, sf_dir)
+    scale = F.element_at(F.array(*[F.lit(x) for x in (1, 60, 600, 2500, 20000)]), (F.col("station_id") % 5 + 1).cast("int"))
+    per = r.groupBy("station_id", F.to_date("tap_hour_utc").alias("service_date")).agg(F.sum("total_taps").alias("_t"))
+    per = per.select("station_id", "service_date", (F.col("_t") * scale).cast("bigint").alias("daily_taps"))
+    return per.withColumn("daily_volume_band", X.volume_band("daily_taps"))
+
+
 @register("peak_hour_share", compose("fact_rh", f"""
 SELECT station_id, ROUND(CAST(SUM(CASE WHEN extract(hour FROM tap_hour_utc) IN ({', '.join(map(str, C.PEAK_HOURS))})
                                      THEN total_taps ELSE 0 END) AS DOUBLE) / NULLIF(SUM(total_taps), 0), 6) AS peak_hour_share

@@ -94,6 +94,55 @@ def bronze_taps(spark: SparkSession, sf_dir: str, with_violations: bool = False,
     return taps.select(*cols)
 
 
+def faulty_taps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Taps with planted faults, one kind per value of k: station ids missing
+    (87), odd devices (88), odd schema versions (89), event times missing (90),
+    negative fares (91), cards missing (92), tap ids missing (93), besides the
+    bad tap types (99) and unknown stations (98)."""
+    b = bronze_taps(spark, sf_dir, with_violations=True, with_k=True)
+    k = F.col("k")
+
+    def but(n, column, other=None):
+        return F.when(k == n, F.lit(None) if other is None else other).otherwise(F.col(column)).alias(column)
+
+    return b.select(but(93, "tap_id"), but(92, "card_token"), but(87, "station_id"), "zone", "fare_class",
+                    but(91, "fare_amount_cad", -F.col("fare_amount_cad") - 1).cast("decimal(18,2)").alias("fare_amount_cad"),
+                    "tap_type", but(90, "tap_timestamp_utc"), but(88, "device_id", F.concat(F.lit("door-"), F.col("device_id"))),
+                    but(89, "schema_version", F.lit("version 2")), "ingest_timestamp_utc")
+
+
+def faulty_fact(fact: DataFrame) -> DataFrame:
+    """The hourly fact with faults at a few stations: rows twice (5), totals
+    that do not add up (6), more riders than taps (8), negative counts and
+    fares (9), keys missing (10)."""
+    st = F.col("station_id")
+
+    def at(n, column, other):
+        return F.when(st == n, other).otherwise(F.col(column))
+
+    twice = fact.withColumn("_copies", F.explode(F.when(st == 5, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    change = {"total_taps": F.when(st == 6, F.col("total_taps") + 1).when(st == 9, -F.col("total_taps"))
+              .otherwise(F.col("total_taps")),
+              "unique_riders": F.when(st == 8, F.col("total_taps") + 1).when(st == 9, F.lit(-1)).otherwise(F.col("unique_riders")),
+              "tap_on_count": at(9, "tap_on_count", -F.col("tap_on_count") - 1),
+              "tap_off_count": at(9, "tap_off_count", -F.col("tap_off_count") - 1),
+              "total_fare_cad": at(9, "total_fare_cad", -F.col("total_fare_cad") - 1),
+              "taps_per_rider": at(9, "taps_per_rider", F.lit(-1.0)),
+              "date_key": at(10, "date_key", F.lit(None)), "line_id": at(10, "line_id", F.lit(None)),
+              "tap_hour_utc": at(10, "tap_hour_utc", F.lit(None)),
+              "station_id": F.when(st == 11, F.lit(None)).otherwise(st)}
+    return twice.select(*[(change[c] if c in change else F.col(c)).alias(c) for c in fact.columns])
+
+
+def faulty_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations off the map (3: latitude, 4: longitude) and with a name that is no id (5)."""
+    st = stations(spark, sf_dir)
+    k = F.col("station_id")
+    return (st.withColumn("lat", F.when(k == 3, F.lit(91.5)).otherwise(F.col("lat")))
+            .withColumn("lon", F.when(k == 4, F.lit(-200.0)).otherwise(F.col("lon")))
+            .withColumn("name", F.when(k == 5, F.lit("no id!")).otherwise(F.col("name"))))
+
+
 # --- binding B: daily long history ---------------------------------------------------
 def daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order as a daily 'tap': station = customer nation,

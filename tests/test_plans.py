@@ -16,7 +16,7 @@ SIDE_EFFECT = {"bronze_partition_layout", "network_priors", "schema_evolution",
                "stream_json_ingest", "stream_json_rescue", "stream_late_rows", "upsert_out_of_order",
                "upsert_null_partition", "upsert_new_column", "upsert_widened_column",
                "upsert_text_partition", "upsert_key_index", "reconcile_drift", "stream_arrivals",
-               "stream_lag_sketch", "stream_riders", "stream_gate_metrics", "riders_any_grain", "silver_zordered"}
+               "stream_lag_sketch", "stream_riders", "stream_gate_metrics", "riders_any_grain", "silver_zordered", "calendar_file_events"}
 
 
 def plan_text(df) -> str:
