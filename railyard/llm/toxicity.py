@@ -1,16 +1,19 @@
-"""Toxicity by class-conditional Kneser-Ney bigram models.
-
-One model is counted on toxic and one on ordinary labelled texts.  As in the
-lower orders of Kneser-Ney smoothing, an expression (a word or a bigram)
-counts by its continuations, the distinct words before it, so a passage that
-is copied a thousand times counts once.  A class has its own probability of an
-expression only where the two classes' continuation counts differ by
-``CLEAR`` standard errors; every other expression takes, in both classes, the
-probability of its shared backoff counts: a bigram that of its word, a word
-that of all texts.  What both share cancels, so a text's statistic, the
-difference of the two log-likelihoods per token, is a sum over clear
-expressions.  A logistic curve fitted on labelled texts outside the counted
-sample turns it into a probability.
+"""Toxicity by class-conditional counts with shared backoff: a lexicon of
+log-ratios of continuation counts.
+
+**Not a Kneser-Ney model:** no discount and no P(w | v) is computed; the README
+says with figures what the full models reached.  What is kept of the method: an
+expression (a word or a bigram) counts by its continuations, the distinct words
+before it, so a passage that is copied a thousand times counts once; toxic and
+ordinary labelled texts are counted apart; and rare expressions are smoothed
+through counts that both classes share.  A class has its own probability of an
+expression only where the two classes' continuation counts differ by ``CLEAR``
+standard errors; every other expression takes, in both classes, the probability
+of its shared backoff counts: a bigram that of its word, a word that of all
+texts.  What both share cancels, so a text's statistic, the difference of the
+two log-likelihoods per token, is a sum over clear expressions.  A logistic
+curve fitted on labelled texts outside the counted sample turns it into a
+probability.
 
 The sample is bounded: ``SAMPLE`` texts per class and ``CALIBRATION`` texts of
 either class, taken in the order of a hash of the id.  Counting runs on Spark;
@@ -20,8 +23,8 @@ text is scored whole.
 Defined cases: null, empty and word-less texts have statistic 0 (the score of
 a text without evidence); without labels of both classes every score is the
 share of toxic labels, or 0; repeated rows are scored alike; several labels of
-one id count each; extra
-columns stay, but those with the name of a result column are replaced.
+one id count each, labels without an id none; equal hashes of the id go by id,
+then label; extra columns stay, but those with the name of a result column are replaced.
 """
 
 from __future__ import annotations

@@ -732,11 +732,54 @@ def test_toxicity_on_planted_words(spark):
     assert {r.predicted for r in toxicity.score(docs, none).collect()} == {0}
 
 
+def test_toxicity_ratios_equal_plain_counting(spark):
+    """Continuation counts, clear expressions, their log-ratios and a text's statistic, by hand."""
+    rnd = random.Random(3)
+    rows, labels = [], []
+    for i in range(240):
+        toxic = i % 3 == 0
+        w = [f"w{rnd.randrange(60)}" for _ in range(40)]
+        for _ in range(6 if toxic else 0):
+            w[rnd.randrange(len(w))] = rnd.choice(["bad", "worse"])
+        rows.append((i, " ".join(w)))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic long")
+    model = toxicity.fit(docs, marks)
+    count_on, _ = toxicity._sample(docs, marks, "doc_id", "text", "toxic", 5, toxicity.SAMPLE, toxicity.CALIBRATION)
+    text = dict(rows)
+    triples = {(t, *x) for i, t in count_on for w in [["", ""] + text[i].split()] for x in zip(w, w[1:], w[2:])}
+    pairs = Counter((t, v, w) for t, _, v, w in triples)
+    words = Counter((t, w) for t, _, w in pairs)
+
+    def clear(counts, names):
+        m = [sum(n for (t, *_), n in counts.items() if t == k) for k in (False, True)]
+        out, least = {}, min(m)
+        for x in names:
+            x0, x1 = counts[(False, *x)], counts[(True, *x)]
+            share = (x0 + x1) / sum(m)
+            if abs(x1 / m[1] - x0 / m[0]) >= toxicity.CLEAR * math.sqrt(share * (1 / m[0] + 1 / m[1])):
+                out[x] = math.log((x1 / m[1] * least + toxicity.FLOOR) / (x0 / m[0] * least + toxicity.FLOOR))
+        return out
+
+    of_words = clear(words, {(w,) for _, w in words})
+    of_pairs = clear(pairs, {(v, w) for _, v, w in pairs})
+    assert set(of_words) >= {("bad",), ("worse",)}
+    assert np.allclose(sorted(model.of_words), sorted(of_words.values()))
+    assert np.allclose(sorted(model.of_pairs), sorted(of_pairs.values()))
+    held = spark.sparkContext.broadcast(model)
+    for r in toxicity.statistic(docs.limit(40), held).collect():
+        w = ["", *text[r.doc_id].split()]
+        want = sum(of_pairs.get((a, b), of_words.get((b,), 0.0)) for a, b in zip(w, w[1:])) / (len(w) - 1)
+        assert math.isclose(r.statistic, want, rel_tol=1e-9, abs_tol=1e-12)
+
+
 # --- registered queries against SQL ----------------------------------------------------
 @pytest.mark.parametrize("key", sorted(queries.oracle_sql()))
 def test_matches_sql(spark, key):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMOKE}/documents.parquet')")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMOKE}/{table}.parquet')")
     res = con.execute(queries.oracle_sql()[key])
     names = [d[0] for d in res.description]
 
@@ -750,5 +793,5 @@ def test_matches_sql(spark, key):
 
 def test_every_operator_is_registered():
     names = queries.queries()
-    assert [sum(re.match(rf"op{n}_", k) is not None for k in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(re.match(rf"op{n}_", k) is not None for k in names) for n in range(1, 14)] == [1] * 13
     assert not os.path.exists("/root/testdata/sf0.001/_temporary")
