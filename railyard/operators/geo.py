@@ -200,6 +200,8 @@ def nearest_station(points: DataFrame, stations: DataFrame, rings=RINGS) -> Data
         found = best.filter(ok).select("point_id", "station_id", "distance_km")
         left = _on_sphere(best.filter(~ok).select("point_id", "lat", "lon"), "lat", "lon", "p_")
         out = found if out is None else out.unionByName(found)
+        if left.isEmpty():  # read from the staged ring: nothing is left for larger cells
+            return out
     far = _descend(left, st)
     if "station_id" not in far.columns:
         return out
