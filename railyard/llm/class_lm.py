@@ -56,7 +56,7 @@ END_HASH = np.int64(0x454E44)
 _START_HASH = np.int64(0x5354)
 #: Word contexts that are weighed at once; text bytes whose words give their contexts together.
 _ENTRIES = 1 << 16
-_PIECE = 1 << 22
+_PIECE = 1 << 21
 
 _LAST = np.full(256, 3, np.int64)  # kind of the last byte: letters and beyond ASCII, .!?, ,;: and the rest
 _LAST[[*range(97, 123), *range(65, 91), *range(128, 256)]] = 0
