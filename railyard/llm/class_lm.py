@@ -56,7 +56,7 @@ END_HASH = np.int64(0x454E44)
 _START_HASH = np.int64(0x5354)
 #: Word contexts that are weighed at once; text bytes whose words give their contexts together.
 _ENTRIES = 1 << 16
-_PIECE = 1 << 21
+_PIECE = 1 << 22
 
 _LAST = np.full(256, 3, np.int64)  # kind of the last byte: letters and beyond ASCII, .!?, ,;: and the rest
 _LAST[[*range(97, 123), *range(65, 91), *range(128, 256)]] = 0
@@ -483,7 +483,6 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts
     else:
         classed, clusters = words.where(no_end).withColumn("cls", F.lit(0)), 1
     classed = st.stage(classed, "classes")
-    st.settle()  # the shuffle of contexts is the largest of all
     end, start = clusters, clusters + 1
     size = clusters + 2
     mass, discount, unseen_class, unknown = class_stats(classed, clusters)
@@ -525,7 +524,6 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts
                      F.coalesce("got", none).alias("got")))
     whole = st.stage(whole.mapInArrow(_pairs(start), f"{sums_of}, pairs array<int>"), "pairs")
     st.discard(rows)
-    st.settle()
     table = _square(whole.where("train").select("pairs").mapInArrow(_pair_counts(size), "code bigint, n bigint"), size)
     return (whole.mapInArrow(_steps(send(transitions(table, start).ravel())), f"{sums_of}, steps double")
             .select(F.col("id").alias(id_col), (~F.col("train")).alias("held_out"), "n_tokens",
