@@ -36,6 +36,17 @@ def test_filters_hold_every_key_and_few_others(spark):
     index.unpersist()
 
 
+def test_filters_of_one_large_partition_are_built_by_many_tasks(spark, monkeypatch):
+    """All keys in one partition value: their bits are dealt out by bitmap, and the filters are the same."""
+    df = spark.range(20000).selectExpr("id", "CASE WHEN id < 0 THEN 1 END AS part")
+    whole = {tuple(r) for r in K.filters(df, ["id"], "part").collect()}
+    monkeypatch.setattr(K, "KEYS_PER_TASK", 1000, raising=False)
+    index = K.filters(df, ["id"], "part")
+    got = index.withColumn("_task", F.spark_partition_id()).collect()
+    assert {tuple(r)[:-1] for r in got} == whole and len(whole) == 16
+    assert len({r["_task"] for r in got}) > 4
+
+
 def test_upsert_reads_candidates_only(spark):
     t = L.new_table_name("t_index")
     base = spark.range(2000).selectExpr("id", "cast(id % 20 as int) AS part", "'a' AS v")
