@@ -4,6 +4,7 @@
       station and the bucket, so a station with many windows or taps is spread
       over its buckets; a pair that shares several buckets counts in the one
       where the later of the two begins.  An equi-join, never a nested loop.
+      ``overlap_totals`` counts the pairs of two such sides without forming them.
 * J7  exact nearest station without a cross join, on cells of the unit
       sphere's 3-D coordinates, which know no date line and no poles.  Points
       near the network meet the stations of the 27 cells around theirs, ring by
@@ -58,6 +59,74 @@ def interval_join(left: DataFrame, right: DataFrame, keys, left_span, right_span
     return met.drop("_b")
 
 
+def overlap_totals(left: DataFrame, right: DataFrame, keys, left_span, right_span, left_id: str, right_id: str,
+                   seconds: int = 6 * 3600) -> DataFrame:
+    """What the pairs of ``interval_join`` add up to, per ``keys`` and day on
+    which the left span begins: (*keys, day, pairs, lefts, rights, first), the
+    number of pairs, of distinct ``left_id`` and ``right_id`` in them, and the
+    first moment that a pair shares.  Pairs are counted and never formed, so the
+    work grows with the rows and not with the pairs:
+
+    * a span meets as many others as have begun by its end, less those that
+      ended before its start.  Both ends of every span are put in order within
+      a bucket, and sums over the buckets (one row each) carry what lies before;
+    * the first moment is the left start if a right span is open then, else the
+      next right start;
+    * a right span meets a day on which it does not end if the day's last left
+      end is not before its start: an interval join with one span per day.  On
+      the day on which it ends, only left spans begun by then count."""
+    (ls, le), (rs, re) = left_span, right_span
+    left = left.where(F.col(ls) <= F.col(le)).dropna(subset=keys)
+    right = right.where(F.col(rs) <= F.col(re)).dropna(subset=keys)
+
+    def marks(df, at, order, **more):
+        return df.select(*keys, F.col(at).alias("_t"), F.lit(order).alias("_o"), F.to_date(at).alias("_d"),
+                         _bucket(F.col(at), seconds).alias("_b"), *[c.alias(n) for n, c in more.items()])
+
+    # at one moment right spans begin first and end last: bounds are closed
+    day = F.to_date(ls)
+    all_marks = marks(right, rs, 0)
+    for m in (marks(left, ls, 1, _day=day, _left=F.col(left_id), _until=F.col(le)), marks(left, le, 1, _day=day),
+              marks(right, re, 2, _right=F.col(right_id), _since=F.col(rs))):
+        all_marks = all_marks.unionByName(m, allowMissingColumns=True)
+    begins, ends = F.when(F.col("_o") == 0, F.col("_t")), F.when(F.col("_o") == 2, F.col("_t"))
+
+    cell, upto, before = [*keys, "_d", "_b"], (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1)
+    forth = Window.partitionBy(*keys).orderBy("_d", "_b").rowsBetween(*before)
+    back = Window.partitionBy(*keys).orderBy(F.desc("_d"), F.desc("_b")).rowsBetween(*before)
+    today = Window.partitionBy(*keys, "_d").orderBy("_b").rowsBetween(*before)
+    cells = (all_marks.groupBy(*cell).agg(F.count(begins).alias("_begun"), F.count(ends).alias("_ended"),
+                                          F.min(begins).alias("_next"), F.max("_until").alias("_last"))
+             .select(*cell, F.coalesce(F.sum("_begun").over(forth), F.lit(0)).alias("_begun0"),
+                     F.coalesce(F.sum("_ended").over(forth), F.lit(0)).alias("_ended0"),
+                     F.min("_next").over(back).alias("_next0"), F.max("_last").over(today).alias("_last0")))
+    forth = Window.partitionBy(*cell).orderBy("_t", "_o").rowsBetween(*upto)
+    back = Window.partitionBy(*cell).orderBy(F.desc("_t"), F.desc("_o")).rowsBetween(*upto)
+    placed = (all_marks.withColumn("_begun", F.count(begins).over(forth)).withColumn("_ended", F.count(ends).over(forth))
+              .withColumn("_last", F.max("_until").over(forth)).withColumn("_next", F.min(begins).over(back))
+              .join(cells, cell)
+              .select(*keys, "_o", "_t", "_d", "_day", "_left", "_until", "_right", "_since",
+                      (F.col("_begun") + F.col("_begun0")).alias("_begun"), (F.col("_ended") + F.col("_ended0")).alias("_ended"),
+                      F.least("_next", "_next0").alias("_next"), F.greatest("_last", "_last0").alias("_last")))
+
+    at_start = F.col("_until").isNotNull()
+    first = F.when(F.col("_begun") > F.col("_ended"), F.col("_t")).when(F.col("_next") <= F.col("_until"), F.col("_next"))
+    first = F.when(at_start, first)
+    of_left = (placed.where("_o = 1").groupBy(*keys, F.col("_day").alias("day"))
+               .agg(F.sum(F.when(at_start, -F.col("_ended")).otherwise(F.col("_begun"))).alias("pairs"),
+                    F.countDistinct(F.when(first.isNotNull(), F.col("_left"))).alias("lefts"), F.min(first).alias("first"))
+               .where("pairs > 0"))
+
+    days = left.groupBy(*keys, day.alias("_day")).agg(F.min(ls).alias("_from"), F.max(le).alias("_to"))
+    spans = right.select(*keys, F.col(right_id).alias("_right"), F.col(rs).alias("_since"), F.col(re).alias("_till"))
+    earlier = (interval_join(days, spans, keys, ("_from", "_to"), ("_since", "_till"), seconds)
+               .where(F.col("_day") < F.to_date("_till")).select(*keys, "_day", "_right"))
+    last_day = placed.where("_o = 2 AND _last >= _since").select(*keys, F.col("_d").alias("_day"), "_right")
+    of_right = (earlier.unionByName(last_day).groupBy(*keys, F.col("_day").alias("day"))
+                .agg(F.countDistinct("_right").alias("rights")))
+    return of_left.join(of_right, [*keys, "day"]).select(*keys, "day", "pairs", "lefts", "rights", "first")
+
+
 def event_hours(station_hours: DataFrame, calendar: DataFrame) -> DataFrame:
     """(station_id, tap_hour_utc) rows inside an event window at one of the
     event's stations, both bounds closed; one row per matching event."""

@@ -89,11 +89,10 @@ def q_window_overlaps(spark, sf_dir):
                                                   until(7, 20).alias("w_end"))
     visits = ev.where("event_id % 8 >= 4").select(F.col("event_id").alias("visit_id"), station,
                                                   F.col("ts").alias("v_start"), until(5, 10).alias("v_end"))
-    met = geo.interval_join(windows, visits, ["station_id"], ("w_start", "w_end"), ("v_start", "v_end"), 3600)
-    return (met.groupBy("station_id", F.to_date("w_start").alias("service_date"))
-            .agg(F.count("*").alias("pairs"), F.countDistinct("event_id").alias("windows"),
-                 F.countDistinct("visit_id").alias("visits"),
-                 F.min(F.greatest("w_start", "v_start")).alias("first_overlap")))
+    met = geo.overlap_totals(windows, visits, ["station_id"], ("w_start", "w_end"), ("v_start", "v_end"),
+                             "event_id", "visit_id", 3600)
+    return met.select("station_id", F.col("day").alias("service_date"), "pairs", F.col("lefts").alias("windows"),
+                      F.col("rights").alias("visits"), F.col("first").alias("first_overlap"))
 
 
 @register("km_haversine", compose("points", f"""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from railyard.operators import forecast as R, geo
 from railyard.sources import binding as B
+from tests.conftest import SMOKE
 
 
 def _hav(a, b):
@@ -137,3 +138,37 @@ def test_forecast_truncates_like_doubles(spark):
     # 3500 * 1.15 is 4024.999... in doubles: int() gives 4024
     df = spark.range(1).select(F.floor(F.lit(3500) * F.lit(1.15)).cast("int").alias("v"))
     assert df.first().v == int(3500 * 1.15) == 4024
+
+
+def test_overlap_totals_equal_the_sums_of_the_pairs(spark):
+    """Also with spans over midnight and several days, instants, repeated ids, and spans that match nothing."""
+    rnd = random.Random(5)
+
+    def side(n, name, start, end):
+        rows = [(7, 1, None, None), (7, 1, dt.datetime(2024, 1, 2), None)]
+        for _ in range(n):
+            a = dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rnd.randrange(0, 6 * 1440, 5))
+            rows.append((rnd.randrange(n // 2), rnd.choice([1, 2, None]), a,
+                         a + dt.timedelta(minutes=rnd.choice([-10, 0, 0, 5, 30, 200, 1500, 4000]))))
+        return spark.createDataFrame(rows, f"{name} long, station_id int, {start} timestamp_ntz, {end} timestamp_ntz")
+
+    w, v = side(60, "w_id", "w_start", "w_end"), side(80, "v_id", "v_start", "v_end")
+    for seconds in (3600, 5000):
+        args = (["station_id"], ("w_start", "w_end"), ("v_start", "v_end"))
+        got = geo.overlap_totals(w, v, *args, "w_id", "v_id", seconds)
+        want = geo.interval_join(w, v, *args, seconds).groupBy("station_id", F.to_date("w_start").alias("day")).agg(
+            F.count("*").alias("pairs"), F.countDistinct("w_id").alias("lefts"), F.countDistinct("v_id").alias("rights"),
+            F.min(F.greatest("w_start", "v_start")).alias("first"))
+        rows = sorted(map(tuple, got.collect()))
+        assert rows == sorted(map(tuple, want.collect())) and len(rows) > 8
+
+
+def test_window_overlaps_forms_no_pairs(spark, monkeypatch):
+    """Windows meet visits as one span per station and day."""
+    import __spark_entry__ as E
+    sides, real = [], geo.interval_join
+    monkeypatch.setattr(geo, "interval_join", lambda left, *a: sides.append(left.count()) or real(left, *a))
+    got = E.queries()["window_overlaps"](spark, SMOKE)
+    days = got.count()
+    assert got.agg(F.sum("pairs")).first()[0] > 0
+    assert sides and max(sides) <= days + 4
