@@ -9,6 +9,8 @@ before its final merge.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -90,16 +92,26 @@ def union_sketches(sketches: DataFrame, *keys) -> DataFrame:
                                        F.hll_union_agg("riders_sketch").alias("riders_sketch"))
 
 
-def _sliced(sketches: DataFrame, grains, slices) -> DataFrame:
-    cells = F.explode(F.array(*[
+def _cells(grains, slices):
+    """One struct per grain and slice that a row belongs to."""
+    return F.explode(F.array(*[
         F.struct(F.lit(g).alias("grain"), F.date_trunc(g, "tap_hour_utc").alias("period_start"),
                  F.lit(s or "all").alias("slice"), (F.col(s).cast("string") if s else F.lit("all")).alias("slice_value"))
         for g in grains for s in slices]))
-    cells = sketches.select(cells.alias("_c"), "taps", "riders_sketch").select("_c.*", "taps", "riders_sketch")
+
+
+def _sliced(sketches: DataFrame, grains, slices) -> DataFrame:
+    cells = sketches.select(_cells(grains, slices).alias("_c"), "taps", "riders_sketch").select("_c.*", "taps", "riders_sketch")
     return union_sketches(cells, "grain", "period_start", "slice", "slice_value")
 
 
-def riders_at_any_grain(sketches: DataFrame, grains=("hour", "day", "week", "month", "quarter"), slices=SLICES) -> DataFrame:
+#: Grains of rider counts.
+RIDER_GRAINS = ("hour", "day", "week", "month", "quarter")
+#: Taps of one task while exact riders are counted: each gives a row per grain and slice.
+TAPS_PER_TASK = 50_000
+
+
+def riders_at_any_grain(sketches: DataFrame, grains=RIDER_GRAINS, slices=SLICES) -> DataFrame:
     """(grain, period_start, slice, slice_value, taps, unique_riders_approx)
     from stored hourly sketches alone, weeks beginning on Monday.  Hours are
     united to days first, and only days are dealt to the coarser grains, so a
@@ -113,6 +125,20 @@ def riders_at_any_grain(sketches: DataFrame, grains=("hour", "day", "week", "mon
                       F.hll_sketch_estimate("riders_sketch").alias("unique_riders_approx"))
 
 
+def exact_riders_at_any_grain(taps: DataFrame, grains=RIDER_GRAINS, slices=SLICES) -> DataFrame:
+    """(grain, period_start, slice, slice_value, riders): exact distinct riders
+    from the taps.  Riders are dealt to tasks of a bounded size, so all cells of
+    a rider meet in one task: repeats go there, and only counts are exchanged.
+    A rider's taps at one station and hour count once beforehand, which bounds
+    the rows of any one rider."""
+    known = [s for s in slices if s]
+    once = taps.select("tap_hour_utc", *known, "card_token").distinct()
+    tasks = max(1, math.ceil(taps.count() / TAPS_PER_TASK))
+    cells = once.repartition(tasks, "card_token").select(_cells(grains, slices).alias("_c"), "card_token")
+    return (cells.select("_c.*", "card_token").groupBy("grain", "period_start", "slice", "slice_value")
+            .agg(F.countDistinct("card_token").alias("riders")))
+
+
 def distinct_riders_daily(silver: DataFrame) -> DataFrame:
     """Additive-safe daily distinct riders per station."""
     return (silver.withColumn("service_date", F.to_date("tap_hour_utc"))

@@ -40,3 +40,29 @@ def test_kafka_source_is_gated(spark):
     from railyard.streaming import taps
     with pytest.raises(Exception, match="(?i)kafka"):
         taps.read_kafka_stream(spark, "localhost:9092", "taps")
+
+
+def test_exact_riders_meet_by_rider(spark, monkeypatch):
+    """Exact riders at every grain: the cells of a rider are never exchanged, and the counts are those of plain groups."""
+    import contextlib
+    import io
+
+    from railyard.operators import gold
+    monkeypatch.setattr(gold, "TAPS_PER_TASK", 100, raising=False)
+    taps = spark.range(1500).selectExpr(
+        "timestamp'2024-01-28 00:00:00' + make_interval(0, 0, 0, 0, CAST(id * 7 % 120 AS INT)) AS tap_hour_utc",
+        "CAST(id % 6 AS INT) AS station_id", "CAST(id % 3 AS INT) AS line_id", "CAST(nullif(id % 3, 2) AS INT) AS zone",
+        "nullif(id * 13 % 97, 5) AS card_token")
+    got = gold.exact_riders_at_any_grain(taps)
+    rows = {tuple(r)[:4]: r["riders"] for r in got.collect()}
+    for grain in gold.RIDER_GRAINS:
+        for s in gold.SLICES:
+            value = F.col(s).cast("string") if s else F.lit("all")
+            plain = taps.groupBy(F.date_trunc(grain, "tap_hour_utc"), value).agg(F.countDistinct("card_token")).collect()
+            assert {(grain, r[0], s or "all", r[1]): r[2] for r in plain} == {
+                k: n for k, n in rows.items() if k[0] == grain and k[2] == (s or "all")}
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain()
+    above = buf.getvalue().split("Initial Plan")[-1].split("Generate explode")[0]
+    assert not [line for line in above.splitlines() if "Exchange" in line and "card_token" in line]
