@@ -126,3 +126,32 @@ def test_shared_folder_is_required_off_local():
 
     with pytest.raises(ValueError):
         checkpoint_dir(Session())
+
+
+def test_winners_of_a_large_batch_are_sought_in_bounded_tasks(spark, monkeypatch):
+    """A batch is dealt to tasks by its rows before its keys are cut to one row; rows of one key may part there."""
+    import contextlib
+    import io
+
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(L, "ROWS_PER_TASK", 10, raising=False)
+    plans, real = [], L.create_table
+
+    def spy(df, *args):
+        if "version" in df.columns:
+            buf = io.StringIO()
+            with contextlib.redirect_stdout(buf):
+                df.explain()
+            plans.append(buf.getvalue())
+        return real(df, *args)
+
+    monkeypatch.setattr(L, "create_table", spy)
+    t = L.new_table_name("t_winners")
+    rows = spark.range(2000).selectExpr("IF(id < 900, 0, id % 300) AS id", "CAST(id AS INT) AS version", "0 AS part")
+    L.upsert(spark, t, rows, "id", "part", order=("version",))
+    L.upsert(spark, t, rows.withColumn("version", F.col("version") - F.when(F.col("id") % 2 == 0, 5).otherwise(-5)),
+             "id", "part", order=("version",), stable_partition=True)
+    assert "REPARTITION_BY_NUM" in plans[0]
+    newest = {k: max(i for i in range(2000) if (0 if i < 900 else i % 300) == k) + (5 if k % 2 else 0) for k in range(300)}
+    assert {r["id"]: r["version"] for r in spark.table(t).collect()} == newest
+    assert spark.table(t).count() == 300

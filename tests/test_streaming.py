@@ -89,3 +89,31 @@ def test_contract_tap_batch_and_stream(spark):
         assert (ok.station_id, ok.line, ok.zone, ok.fare_amount_cad) == ("UNION", "Lakeshore West", 1, 6.05)
         assert ok.tap_timestamp_utc.isoformat() == "2026-06-12T20:15:00" and ok._rescued_data is None
         assert next(r for r in got if not r.tap_id)._rescued_data == "{broken"
+
+
+def test_late_rows_read_each_batch_once(spark):
+    """A batch without late rows is one pass, a restart goes on from the newest mark, null times are in time, and a side may be empty."""
+    import datetime as dt
+
+    def land(path, first, hours):
+        rows = [(first + i, None if h is None else dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)) for i, h in enumerate(hours)]
+        df = spark.createDataFrame(rows, "tap_id long, tap_timestamp_utc timestamp")
+        df = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(dt.datetime(2024, 1, 1)).alias(f.name)
+                         if f.name == "ingest_timestamp_utc" else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in S.BRONZE_SCHEMA.fields])
+        return S.land_by_arrival(df, path, files=1)
+
+    def ids(path):
+        return sorted(r[0] for r in spark.read.schema(S.BRONZE_SCHEMA).parquet(path).select("tap_id").collect())
+
+    path = land(None, 0, [0, 10, None])
+    sink = S.scratch_path(spark, "late-test")
+    good, late, q = S.stream_late_rows(spark, path, sink, files_per_trigger=1)
+    assert ids(good) == [0, 1, 2] and ids(late) == []
+    land(path, 10, [None])
+    land(path, 20, [7, 8, 30])
+    land(path, 30, [27, 28, 5])
+    good, late, q = S.stream_late_rows(spark, path, sink, files_per_trigger=1)
+    assert ids(good) == [0, 1, 2, 10, 21, 22, 31] and ids(late) == [20, 30, 32]
+    # the source's rows: once for a batch, and again for one with late rows
+    assert [p.numInputRows for p in q.recentProgress] == [1, 6, 6]
