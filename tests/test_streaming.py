@@ -1,6 +1,7 @@
 """Streams: restart from checkpoint adds nothing, late rows are accounted."""
 from pyspark.sql import functions as F
 
+from railyard import constants as C
 from railyard.sources import binding as B
 from railyard.streaming import taps as S
 from tests.conftest import SMOKE
@@ -117,3 +118,56 @@ def test_late_rows_read_each_batch_once(spark):
     assert ids(good) == [0, 1, 2, 10, 21, 22, 31] and ids(late) == [20, 30, 32]
     # the source's rows: once for a batch, and again for one with late rows
     assert [p.numInputRows for p in q.recentProgress] == [1, 6, 6]
+
+
+def test_stream_upsert_rewrites_no_more_than_arrives(spark, monkeypatch):
+    """Many batches for one date: the merges write a few times the rows that arrived, the newest version of a tap wins
+    in whatever order versions come, nothing stays set aside, and a run that fails keeps the batches before."""
+    import datetime as dt
+    import os
+
+    import pytest
+
+    from railyard.operators import loads as L
+    from railyard.session import checkpoint_dir
+
+    def land(path, versions, fare_class="adult"):
+        rows = [(i, 1, 1, 1, fare_class, "TAP_ON", dt.datetime(2024, 1, 1), "reader-1-1", f"v{v}",
+                 dt.datetime(2024, 1, 1) + dt.timedelta(hours=v)) for i, v in versions]
+        df = spark.createDataFrame(rows, "tap_id long, card_token long, station_id int, zone int, fare_class string, tap_type string,"
+                                   "tap_timestamp_utc timestamp, device_id string, schema_version string, ingest_timestamp_utc timestamp")
+        df = df.withColumn("fare_amount_cad", F.lit(1).cast("decimal(18,2)"))
+        return S.land_by_arrival(df.select(*[F.col(f.name).cast(f.dataType) for f in S.BRONZE_SCHEMA.fields]), path, files=1)
+
+    def stored(table):
+        return {r.tap_id: r.schema_version for r in spark.table(table).collect()}, spark.table(table).count()
+
+    written, real = [], L._stage
+
+    def spy(df, name):
+        staged, path = real(df, name)
+        if name.endswith("-stage"):
+            written.append(staged.count())
+        return staged, path
+
+    monkeypatch.setattr(L, "_stage", spy)
+    stations = spark.createDataFrame([(1, 1)], "station_id int, line_id int")
+    good = C.FARE_CLASSES[0]
+    path = land(None, [(i, 1) for i in range(20)], good)
+    for n in range(1, 8):  # each brings 19 new taps and a version of tap 0; of these the second is the newest
+        land(path, [(20 * n + i, 1) for i in range(1, 20)] + [(0, 9 - n)], good)
+    newest = {n: "v1" for n in range(160) if n % 20 or not n} | {0: "v8"}
+    for rows_per_task, most in ((5, 3 * 160), (L.ROWS_PER_TASK, 160)):
+        monkeypatch.setattr(L, "ROWS_PER_TASK", rows_per_task)
+        written.clear()
+        table, _ = S.stream_upsert(spark, path, stations, files_per_trigger=1)
+        assert stored(table) == (newest, 153)
+        assert 0 < sum(written) <= most
+        left = os.listdir(os.path.join(checkpoint_dir(spark), "railyard-stage"))
+        assert [f for f in left if f.startswith(table)] == []
+    # batch 9 ends the query: the batches before it are in the table
+    land(path, [(500, 1)], "no such class")
+    table = L.new_table_name("t_stream")
+    with pytest.raises(Exception, match="valid_fare_class"):
+        S.stream_upsert(spark, path, stations, table, files_per_trigger=1)
+    assert stored(table)[1] == 153
